@@ -40,17 +40,18 @@ def safe_pct(num, den, digits: int = 4) -> Column:
     return round_away(F.try_divide(_col(num), _col(den)) * F.lit(100.0), digits)
 
 
-def safe_corr(x, y) -> Column:
-    """Pearson correlation over pair-complete rows, as an aggregate.
-
-    Works as a grouped aggregate or over a window frame.  Returns NULL
-    for fewer than two pairs or a zero variance (``F.corr`` raises
-    DIVIDE_BY_ZERO under ANSI on a flat series).
+def safe_corr(x, y, window=None) -> Column:
+    """Pearson correlation over pair-complete rows, as an aggregate or,
+    with ``window``, over a window frame.  Returns NULL for fewer than two
+    pairs or a zero variance (``F.corr`` raises DIVIDE_BY_ZERO under ANSI
+    on a flat series).
     """
     x, y = _col(x), _col(y)
     both = x.isNotNull() & y.isNotNull()
     xm, ym = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_samp(xm, ym), F.stddev_samp(xm) * F.stddev_samp(ym))
+    over = (lambda c: c.over(window)) if window is not None else (lambda c: c)
+    return F.try_divide(over(F.covar_samp(xm, ym)),
+                        over(F.stddev_samp(xm)) * over(F.stddev_samp(ym)))
 
 
 def parse_number(c) -> Column:

@@ -143,3 +143,47 @@ def calendar_bounds(t: Tables) -> DataFrame:
     return (o.agg(F.min("o_orderdate").alias("_lo"), F.max("o_orderdate").alias("_hi"))
             .select(F.trunc(F.to_date("_lo"), "year").alias("lo"),
                     F.date_sub(F.trunc(F.to_date("_hi"), "year"), 1).alias("hi")))
+
+
+def text_bars(b: DataFrame, dirt: bool = False) -> DataFrame:
+    """Bars as CSV text (date with a time of day).  With ``dirt``: an
+    unparsable open, a blank close or a blank date on rule-picked days,
+    padded high values, and exact duplicate lines."""
+    k = F.datediff(F.to_date("date"), F.lit(DIRT_EPOCH))
+    every = lambda n: (k % F.lit(n)) == 0
+    num = lambda c: F.col(c).cast("string")
+    date = F.concat(F.col("date"), F.lit(" 23:59:59"))
+    cols = {"date_text": date, "open_text": num("open"), "high_text": num("high"),
+            "low_text": num("low"), "close_text": num("close")}
+    if dirt:
+        cols["open_text"] = F.when(every(DIRT_NULL_OPEN_EVERY), F.lit("oops")).otherwise(num("open"))
+        cols["close_text"] = F.when(every(DIRT_NULL_CLOSE_EVERY), F.lit("")).otherwise(num("close"))
+        cols["date_text"] = F.when(every(DIRT_NULL_ASSET_EVERY), F.lit("")).otherwise(date)
+        cols["high_text"] = F.when(every(7), F.concat(F.lit(" "), num("high"), F.lit(" "))) \
+            .otherwise(num("high"))
+    out = b.select("coin_id", "date", *[c.alias(n) for n, c in cols.items()])
+    if dirt:
+        out = out.unionByName(out.where(every(DIRT_DUPLICATE_EVERY)))
+    return out
+
+
+def csv_layouts():
+    """Three header layouts for the CSV round trip (padded,
+    mixed-case, reordered headers and extra columns) over text_bars()."""
+    t = F.col
+    sno = F.datediff(F.to_date("date"), F.lit(DIRT_EPOCH)).cast("string")
+    return [
+        [("SNo", sno), ("Name", t("coin_id")), ("Symbol", t("coin_id")), ("Date", t("date_text")),
+         ("High", t("high_text")), ("Low", t("low_text")), ("Open", t("open_text")),
+         ("Close", t("close_text")), ("Volume", F.lit("0")), ("Marketcap", F.lit(""))],
+        [(" Date ", t("date_text")), ("OPEN", t("open_text")), ("HIGH", t("high_text")),
+         ("LOW", t("low_text")), ("CLOSE", t("close_text")), ("Adj Close", t("close_text")),
+         ("Volume", F.lit("1"))],
+        [("close", t("close_text")), ("open", t("open_text")), ("low", t("low_text")),
+         ("high", t("high_text")), ("Trade Date", t("date_text")), ("Note", F.lit("x"))],
+    ]
+
+
+def csv_layout_of():
+    """Layout index of an asset: its first character code modulo 3."""
+    return F.ascii(F.col("coin_id")) % 3
