@@ -62,7 +62,10 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def _null_safe_pairs(keys: Sequence[str], bucket: str) -> Column:
-    cond = F.col(bucket) == F.col(f"_cw_k_{bucket}")
+    # null-safe throughout: no inferred IS NOT NULL filter is pushed into one
+    # branch only, so both uses of the numbered rows keep one identical plan
+    # and Spark reuses its shuffle instead of recomputing the input
+    cond = F.col(bucket).eqNullSafe(F.col(f"_cw_k_{bucket}"))
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_cw_k_{k}"))
     return cond

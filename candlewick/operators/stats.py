@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from candlewick.functions import round_away, safe_corr
 from candlewick.operators.series import DEFAULT_CHUNK_ROWS, row_index
 from candlewick.operators.star import broadcast_if_bounded
+from candlewick.session import materialize
 from candlewick.sources.spine import CALENDAR_MAX_ROWS
 
 STAT_DIGITS = 4
@@ -81,17 +82,20 @@ def _bin_of(v: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    keys: Sequence[str] = (), bins: int = QUANTILE_BINS) -> DataFrame:
+                    keys: Sequence[str] = (), bins: int = QUANTILE_BINS,
+                    checkpoint: bool = True) -> DataFrame:
     """Per key: ``q_<i>`` = the ``probs[i]`` quantile of ``value`` with
     linear interpolation between closest ranks (numpy/pandas 'linear',
     DuckDB quantile_cont).  NULL/NaN values are ignored; keys must not be
     NULL."""
     if not keys:
         return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"],
-                               bins).drop("_all")
+                               bins, checkpoint).drop("_all")
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if checkpoint:
+        base = materialize(base)
     st = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
                                  F.max("_v").alias("_hi"))
     binned = base.join(st, keys)
@@ -158,12 +162,13 @@ def describe(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
         for c in columns])).alias("_kv")).select(*keys, "_kv.column", "_kv.value")
-    long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    long = materialize(long.where(F.col("value").isNotNull() & ~F.isnan("value")))
     moments = long.groupBy(*keys, "column").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    qs = exact_quantiles(long, "value", DESCRIBE_PROBS, [*keys, "column"], bins)
+    qs = exact_quantiles(long, "value", DESCRIBE_PROBS, [*keys, "column"], bins,
+                         checkpoint=False)
     r = lambda c: round_away(F.col(c), digits)
     return (moments.join(qs, [*keys, "column"], "left")
             .select(*keys, "column", "count", r("mean").alias("mean"), r("std").alias("std"),
@@ -184,8 +189,8 @@ def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), bins: int = 5
         return histogram(df.withColumn("_all", F.lit(0)), value, ["_all"], bins,
                          digits).drop("_all")
     keys = list(keys)
-    v = df.select(*keys, F.col(value).alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
+    v = materialize(df.select(*keys, F.col(value).alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v")))
     st = v.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     vb = v.join(st, keys)
     counts = (vb.withColumn("bin", _bin_of(F.col("_v"), F.col("_lo"), F.col("_hi"), bins))
@@ -254,9 +259,9 @@ def pair_moments(long: DataFrame, date: str, key: str, value: str,
     """Sufficient statistics of every key pair (a <= b, diagonal included)
     over the dates where both have a value: columns key_a, key_b, n, and
     the moments of the values centred on each key's mean."""
-    v = long.select(F.col(date).alias("_d"), F.col(key).alias("_k"),
-                    F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
+    v = materialize(long.select(F.col(date).alias("_d"), F.col(key).alias("_k"),
+                                F.col(value).cast("double").alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v")))
     keys_t = v.groupBy("_k").agg(F.avg("_v").alias("_mu"))
     # asset index and block layout: one small table, bounded by #assets
     everyone = Window.partitionBy()
@@ -299,9 +304,12 @@ def corr_from_moments(m: DataFrame, digits: int = CORR_DIGITS) -> Column:
     # a flat series leaves only rounding noise in its centred variance
     flat_x = vx <= F.col("_sxx") * F.lit(1e-12)
     flat_y = vy <= F.col("_syy") * F.lit(1e-12)
-    r = F.when((F.col("n") >= 2) & ~flat_x & ~flat_y, cov / F.sqrt(vx * vy))
-    # guard rounding noise just outside [-1, 1]
-    return round_away(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)), digits)
+    raw = cov / F.sqrt(vx * vy)
+    # clamp rounding noise just outside [-1, 1] (inside the WHEN: least and
+    # greatest skip NULLs and would turn an undefined r into 1.0)
+    r = F.when((F.col("n") >= 2) & ~flat_x & ~flat_y,
+               F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw)))
+    return round_away(r, digits)
 
 
 def corr_matrix_long(long: DataFrame, date: str = "date", symbol: str = "symbol",
@@ -355,8 +363,8 @@ def rolling_corr(long: DataFrame, benchmark: str, window: int = 30,
     where undefined; nothing when the benchmark is absent."""
     if chunk_rows <= window:
         raise ValueError("chunk_rows must exceed the window")
-    v = long.select(F.col(date).alias("_d"), F.col(symbol).alias("_s"),
-                    F.col(value).cast("double").alias("_v"))
+    v = materialize(long.select(F.col(date).alias("_d"), F.col(symbol).alias("_s"),
+                                F.col(value).cast("double").alias("_v")))
     grid_dates = row_index(v.select("_d").distinct(), [], ["_d"], name="_g")
     vg = v.join(grid_dates, "_d")
     bench = vg.where(F.col("_s") == benchmark).select("_g", F.col("_v").alias("_y"))

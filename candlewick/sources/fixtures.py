@@ -187,3 +187,32 @@ def csv_layouts():
 def csv_layout_of():
     """Layout index of an asset: its first character code modulo 3."""
     return F.ascii(F.col("coin_id")) % 3
+
+
+def bars_by_supplier(t: Tables) -> DataFrame:
+    """Many-asset bars: one per (supplier, ship date) from ``lineitem``
+    (1,000 assets at sf0.1), to show operators spreading over assets."""
+    li = t.lineitem
+    line_order = F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
+    return (li.groupBy(F.col("l_suppkey").alias("_k"), F.to_date("l_shipdate").alias("_d"))
+            .agg(F.min_by("l_extendedprice", line_order).alias("open"),
+                 F.max("l_extendedprice").alias("high"),
+                 F.min("l_extendedprice").alias("low"),
+                 F.max_by("l_extendedprice", line_order).alias("close"))
+            .select(F.date_format("_d", "yyyy-MM-dd").alias("date"),
+                    "open", "high", "low", "close",
+                    F.concat(F.lit("S"), F.col("_k").cast("string")).alias("coin_id"),
+                    F.lit(BARS_SOURCE).alias("source"),
+                    F.lit(BARS_EXTRACTED_AT).alias("extracted_at")))
+
+
+def supplier_meta(t: Tables) -> DataFrame:
+    """Metadata per supplier (one version each) from ``supplier``."""
+    s = t.supplier
+    sid = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
+    return s.select(sid.alias("coin_id"), sid.alias("symbol"), F.col("s_name").alias("name"),
+                    F.concat(F.lit("['"), F.col("s_nationkey").cast("string"), F.lit("']"))
+                    .alias("categories"),
+                    F.lit(None).cast("string").alias("genesis_date"),
+                    F.lit(None).cast("string").alias("hashing_algorithm"),
+                    F.lit(BARS_EXTRACTED_AT).alias("extracted_at"))

@@ -1,0 +1,73 @@
+"""New CSV price files as a stream -> silver bars table.
+
+The file source picks up files as they land in a folder (one header
+layout per stream, one asset per folder).  Each micro-batch is coerced
+exactly like a batch load and merged into silver by key with
+``foreachBatch``: rows of (asset, date) already present are replaced,
+new ones appended.  The checkpoint makes the stream restartable and each
+batch idempotent (a replayed batch rewrites the same keys).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from candlewick.functions import parse_number
+from candlewick.operators.clean import dedup
+from candlewick.sources.csv_bars import DEFAULT_SOURCE, header_map, parse_date
+
+
+def coerce_stream(raw: DataFrame, header: Sequence[str], asset: str, run_ts: str,
+                  strict_dates: bool = True, source: str = DEFAULT_SOURCE) -> DataFrame:
+    positions, missing = header_map(header)
+    if missing:
+        raise ValueError(f"stream header lacks {missing}")
+    col_of = {name: f"_c{i}" for i, name in positions.items()}
+    return (raw.select(
+        F.date_format(parse_date(F.col(col_of["date"]), strict_dates), "yyyy-MM-dd").alias("date"),
+        *[parse_number(F.col(col_of[c])).alias(c) for c in ("open", "high", "low", "close")])
+        .where(F.col("date").isNotNull() & F.col("open").isNotNull() & F.col("high").isNotNull()
+               & F.col("low").isNotNull() & F.col("close").isNotNull())
+        .select("date", "open", "high", "low", "close", F.lit(asset).alias("coin_id"),
+                F.lit(source).alias("source"), F.lit(run_ts).alias("extracted_at")))
+
+
+def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
+    """Upsert one micro-batch into the silver parquet folder by key.
+
+    Only the dates touched by the batch are rewritten: existing rows of
+    those (asset, date) keys are replaced, everything else is kept."""
+    spark = batch.sparkSession
+    fresh = dedup(batch, ["coin_id", "date"])
+    try:
+        current = spark.read.parquet(silver_path)
+    except Exception:  # noqa: BLE001 — first batch: nothing stored yet
+        fresh.write.mode("overwrite").partitionBy("coin_id").parquet(silver_path)
+        return
+    keys = fresh.select("coin_id", "date")
+    touched = fresh.select("coin_id").distinct()
+    kept = (current.join(touched, "coin_id", "left_semi")
+            .join(keys, ["coin_id", "date"], "left_anti"))
+    merged = kept.unionByName(fresh)
+    staged = silver_path.rstrip("/") + "__batch"
+    merged.write.mode("overwrite").partitionBy("coin_id").parquet(staged)
+    (spark.read.parquet(staged).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("coin_id").parquet(silver_path))
+
+
+def stream_bars_csv(spark: SparkSession, folder: str, header: Sequence[str], asset: str,
+                    silver_path: str, checkpoint: str, run_ts: str,
+                    max_files_per_trigger: int = 100, once: bool = False) -> StreamingQuery:
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+    raw = (spark.readStream.schema(schema).option("header", True)
+           .option("maxFilesPerTrigger", max_files_per_trigger).csv(folder))
+    bars = coerce_stream(raw, header, asset, run_ts)
+    w = (bars.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda df, _id: merge_into_silver(df, silver_path)))
+    w = w.trigger(availableNow=True) if once else w
+    return w.start()

@@ -1,0 +1,43 @@
+import pytest
+
+from candlewick.operators import quality
+
+
+@pytest.fixture
+def dirty(spark):
+    return spark.createDataFrame(
+        [("a", 1, 1.0), ("a", 1, 2.0), ("b", None, None), (None, 3, 4.0), ("c", 9, 5.0)],
+        "k string, d int, v double")
+
+
+def test_not_null_and_profile(dirty):
+    got = {r["column_name"]: r["failures"] for r in
+           quality.not_null(dirty, ["k", "d", "v"], "t").collect()}
+    assert got == {"k": 1, "d": 1, "v": 1}
+    p = quality.null_profile(dirty, ["k", "v"]).first()
+    assert (p["total"], p["null_k"], p["null_v"]) == (5, 1, 1)
+
+
+def test_unique_ignores_null(dirty, spark):
+    assert quality.unique(dirty, "k").first()["failures"] == 1
+    assert quality.unique(dirty, "v").first()["failures"] == 0
+
+
+def test_relationships_counts_child_rows(dirty, spark):
+    parent = spark.createDataFrame([("a",), ("x",)], "k string")
+    r = quality.relationships(dirty, "k", parent, "k").first()
+    assert (r["failures"], r["severity"]) == (2, "warn")  # b and c; NULL ignored
+
+
+def test_duplicate_pairs_null_counts_as_duplicate(dirty):
+    # ("a",1) twice -> 1 duplicate; ("b",NULL) and (NULL,3) -> NULL text -> 2 more
+    assert quality.duplicate_pairs(dirty, "k", "d").first()["duplicates"] == 3
+
+
+def test_min_rows_and_enforce(dirty):
+    ok = quality.min_rows(dirty, 5, "t")
+    assert ok.first()["failures"] == 0
+    warn = quality.min_rows(dirty, 6, "t", quality.WARN)
+    assert quality.enforce(warn)[0]["failures"] == 1
+    with pytest.raises(quality.DataQualityError):
+        quality.enforce(quality.combine(ok, quality.min_rows(dirty, 6, "t")))

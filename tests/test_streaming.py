@@ -1,0 +1,34 @@
+import datetime as dt
+
+from candlewick.session import scratch_path
+from candlewick.streaming.ingest import stream_bars_csv
+
+HEADER = ["Date", "Open", "High", "Low", "Close"]
+
+
+def _file(folder, name, start, n, price):
+    folder.mkdir(exist_ok=True)
+    lines = [",".join(HEADER)]
+    for i in range(n):
+        d = start + dt.timedelta(days=i)
+        lines.append(f"{d},{price},{price + 1},{price - 1},{price + 0.5}")
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_stream_upserts_by_key(spark, tmp_path):
+    src = tmp_path / "incoming"
+    silver = scratch_path(spark, "stream-silver")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    _file(src, "day1.csv", dt.date(2020, 1, 1), 5, 10.0)
+    q = stream_bars_csv(spark, str(src), HEADER, "btc", silver, ckpt,
+                        "2024-01-01T00:00:00Z", once=True)
+    q.awaitTermination(120)
+    assert spark.read.parquet(silver).count() == 5
+    # a later file revises two days and adds three
+    _file(src, "day2.csv", dt.date(2020, 1, 4), 5, 20.0)
+    q = stream_bars_csv(spark, str(src), HEADER, "btc", silver, ckpt,
+                        "2024-01-02T00:00:00Z", once=True)
+    q.awaitTermination(120)
+    out = {r["date"]: r["open"] for r in spark.read.parquet(silver).collect()}
+    assert len(out) == 8
+    assert out["2020-01-01"] == 10.0 and out["2020-01-04"] == 20.0 and out["2020-01-08"] == 20.0
