@@ -67,8 +67,10 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
     order = list(order) if order else rest
     if not rest:
         return df.select(*keys).distinct()
-    kept = (df.groupBy(*keys)
-            .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_kept")))
+    # one struct (order columns first, the rest as tie-break): its minimum
+    # is the kept row, cheaper than min_by over two structs
+    tail = [c for c in rest if c not in order]
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*order, *tail)).alias("_kept"))
     return kept.select(*keys, *[F.col(f"_kept.{c}").alias(c) for c in rest]).select(*df.columns)
 
 

@@ -26,13 +26,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """Newest row per key: greatest ``order`` tuple, then the greatest
     remaining values as a deterministic tie-break.
 
-    A grouped ``max_by`` (map-side combined) instead of ROW_NUMBER = 1, so
-    a key with millions of versions never lands in one task.
+    A grouped ``max`` of one struct (map-side combined) instead of
+    ROW_NUMBER = 1, so a key with millions of versions never lands in one
+    task.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     ranking = F.struct(*order, *[c for c in rest if c not in order])
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), ranking).alias("_row"))
+    return (df.groupBy(*keys).agg(F.max(ranking).alias("_row"))
             .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
             .select(*df.columns))
 

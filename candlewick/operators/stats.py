@@ -365,7 +365,8 @@ def rolling_corr(long: DataFrame, benchmark: str, window: int = 30,
         raise ValueError("chunk_rows must exceed the window")
     v = materialize(long.select(F.col(date).alias("_d"), F.col(symbol).alias("_s"),
                                 F.col(value).cast("double").alias("_v")))
-    grid_dates = row_index(v.select("_d").distinct(), [], ["_d"], name="_g")
+    # the grid index (one row per date) is read by four branches: once
+    grid_dates = materialize(row_index(v.select("_d").distinct(), [], ["_d"], name="_g"))
     vg = v.join(grid_dates, "_d")
     bench = vg.where(F.col("_s") == benchmark).select("_g", F.col("_v").alias("_y"))
     others = vg.where(F.col("_s") != benchmark).select("_s", "_g", F.col("_v").alias("_x"))
