@@ -151,3 +151,15 @@ def dim_date_latest(dim_date: DataFrame, k: int = 5) -> DataFrame:
                             F.when(F.col("is_weekend"), "Yes").otherwise("No").alias("is_weekend"),
                             "season")
             .orderBy(F.desc("date")).limit(k))
+
+
+class EmptyResult(LookupError):
+    """A serving query found no rows (e.g. an unknown asset id)."""
+
+
+def require_rows(df: DataFrame, what: str = "result") -> DataFrame:
+    """Stop early on an empty result (one cheap ``isEmpty`` probe that
+    reads at most one row), returning ``df`` unchanged otherwise."""
+    if df.isEmpty():
+        raise EmptyResult(f"no rows for {what}")
+    return df

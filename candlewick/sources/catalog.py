@@ -57,14 +57,13 @@ def list_tables(spark: SparkSession) -> DataFrame:
 def find_database(spark: SparkSession, table: str) -> str | None:
     """First database (by name) that holds ``table``; None if none does."""
     for db in sorted(d.name for d in spark.catalog.listDatabases()):
-        if spark.catalog.tableExists(table, db):
+        if spark.catalog.tableExists(f"`{db}`.`{table}`"):
             return db
     return None
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
-    db, _, tbl = name.rpartition(".")
-    return spark.catalog.tableExists(tbl, db) if db else spark.catalog.tableExists(tbl)
+    return spark.catalog.tableExists(name)
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
