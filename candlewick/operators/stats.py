@@ -33,7 +33,10 @@ from candlewick.sources.spine import CALENDAR_MAX_ROWS
 STAT_DIGITS = 4
 CORR_DIGITS = 6
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
-QUANTILE_BINS = 1 << 14
+# Quantile bins per key: about VALUES_PER_BIN values each, at most
+# QUANTILE_BINS — small groups get few bins, a hot key at most 2^20.
+QUANTILE_BINS = 1 << 20
+VALUES_PER_BIN = 256
 
 
 # --------------------------------------------------------------------------
@@ -74,23 +77,24 @@ def returns_pivot(long: DataFrame, symbols: Sequence[str] | None = None,
 # exact quantiles and describe
 # --------------------------------------------------------------------------
 
-def _bin_of(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+def _bin_of(v: Column, lo: Column, hi: Column, bins) -> Column:
     """Equal-width bin in [0, bins); monotone in v because every IEEE
-    operation used is monotone."""
-    return F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(bins))),
-                                   F.lit(bins - 1))).otherwise(F.lit(0)).cast("long")
+    operation used is monotone.  ``bins`` is an int or a per-row Column."""
+    nb = bins if isinstance(bins, Column) else F.lit(bins)
+    return F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * nb.cast("double")),
+                                   nb - 1)).otherwise(F.lit(0)).cast("long")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     keys: Sequence[str] = (), bins: int = QUANTILE_BINS,
-                    checkpoint: bool = True) -> DataFrame:
+                    checkpoint: bool = True, values_per_bin: int = VALUES_PER_BIN) -> DataFrame:
     """Per key: ``q_<i>`` = the ``probs[i]`` quantile of ``value`` with
     linear interpolation between closest ranks (numpy/pandas 'linear',
     DuckDB quantile_cont).  NULL/NaN values are ignored; keys must not be
-    NULL."""
+    NULL.  ``bins`` caps the number of value bins per key."""
     if not keys:
         return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"],
-                               bins, checkpoint).drop("_all")
+                               bins, checkpoint, values_per_bin).drop("_all")
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -98,8 +102,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         base = materialize(base)
     st = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
                                  F.max("_v").alias("_hi"))
+    st = st.withColumn("_nb", F.least(F.lit(bins).cast("long"), F.greatest(
+        F.lit(1).cast("long"), F.ceil(F.col("_n") / F.lit(values_per_bin)))))
     binned = base.join(st, keys)
-    binned = binned.withColumn("_bin", _bin_of(F.col("_v"), F.col("_lo"), F.col("_hi"), bins))
+    binned = binned.withColumn("_bin", _bin_of(F.col("_v"), F.col("_lo"), F.col("_hi"),
+                                               F.col("_nb")))
     hist = binned.groupBy(*keys, "_bin").agg(
         F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
     before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Provenance of derived bars and the dirt-injection rules.
@@ -52,17 +52,34 @@ def _fmt_ts(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+# A line is ordered by (order key, line number); the pair is
+# packed into one long (line numbers stay below 2^20, order keys below 2^43).
+LINE_NUMBER_BITS = 20
+
+
+def _line_bars(li: DataFrame, asset: Column) -> DataFrame:
+    """OHLC per (asset, ship day): open/close = price of the first/last line
+    in (order key, line number, price) order, high/low = max/min price.
+
+    Two hash aggregations with primitive buffers: lines sharing an
+    (order, line number) pair are first collapsed to their min/max price,
+    after which the packed line key is unique per day and ``min_by`` /
+    ``max_by`` on it are exact.  (A struct ordering would force a
+    sort-based aggregate.)"""
+    per_line = (li.groupBy(asset.alias("_a"), F.to_date("l_shipdate").alias("_d"),
+                           "l_orderkey", "l_linenumber")
+                .agg(F.min("l_extendedprice").alias("_pmin"),
+                     F.max("l_extendedprice").alias("_pmax")))
+    line = F.shiftleft(F.col("l_orderkey"), LINE_NUMBER_BITS) + F.col("l_linenumber")
+    return (per_line.groupBy("_a", "_d")
+            .agg(F.min_by("_pmin", line).alias("open"), F.max("_pmax").alias("high"),
+                 F.min("_pmin").alias("low"), F.max_by("_pmax", line).alias("close")))
+
+
 def bars(t: Tables) -> DataFrame:
-    li = t.lineitem
-    line_order = F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
-    day = F.to_date("l_shipdate")
-    return (li.groupBy(F.col("l_returnflag").alias("coin_id"), day.alias("_d"))
-            .agg(F.min_by("l_extendedprice", line_order).alias("open"),
-                 F.max("l_extendedprice").alias("high"),
-                 F.min("l_extendedprice").alias("low"),
-                 F.max_by("l_extendedprice", line_order).alias("close"))
+    return (_line_bars(t.lineitem, F.col("l_returnflag"))
             .select(F.date_format("_d", "yyyy-MM-dd").alias("date"),
-                    "open", "high", "low", "close", "coin_id",
+                    "open", "high", "low", "close", F.col("_a").alias("coin_id"),
                     F.lit(BARS_SOURCE).alias("source"),
                     F.lit(BARS_EXTRACTED_AT).alias("extracted_at")))
 
@@ -192,16 +209,10 @@ def csv_layout_of():
 def bars_by_supplier(t: Tables) -> DataFrame:
     """Many-asset bars: one per (supplier, ship date) from ``lineitem``
     (1,000 assets at sf0.1), to show operators spreading over assets."""
-    li = t.lineitem
-    line_order = F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
-    return (li.groupBy(F.col("l_suppkey").alias("_k"), F.to_date("l_shipdate").alias("_d"))
-            .agg(F.min_by("l_extendedprice", line_order).alias("open"),
-                 F.max("l_extendedprice").alias("high"),
-                 F.min("l_extendedprice").alias("low"),
-                 F.max_by("l_extendedprice", line_order).alias("close"))
+    return (_line_bars(t.lineitem, F.col("l_suppkey"))
             .select(F.date_format("_d", "yyyy-MM-dd").alias("date"),
                     "open", "high", "low", "close",
-                    F.concat(F.lit("S"), F.col("_k").cast("string")).alias("coin_id"),
+                    F.concat(F.lit("S"), F.col("_a").cast("string")).alias("coin_id"),
                     F.lit(BARS_SOURCE).alias("source"),
                     F.lit(BARS_EXTRACTED_AT).alias("extracted_at")))
 

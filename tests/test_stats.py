@@ -22,11 +22,13 @@ def values(spark):
     return spark.createDataFrame(rows, "k string, v double")
 
 
-@pytest.mark.parametrize("bins", [1, 4, 1 << 14])
-def test_exact_quantiles_match_numpy(values, bins):
+@pytest.mark.parametrize("bins,per_bin", [(1, 256), (4, 1), (1 << 14, 1), (1 << 14, 8),
+                                          (1 << 20, 256)])
+def test_exact_quantiles_match_numpy(values, bins, per_bin):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {r["k"]: [r[f"q_{i}"] for i in range(len(probs))]
-           for r in stats.exact_quantiles(values, "v", probs, ["k"], bins).collect()}
+           for r in stats.exact_quantiles(values, "v", probs, ["k"], bins,
+                                          values_per_bin=per_bin).collect()}
     pdf = values.toPandas().dropna()
     for k, g in pdf.groupby("k"):
         want = np.quantile(g["v"].to_numpy(), probs, method="linear")
