@@ -10,6 +10,7 @@ recomputes from the last written table.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -51,23 +52,36 @@ def run_batch(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
     cfg = cfg or BatchConfig()
     run_ts = run_ts or utc_stamp()
     s, g = cfg.silver_db, cfg.gold_db
+    steps: dict[str, float] = {}
+    clock = [time.perf_counter()]
+
+    def lap(name: str) -> None:
+        now = time.perf_counter()
+        steps[name] = round(now - clock[0], 3)
+        clock[0] = now
+
     for db in (s, g):
         catalog.ensure_database(spark, db, f"{cfg.location}/{db}.db" if cfg.location else None)
 
-    # 1-2: bronze -> silver
+    # 1: bronze -> silver bars
     bars, report = csv_bars.read_bars_csv(spark, files, run_ts, cfg.strict_dates)
-    if metadata is None or isinstance(metadata, Sequence):
-        metadata = literal.metadata_rows(spark, metadata or literal.DEFAULT_ASSETS, run_ts)
     catalog.write_table(bars, f"{s}.ohlcv", sort_within=["coin_id", "date"],
                         location=cfg.location)
+    lap("load_ohlcv")
+
+    # 2: metadata
+    if metadata is None or isinstance(metadata, Sequence):
+        metadata = literal.metadata_rows(spark, metadata or literal.DEFAULT_ASSETS, run_ts)
     catalog.write_table(metadata, f"{s}.coin_metadata", location=cfg.location)
-    silver = spark.table(f"{s}.ohlcv")
-    meta = spark.table(f"{s}.coin_metadata")
+    lap("load_metadata")
 
     # 3: gate
+    silver = spark.table(f"{s}.ohlcv")
+    meta = spark.table(f"{s}.coin_metadata")
     gate = quality.enforce(quality.combine(
         quality.min_rows(silver, MIN_SILVER_ROWS, f"{s}.ohlcv"),
         quality.min_rows(meta, MIN_METADATA_ROWS, f"{s}.coin_metadata")))
+    lap("verify_silver")
 
     # 4: models
     staged = stage_prices(silver)
@@ -88,14 +102,17 @@ def run_batch(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
     catalog.write_table(fact.repartitionByRange("coin_sk", "date_id"),
                         f"{g}.fact_price_ohlcv", sort_within=["coin_sk", "date_id"],
                         location=cfg.location)
+    lap("build_models")
 
     # 5: tests
     fact_t = spark.table(f"{g}.fact_price_ohlcv")
     checks = quality.enforce(quality.star_checks(fact_t, dim_asset_t, dim_date_t))
+    lap("run_tests")
     return {
         "report": report.collect(),
         "gate": gate,
         "checks": checks,
+        "steps": steps,
         "tables": {name: spark.table(name) for name in (
             f"{s}.ohlcv", f"{s}.coin_metadata", f"{s}.int_price_enriched",
             f"{g}.dim_coin", f"{g}.dim_date", f"{g}.fact_price_ohlcv")},
