@@ -37,6 +37,8 @@ DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 # QUANTILE_BINS — small groups get few bins, a hot key at most 2^20.
 QUANTILE_BINS = 1 << 20
 VALUES_PER_BIN = 256
+# Values are summed exactly at 1e-10 resolution (|value| < 1e27).
+MEAN_DECIMAL = "decimal(38,10)"
 
 
 # --------------------------------------------------------------------------
@@ -170,15 +172,19 @@ def describe(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
         for c in columns])).alias("_kv")).select(*keys, "_kv.column", "_kv.value")
     long = materialize(long.where(F.col("value").isNotNull() & ~F.isnan("value")))
+    # the mean comes from an exact decimal sum, rounded half-up in decimal:
+    # independent of summation order (partitioning), so a mean that lies on
+    # a rounding tie rounds the same way on every run and every cluster
+    exact_mean = F.round(F.avg(F.col("value").cast(MEAN_DECIMAL)), digits).cast("double")
     moments = long.groupBy(*keys, "column").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
+        F.count(F.lit(1)).alias("count"), exact_mean.alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
     qs = exact_quantiles(long, "value", DESCRIBE_PROBS, [*keys, "column"], bins,
                          checkpoint=False)
     r = lambda c: round_away(F.col(c), digits)
     return (moments.join(qs, [*keys, "column"], "left")
-            .select(*keys, "column", "count", r("mean").alias("mean"), r("std").alias("std"),
+            .select(*keys, "column", "count", "mean", r("std").alias("std"),
                     r("min").alias("min"), r("q_0").alias("p25"), r("q_1").alias("p50"),
                     r("q_2").alias("p75"), r("max").alias("max")))
 

@@ -379,7 +379,7 @@ def _dq(fn):
 
 register("dq_not_null", _DIRTY_STAR + """
 SELECT 'not_null' AS "check", 'fact_price_ohlcv' AS table_name, c AS column_name,
-       n AS failures, 'error' AS severity
+       CAST(n AS BIGINT) AS failures, 'error' AS severity
 FROM (SELECT count_if(price_sk IS NULL) AS price_sk, count_if(coin_sk IS NULL) AS coin_sk,
              count_if(date_id IS NULL) AS date_id, count_if(close_price IS NULL) AS close_price
       FROM fact) UNPIVOT (n FOR c IN (price_sk, coin_sk, date_id, close_price))""")(
@@ -421,7 +421,8 @@ FROM fact f WHERE f.coin_sk IS NOT NULL
 
 register("dq_min_rows", O.with_(O.BARS, O.BARS_DIRTY, O.META) + """
 SELECT 'min_rows' AS "check", 'silver.ohlcv' AS table_name, CAST(NULL AS VARCHAR) AS column_name,
-       CASE WHEN count(*) < 100 THEN 1 ELSE 0 END AS failures, 'error' AS severity FROM bars_dirty
+       CAST(CASE WHEN count(*) < 100 THEN 1 ELSE 0 END AS BIGINT) AS failures, 'error' AS severity
+FROM bars_dirty
 UNION ALL
 SELECT 'min_rows', 'silver.coin_metadata', NULL, CASE WHEN count(*) < 1 THEN 1 ELSE 0 END, 'error'
 FROM meta
@@ -435,8 +436,10 @@ SELECT 'min_rows', 'silver.coin_metadata', NULL, CASE WHEN count(*) < 100 THEN 1
                          quality.WARN)))
 
 register("dq_null_profile", O.with_(O.BARS, O.BARS_DIRTY) + """
-SELECT count(*) AS total, count_if(open IS NULL) AS null_open, count_if(close IS NULL) AS null_close,
-       count_if(high IS NULL) AS null_high, count_if(low IS NULL) AS null_low
+SELECT count(*) AS total, CAST(count_if(open IS NULL) AS BIGINT) AS null_open,
+       CAST(count_if(close IS NULL) AS BIGINT) AS null_close,
+       CAST(count_if(high IS NULL) AS BIGINT) AS null_high,
+       CAST(count_if(low IS NULL) AS BIGINT) AS null_low
 FROM bars_dirty""")(
     lambda spark, sf: quality.null_profile(fixtures.bars_dirty(_tables(spark, sf)),
                                            ["open", "close", "high", "low"]))
@@ -462,12 +465,25 @@ pv AS (SELECT d.date, dc.symbol, f.open_price, f.high_price, f.low_price, f.clos
 pl AS (""" + " UNION ALL ".join(
     f"SELECT symbol, '{c}' AS measure, {c} AS value FROM pv" for c in PRICE_COLUMNS) + ")"
 
-register("price_stats", O.STAR.rstrip() + "," + _PV + """
-SELECT symbol, measure, count(value) AS count, round(avg(value), 4) AS mean,
-       round(stddev_samp(value), 4) AS std, round(min(value), 4) AS min,
-       round(quantile_cont(value, 0.25), 4) AS p25, round(quantile_cont(value, 0.5), 4) AS p50,
-       round(quantile_cont(value, 0.75), 4) AS p75, round(max(value), 4) AS max
-FROM pl WHERE value IS NOT NULL GROUP BY symbol, measure""")(
+_EXACT_MEAN = """CAST(CASE WHEN sum_units >= 0
+             THEN (2 * sum_units + n * 1000000) // (2 * n * 1000000)
+             ELSE -((2 * (-sum_units) + n * 1000000) // (2 * n * 1000000)) END AS DOUBLE) / 10000.0"""
+
+
+def _stats_sql(star_sql: str) -> str:
+    """Describe per (symbol, measure); the mean is exact (integer sum in
+    1e-10 units, half-away-from-zero division), like the Spark side."""
+    return star_sql.rstrip() + "," + _PV + f"""
+SELECT symbol, measure, n AS count, {_EXACT_MEAN} AS mean, std, min, p25, p50, p75, max FROM (
+  SELECT symbol, measure, count(value) AS n,
+         sum(CAST(CAST(value AS DECIMAL(38,10)) * 10000000000 AS HUGEINT)) AS sum_units,
+         round(stddev_samp(value), 4) AS std, round(min(value), 4) AS min,
+         round(quantile_cont(value, 0.25), 4) AS p25, round(quantile_cont(value, 0.5), 4) AS p50,
+         round(quantile_cont(value, 0.75), 4) AS p75, round(max(value), 4) AS max
+  FROM pl WHERE value IS NOT NULL GROUP BY symbol, measure)"""
+
+
+register("price_stats", _stats_sql(O.STAR))(
     _wh(lambda w: stats.describe(serve.price_series(w.fact, w.dim_asset, w.dim_date),
                                  PRICE_COLUMNS, ["symbol"]).withColumnRenamed("column", "measure")))
 
@@ -607,12 +623,7 @@ GROUP BY c1.symbol, c2.symbol""")(
     lambda spark, sf: stats.corr_pairs(_supplier_warehouse(spark, sf).fact,
                                        _supplier_warehouse(spark, sf).dim_asset))
 
-register("supplier_price_stats", O.STAR_SUPPLIER.rstrip() + "," + _PV + """
-SELECT symbol, measure, count(value) AS count, round(avg(value), 4) AS mean,
-       round(stddev_samp(value), 4) AS std, round(min(value), 4) AS min,
-       round(quantile_cont(value, 0.25), 4) AS p25, round(quantile_cont(value, 0.5), 4) AS p50,
-       round(quantile_cont(value, 0.75), 4) AS p75, round(max(value), 4) AS max
-FROM pl WHERE value IS NOT NULL GROUP BY symbol, measure""")(
+register("supplier_price_stats", _stats_sql(O.STAR_SUPPLIER))(
     lambda spark, sf: (lambda w: stats.describe(
         serve.price_series(w.fact, w.dim_asset, w.dim_date), PRICE_COLUMNS, ["symbol"])
         .withColumnRenamed("column", "measure"))(_supplier_warehouse(spark, sf)))
