@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from candlewick.operators import clean, enrich, quality, serve, star, stats
 from candlewick.plans import oracle_sql as O
 from candlewick.plans.star_build import Warehouse, fixture_calendar, main_warehouse, sparse_warehouse
-from candlewick.session import scratch_path
+from candlewick.session import materialize, scratch_path
 from candlewick.sources import catalog, csv_bars, fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -377,6 +377,16 @@ def _dq(fn):
     return q
 
 
+def _dq_gold(fn):
+    """Checks that read the fact several times run on a checkpointed copy,
+    as they do on the written gold table in the batch."""
+    def q(spark, sf):
+        w = _dirty_warehouse(spark, sf)
+        w.fact = materialize(w.fact)
+        return fn(w)
+    return q
+
+
 register("dq_not_null", _DIRTY_STAR + """
 SELECT 'not_null' AS "check", 'fact_price_ohlcv' AS table_name, c AS column_name,
        CAST(n AS BIGINT) AS failures, 'error' AS severity
@@ -412,7 +422,7 @@ UNION ALL
 SELECT 'relationships', 'fact_price_ohlcv', 'coin_sk', count(*), 'warn'
 FROM fact f WHERE f.coin_sk IS NOT NULL
   AND f.coin_sk NOT IN (SELECT coin_sk FROM dim_coin WHERE coin_id <> 'R')""")(
-    _dq(lambda w: quality.combine(
+    _dq_gold(lambda w: quality.combine(
         quality.relationships(w.fact, "coin_sk", w.dim_asset, "coin_sk", "fact_price_ohlcv"),
         quality.relationships(w.fact, "date_id", w.dim_date, "date_id", "fact_price_ohlcv"),
         # against a dimension missing one asset: every fact row of it is an orphan
@@ -449,8 +459,30 @@ SELECT count(*) - count(DISTINCT coin_sk || '-' || CAST(date_id AS VARCHAR)) AS
 FROM fact""")(
     _dq(lambda w: quality.duplicate_pairs(w.fact, "coin_sk", "date_id")))
 
-register("dq_star_checks", None)(
-    _dq(lambda w: quality.star_checks(w.fact, w.dim_asset, w.dim_date)))
+def _nn(table: str, col: str, label: str) -> str:
+    return (f"SELECT 'not_null' AS \"check\", '{label}' AS table_name, '{col}' AS column_name, "
+            f"CAST(count_if({col} IS NULL) AS BIGINT) AS failures, 'error' AS severity FROM {table}")
+
+
+def _uq(table: str, col: str, label: str) -> str:
+    return (f"SELECT 'unique', '{label}', '{col}', count(*), 'error' FROM (SELECT {col} FROM {table} "
+            f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)")
+
+
+def _rel(col: str, parent: str) -> str:
+    return (f"SELECT 'relationships', 'fact_price_ohlcv', '{col}', count(*), 'warn' FROM fact "
+            f"WHERE {col} IS NOT NULL AND {col} NOT IN (SELECT {col} FROM {parent})")
+
+
+register("dq_star_checks", _DIRTY_STAR + "\nUNION ALL\n".join([
+    _nn("fact", "price_sk", "fact_price_ohlcv"), _nn("fact", "coin_sk", "fact_price_ohlcv"),
+    _nn("fact", "date_id", "fact_price_ohlcv"), _nn("fact", "close_price", "fact_price_ohlcv"),
+    _uq("fact", "price_sk", "fact_price_ohlcv"),
+    _rel("coin_sk", "dim_coin"), _rel("date_id", "dim_date"),
+    _nn("dim_coin", "coin_sk", "dim_coin"), _nn("dim_coin", "coin_id", "dim_coin"),
+    _uq("dim_coin", "coin_sk", "dim_coin"), _uq("dim_coin", "coin_id", "dim_coin"),
+    _nn("dim_date", "date_id", "dim_date"), _uq("dim_date", "date_id", "dim_date")]))(
+    _dq_gold(lambda w: quality.star_checks(w.fact, w.dim_asset, w.dim_date)))
 
 
 # --------------------------------------------------------------------------
@@ -627,3 +659,9 @@ register("supplier_price_stats", _stats_sql(O.STAR_SUPPLIER))(
     lambda spark, sf: (lambda w: stats.describe(
         serve.price_series(w.fact, w.dim_asset, w.dim_date), PRICE_COLUMNS, ["symbol"])
         .withColumnRenamed("column", "measure"))(_supplier_warehouse(spark, sf)))
+
+
+register("part_enriched", ts(O.with_(O.BARS_PART, O.stg("bars_part"), O.enriched("stg"))
+                             + "SELECT * FROM enriched", "price_date"))(
+    lambda spark, sf: enrich.enrich(clean.stage_prices(
+        fixtures.bars_by_part(_tables(spark, sf)))))

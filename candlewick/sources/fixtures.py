@@ -227,3 +227,14 @@ def supplier_meta(t: Tables) -> DataFrame:
                     F.lit(None).cast("string").alias("genesis_date"),
                     F.lit(None).cast("string").alias("hashing_algorithm"),
                     F.lit(BARS_EXTRACTED_AT).alias("extracted_at"))
+
+
+def bars_by_part(t: Tables) -> DataFrame:
+    """Very many assets: one bar per (part, ship date) from ``lineitem``
+    (20,000 assets at sf0.1, about 30 bars each)."""
+    return (_line_bars(t.lineitem, F.col("l_partkey"))
+            .select(F.date_format("_d", "yyyy-MM-dd").alias("date"),
+                    "open", "high", "low", "close",
+                    F.concat(F.lit("P"), F.col("_a").cast("string")).alias("coin_id"),
+                    F.lit(BARS_SOURCE).alias("source"),
+                    F.lit(BARS_EXTRACTED_AT).alias("extracted_at")))
