@@ -26,10 +26,13 @@ _B, _R, _G, _C, _HOME = "_cw_bucket", "_cw_local", "_cw_index", "_cw_chunk", "_c
 
 def time_bucket(order_col: str, dtype: T.DataType) -> Column:
     """A coarse, order-preserving slice of the order column: the month for
-    dates/timestamps, blocks of 4096 for integral columns."""
+    dates (daily bars), the day for timestamps (intraday bars), blocks of
+    4096 for integral columns."""
     c = F.col(order_col)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.DateType):
         return F.year(c) * 12 + F.month(c)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_date(F.to_date(c)).cast("long")
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return F.floor(c / F.lit(4096))
     return F.floor(c.cast("double"))

@@ -40,24 +40,25 @@ def coerce_stream(raw: DataFrame, header: Sequence[str], asset: str, run_ts: str
 def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
     """Upsert one micro-batch into the silver parquet folder by key.
 
-    Only the dates touched by the batch are rewritten: existing rows of
-    those (asset, date) keys are replaced, everything else is kept."""
+    Silver is partitioned by (asset, month); only the months a batch
+    touches are rewritten (dynamic partition overwrite), so a late file for
+    a hot asset rewrites one month, not the asset's whole history.
+    Existing rows of the batch's (asset, date) keys are replaced."""
     spark = batch.sparkSession
-    fresh = dedup(batch, ["coin_id", "date"])
+    fresh = dedup(batch, ["coin_id", "date"]).withColumn("month", F.substring("date", 1, 7))
     try:
         current = spark.read.parquet(silver_path)
     except Exception:  # noqa: BLE001 — first batch: nothing stored yet
-        fresh.write.mode("overwrite").partitionBy("coin_id").parquet(silver_path)
+        fresh.write.mode("overwrite").partitionBy("coin_id", "month").parquet(silver_path)
         return
-    keys = fresh.select("coin_id", "date")
-    touched = fresh.select("coin_id").distinct()
-    kept = (current.join(touched, "coin_id", "left_semi")
-            .join(keys, ["coin_id", "date"], "left_anti"))
-    merged = kept.unionByName(fresh)
+    touched = fresh.select("coin_id", "month").distinct()
+    kept = (current.join(touched, ["coin_id", "month"], "left_semi")
+            .join(fresh.select("coin_id", "date"), ["coin_id", "date"], "left_anti"))
     staged = silver_path.rstrip("/") + "__batch"
-    merged.write.mode("overwrite").partitionBy("coin_id").parquet(staged)
+    kept.unionByName(fresh).write.mode("overwrite").partitionBy("coin_id", "month").parquet(staged)
     (spark.read.parquet(staged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("coin_id").parquet(silver_path))
+     .option("partitionOverwriteMode", "dynamic").partitionBy("coin_id", "month")
+     .parquet(silver_path))
 
 
 def stream_bars_csv(spark: SparkSession, folder: str, header: Sequence[str], asset: str,

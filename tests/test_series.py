@@ -55,3 +55,18 @@ def test_result_independent_of_partitioning(skewed):
     a = series_window(skewed.repartition(1), ["k"], ["t"], 4, _cols, chunk_rows=16)
     b = series_window(skewed.repartition(7, "t"), ["k"], ["t"], 4, _cols, chunk_rows=16)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_chunked_windows_over_timestamps(spark):
+    import datetime as dt
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(minutes=rnd.randrange(60 * 24 * 5)), rnd.random())
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double").dropDuplicates(["k", "t"])
+    plain = sorted(series_window(df, ["k"], ["t"], 4, _cols, chunk_rows=None).collect())
+    chunked = sorted(series_window(df, ["k"], ["t"], 4, _cols, chunk_rows=7).collect())
+    assert len(plain) == len(chunked) == df.count()
+    for a, b in zip(plain, chunked):
+        assert (a["t"], a["lag1"], a["n5"]) == (b["t"], b["lag1"], b["n5"])
+        assert a["ma3"] == pytest.approx(b["ma3"], abs=1e-12)

@@ -32,3 +32,21 @@ def test_stream_upserts_by_key(spark, tmp_path):
     out = {r["date"]: r["open"] for r in spark.read.parquet(silver).collect()}
     assert len(out) == 8
     assert out["2020-01-01"] == 10.0 and out["2020-01-04"] == 20.0 and out["2020-01-08"] == 20.0
+
+
+def test_stream_rewrites_only_touched_months(spark, tmp_path):
+    src = tmp_path / "incoming"
+    silver = scratch_path(spark, "stream-silver-m")
+    ckpt = scratch_path(spark, "stream-ckpt-m")
+    _file(src, "jan.csv", dt.date(2020, 1, 1), 31, 10.0)
+    q = stream_bars_csv(spark, str(src), HEADER, "btc", silver, ckpt,
+                        "2024-01-01T00:00:00Z", once=True)
+    q.awaitTermination(120)
+    _file(src, "feb.csv", dt.date(2020, 2, 1), 10, 30.0)
+    q = stream_bars_csv(spark, str(src), HEADER, "btc", silver, ckpt,
+                        "2024-01-02T00:00:00Z", once=True)
+    q.awaitTermination(120)
+    rows = spark.read.parquet(silver).collect()
+    assert len(rows) == 41
+    assert {r["month"] for r in rows} == {"2020-01", "2020-02"}
+    assert all(r["open"] == 10.0 for r in rows if r["month"] == "2020-01")
