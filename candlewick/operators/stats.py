@@ -75,6 +75,15 @@ def returns_pivot(long: DataFrame, symbols: Sequence[str] | None = None,
     return long.groupBy(date).pivot(symbol, symbols).agg(one.cast("double"))
 
 
+def returns_unpivot(wide: DataFrame, date: str = "date", symbol: str = "symbol",
+                    value: str = "daily_return_pct") -> DataFrame:
+    """Wide date x symbol table back to long (date, symbol, value), keeping
+    present values only."""
+    cols = [c for c in wide.columns if c != date]
+    return (wide.unpivot([date], cols, symbol, value)
+            .where(F.col(value).isNotNull()))
+
+
 # --------------------------------------------------------------------------
 # exact quantiles and describe
 # --------------------------------------------------------------------------

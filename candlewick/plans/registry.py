@@ -550,6 +550,10 @@ register("returns_pivot", _SPARSE_RL + "SELECT date, " + ", ".join(
     + " FROM rl GROUP BY date")(
     _sparse(lambda w: stats.returns_pivot(stats.returns_long(w.fact, w.dim_asset, w.dim_date))))
 
+register("returns_unpivot", _SPARSE_RL + "SELECT * FROM rl")(
+    _sparse(lambda w: stats.returns_unpivot(
+        stats.returns_pivot(stats.returns_long(w.fact, w.dim_asset, w.dim_date)))))
+
 _CORR_CELLS = ("SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, round("
                + _nan_null("corr(a.daily_return_pct, b.daily_return_pct)") + ", 6) AS corr "
                "FROM rl a JOIN rl b ON a.date = b.date GROUP BY a.symbol, b.symbol")
@@ -620,7 +624,7 @@ _DATE_COLUMNS = {
     "src_date_spine": ["date"], "dim_date": ["date"], "dim_date_latest": ["date"],
     "kpi_latest_date": ["latest_date"], "price_view": ["date"], "price_month_slice": ["date"],
     "returns_long": ["date"], "coverage_by_asset": ["first_date", "last_date"],
-    "returns_pivot": ["date"], "rolling_corr": ["date"], "rolling_corr_small_chunks": ["date"],
+    "returns_pivot": ["date"], "returns_unpivot": ["date"], "rolling_corr": ["date"], "rolling_corr_small_chunks": ["date"],
     **{k: ["price_date"] for k in (
         "clean_prices", "flag_null_price", "flag_invalid_bar", "filter_valid_bars",
         "daily_range", "daily_return", "price_change", "moving_avg_7", "moving_avg_30",
