@@ -3,9 +3,9 @@ correlation matrix / pairs and rolling correlation against a benchmark.
 
 Scale notes
 * Quantiles are exact (linear interpolation) but never buffer a whole
-  group in one task: values are counted into equal-width bins, the bins
-  holding the wanted ranks are located from the (small) bin table, and
-  only those bins are sorted.
+  group in one task: an approximate sketch brackets each wanted rank,
+  exact counts place the rank inside the bracket, and only the few values
+  strictly inside a bracket are sorted.
 * The correlation matrix never joins a date with itself to emit all asset
   pairs.  Assets are cut into blocks and dates into chunks; each task gets
   the rows of one (date chunk, block pair) and turns them into the six
@@ -33,10 +33,9 @@ from candlewick.sources.spine import CALENDAR_MAX_ROWS
 STAT_DIGITS = 4
 CORR_DIGITS = 6
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
-# Quantile bins per key: about VALUES_PER_BIN values each, at most
-# QUANTILE_BINS — small groups get few bins, a hot key at most 2^20.
-QUANTILE_BINS = 1 << 20
-VALUES_PER_BIN = 256
+# Sketch accuracy for exact quantiles: at most ~8 * n / QUANTILE_ACCURACY
+# values of a group are ever sorted together.
+QUANTILE_ACCURACY = 10_000
 # Values are summed exactly at 1e-10 resolution (|value| < 1e27).
 MEAN_DECIMAL = "decimal(38,10)"
 
@@ -97,83 +96,91 @@ def _bin_of(v: Column, lo: Column, hi: Column, bins) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    keys: Sequence[str] = (), bins: int = QUANTILE_BINS,
-                    checkpoint: bool = True, values_per_bin: int = VALUES_PER_BIN) -> DataFrame:
+                    keys: Sequence[str] = (), accuracy: int = QUANTILE_ACCURACY,
+                    checkpoint: bool = True) -> DataFrame:
     """Per key: ``q_<i>`` = the ``probs[i]`` quantile of ``value`` with
     linear interpolation between closest ranks (numpy/pandas 'linear',
     DuckDB quantile_cont).  NULL/NaN values are ignored; keys must not be
-    NULL.  ``bins`` caps the number of value bins per key."""
+    NULL.
+
+    Approximate, then exact: a ``percentile_approx`` sketch (bounded
+    memory, merged map-side) brackets every wanted rank between two values
+    L and U at p -/+ 4/accuracy.  One pass counts the values below L, equal
+    to L and equal to U; only values strictly between L and U are sorted —
+    at most about 8 * n / accuracy of them, whatever the distribution
+    (duplicates at the bracket edges are counted, not sorted).  A key with
+    n <= accuracy uses [min, max] as bracket (at most ``accuracy`` values).
+    A bracket that misses its rank raises instead of answering wrongly.
+    """
     if not keys:
         return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"],
-                               bins, checkpoint, values_per_bin).drop("_all")
-    keys = list(keys)
+                               accuracy, checkpoint).drop("_all")
+    keys, probs = list(keys), list(probs)
+    k = len(probs)
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     if checkpoint:
         base = materialize(base)
-    st = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
-                                 F.max("_v").alias("_hi"))
-    st = st.withColumn("_nb", F.least(F.lit(bins).cast("long"), F.greatest(
-        F.lit(1).cast("long"), F.ceil(F.col("_n") / F.lit(values_per_bin)))))
-    binned = base.join(st, keys)
-    binned = binned.withColumn("_bin", _bin_of(F.col("_v"), F.col("_lo"), F.col("_hi"),
-                                               F.col("_nb")))
-    hist = binned.groupBy(*keys, "_bin").agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
-    before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    cum = hist.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-
-    # wanted 0-based ranks: floor and ceil of h = (n - 1) * p
-    wanted = st.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_p"), ((F.col("_n") - 1) * F.lit(float(p))).alias("_h"))
-        for i, p in enumerate(probs)])).alias("_t")).select(*keys, "_t._p", "_t._h")
-    ranks = wanted.select(*keys, "_p", "_h", F.explode(F.array(
+    eps = 4.0 / accuracy
+    edges = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
+    st = base.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+        F.percentile_approx("_v", edges, accuracy).alias("_ap"))
+    small = F.col("_n") <= accuracy
+    brackets = st.select(*keys, "_n", F.array(*[F.struct(
+        F.lit(i).alias("i"),
+        F.when(small, F.col("_lo")).otherwise(F.col("_ap")[i]).alias("L"),
+        F.when(small, F.col("_hi")).otherwise(F.col("_ap")[k + i]).alias("U"),
+        ((F.col("_n") - 1) * F.lit(float(p))).alias("h")) for i, p in enumerate(probs)])
+        .alias("_br"))
+    rows = base.join(brackets, keys)
+    v = F.col("_v")
+    br = lambda i: F.col("_br")[i]
+    counts = rows.groupBy(*keys).agg(*[
+        agg for i in range(k) for agg in (
+            F.count_if(v < br(i)["L"]).alias(f"_below{i}"),
+            F.count_if(v == br(i)["L"]).alias(f"_eql{i}"),
+            F.count_if((v > br(i)["L"]) & (v < br(i)["U"])).alias(f"_mid{i}"),
+            F.count_if((v == br(i)["U"]) & (br(i)["U"] != br(i)["L"])).alias(f"_equ{i}"))])
+    # values strictly inside a bracket, numbered per (key, quantile)
+    inside = rows.select(*keys, v, F.explode(F.filter(
+        "_br", lambda b: (b["L"] < F.col("_v")) & (F.col("_v") < b["U"]))).alias("_b"))
+    ranked = inside.select(*keys, F.col("_b.i").alias("_i"), v).withColumn(
+        "_lr", F.row_number().over(Window.partitionBy(*keys, "_i").orderBy("_v")) - 1)
+    # wanted 0-based ranks floor(h) and ceil(h), located in the bracket
+    wanted = brackets.select(*keys, F.explode("_br").alias("_b")).select(
+        *keys, F.col("_b.i").alias("_i"), F.col("_b.L").alias("_L"), F.col("_b.U").alias("_U"),
+        F.col("_b.h").alias("_h"))
+    wanted = wanted.select("*", F.explode(F.array(
         F.floor("_h").cast("long"), F.ceil("_h").cast("long"))).alias("_r")).distinct()
-
-    # as-of lookup of the bin holding each rank: bins and ranks in one
-    # ordered stream per key, last bin at or before the rank
-    marks = cum.select(*keys, F.col("_before").alias("_pos"), F.lit(0).alias("_kind"), "_bin",
-                       "_before", "_c", "_bmin", "_bmax",
-                       F.lit(None).cast("int").alias("_p"), F.lit(None).cast("double").alias("_h"))
-    asks = ranks.select(*keys, F.col("_r").alias("_pos"), F.lit(1).alias("_kind"),
-                        F.lit(None).cast("long").alias("_bin"), F.lit(None).cast("long").alias("_before"),
-                        F.lit(None).cast("long").alias("_c"), F.lit(None).cast("double").alias("_bmin"),
-                        F.lit(None).cast("double").alias("_bmax"), "_p", "_h")
-    upto = Window.partitionBy(*keys).orderBy("_pos", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    located = (marks.unionByName(asks)
-               .select(*keys, "_pos", "_kind", "_p", "_h",
-                       *[F.last(c, ignorenulls=True).over(upto).alias(c)
-                         for c in ("_bin", "_before", "_bmin", "_bmax")])
-               .where(F.col("_kind") == 1)
-               .select(*keys, "_p", "_h", F.col("_pos").alias("_r"), "_bin",
-                       (F.col("_pos") - F.col("_before")).alias("_lr"), "_bmin", "_bmax"))
-
-    # bins holding a single distinct value need no sort
-    flat = located.where(F.col("_bmin") == F.col("_bmax")).select(
-        *keys, "_p", "_h", "_r", F.col("_bmin").alias("_val"))
-    open_bins = located.where(F.col("_bmin") != F.col("_bmax"))
-    need = open_bins.select(*keys, "_bin").distinct()
-    picked = (binned.join(need, [*keys, "_bin"], "left_semi")
-              .withColumn("_lr", F.row_number().over(
-                  Window.partitionBy(*keys, "_bin").orderBy("_v")) - 1))
-    sorted_vals = (open_bins.join(picked.select(*keys, "_bin", "_lr", "_v"), [*keys, "_bin", "_lr"])
-                   .select(*keys, "_p", "_h", "_r", F.col("_v").alias("_val")))
-    vals = flat.unionByName(sorted_vals)
-
+    per = counts.select(*keys, F.explode(F.array(*[F.struct(
+        F.lit(i).alias("_i"), F.col(f"_below{i}").alias("_below"), F.col(f"_eql{i}").alias("_eql"),
+        F.col(f"_mid{i}").alias("_mid"), F.col(f"_equ{i}").alias("_equ")) for i in range(k)]))
+        .alias("_c")).select(*keys, "_c.*")
+    loc = wanted.join(per, [*keys, "_i"]).withColumn(
+        "_pos", F.col("_r") - F.col("_below") - F.col("_eql"))
+    in_mid = (F.col("_pos") >= 0) & (F.col("_pos") < F.col("_mid"))
+    loc = loc.withColumn("_lr", F.when(in_mid, F.col("_pos")))
+    found = loc.join(ranked, [*keys, "_i", "_lr"], "left")
+    val = (F.when(F.col("_r") < F.col("_below"),
+                  F.raise_error(F.lit("quantile bracket below the wanted rank")).cast("double"))
+           .when(F.col("_pos") < 0, F.col("_L"))
+           .when(in_mid, F.col("_v"))
+           .when(F.col("_pos") < F.col("_mid") + F.col("_equ"), F.col("_U"))
+           .otherwise(F.raise_error(F.lit("quantile bracket above the wanted rank"))
+                      .cast("double")))
+    vals = found.select(*keys, "_i", "_h", "_r", val.alias("_val"))
     lo_v = F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_val")))
     hi_v = F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_val")))
-    per_p = vals.groupBy(*keys, "_p").agg(
+    per_p = vals.groupBy(*keys, "_i").agg(
         (lo_v + (hi_v - lo_v) * (F.first("_h") - F.floor(F.first("_h")))).alias("_q"))
     out = per_p.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_p") == i, F.col("_q"))).alias(f"q_{i}") for i in range(len(probs))])
-    if keys:
-        # keys whose values are all NULL still get a row
-        out = st.select(*keys).join(out, keys, "left")
-    return out
+        F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q_{i}") for i in range(k)])
+    return st.select(*keys).join(out, keys, "left")
 
 
 def describe(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
-             digits: int = STAT_DIGITS, bins: int = QUANTILE_BINS) -> DataFrame:
+             digits: int = STAT_DIGITS, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
     """Summary statistics per key and column: count, mean, std (n-1),
     min, 25/50/75 % (exact, linear), max — rounded to ``digits``."""
     keys = list(keys)
@@ -189,7 +196,7 @@ def describe(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
         F.count(F.lit(1)).alias("count"), exact_mean.alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    qs = exact_quantiles(long, "value", DESCRIBE_PROBS, [*keys, "column"], bins,
+    qs = exact_quantiles(long, "value", DESCRIBE_PROBS, [*keys, "column"], accuracy,
                          checkpoint=False)
     r = lambda c: round_away(F.col(c), digits)
     return (moments.join(qs, [*keys, "column"], "left")
