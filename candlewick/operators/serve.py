@@ -80,6 +80,7 @@ def _asset_series(fact: DataFrame, dim_asset: DataFrame, dim_date: DataFrame, as
     if hi is not None:
         f = f.where(F.col("date_id") <= int(hi.strftime("%Y%m%d")))
         cal = cal.where(F.col("date") <= F.lit(hi))
+    # at most one row (the dimension holds one row per asset): a proven bound
     assets = dim_asset.where(F.col("coin_id") == asset_id).select("coin_sk", "symbol")
     return (f.join(F.broadcast(assets), "coin_sk")
             .join(broadcast_if_bounded(cal, CALENDAR_MAX_ROWS), "date_id")

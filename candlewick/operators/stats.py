@@ -292,7 +292,8 @@ def pair_moments(long: DataFrame, date: str, key: str, value: str,
                                 F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")))
     keys_t = v.groupBy("_k").agg(F.avg("_v").alias("_mu"))
-    # asset index and block layout: one small table, bounded by #assets
+    # asset index and block layout: a window over the one-row-per-asset
+    # table (bounded by the number of assets, never by the data)
     everyone = Window.partitionBy()
     keys_t = (keys_t.withColumn("_i", F.row_number().over(everyone.orderBy("_k")) - 1)
               .withColumn("_nk", F.count(F.lit(1)).over(everyone)))
@@ -400,7 +401,8 @@ def rolling_corr(long: DataFrame, benchmark: str, window: int = 30,
     bench = vg.where(F.col("_s") == benchmark).select("_g", F.col("_v").alias("_y"))
     others = vg.where(F.col("_s") != benchmark).select("_s", "_g", F.col("_v").alias("_x"))
 
-    # per symbol: grid size and whether the benchmark exists (small table)
+    # per symbol: grid size and whether the benchmark exists — a window over
+    # the one-row-per-symbol table (bounded by the number of assets)
     everyone = Window.partitionBy()
     syms = (vg.groupBy("_s").agg(F.max("_g").alias("_mg"))
             .withColumn("_G", F.max("_mg").over(everyone))
