@@ -348,11 +348,14 @@ def corr_matrix_long(long: DataFrame, date: str = "date", symbol: str = "symbol"
     """Full symmetric matrix in long form (symbol_a, symbol_b, corr), the
     diagonal included; pairwise-complete observations."""
     m = pair_moments(long, date, symbol, value, **kw)
-    half = m.select(F.col("key_a").alias("symbol_a"), F.col("key_b").alias("symbol_b"),
-                    corr_from_moments(m, digits).alias("corr"))
-    mirror = half.where(F.col("symbol_a") != F.col("symbol_b")).select(
-        F.col("symbol_b").alias("symbol_a"), F.col("symbol_a").alias("symbol_b"), "corr")
-    return half.unionByName(mirror)
+    r = corr_from_moments(m, digits)
+    a, b = F.col("key_a"), F.col("key_b")
+    # both orientations from one pass (a union would run the moments twice)
+    cells = F.when(a == b, F.array(F.struct(a.alias("symbol_a"), b.alias("symbol_b"))))
+    cells = cells.otherwise(F.array(F.struct(a.alias("symbol_a"), b.alias("symbol_b")),
+                                    F.struct(b.alias("symbol_a"), a.alias("symbol_b"))))
+    return (m.select(F.explode(cells).alias("_c"), r.alias("corr"))
+            .select("_c.symbol_a", "_c.symbol_b", "corr"))
 
 
 def corr_matrix_wide(long: DataFrame, symbols: Sequence[str] | None = None,
