@@ -91,7 +91,7 @@ def _bin_of(v: Column, lo: Column, hi: Column, bins) -> Column:
     """Equal-width bin in [0, bins); monotone in v because every IEEE
     operation used is monotone.  ``bins`` is an int or a per-row Column."""
     nb = bins if isinstance(bins, Column) else F.lit(bins)
-    return F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * nb.cast("double")),
+    return F.when(hi > lo, F.least(F.floor(F.try_divide(v - lo, hi - lo) * nb.cast("double")),
                                    nb - 1)).otherwise(F.lit(0)).cast("long")
 
 
@@ -328,13 +328,14 @@ def pair_moments(long: DataFrame, date: str, key: str, value: str,
 def corr_from_moments(m: DataFrame, digits: int = CORR_DIGITS) -> Column:
     """Pearson r from pair moments; NULL for n < 2 or a zero variance."""
     n = F.col("n").cast("double")
-    cov = F.col("_sxy") - F.col("_sx") * F.col("_sy") / n
-    vx = F.col("_sxx") - F.col("_sx") * F.col("_sx") / n
-    vy = F.col("_syy") - F.col("_sy") * F.col("_sy") / n
+    # try_divide: pairs that never share a date have n = 0 (ANSI-safe)
+    cov = F.col("_sxy") - F.try_divide(F.col("_sx") * F.col("_sy"), n)
+    vx = F.col("_sxx") - F.try_divide(F.col("_sx") * F.col("_sx"), n)
+    vy = F.col("_syy") - F.try_divide(F.col("_sy") * F.col("_sy"), n)
     # a flat series leaves only rounding noise in its centred variance
     flat_x = vx <= F.col("_sxx") * F.lit(1e-12)
     flat_y = vy <= F.col("_syy") * F.lit(1e-12)
-    raw = cov / F.sqrt(vx * vy)
+    raw = F.try_divide(cov, F.sqrt(vx * vy))
     # clamp rounding noise just outside [-1, 1] (inside the WHEN: least and
     # greatest skip NULLs and would turn an undefined r into 1.0)
     r = F.when((F.col("n") >= 2) & ~flat_x & ~flat_y,

@@ -128,3 +128,20 @@ def test_pivot_rejects_duplicates(spark):
                                "date string, symbol string, daily_return_pct double")
     with pytest.raises(Exception, match="duplicate"):
         stats.returns_pivot(df).collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_corr_matrix_disjoint_assets_ansi_safe(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        import datetime as dt
+        d0 = dt.date(2020, 1, 1)
+        rows = [(d0 + dt.timedelta(days=i), "A", float(i % 7)) for i in range(20)]
+        rows += [(d0 + dt.timedelta(days=100 + i), "B", float(i % 5)) for i in range(20)]
+        df = spark.createDataFrame(rows, "date date, symbol string, daily_return_pct double")
+        got = {(r["symbol_a"], r["symbol_b"]): r["corr"]
+               for r in stats.corr_matrix_long(df).collect()}
+        assert got[("A", "B")] is None and got[("B", "A")] is None
+        assert got[("A", "A")] == 1.0
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
