@@ -70,3 +70,26 @@ def test_chunked_windows_over_timestamps(spark):
     for a, b in zip(plain, chunked):
         assert (a["t"], a["lag1"], a["n5"]) == (b["t"], b["lag1"], b["n5"])
         assert a["ma3"] == pytest.approx(b["ma3"], abs=1e-12)
+
+
+def test_hot_key_is_spread_over_many_tasks(spark):
+    """One asset holding all rows: the plain window puts it in one partition,
+    the chunked window spreads it over many (16 chunks of 250 rows)."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.range(4000).select(F.when(F.col("id") >= 0, F.lit("hot")).alias("k"),
+                                      F.col("id").alias("t"),
+                                      (F.col("id") % 13).cast("double").alias("v"))
+
+        def partitions(out):
+            # the window column stays referenced, so the window is not pruned
+            per = out.select(F.spark_partition_id().alias("pid"), "lag1").groupBy("pid").agg(
+                F.count("lag1").alias("n"))
+            return per.where("n > 0").count()
+
+        assert partitions(series_window(df, ["k"], ["t"], 4, _cols, chunk_rows=None)) == 1
+        assert partitions(series_window(df, ["k"], ["t"], 4, _cols, chunk_rows=250)) >= 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
