@@ -124,11 +124,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     eps = 4.0 / accuracy
     edges = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
     st = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-        F.percentile_approx("_v", edges, accuracy).alias("_ap"))
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    # sketches only for keys larger than the accuracy (small keys bracket
+    # with [min, max]); a sketch per small key would cost more than sorting it
+    large = st.where(F.col("_n") > accuracy).select(*keys)
+    sketches = (base.join(large, keys, "left_semi").groupBy(*keys)
+                .agg(F.percentile_approx("_v", edges, accuracy).alias("_ap")))
+    st = st.join(sketches, keys, "left")
     small = F.col("_n") <= accuracy
     brackets = st.select(*keys, "_n", F.array(*[F.struct(
         F.lit(i).alias("i"),
+        # small keys share one bracket: their values are ranked once, not per p
+        F.when(small, F.lit(-1)).otherwise(F.lit(i)).alias("ri"),
         F.when(small, F.col("_lo")).otherwise(F.col("_ap")[i]).alias("L"),
         F.when(small, F.col("_hi")).otherwise(F.col("_ap")[k + i]).alias("U"),
         ((F.col("_n") - 1) * F.lit(float(p))).alias("h")) for i, p in enumerate(probs)])
@@ -143,14 +150,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
             F.count_if((v > br(i)["L"]) & (v < br(i)["U"])).alias(f"_mid{i}"),
             F.count_if((v == br(i)["U"]) & (br(i)["U"] != br(i)["L"])).alias(f"_equ{i}"))])
     # values strictly inside a bracket, numbered per (key, quantile)
-    inside = rows.select(*keys, v, F.explode(F.filter(
-        "_br", lambda b: (b["L"] < F.col("_v")) & (F.col("_v") < b["U"]))).alias("_b"))
-    ranked = inside.select(*keys, F.col("_b.i").alias("_i"), v).withColumn(
-        "_lr", F.row_number().over(Window.partitionBy(*keys, "_i").orderBy("_v")) - 1)
+    inside = rows.select(*keys, v, F.explode(F.array_distinct(F.transform(F.filter(
+        "_br", lambda b: (b["L"] < F.col("_v")) & (F.col("_v") < b["U"])),
+        lambda b: b["ri"]))).alias("_ri"))
+    ranked = inside.withColumn(
+        "_lr", F.row_number().over(Window.partitionBy(*keys, "_ri").orderBy("_v")) - 1)
     # wanted 0-based ranks floor(h) and ceil(h), located in the bracket
     wanted = brackets.select(*keys, F.explode("_br").alias("_b")).select(
-        *keys, F.col("_b.i").alias("_i"), F.col("_b.L").alias("_L"), F.col("_b.U").alias("_U"),
-        F.col("_b.h").alias("_h"))
+        *keys, F.col("_b.i").alias("_i"), F.col("_b.ri").alias("_ri"),
+        F.col("_b.L").alias("_L"), F.col("_b.U").alias("_U"), F.col("_b.h").alias("_h"))
     wanted = wanted.select("*", F.explode(F.array(
         F.floor("_h").cast("long"), F.ceil("_h").cast("long"))).alias("_r")).distinct()
     per = counts.select(*keys, F.explode(F.array(*[F.struct(
@@ -161,7 +169,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         "_pos", F.col("_r") - F.col("_below") - F.col("_eql"))
     in_mid = (F.col("_pos") >= 0) & (F.col("_pos") < F.col("_mid"))
     loc = loc.withColumn("_lr", F.when(in_mid, F.col("_pos")))
-    found = loc.join(ranked, [*keys, "_i", "_lr"], "left")
+    found = loc.join(ranked, [*keys, "_ri", "_lr"], "left")
     val = (F.when(F.col("_r") < F.col("_below"),
                   F.raise_error(F.lit("quantile bracket below the wanted rank")).cast("double"))
            .when(F.col("_pos") < 0, F.col("_L"))
