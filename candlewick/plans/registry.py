@@ -8,7 +8,6 @@ written to the session's shared scratch folder first.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession

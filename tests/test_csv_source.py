@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from candlewick.operators import clean, enrich, star
 from candlewick.sources import csv_bars, literal
