@@ -70,7 +70,11 @@ def _line_bars(li: DataFrame, asset: Column) -> DataFrame:
                            "l_orderkey", "l_linenumber")
                 .agg(F.min("l_extendedprice").alias("_pmin"),
                      F.max("l_extendedprice").alias("_pmax")))
-    line = F.shiftleft(F.col("l_orderkey"), LINE_NUMBER_BITS) + F.col("l_linenumber")
+    packed = F.shiftleft(F.col("l_orderkey"), LINE_NUMBER_BITS) + F.col("l_linenumber")
+    fits = ((F.col("l_linenumber") >= 0) & (F.col("l_linenumber") < 1 << LINE_NUMBER_BITS)
+            & (F.col("l_orderkey") >= 0) & (F.col("l_orderkey") < 1 << 43))
+    line = F.when(fits, packed).otherwise(
+        F.raise_error(F.lit("line key out of the packed range")).cast("long"))
     return (per_line.groupBy("_a", "_d")
             .agg(F.min_by("_pmin", line).alias("open"), F.max("_pmax").alias("high"),
                  F.min("_pmin").alias("low"), F.max_by("_pmax", line).alias("close")))
