@@ -9,3 +9,11 @@ plans the whole chain and the work is spread over the cluster.
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so a session
+# whose executors cannot import the package still runs them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,7 +3,7 @@ scratch folder used to cut lineage or stage files."""
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -41,8 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...)
-    folder and is used as is.  Only when it is unset (local tests) a
-    folder of our own is created and registered.
+    folder and is used as is; without it this raises, as a folder of the
+    driver's machine is not seen by the executors.  Only a local session
+    (driver and executors in one process) gets a folder of its own.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -50,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver "
+                               "and all executors share")
         d = tempfile.mkdtemp(prefix="candlewick-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -61,8 +65,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)
+def written(df, name: str):
+    """Write ``df`` as Parquet into the shared folder and read it back: a
+    compressed copy that cuts the lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize(df):

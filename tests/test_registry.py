@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from candlewick.plans.registry import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, rows_of
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(NAMES) == set(E.oracle_sql())
+    assert set(NAMES) == set(ORACLE)
 
 
 def test_entry_smoke(spark):
