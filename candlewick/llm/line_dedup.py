@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.rows import packed
 from candlewick.session import written
 
 # The white space and letters of a line key.
@@ -31,19 +32,14 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """Drop lines whose key (>= ``min_chars`` code points) is found in at
-    least ``min_docs`` documents, except in the document of the largest id.
+def shared_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                     min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """(d_id, d_th, drop): positions of the lines to drop, by id and text hash.
 
-    Returns one row per input row: ``id_col``, ``n_lines`` (before),
-    ``n_dropped`` and ``kept_text``.  Null or empty text: one empty line.
-    Rows that repeat an id count as one document.  A null id counts as no
-    document and is never the largest; such rows lose shared lines.  Keys
-    are compared by a 128-bit hash.  Other columns are not read.
+    Rows of equal id and text have equal lines, so the pair stands for them.
     """
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    base = base.withColumn("th", F.xxhash64("text"))
+    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
+                       F.col(text_col).alias("text"))
     keyed = (base.select("id", "th", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
              .select("id", "th", "pos", line_key(F.col("line")).alias("key"))
              .where(F.char_length("key") >= min_chars)
@@ -53,22 +49,55 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = (keyed.where("id IS NOT NULL").select("a", "b", "id").distinct()
               .groupBy("a", "b").agg(F.count("*").alias("n"), F.max("id").alias("keep"))
               .where(F.col("n") >= min_docs).select("a", "b", "keep"))
-    drops = (keyed.join(shared, ["a", "b"]).where("id IS NULL OR id <> keep")
-             .groupBy("id", "th").agg(F.collect_list("pos").alias("drop"))
-             .select(F.col("id").alias("d_id"), F.col("th").alias("d_th"), "drop"))
-    rows = base.join(drops, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("th") == F.col("d_th")),
+    return (keyed.join(shared, ["a", "b"]).where("id IS NULL OR id <> keep")
+            .groupBy("id", "th").agg(F.collect_list("pos").alias("drop"))
+            .select(F.col("id").alias("d_id"), F.col("th").alias("d_th"), "drop"))
+
+
+def _reassembled(rows: DataFrame, drops: DataFrame) -> DataFrame:
+    """``rows`` (with ``id``, ``th``, ``text``) with ``n_lines``, ``n_dropped``
+    and ``kept_text``."""
+    rows = rows.join(drops, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("th") == F.col("d_th")),
                      "left")
     rows = (rows.withColumn("lines", lines_of(F.col("text")))
             .withColumn("stay", F.when(F.col("drop").isNotNull(), F.array_except(
                 F.sequence(F.lit(0), F.size("lines") - 1), F.col("drop")))))
     kept = F.array_join(F.transform("stay", lambda p: F.get("lines", p)), "\n")
     return rows.select(
-        F.col("id").alias(id_col), F.size("lines").cast("long").alias("n_lines"),
+        *[c for c in rows.columns if c in ("row", "id")],
+        F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("lines") - F.size("stay"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("drop").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept)
          .alias("kept_text"))
 
 
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """Drop lines whose key (>= ``min_chars`` code points) is found in at
+    least ``min_docs`` documents, except in the document of the largest id.
+
+    Returns one row per input row: ``id_col``, ``n_lines`` (before),
+    ``n_dropped`` and ``kept_text``.  Null or empty text: one empty line.
+    Rows that repeat an id count as one document.  A null id counts as no
+    document and is never the largest; such rows lose shared lines.  Keys
+    are compared by a 128-bit hash.  Other columns are not read.
+    """
+    drops = shared_positions(docs, id_col, text_col, min_chars=min_chars, min_docs=min_docs)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
+                       F.col(text_col).alias("text"))
+    return _reassembled(rows, drops).withColumnRenamed("id", id_col)
+
+
+def replace_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  length_col: str = "n_chars") -> DataFrame:
+    """``docs`` (all columns, all rows) with the text and its length after
+    ``dedup_lines``."""
+    rows = packed(docs, id=F.col(id_col), th=F.xxhash64(text_col), text=F.col(text_col))
+    done = _reassembled(rows, shared_positions(docs, id_col, text_col))
+    new = {text_col: F.col("kept_text"), length_col: F.char_length("kept_text").cast("long")}
+    return done.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_lines", "n_dropped",

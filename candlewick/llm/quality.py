@@ -17,6 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.rows import packed, unpacked
 from candlewick.session import written
 
 # White space between words, and symbol characters.
@@ -186,9 +187,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     bad = (judged(table, cutoffs).where(~F.col("kept"))
            .select(F.col("id").alias("b_id"), F.col("stratum").alias("b_s"), F.col("th").alias("b_th"))
            .distinct())
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("b_id"))
-                     & F.col(stratum_col).eqNullSafe(F.col("b_s"))
-                     & (F.xxhash64(F.col(text_col)) == F.col("b_th")), "left_anti")
+    rows = packed(docs, id=F.col(id_col), stratum=F.col(stratum_col), th=F.xxhash64(text_col))
+    return unpacked(rows.join(bad, F.col("id").eqNullSafe(F.col("b_id"))
+                              & F.col("stratum").eqNullSafe(F.col("b_s"))
+                              & (F.col("th") == F.col("b_th")), "left_anti"))
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:

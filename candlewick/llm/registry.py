@@ -1,16 +1,38 @@
 """Queries of the training-data operators, and their DuckDB SQL."""
 
-from candlewick.llm import license_scan, line_dedup, quality, url_filter
+from candlewick.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    jaccard_join,
+    lang_id,
+    license_scan,
+    line_dedup,
+    quality,
+    url_filter,
+    warc,
+)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_license_scan": license_scan.op2_license_scan,
+    "op3_language_id": lang_id.op3_language_id,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_bpe": bpe.op8_bpe,
+    "op9_warc": warc.op9_warc,
+    "op10_html_text": html_text.op10_html_text,
 }
 
+# Language ID, decontamination, BPE and HTML extraction are tested in
+# tests/llm by held-out accuracy, brute force and exact round trips.
 ORACLE = {
+    "op1_url_filter": url_filter.OP1_SQL,
     "op2_license_scan": license_scan.OP2_SQL,
+    "op4_jaccard_join": jaccard_join.OP4_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
+    "op9_warc": warc.OP9_SQL,
 }

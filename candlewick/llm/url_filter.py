@@ -141,3 +141,30 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 def op1_url_filter(spark, sf_dir: str) -> DataFrame:
     return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def _sql() -> str:
+    """Longest host rule by a CASE in order of length, then the first pattern."""
+    ranked = sorted(HOST_RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = lambda h, p: (f"(host = '{h}' OR host LIKE '%.{h}') "
+                         f"AND starts_with(path, '{p}')")
+    cases = "\n    ".join(f"WHEN {fits(h, p)} THEN {i}" for i, (h, p, _) in enumerate(ranked))
+    rules = ", ".join(f"({i}, '{h}{p}', '{v}')" for i, (h, p, v) in enumerate(ranked))
+    marks = "\n    ".join(f"WHEN regexp_matches('//' || host || path, '^{rx}') THEN {i}"
+                          for i, (rx, _) in enumerate(PATTERN_RULES))
+    patterns = ", ".join(f"({i}, '{rx}', '{v}')" for i, (rx, v) in enumerate(PATTERN_RULES))
+    return f"""
+WITH u AS (SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r(i, rule, verdict) AS (VALUES {rules}),
+q(i, pattern, verdict) AS (VALUES {patterns}),
+m AS (SELECT *, CASE {cases} END AS i, CASE {marks} END AS j FROM u)
+SELECT page_id, host, path, r.rule, coalesce(r.verdict, q.verdict, 'allow') AS verdict,
+       CASE WHEN r.rule IS NULL THEN pattern END AS pattern
+FROM m LEFT JOIN r ON r.i = m.i LEFT JOIN q ON q.i = m.j
+"""
+
+
+OP1_SQL = _sql()

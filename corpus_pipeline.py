@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import line_dedup, quality
+from candlewick.llm import bpe, decontaminate, jaccard_join, line_dedup, quality
 from candlewick.session import written
 
 
@@ -19,10 +19,40 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that other documents share."""
+    return line_dedup.replace_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard_join.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of the ids and of the bytes
+    that they decode to."""
+    ranks, pattern = bpe.public_vocabulary()
+    out = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
+    return out.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup_stage),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("bpe", tokens),
 ]
 
+# The last stage is no SQL; tests/llm/test_pipeline.py holds run() against a
+# plain Python version of all stages.
 ORACLE_SQL = None
 
 
