@@ -192,8 +192,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     one = base.where(F.char_length("text") <= chunk).select("id", whole("text").alias("ids"))
     pieces = (base.where(F.char_length("text") > chunk)
-              .select("id", F.monotonically_increasing_id().alias("row"),
-                      F.explode(cut("text")).alias("c")).select("id", "row", "c.*")
+              .withColumn("row", F.monotonically_increasing_id())
+              .select("id", "row", F.explode(cut("text")).alias("c")).select("id", "row", "c.*")
               .repartition("row", "no").withColumn("ends", ends("text")))
     many = (pieces.groupBy("row").agg(
         F.first("id").alias("id"),
