@@ -72,7 +72,7 @@ def literal_tokens(pattern: str) -> set[str]:
         return set()
     p = re.sub(r"\\b", " ", pattern)
     p = re.sub(r"\[[^]]*\]|\([^()]*\)|\\[a-zA-Z]", "\0", p)
-    p = re.sub(r".[*?{][^}]*}?", "\0", p) if "{" in p else re.sub(r".[*?]", "\0", p)
+    p = re.sub(r".(?:[*?]|\{[^}]*\})", "\0", p)
     p = re.sub(r"[.+](?<!\\.)", "\0", p).replace("\\", "")
     return {m[1] for m in re.finditer(rf"(?<=[^a-z0-9\0])({TOKEN})(?=[^a-z0-9\0])", p)}
 
