@@ -52,7 +52,7 @@ FURNITURE = frozenset(
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<>]*\"|'[^'<>]*')*+[^>]*+)(?:>|\Z)", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+[^>]*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(class|id|role|aria-hidden|hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 

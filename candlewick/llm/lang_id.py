@@ -63,7 +63,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"):
             rows = [pd.DataFrame({"lang": k, "bucket": np.flatnonzero(v), "n": v[v > 0]})
                     for k, v in held.items()]
             held.clear()
-            return pd.concat(rows or [pd.DataFrame({"lang": [], "bucket": [], "n": []})])
+            return pd.concat(rows)
 
         for f in frames:
             for lang, text in zip(f["lang"], f["text"]):
@@ -72,7 +72,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"):
                         yield flush()
                     held[lang] = np.zeros(BUCKETS, dtype=np.int64)
                 held[lang] += np.bincount(trigrams(text, letters), minlength=BUCKETS)
-        yield flush()
+        if held:
+            yield flush()
 
     counts = (base.mapInPandas(count, "lang string, bucket int, n bigint")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))

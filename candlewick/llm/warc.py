@@ -162,7 +162,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             for i, url, html, ref in f.itertuples(index=False):
                 if out is None:
                     store.create_dir(path, recursive=True)
-                    out = io.BufferedWriter(store.open_output_stream(f"{path}/{name}"), 1 << 20)
+                    out = io.BufferedWriter(store.open_output_stream(f"{path}/{name}", compression=None), 1 << 20)
                 write_record(out, i, url, html, ref)
                 records += 1
         if out is not None:
@@ -184,7 +184,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame) -> DataFrame:
             for file in f["file"]:
                 store, path = _fs(file)
                 rows, held = [], 0
-                with store.open_input_stream(path) as raw, \
+                with store.open_input_stream(path, compression=None) as raw, \
                         io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 20) as stream:
                     for row in read_records(stream):
                         rows.append(row)
