@@ -12,9 +12,11 @@ without a stitch and is not shuffled.  Decoding concatenates raw bytes.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
-from collections.abc import Iterable, Iterator
-from itertools import chain
+import sys
+from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 15  # characters of a chunk
 OVERLAP = 1 << 9  # characters that neighbours share on either side of a cut
 GUARD = 3  # a boundary this near a chunk's end may change with the text after it
-CACHE = 200_000  # pieces whose ids a task remembers
+CACHE = 200_000  # pieces whose ids a Python worker remembers
+SLICE = 128  # rows of a slice of results
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -88,14 +91,15 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Pieces(dict):
-    """Piece -> ids; the pieces met first stay, up to a bound."""
+    """Piece -> its ids, packed; the pieces met first stay, up to a bound."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.packed = [i.to_bytes(4, "little") for i in range(max(ranks.values(), default=0) + 1)]
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = merge(piece.encode(), self.ranks)
+    def __missing__(self, piece: str) -> bytes:
+        ids = b"".join([self.packed[i] for i in merge(piece.encode(), self.ranks)])
         if len(self) < CACHE and len(piece) <= 64:
             self[piece] = ids
         return ids
@@ -139,14 +143,23 @@ def stitch(chunks: list[tuple[int, str, np.ndarray]], pattern) -> list[str]:
     return pieces + cut(ends, begin, text, begin + len(text))
 
 
-def _tools(ranks: dict[bytes, int], pattern: str):
+def _tools(ranks: dict[bytes, int], pattern: str, key: str):
+    """(compiled pattern, piece cache), kept by the Python worker from task
+    to task: Spark reuses workers, and pieces repeat."""
     import regex
 
-    return regex.compile(pattern), Pieces(ranks)
+    held = sys.modules.setdefault("_candlewick_worker", ModuleType("_candlewick_worker")).__dict__
+    if key not in held:
+        held[key] = regex.compile(pattern), Pieces(ranks)
+    return held[key]
 
 
-def _packed(ids: Iterable[list[int]]) -> bytes:
-    return np.array(list(chain.from_iterable(ids)), dtype="<u4").tobytes()
+def _by_slices(batches: Iterator[pd.Series], one) -> Iterator[pd.Series]:
+    """``one`` of every value, in slices, so that a batch's results are not
+    held beside the batch."""
+    for s in batches:
+        for at in range(0, len(s), SLICE):
+            yield pd.Series([one(x) for x in s.iloc[at:at + SLICE]], dtype=object)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
@@ -161,34 +174,29 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     tasks; its size does not grow with the data.
     """
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
 
     @F.pandas_udf("binary")
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find, cache = _tools(ranks, pattern)
-        for s in batches:
-            yield pd.Series([_packed(map(cache.__getitem__, find.findall(t))) for t in s],
-                            dtype=object)
+        find, cache = _tools(ranks, pattern, key)
+        yield from _by_slices(batches, lambda t: b"".join(map(cache.__getitem__, find.findall(t))))
 
     @F.pandas_udf("array<struct<no:bigint,begin:bigint,text:string>>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([[{"no": no, "begin": begin, "text": part}
-                              for no, begin, part in chunks_of(t, chunk, overlap)] for t in s],
-                            dtype=object)
+        yield from _by_slices(batches, lambda t: [{"no": no, "begin": begin, "text": part}
+                                                  for no, begin, part in chunks_of(t, chunk, overlap)])
 
     @F.pandas_udf("binary")
     def ends(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find, _ = _tools(ranks, pattern)
-        for s in batches:
-            yield pd.Series([boundaries(t, find).astype("<i4").tobytes() for t in s], dtype=object)
+        find, _ = _tools(ranks, pattern, key)
+        yield from _by_slices(batches, lambda t: boundaries(t, find).astype("<i4").tobytes())
 
     @F.pandas_udf("binary")
     def join(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find, cache = _tools(ranks, pattern)
-        for s in batches:
-            yield pd.Series([_packed(map(cache.__getitem__, stitch(
-                [(c["begin"], c["text"], np.frombuffer(c["ends"], dtype="<i4").astype(np.int64))
-                 for c in chunks], find))) for chunks in s], dtype=object)
+        find, cache = _tools(ranks, pattern, key)
+        yield from _by_slices(batches, lambda chunks: b"".join(map(cache.__getitem__, stitch(
+            [(c["begin"], c["text"], np.frombuffer(c["ends"], dtype="<i4").astype(np.int64))
+             for c in chunks], find))))
 
     one = base.where(F.char_length("text") <= chunk).select("id", whole("text").alias("ids"))
     pieces = (base.where(F.char_length("text") > chunk)
@@ -212,10 +220,8 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") ->
 
     @F.pandas_udf("binary")
     def to_bytes(packed: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in packed:
-            yield pd.Series([None if p is None else b"".join(
-                map(table.__getitem__, np.frombuffer(p, dtype="<u4").tolist())) for p in s],
-                dtype=object)
+        yield from _by_slices(packed, lambda p: None if p is None else b"".join(
+            map(table.__getitem__, np.frombuffer(p, dtype="<u4").tolist())))
 
     return tokens.withColumn("decoded", to_bytes(ids_col))
 
