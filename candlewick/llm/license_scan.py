@@ -2,7 +2,7 @@
 
 A text is cut into normalised sentences; known licence sentences get an
 identifier, and the sequence of identifiers is matched against ordered
-rules.  Everything is a row-wise expression: no shuffle, no key that could
+rules.  Texts without any word that a known sentence needs are not cut.  Everything is a row-wise expression: no shuffle, no key that could
 be hot, and the sentence table is a literal of the plan.
 """
 
@@ -84,6 +84,12 @@ def _units(text: Column, joined: bool) -> Column:
     return F.transform(F.split(t, "\n"), lambda s: F.btrim(s))
 
 
+def anchors(sentences: dict[str, str]) -> list[str]:
+    """Words of which every text with a known sentence holds one: the longest
+    word of each sentence."""
+    return sorted({max(s.split(), key=lambda w: (len(w), w)) for s in sentences.values()})
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                   sentences: dict[str, str] = SENTENCES,
                   rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
@@ -111,9 +117,13 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         lambda p: p > 0)
         return F.when(F.arrays_overlap(units, known), hits).otherwise(F.array().cast("array<int>"))
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), _units(text, False).alias("u"),
-                       _units(text, True).alias("w"))
+    low = F.lower(F.col(text_col))
+    may = F.lit(False)
+    for word in anchors(sentences):
+        may = may | F.contains(low, F.lit(word))
+    rows = docs.select(F.col(id_col).alias("id"), F.when(may, F.col(text_col)).alias("text"))
+    rows = rows.select("id", _units(F.col("text"), False).alias("u"),
+                       _units(F.col("text"), True).alias("w"))
     rows = rows.select("id", found(F.col("u")).alias("u"), found(F.col("w")).alias("w"))
     rows = rows.select("id", "u", F.filter("w", lambda p: ~F.array_contains(F.col("u"), p)).alias("x"),
                        "w")
