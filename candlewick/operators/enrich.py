@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import round_away, safe_pct
 from candlewick.operators.clean import PRICE_DIGITS, filter_valid_bars
-from candlewick.operators.series import DEFAULT_CHUNK_ROWS, series_window
+from candlewick.operators.series import AUTO, series_window
 
 DEFAULT_WINDOWS = {"ma_7d": 7, "ma_30d": 30}
 RETURN_DIGITS = 4
@@ -26,7 +26,7 @@ def daily_return(open_="open_price", close="close_price"):
 
 def enrich(staged: DataFrame, key: str = "coin_id", order: str = "price_date",
            close: str = "close_price", windows: Mapping[str, int] = DEFAULT_WINDOWS,
-           chunk_rows: int | None = DEFAULT_CHUNK_ROWS, apply_filter: bool = True) -> DataFrame:
+           chunk_rows: int | str | None = AUTO, apply_filter: bool = True) -> DataFrame:
     """Quality filter, then per-bar measures and row-based windows.
 
     Windows count rows that survived the filter (not calendar days):

@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_CHUNK_ROWS = 1 << 20
+# Chunk by the declared type of the order column: a DATE order that is unique
+# within a key has at most 366 rows a year and needs no chunks; any other
+# order is chunked by DEFAULT_CHUNK_ROWS.
+AUTO = "auto"
 
 _B, _R, _G, _C, _HOME = "_cw_bucket", "_cw_local", "_cw_index", "_cw_chunk", "_cw_home"
 
@@ -35,7 +39,10 @@ def time_bucket(order_col: str, dtype: T.DataType) -> Column:
         return F.unix_date(F.to_date(c)).cast("long")
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return F.floor(c / F.lit(4096))
-    return F.floor(c.cast("double"))
+    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return F.floor(c.cast("double"))
+    raise TypeError(f"cannot slice the order column {order_col!r} of type {dtype.simpleString()}; "
+                    "pass a bucket column")
 
 
 def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -101,15 +108,18 @@ def chunked_window(df: DataFrame, keys: Sequence[str], index: str, lookback: int
 
 def series_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], lookback: int,
                   columns: Callable[[WindowSpec], dict[str, Column]],
-                  chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
+                  chunk_rows: int | str | None = AUTO,
                   bucket: Column | None = None) -> DataFrame:
     """Row-frame window columns per key ordered by ``order``.
 
-    ``chunk_rows=None`` uses one plain window partitioned by key (fine when
-    keys are many and balanced); otherwise rows are indexed and chunked so
-    a hot key is spread over many tasks.
+    ``chunk_rows=None`` uses one plain window partitioned by key; a number
+    indexes the rows and cuts each key into chunks, so a hot key is spread
+    over many tasks; :data:`AUTO` takes the plain window for a DATE order.
     """
     keys, order = list(keys), list(order)
+    if chunk_rows == AUTO:
+        dates = len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.DateType)
+        chunk_rows = None if dates else DEFAULT_CHUNK_ROWS
     if chunk_rows is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns(columns(w))

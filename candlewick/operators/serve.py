@@ -10,17 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import round_away
-from candlewick.operators.star import broadcast_if_bounded
-from candlewick.sources.spine import CALENDAR_MAX_ROWS
 
 PRICE_VIEW_COLUMNS = ("open_price", "high_price", "low_price", "close_price",
                       "daily_return_pct", "ma_7d", "ma_30d")
 
 
-def _calendar(dim_date: DataFrame, *cols: str) -> DataFrame:
-    return broadcast_if_bounded(dim_date.select(*cols), CALENDAR_MAX_ROWS)
-
-
 def kpi_total_records(fact: DataFrame) -> DataFrame:
     return fact.agg(F.count(F.lit(1)).alias("total_records"))
 
@@ -36,7 +30,7 @@ def kpi_latest_date(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     The fact is first reduced to its distinct date keys (map-side), so
     only one row per day reaches the join."""
     days = fact.select("date_id").where(F.col("date_id").isNotNull()).distinct()
-    return (days.join(_calendar(dim_date, "date_id", "date"), "date_id")
+    return (days.join(dim_date.select("date_id", "date"), "date_id")
             .agg(F.max("date").alias("latest_date")))
 
 
@@ -53,7 +47,7 @@ def asset_key(asset_id: str | Column) -> Column:
 def price_series(fact: DataFrame, dim_asset: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Every asset's price series: (date, symbol, prices, return, MAs)."""
     return (fact.join(dim_asset.select("coin_sk", "symbol"), "coin_sk")
-            .join(_calendar(dim_date, "date_id", "date"), "date_id")
+            .join(dim_date.select("date_id", "date"), "date_id")
             .select("date", "symbol", *PRICE_VIEW_COLUMNS))
 
 
@@ -83,7 +77,7 @@ def _asset_series(fact: DataFrame, dim_asset: DataFrame, dim_date: DataFrame, as
     # at most one row (the dimension holds one row per asset): a proven bound
     assets = dim_asset.where(F.col("coin_id") == asset_id).select("coin_sk", "symbol")
     return (f.join(F.broadcast(assets), "coin_sk")
-            .join(broadcast_if_bounded(cal, CALENDAR_MAX_ROWS), "date_id")
+            .join(cal, "date_id")
             .select("date", "symbol", *PRICE_VIEW_COLUMNS))
 
 
@@ -102,7 +96,7 @@ def coverage_by_asset(fact: DataFrame, dim_asset: DataFrame, dim_date: DataFrame
     """Per asset: records, first and last date, span in days (0 if none)."""
     joined = (fact.select("coin_sk", "date_id")
               .join(dim_asset.select("coin_sk", "symbol", "name"), "coin_sk")
-              .join(_calendar(dim_date, "date_id", "date"), "date_id"))
+              .join(dim_date.select("date_id", "date"), "date_id"))
     return (joined.groupBy("symbol", "name")
             .agg(F.count(F.lit(1)).alias("records"),
                  F.min("date").alias("first_date"), F.max("date").alias("last_date"))
@@ -115,7 +109,7 @@ def coverage_total(fact: DataFrame, dim_asset: DataFrame, dim_date: DataFrame) -
     aggregation with grouping sets."""
     joined = (fact.select("coin_sk", "date_id")
               .join(dim_asset.select("coin_sk", "symbol", "name"), "coin_sk")
-              .join(_calendar(dim_date, "date_id"), "date_id"))
+              .join(dim_date.select("date_id"), "date_id"))
     return (joined.groupingSets([["symbol", "name"], []], "symbol", "name")
             .agg(F.count(F.lit(1)).alias("records"),
                  F.grouping_id().alias("is_total")))

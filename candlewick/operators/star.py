@@ -8,19 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import date_id, is_weekend, season
-from candlewick.sources.spine import CALENDAR_MAX_ROWS
-
-# A dimension side is broadcast only when its row count is known to stay
-# below this bound; otherwise the join is planned normally and AQE can
-# still switch to a broadcast from measured runtime sizes.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None,
-                         limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint only for a side whose size bound is proven."""
-    return F.broadcast(df) if max_rows is not None and max_rows <= limit else df
-
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest row per key: greatest ``order`` tuple, then the greatest
@@ -65,19 +52,17 @@ def dim_date(spine: DataFrame, date_col: str = "date") -> DataFrame:
         season(d).alias("season"))
 
 
-def fact_price(enriched: DataFrame, dim_asset_df: DataFrame, dim_date_df: DataFrame,
-               asset_rows: int | None = None,
-               date_rows: int | None = CALENDAR_MAX_ROWS) -> DataFrame:
+def fact_price(enriched: DataFrame, dim_asset_df: DataFrame, dim_date_df: DataFrame) -> DataFrame:
     """Price fact: enriched rows with asset and calendar keys.
 
     Left joins, so a bar without metadata or outside the calendar keeps
-    its row with a NULL key.  The calendar is bounded by construction
-    (see :mod:`candlewick.sources.spine`) and is broadcast; the asset
-    dimension only when its size is known.
+    its row with a NULL key.  No broadcast is forced: a dimension is
+    broadcast if its measured size (files of a stored table, shuffle
+    output otherwise) is below the session's threshold, else the join is a
+    sort-merge join whose skewed partitions AQE splits.
     """
-    assets = broadcast_if_bounded(dim_asset_df.select("coin_sk", "coin_id"), asset_rows)
-    days = broadcast_if_bounded(
-        dim_date_df.select("date_id", F.col("date").alias("_cal_date")), date_rows)
+    assets = dim_asset_df.select("coin_sk", "coin_id")
+    days = dim_date_df.select("date_id", F.col("date").alias("_cal_date"))
     e = enriched
     return (e.join(assets, "coin_id", "left")
             .join(days, e["price_date"] == days["_cal_date"], "left")

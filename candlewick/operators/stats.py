@@ -2,20 +2,21 @@
 correlation matrix / pairs and rolling correlation against a benchmark.
 
 Scale notes
-* Quantiles are exact (linear interpolation) but never buffer a whole
-  group in one task: an approximate sketch brackets each wanted rank,
-  exact counts place the rank inside the bracket, and only the few values
-  strictly inside a bracket are sorted.
+* Quantiles are exact (linear interpolation) on one path for all keys:
+  values are counted map-side, range-partitioned by (key, value), and only
+  the partitions that hold a wanted rank are looked into, so a key with any
+  share of the rows spreads over many tasks.
 * The correlation matrix never joins a date with itself to emit all asset
   pairs.  Assets are cut into blocks and dates into chunks; each task gets
-  the rows of one (date chunk, block pair) and turns them into the six
-  pair moments with matrix products; moments are then summed per pair.
-* Rolling correlation runs over (symbol, chunk) partitions of the date
-  grid with a halo, like the other series windows.
+  the rows of one (date chunk, block pair), turns them into pair moments
+  with matrix products and returns the pairs that share a date.
+* Rolling correlation runs per symbol over the date grid; over timestamps
+  it runs per (symbol, chunk) with a halo, like the other series windows.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 import numpy as np
@@ -25,19 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions import round_away, safe_corr
-from candlewick.operators.series import DEFAULT_CHUNK_ROWS, row_index
-from candlewick.operators.star import broadcast_if_bounded
-from candlewick.session import materialize
-from candlewick.sources.spine import CALENDAR_MAX_ROWS
+from candlewick.operators.series import AUTO, DEFAULT_CHUNK_ROWS, row_index, time_bucket
+from candlewick.session import written
 
 STAT_DIGITS = 4
 CORR_DIGITS = 6
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
-# Sketch accuracy for exact quantiles: at most ~8 * n / QUANTILE_ACCURACY
-# values of a group are ever sorted together.
-QUANTILE_ACCURACY = 10_000
-# Values are summed exactly at 1e-10 resolution (|value| < 1e27).
-MEAN_DECIMAL = "decimal(38,10)"
+# A mean within this relative distance of a rounding tie counts as the tie,
+# so the order in which a cluster adds doubles does not show.
+TIE = 1e-12
 
 
 # --------------------------------------------------------------------------
@@ -48,30 +45,34 @@ def returns_long(fact: DataFrame, dim_asset: DataFrame, dim_date: DataFrame,
                  value: str = "daily_return_pct") -> DataFrame:
     """(date, symbol, value) for fact rows with a value, an asset and a
     calendar day."""
-    cal = broadcast_if_bounded(dim_date.select("date_id", "date"), CALENDAR_MAX_ROWS)
     return (fact.where(F.col(value).isNotNull())
             .select("coin_sk", "date_id", value)
             .join(dim_asset.select("coin_sk", "symbol"), "coin_sk")
-            .join(cal, "date_id")
+            .join(dim_date.select("date_id", "date"), "date_id")
             .select("date", "symbol", value))
 
 
-def distinct_values(df: DataFrame, col: str) -> list:
-    """Sorted distinct values of a low-cardinality column (e.g. symbols);
-    only the distinct set reaches the driver."""
-    return sorted(r[0] for r in df.select(col).distinct().collect())
+MAX_PIVOT_COLUMNS = 10_000
 
 
-def returns_pivot(long: DataFrame, symbols: Sequence[str] | None = None,
-                  date: str = "date", symbol: str = "symbol",
-                  value: str = "daily_return_pct") -> DataFrame:
-    """Wide date x symbol table.  A duplicated (date, symbol) raises at run
-    time instead of silently keeping one value."""
-    symbols = list(symbols) if symbols is not None else distinct_values(long, symbol)
+def pivot_symbols(assets: DataFrame, symbol: str = "symbol") -> list[str]:
+    """The column names of a pivot: the symbols of an asset dimension, sorted.
+    A wide table cannot have more than ``MAX_PIVOT_COLUMNS``; more raise."""
+    rows = assets.select(symbol).where(F.col(symbol).isNotNull()).distinct() \
+        .limit(MAX_PIVOT_COLUMNS + 1).collect()
+    if len(rows) > MAX_PIVOT_COLUMNS:
+        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} symbols: use the long form")
+    return sorted(r[0] for r in rows)
+
+
+def returns_pivot(long: DataFrame, symbols: Sequence[str], date: str = "date",
+                  symbol: str = "symbol", value: str = "daily_return_pct") -> DataFrame:
+    """Wide date x symbol table for the given symbols.  A duplicated (date,
+    symbol) raises at run time instead of silently keeping one value."""
     one = F.when(F.count(F.lit(1)) > 1,
                  F.raise_error(F.lit("duplicate (date, symbol) in pivot input"))
                  ).otherwise(F.first(value))
-    return long.groupBy(date).pivot(symbol, symbols).agg(one.cast("double"))
+    return long.groupBy(date).pivot(symbol, list(symbols)).agg(one.cast("double"))
 
 
 def returns_unpivot(wide: DataFrame, date: str = "date", symbol: str = "symbol",
@@ -87,132 +88,92 @@ def returns_unpivot(wide: DataFrame, date: str = "date", symbol: str = "symbol",
 # exact quantiles and describe
 # --------------------------------------------------------------------------
 
-def _bin_of(v: Column, lo: Column, hi: Column, bins) -> Column:
-    """Equal-width bin in [0, bins); monotone in v because every IEEE
-    operation used is monotone.  ``bins`` is an int or a per-row Column."""
-    nb = bins if isinstance(bins, Column) else F.lit(bins)
-    return F.when(hi > lo, F.least(F.floor(F.try_divide(v - lo, hi - lo) * nb.cast("double")),
-                                   nb - 1)).otherwise(F.lit(0)).cast("long")
-
-
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    keys: Sequence[str] = (), accuracy: int = QUANTILE_ACCURACY,
-                    checkpoint: bool = True) -> DataFrame:
+                    keys: Sequence[str] = ()) -> DataFrame:
     """Per key: ``q_<i>`` = the ``probs[i]`` quantile of ``value`` with
     linear interpolation between closest ranks (numpy/pandas 'linear',
-    DuckDB quantile_cont).  NULL/NaN values are ignored; keys must not be
-    NULL.
-
-    Approximate, then exact: a ``percentile_approx`` sketch (bounded
-    memory, merged map-side) brackets every wanted rank between two values
-    L and U at p -/+ 4/accuracy.  One pass counts the values below L, equal
-    to L and equal to U; only values strictly between L and U are sorted —
-    at most about 8 * n / accuracy of them, whatever the distribution
-    (duplicates at the bracket edges are counted, not sorted).  A key with
-    n <= accuracy uses [min, max] as bracket (at most ``accuracy`` values).
-    A bracket that misses its rank raises instead of answering wrongly.
+    DuckDB quantile_cont).  NULL/NaN values are ignored; a NULL key is a
+    group of its own.
+
+    Equal values become one row with a count (map-side), the rows are
+    range-partitioned by (key, value) and written with their partition
+    number.  Partition totals give every partition its offset in its key;
+    a wanted rank lies in one partition, and ranks are counted only there.
     """
     if not keys:
-        return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"],
-                               accuracy, checkpoint).drop("_all")
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"]).drop("_all")
     keys, probs = list(keys), list(probs)
-    k = len(probs)
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if checkpoint:
-        base = materialize(base)
-    eps = 4.0 / accuracy
-    edges = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
-    st = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    # sketches only for keys larger than the accuracy (small keys bracket
-    # with [min, max]); a sketch per small key would cost more than sorting it
-    large = st.where(F.col("_n") > accuracy).select(*keys)
-    sketches = (base.join(large, keys, "left_semi").groupBy(*keys)
-                .agg(F.percentile_approx("_v", edges, accuracy).alias("_ap")))
-    st = st.join(sketches, keys, "left")
-    small = F.col("_n") <= accuracy
-    brackets = st.select(*keys, "_n", F.array(*[F.struct(
-        F.lit(i).alias("i"),
-        # small keys share one bracket: their values are ranked once, not per p
-        F.when(small, F.lit(-1)).otherwise(F.lit(i)).alias("ri"),
-        F.when(small, F.col("_lo")).otherwise(F.col("_ap")[i]).alias("L"),
-        F.when(small, F.col("_hi")).otherwise(F.col("_ap")[k + i]).alias("U"),
-        ((F.col("_n") - 1) * F.lit(float(p))).alias("h")) for i, p in enumerate(probs)])
-        .alias("_br"))
-    rows = base.join(brackets, keys)
-    v = F.col("_v")
-    br = lambda i: F.col("_br")[i]
-    counts = rows.groupBy(*keys).agg(*[
-        agg for i in range(k) for agg in (
-            F.count_if(v < br(i)["L"]).alias(f"_below{i}"),
-            F.count_if(v == br(i)["L"]).alias(f"_eql{i}"),
-            F.count_if((v > br(i)["L"]) & (v < br(i)["U"])).alias(f"_mid{i}"),
-            F.count_if((v == br(i)["U"]) & (br(i)["U"] != br(i)["L"])).alias(f"_equ{i}"))])
-    # values strictly inside a bracket, numbered per (key, quantile)
-    inside = rows.select(*keys, v, F.explode(F.array_distinct(F.transform(F.filter(
-        "_br", lambda b: (b["L"] < F.col("_v")) & (F.col("_v") < b["U"])),
-        lambda b: b["ri"]))).alias("_ri"))
-    ranked = inside.withColumn(
-        "_lr", F.row_number().over(Window.partitionBy(*keys, "_ri").orderBy("_v")) - 1)
-    # wanted 0-based ranks floor(h) and ceil(h), located in the bracket
-    wanted = brackets.select(*keys, F.explode("_br").alias("_b")).select(
-        *keys, F.col("_b.i").alias("_i"), F.col("_b.ri").alias("_ri"),
-        F.col("_b.L").alias("_L"), F.col("_b.U").alias("_U"), F.col("_b.h").alias("_h"))
-    wanted = wanted.select("*", F.explode(F.array(
-        F.floor("_h").cast("long"), F.ceil("_h").cast("long"))).alias("_r")).distinct()
-    per = counts.select(*keys, F.explode(F.array(*[F.struct(
-        F.lit(i).alias("_i"), F.col(f"_below{i}").alias("_below"), F.col(f"_eql{i}").alias("_eql"),
-        F.col(f"_mid{i}").alias("_mid"), F.col(f"_equ{i}").alias("_equ")) for i in range(k)]))
-        .alias("_c")).select(*keys, "_c.*")
-    loc = wanted.join(per, [*keys, "_i"]).withColumn(
-        "_pos", F.col("_r") - F.col("_below") - F.col("_eql"))
-    in_mid = (F.col("_pos") >= 0) & (F.col("_pos") < F.col("_mid"))
-    loc = loc.withColumn("_lr", F.when(in_mid, F.col("_pos")))
-    found = loc.join(ranked, [*keys, "_ri", "_lr"], "left")
-    val = (F.when(F.col("_r") < F.col("_below"),
-                  F.raise_error(F.lit("quantile bracket below the wanted rank")).cast("double"))
-           .when(F.col("_pos") < 0, F.col("_L"))
-           .when(in_mid, F.col("_v"))
-           .when(F.col("_pos") < F.col("_mid") + F.col("_equ"), F.col("_U"))
-           .otherwise(F.raise_error(F.lit("quantile bracket above the wanted rank"))
-                      .cast("double")))
-    vals = found.select(*keys, "_i", "_h", "_r", val.alias("_val"))
-    lo_v = F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_val")))
-    hi_v = F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_val")))
-    per_p = vals.groupBy(*keys, "_i").agg(
-        (lo_v + (hi_v - lo_v) * (F.first("_h") - F.floor(F.first("_h")))).alias("_q"))
-    out = per_p.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q_{i}") for i in range(k)])
-    return st.select(*keys).join(out, keys, "left")
+    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    parts = written(counts.repartitionByRange(*keys, "_v")
+                    .withColumn("_p", F.spark_partition_id()), "quantile-parts")
+    by_key = Window.partitionBy(*keys)
+    sizes = (parts.groupBy(*keys, "_p").agg(F.sum("_c").alias("_s"))
+             .withColumn("_n", F.sum("_s").over(by_key))
+             .withColumn("_off", F.sum("_s").over(by_key.orderBy("_p")) - F.col("_s")))
+    # wanted 0-based ranks floor(h) and ceil(h) of every probability
+    h = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in h for f in (F.floor, F.ceil)]))
+    places = written(sizes.withColumn("_r", F.explode(ranks))
+                     .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_s")))
+                     .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_p").alias("_q"),
+                             "_off", "_n", "_r"), "quantile-ranks")
+    here = F.col("_p") == F.col("_q")
+    for k in keys:
+        here = here & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    wanted = places.groupBy(*[f"_k_{k}" for k in keys], "_q").agg(
+        F.min("_off").alias("_off"), F.min("_n").alias("_n"), F.collect_set("_r").alias("_rs"))
+    upto = Window.partitionBy(*keys, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    hit = (parts.join(wanted, here)
+           .withColumn("_hi", F.col("_off") + F.sum("_c").over(upto))
+           .select(*keys, "_v", "_n", F.explode(F.filter(
+               "_rs", lambda r: (r >= F.col("_hi") - F.col("_c")) & (r < F.col("_hi")))).alias("_r")))
+    at = lambda r: F.max(F.when(F.col("_r") == r.cast("long"), F.col("_v")))
+    out = hit.groupBy(*keys).agg(F.first("_n").alias("_n"), *[
+        f(x) for i, x in enumerate(h) for f in (
+            lambda x, i=i: at(F.floor(x)).alias(f"_lo{i}"), lambda x, i=i: at(F.ceil(x)).alias(f"_hi{i}"))])
+    lo, hi = (lambda i: F.col(f"_lo{i}")), (lambda i: F.col(f"_hi{i}"))
+    return out.select(*keys, *[(lo(i) + (hi(i) - lo(i)) * (x - F.floor(x))).alias(f"q_{i}")
+                               for i, x in enumerate(h)])
 
 
 def describe(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
-             digits: int = STAT_DIGITS, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+             digits: int = STAT_DIGITS) -> DataFrame:
     """Summary statistics per key and column: count, mean, std (n-1),
-    min, 25/50/75 % (exact, linear), max — rounded to ``digits``."""
+    min, 25/50/75 % (exact, linear), max — rounded to ``digits``.  NULL and
+    NaN values are left out; a column without a value has no row."""
     keys = list(keys)
-    long = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-        for c in columns])).alias("_kv")).select(*keys, "_kv.column", "_kv.value")
-    long = materialize(long.where(F.col("value").isNotNull() & ~F.isnan("value")))
-    # the mean comes from an exact decimal sum, rounded half-up in decimal:
-    # independent of summation order (partitioning), so a mean that lies on
-    # a rounding tie rounds the same way on every run and every cluster
-    exact_mean = F.round(F.avg(F.col("value").cast(MEAN_DECIMAL)), digits).cast("double")
-    moments = long.groupBy(*keys, "column").agg(
-        F.count(F.lit(1)).alias("count"), exact_mean.alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    qs = exact_quantiles(long, "value", DESCRIBE_PROBS, [*keys, "column"], accuracy,
-                         checkpoint=False)
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    base = written(df.select(*keys, *[number(c).alias(c) for c in columns]), "describe")
+    stats = base.groupBy(*keys).agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (
+        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
+    moments = stats.select(*keys, F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), *[F.col(f"{n}_{i}").alias(n) for n in ("count", "mean", "std", "min", "max")])
+        for i, c in enumerate(columns)])).alias("_m")).select(*keys, "_m.*").where(F.col("count") > 0)
+    values = base.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])).alias("_kv"))
+    qs = exact_quantiles(values.select(*keys, "_kv.column", "_kv.value"), "value", DESCRIBE_PROBS,
+                         [*keys, "column"])
+    qs = qs.withColumnsRenamed({k: f"_k_{k}" for k in [*keys, "column"]})
+    same = F.col("column") == F.col("_k_column")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     r = lambda c: round_away(F.col(c), digits)
-    return (moments.join(qs, [*keys, "column"], "left")
-            .select(*keys, "column", "count", "mean", r("std").alias("std"),
+    return (moments.join(qs, same)
+            .select(*keys, "column", "count",
+                    round_away(F.col("mean") * F.lit(1 + TIE), digits).alias("mean"), r("std").alias("std"),
                     r("min").alias("min"), r("q_0").alias("p25"), r("q_1").alias("p50"),
                     r("q_2").alias("p75"), r("max").alias("max")))
 
 
+def _bin_of(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Equal-width bin in [0, bins); monotone in v because every IEEE
+    operation used is monotone."""
+    place = F.floor(F.try_divide(v - lo, hi - lo) * F.lit(float(bins)))
+    return F.when(hi > lo, F.least(place, F.lit(bins - 1))).otherwise(F.lit(0)).cast("long")
+
+
 # --------------------------------------------------------------------------
 # histogram
 # --------------------------------------------------------------------------
@@ -226,9 +187,11 @@ def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), bins: int = 5
         return histogram(df.withColumn("_all", F.lit(0)), value, ["_all"], bins,
                          digits).drop("_all")
     keys = list(keys)
-    v = materialize(df.select(*keys, F.col(value).alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")))
-    st = v.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    v = written(df.select(*keys, F.col(value).alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v")), "histogram")
+    # one row per key, written: the join with it is a broadcast if the files
+    # are small, else one whose skewed partitions can be split
+    st = written(v.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), "bounds")
     vb = v.join(st, keys)
     counts = (vb.withColumn("bin", _bin_of(F.col("_v"), F.col("_lo"), F.col("_hi"), bins))
               .groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count")))
@@ -247,132 +210,154 @@ def histogram(df: DataFrame, value: str, keys: Sequence[str] = (), bins: int = 5
 # correlation matrix from block moments
 # --------------------------------------------------------------------------
 
-_MOMENT_SCHEMA = T.StructType([
-    T.StructField("_ia", T.LongType()), T.StructField("_ib", T.LongType()),
-    T.StructField("_n", T.DoubleType()), T.StructField("_sx", T.DoubleType()),
-    T.StructField("_sy", T.DoubleType()), T.StructField("_sxx", T.DoubleType()),
-    T.StructField("_syy", T.DoubleType()), T.StructField("_sxy", T.DoubleType()),
-])
+_MOMENTS = ("n", "mx", "my", "cxx", "cyy", "cxy", "x0", "x1", "y0", "y1")
+_MOMENT_SCHEMA = ("key_a string, key_b string, dc long, n long, "
+                  + ", ".join(f"{c} double" for c in _MOMENTS[1:]))
 
 
 def _block_moments(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pair moments of one (date chunk, block a, block b) group.
-
-    Rows: (_g date index, _i asset index, _x centred value, _lo_a, _hi_a,
-    _lo_b, _hi_b).  Emits every pair (a in block a, b in block b, a <= b
-    when the blocks coincide) with n, sums and cross sums over dates where
-    both have a value."""
-    lo_a, hi_a = int(pdf["_lo_a"].iat[0]), int(pdf["_hi_a"].iat[0])
-    lo_b, hi_b = int(pdf["_lo_b"].iat[0]), int(pdf["_hi_b"].iat[0])
-    dates, di = np.unique(pdf["_g"].to_numpy(), return_inverse=True)
-
-    def dense(lo, hi):
-        width = hi - lo
-        x = np.zeros((len(dates), width))
-        m = np.zeros((len(dates), width))
-        sel = (pdf["_i"].to_numpy() >= lo) & (pdf["_i"].to_numpy() < hi)
-        cols = pdf["_i"].to_numpy()[sel] - lo
-        x[di[sel], cols] = pdf["_x"].to_numpy()[sel]
-        m[di[sel], cols] = 1.0
-        return x, m
-
-    xa, ma = dense(lo_a, hi_a)
-    xb, mb = dense(lo_b, hi_b)
-    n = ma.T @ mb
-    sx = xa.T @ mb
-    sy = ma.T @ xb
-    sxx = (xa * xa).T @ mb
-    syy = ma.T @ (xb * xb)
-    sxy = xa.T @ xb
-    ia, ib = np.meshgrid(np.arange(lo_a, hi_a), np.arange(lo_b, hi_b), indexing="ij")
-    keep = ia <= ib
-    return pd.DataFrame({"_ia": ia[keep], "_ib": ib[keep], "_n": n[keep], "_sx": sx[keep],
-                         "_sy": sy[keep], "_sxx": sxx[keep], "_syy": syy[keep],
-                         "_sxy": sxy[keep]})
-
-
-def pair_moments(long: DataFrame, date: str, key: str, value: str,
-                 block_size: int = 256, date_chunk: int = 4096) -> DataFrame:
-    """Sufficient statistics of every key pair (a <= b, diagonal included)
-    over the dates where both have a value: columns key_a, key_b, n, and
-    the moments of the values centred on each key's mean."""
-    v = materialize(long.select(F.col(date).alias("_d"), F.col(key).alias("_k"),
-                                F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")))
-    keys_t = v.groupBy("_k").agg(F.avg("_v").alias("_mu"))
-    # asset index and block layout: a window over the one-row-per-asset
-    # table (bounded by the number of assets, never by the data)
-    everyone = Window.partitionBy()
-    keys_t = (keys_t.withColumn("_i", F.row_number().over(everyone.orderBy("_k")) - 1)
-              .withColumn("_nk", F.count(F.lit(1)).over(everyone)))
-    dates_t = row_index(v.select("_d").distinct(), [], ["_d"], name="_g")
-    rows = (v.join(keys_t, "_k").join(dates_t, "_d")
-            .select("_g", "_i", "_nk", (F.col("_v") - F.col("_mu")).alias("_x"),
-                    F.floor(F.col("_g") / F.lit(date_chunk)).alias("_dc")))
-    bs = F.lit(block_size)
-    nblocks = F.floor((F.col("_nk") - 1) / bs) + 1
-    blk = F.floor(F.col("_i") / bs)
-    # each row goes to every block pair that contains its block
-    spread = (rows.withColumn("_blk", blk)
-              .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), nblocks - 1)))
-              .withColumn("_ba", F.least("_blk", "_other"))
-              .withColumn("_bb", F.greatest("_blk", "_other")))
-    bounds = lambda b: (b * bs, F.least((b + 1) * bs, F.col("_nk")))
-    lo_a, hi_a = bounds(F.col("_ba"))
-    lo_b, hi_b = bounds(F.col("_bb"))
-    grouped = spread.select("_dc", "_ba", "_bb", "_g", "_i", "_x",
-                            lo_a.cast("long").alias("_lo_a"), hi_a.cast("long").alias("_hi_a"),
-                            lo_b.cast("long").alias("_lo_b"), hi_b.cast("long").alias("_hi_b"))
-    moments = (grouped.groupBy("_dc", "_ba", "_bb").applyInPandas(_block_moments, _MOMENT_SCHEMA)
-               .groupBy("_ia", "_ib").agg(*[F.sum(c).alias(c) for c in
-                                            ("_n", "_sx", "_sy", "_sxx", "_syy", "_sxy")]))
-    names = keys_t.select(F.col("_i"), F.col("_k"))
-    return (moments.join(names.withColumnsRenamed({"_i": "_ia", "_k": "key_a"}), "_ia")
-            .join(names.withColumnsRenamed({"_i": "_ib", "_k": "key_b"}), "_ib")
-            .select("key_a", "key_b", F.col("_n").cast("long").alias("n"),
-                    "_sx", "_sy", "_sxx", "_syy", "_sxy"))
-
-
-def corr_from_moments(m: DataFrame, digits: int = CORR_DIGITS) -> Column:
-    """Pearson r from pair moments; NULL for n < 2 or a zero variance."""
-    n = F.col("n").cast("double")
-    # try_divide: pairs that never share a date have n = 0 (ANSI-safe)
-    cov = F.col("_sxy") - F.try_divide(F.col("_sx") * F.col("_sy"), n)
-    vx = F.col("_sxx") - F.try_divide(F.col("_sx") * F.col("_sx"), n)
-    vy = F.col("_syy") - F.try_divide(F.col("_sy") * F.col("_sy"), n)
-    # a flat series leaves only rounding noise in its centred variance
-    flat_x = vx <= F.col("_sxx") * F.lit(1e-12)
-    flat_y = vy <= F.col("_syy") * F.lit(1e-12)
-    raw = F.try_divide(cov, F.sqrt(vx * vy))
+    """Pair moments of one (date chunk, block a, block b) group: for every
+    pair that shares a date the number of dates, means, centred sums and the
+    least and greatest value of either side.
+
+    Sums come from matrix products of values centred per asset.  Where a
+    variance over the shared dates is small beside the asset's own, centring
+    per asset has lost digits: such pairs are computed on their own."""
+    ba, bb = int(pdf["_ba"].iat[0]), int(pdf["_bb"].iat[0])
+    dates, di = np.unique(pdf["_d"].to_numpy(), return_inverse=True)
+    blocks, keys, x = pdf["_b"].to_numpy(), pdf["_k"].to_numpy(), pdf["_v"].to_numpy()
+
+    def dense(block):
+        own = blocks == block
+        names, ki = np.unique(keys[own], return_inverse=True)
+        v, m = np.zeros((len(dates), len(names))), np.zeros((len(dates), len(names)), dtype=bool)
+        v[di[own], ki], m[di[own], ki] = x[own], True
+        return names, v, m
+
+    names_a, va, ma = dense(ba)
+    names_b, vb, mb = (names_a, va, ma) if ba == bb else dense(bb)
+    ca = np.where(ma, va - va.sum(0) / np.maximum(ma.sum(0), 1), 0.0)
+    cb = np.where(mb, vb - vb.sum(0) / np.maximum(mb.sum(0), 1), 0.0)
+    fa, fb = ma.astype(float), mb.astype(float)
+    n = fa.T @ fb
+    ia, ib = np.nonzero((n > 0) & (names_a[:, None] <= names_b[None, :] if ba == bb else True))
+    n = n[ia, ib]
+    sx, sy, sxy = ((p.T @ q)[ia, ib] for p, q in ((ca, fb), (fa, cb), (ca, cb)))
+    qx, qy = ((ca * ca).T @ fb)[ia, ib], (fa.T @ (cb * cb))[ia, ib]
+    out = {"mx": sx / n + (va.sum(0) / np.maximum(ma.sum(0), 1))[ia],
+           "my": sy / n + (vb.sum(0) / np.maximum(mb.sum(0), 1))[ib],
+           "cxx": qx - sx * sx / n, "cyy": qy - sy * sy / n, "cxy": sxy - sx * sy / n,
+           "x0": np.full(len(n), -np.inf), "x1": np.full(len(n), np.inf),
+           "y0": np.full(len(n), -np.inf), "y1": np.full(len(n), np.inf)}
+    for k in np.flatnonzero((out["cxx"] <= 1e-3 * qx) | (out["cyy"] <= 1e-3 * qy)):
+        both = ma[:, ia[k]] & mb[:, ib[k]]
+        px, py = va[both, ia[k]], vb[both, ib[k]]
+        dx, dy = px - px.mean(), py - py.mean()
+        for name, value in (("mx", px.mean()), ("my", py.mean()), ("cxx", dx @ dx), ("cyy", dy @ dy),
+                            ("cxy", dx @ dy), ("x0", px.min()), ("x1", px.max()), ("y0", py.min()),
+                            ("y1", py.max())):
+            out[name][k] = value
+    return pd.DataFrame({"key_a": names_a[ia], "key_b": names_b[ib], "dc": int(pdf["_dc"].iat[0]),
+                         "n": n.astype("int64"), **out})
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """Moments of two disjoint sets of dates as one (pairwise update)."""
+    n = a["n"] + b["n"]
+    dx, dy = b["mx"] - a["mx"], b["my"] - a["my"]
+    both = (a["n"] * b["n"]).cast("double") / n
+    share = b["n"].cast("double") / n
+    return F.struct(
+        n.alias("n"), (a["mx"] + dx * share).alias("mx"), (a["my"] + dy * share).alias("my"),
+        (a["cxx"] + b["cxx"] + dx * dx * both).alias("cxx"),
+        (a["cyy"] + b["cyy"] + dy * dy * both).alias("cyy"),
+        (a["cxy"] + b["cxy"] + dx * dy * both).alias("cxy"),
+        F.least(a["x0"], b["x0"]).alias("x0"), F.greatest(a["x1"], b["x1"]).alias("x1"),
+        F.least(a["y0"], b["y0"]).alias("y0"), F.greatest(a["y1"], b["y1"]).alias("y1"))
+
+
+def one_value(long: DataFrame, date: str, key: str, value: str) -> DataFrame:
+    """(_d, _k, _v): the value of each (date, key); a second one raises at
+    run time.  NULL and NaN values, and NULL dates and keys, are left out."""
+    v = long.select(F.col(date).alias("_d"), F.col(key).alias("_k"),
+                    F.col(value).cast("double").alias("_v"))
+    v = v.where(F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_d").isNotNull() & F.col("_k").isNotNull())
+    twice = F.raise_error(F.concat(F.lit("duplicate (date, key) in correlation input: "),
+                                   F.col("_d").cast("string"), F.lit(", "), F.col("_k")))
+    return (v.groupBy("_d", "_k").agg(F.count(F.lit(1)).alias("_n"), F.first("_v").alias("_v"))
+            .select("_d", "_k", F.when(F.col("_n") > 1, twice.cast("double")).otherwise(F.col("_v")).alias("_v")))
+
+
+def pair_moments(long: DataFrame, assets: DataFrame, date: str, key: str, value: str,
+                 block_size: int = 256, date_chunk: int = 256) -> DataFrame:
+    """Moments of every key pair (a <= b, diagonal included) of the asset set
+    over the dates where both have a value: key_a, key_b, n and the columns of
+    ``_MOMENTS``.  Pairs without a common date have no row.
+
+    ``assets`` (its first column) names the keys; others are left out.  Keys
+    are dealt to blocks by hash, dates to chunks by value, so neither needs a
+    global numbering, and a few assets still give a group per date chunk."""
+    assets = assets.select(F.col(assets.columns[0]).alias("_ak")).where(F.col("_ak").isNotNull()).distinct()
+    assets = written(assets, "correlated-assets")
+    blocks = max(1, -(-assets.count() // block_size))
+    kind = long.schema[date].dataType
+    day = F.unix_date("_d") if isinstance(kind, T.DateType) else (
+        F.col("_d") if isinstance(kind, (T.IntegerType, T.LongType)) else time_bucket("_d", kind))
+    rows = (one_value(long, date, key, value).join(assets, F.col("_k") == F.col("_ak"))
+            .select(F.col("_d").cast("string").alias("_d"), "_k", "_v",
+                    F.floor(day / F.lit(date_chunk)).alias("_dc"),
+                    F.pmod(F.xxhash64("_k"), F.lit(blocks)).alias("_b")))
+    # a row goes to each pair of blocks that holds its own
+    spread = (rows.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+              .withColumn("_ba", F.least("_b", "_o")).withColumn("_bb", F.greatest("_b", "_o")).drop("_o"))
+    chunks = spread.groupBy("_dc", "_ba", "_bb").applyInPandas(_block_moments, _MOMENT_SCHEMA)
+    # blocks are by hash: a pair of two blocks comes in either order
+    flip = F.col("key_a") > F.col("key_b")
+    swap = {"key_a": "key_b", "mx": "my", "cxx": "cyy", "x0": "y0", "x1": "y1"}
+    swap |= {v: k for k, v in swap.items()}
+    chunks = chunks.select(*[F.when(flip, F.col(swap[c])).otherwise(F.col(c)).alias(c) if c in swap
+                             else F.col(c) for c in chunks.columns])
+    # few chunks per pair (dates / date_chunk), merged in date order
+    merged = chunks.groupBy("key_a", "key_b").agg(
+        F.array_sort(F.collect_list(F.struct("dc", *_MOMENTS))).alias("_c"))
+    bare = F.transform("_c", lambda c: F.struct(*[c[m].alias(m) for m in _MOMENTS]))
+    total = F.aggregate(F.slice(bare, 2, F.greatest(F.size("_c") - 1, F.lit(0))), F.get(bare, F.lit(0)), _merged)
+    return merged.select("key_a", "key_b", total.alias("_m")).select("key_a", "key_b", "_m.*")
+
+
+def corr_from_moments(digits: int = CORR_DIGITS) -> Column:
+    """Pearson r from pair moments; NULL for n < 2 or a side whose values
+    over the common dates are all equal (decided on the values themselves)."""
+    flat = (F.col("x0") == F.col("x1")) | (F.col("y0") == F.col("y1"))
+    raw = F.try_divide(F.col("cxy"), F.sqrt("cxx") * F.sqrt("cyy"))
     # clamp rounding noise just outside [-1, 1] (inside the WHEN: least and
     # greatest skip NULLs and would turn an undefined r into 1.0)
-    r = F.when((F.col("n") >= 2) & ~flat_x & ~flat_y,
+    r = F.when((F.col("n") >= 2) & ~flat & raw.isNotNull(),
                F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw)))
     return round_away(r, digits)
 
 
-def corr_matrix_long(long: DataFrame, date: str = "date", symbol: str = "symbol",
+def corr_matrix_long(long: DataFrame, assets: DataFrame, date: str = "date", symbol: str = "symbol",
                      value: str = "daily_return_pct", digits: int = CORR_DIGITS,
                      **kw) -> DataFrame:
-    """Full symmetric matrix in long form (symbol_a, symbol_b, corr), the
-    diagonal included; pairwise-complete observations."""
-    m = pair_moments(long, date, symbol, value, **kw)
-    r = corr_from_moments(m, digits)
+    """Symmetric matrix of an asset set in long form (symbol_a, symbol_b,
+    corr), the diagonal included; pairwise-complete observations.  Pairs
+    without a common date have no row."""
+    m = pair_moments(long, assets, date, symbol, value, **kw)
     a, b = F.col("key_a"), F.col("key_b")
     # both orientations from one pass (a union would run the moments twice)
     cells = F.when(a == b, F.array(F.struct(a.alias("symbol_a"), b.alias("symbol_b"))))
     cells = cells.otherwise(F.array(F.struct(a.alias("symbol_a"), b.alias("symbol_b")),
                                     F.struct(b.alias("symbol_a"), a.alias("symbol_b"))))
-    return (m.select(F.explode(cells).alias("_c"), r.alias("corr"))
+    return (m.select(F.explode(cells).alias("_c"), corr_from_moments(digits).alias("corr"))
             .select("_c.symbol_a", "_c.symbol_b", "corr"))
 
 
-def corr_matrix_wide(long: DataFrame, symbols: Sequence[str] | None = None,
-                     date: str = "date", symbol: str = "symbol",
+def corr_matrix_wide(long: DataFrame, assets: DataFrame, date: str = "date", symbol: str = "symbol",
                      value: str = "daily_return_pct", **kw) -> DataFrame:
     """N x N matrix: one row per symbol, one column per symbol."""
-    symbols = list(symbols) if symbols is not None else distinct_values(long, symbol)
-    cells = corr_matrix_long(long, date, symbol, value, **kw)
+    symbols = pivot_symbols(assets, assets.columns[0])
+    cells = corr_matrix_long(long, assets, date, symbol, value, **kw)
     return (cells.groupBy(F.col("symbol_a").alias("symbol"))
             .pivot("symbol_b", symbols).agg(F.first("corr")))
 
@@ -382,12 +367,13 @@ def corr_pairs(fact: DataFrame, dim_asset: DataFrame, value: str = "daily_return
     """Documented pair query: correlation of each unordered asset pair over
     common calendar days, the pair oriented by surrogate key (a < b)."""
     rows = fact.where(F.col("date_id").isNotNull() & F.col("coin_sk").isNotNull())
-    m = pair_moments(rows, "date_id", "coin_sk", value, **kw).where(
-        (F.col("key_a") != F.col("key_b")) & (F.col("n") > 0))
+    m = pair_moments(rows, dim_asset.select("coin_sk"), "date_id", "coin_sk", value, **kw).where(
+        F.col("key_a") != F.col("key_b"))
     syms = dim_asset.select("coin_sk", "symbol")
-    return (m.join(syms.withColumnsRenamed({"coin_sk": "key_a", "symbol": "symbol_a"}), "key_a")
+    return (m.withColumn("correlation", corr_from_moments(digits))
+            .join(syms.withColumnsRenamed({"coin_sk": "key_a", "symbol": "symbol_a"}), "key_a")
             .join(syms.withColumnsRenamed({"coin_sk": "key_b", "symbol": "symbol_b"}), "key_b")
-            .select("symbol_a", "symbol_b", corr_from_moments(m, digits).alias("correlation")))
+            .select("symbol_a", "symbol_b", "correlation"))
 
 
 # --------------------------------------------------------------------------
@@ -396,30 +382,49 @@ def corr_pairs(fact: DataFrame, dim_asset: DataFrame, value: str = "daily_return
 
 def rolling_corr(long: DataFrame, benchmark: str, window: int = 30,
                  date: str = "date", symbol: str = "symbol", value: str = "daily_return_pct",
-                 digits: int = CORR_DIGITS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 digits: int = CORR_DIGITS, chunk_rows: int | str = AUTO) -> DataFrame:
     """Rolling ``window``-row correlation of every other symbol with the
     benchmark over the shared date grid (all dates any symbol has).
 
     A frame needs ``window`` complete pairs, so a missing day anywhere in
     the frame gives NULL.  Every (grid date, symbol) row is returned, NULL
-    where undefined; nothing when the benchmark is absent."""
+    where undefined; nothing when the benchmark is absent.  A second value
+    of a (date, symbol) raises.  With :data:`AUTO` a DATE grid takes one
+    window per symbol (at most 366 rows a year), any other grid chunks."""
+    v = written(one_value(long, date, symbol, value).withColumnRenamed("_k", "_s"), "rolling")
+    w_rows = lambda w: w.rowsBetween(-(window - 1), 0)
+    both = F.col("_x").isNotNull() & F.col("_y").isNotNull()
+
+    def cells(w) -> Column:
+        pairs = F.count(F.when(both, F.lit(1))).over(w)
+        return F.when(pairs >= window, round_away(safe_corr("_x", "_y", window=w), digits)).alias("rolling_corr")
+
+    if chunk_rows == AUTO and isinstance(long.schema[date].dataType, T.DateType):
+        bench = v.where(F.col("_s") == benchmark).select("_d", F.col("_v").alias("_y"))
+        lo, hi = v.agg(F.min("_d"), F.max("_d")).first()
+        # the dates that any symbol has, one row each: the grid's calendar
+        dates = written(v.select("_d").distinct().join(bench, "_d", "left"), "rolling-dates")
+        syms = v.where(F.col("_s") != benchmark).select("_s").distinct()
+        if lo is None or bench.isEmpty():
+            syms, lo, hi = syms.limit(0), dt.date(1970, 1, 1), dt.date(1970, 1, 1)
+        grid = syms.select("_s", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY"))).alias("_d"))
+        filled = (grid.join(dates, "_d")
+                  .join(v.withColumnRenamed("_v", "_x"), ["_s", "_d"], "left"))
+        w = w_rows(Window.partitionBy("_s").orderBy("_d"))
+        return filled.select(F.col("_d").alias(date), F.col("_s").alias(symbol), cells(w))
+
+    chunk_rows = DEFAULT_CHUNK_ROWS if chunk_rows == AUTO else chunk_rows
     if chunk_rows <= window:
         raise ValueError("chunk_rows must exceed the window")
-    v = materialize(long.select(F.col(date).alias("_d"), F.col(symbol).alias("_s"),
-                                F.col(value).cast("double").alias("_v")))
     # the grid index (one row per date) is read by four branches: once
-    grid_dates = materialize(row_index(v.select("_d").distinct(), [], ["_d"], name="_g"))
+    grid_dates = written(row_index(v.select("_d").distinct(), [], ["_d"], name="_g"), "rolling-grid")
     vg = v.join(grid_dates, "_d")
     bench = vg.where(F.col("_s") == benchmark).select("_g", F.col("_v").alias("_y"))
     others = vg.where(F.col("_s") != benchmark).select("_s", "_g", F.col("_v").alias("_x"))
 
-    # per symbol: grid size and whether the benchmark exists — a window over
-    # the one-row-per-symbol table (bounded by the number of assets)
-    everyone = Window.partitionBy()
-    syms = (vg.groupBy("_s").agg(F.max("_g").alias("_mg"))
-            .withColumn("_G", F.max("_mg").over(everyone))
-            .withColumn("_has_bench", F.max(F.col("_s") == benchmark).over(everyone))
-            .where(F.col("_has_bench") & (F.col("_s") != benchmark)))
+    size = grid_dates.count() if not bench.isEmpty() else 0
+    syms = (others.select("_s").distinct().withColumn("_G", F.lit(size).cast("long"))
+            .where(F.col("_G") > 0))
     c = F.lit(chunk_rows)
     chunks = syms.select("_s", "_G", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("_G") - 1) / c))).alias("_c"))
@@ -429,12 +434,9 @@ def rolling_corr(long: DataFrame, benchmark: str, window: int = 30,
     filled = (grid.join(others, ["_s", "_g"], "left")
               .join(bench, "_g", "left")
               .join(grid_dates, "_g"))
-    w = Window.partitionBy("_s", "_c").orderBy("_g").rowsBetween(-(window - 1), 0)
-    both = F.col("_x").isNotNull() & F.col("_y").isNotNull()
-    pairs = F.count(F.when(both, F.lit(1))).over(w)
-    r = safe_corr("_x", "_y", window=w)
+    w = w_rows(Window.partitionBy("_s", "_c").orderBy("_g"))
     home = F.floor((F.col("_g") - 1) / c)
     return (filled.select(F.col("_d").alias(date), F.col("_s").alias(symbol),
-                          F.when(pairs >= window, round_away(r, digits)).alias("rolling_corr"),
+                          cells(w),
                           (F.col("_c") == home).alias("_home"))
             .where("_home").drop("_home"))

@@ -3,7 +3,7 @@
 Steps run as Spark jobs only at the table writes and checks; everything
 between them is one lazy plan per table.  Silver and gold are written
 as tables (write-then-swap), which also cuts lineage: the gold models
-read the written silver table, not the CSV plan, so a lost executor
+and the ingest report read the written silver table, not the CSV plan, so a lost executor
 recomputes from the last written table.
 """
 
@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators import enrich, quality, star
+from candlewick.operators import enrich, quality, series, star
 from candlewick.operators.clean import stage_prices
 from candlewick.sources import catalog, csv_bars, literal
 from candlewick.sources.spine import DEFAULT_HI, DEFAULT_LO, date_spine
@@ -34,8 +34,9 @@ class BatchConfig:
     location: str | None = None  # shared folder for the table files
     calendar: tuple[dt.date, dt.date] = (DEFAULT_LO, DEFAULT_HI)
     windows: Mapping[str, int] = field(default_factory=lambda: dict(enrich.DEFAULT_WINDOWS))
-    chunk_rows: int | None = enrich.DEFAULT_CHUNK_ROWS
+    chunk_rows: int | str | None = series.AUTO
     strict_dates: bool = True
+    date_format: str | Mapping[str, str] | None = None
 
 
 def utc_stamp(now: dt.datetime | None = None) -> str:
@@ -44,7 +45,7 @@ def utc_stamp(now: dt.datetime | None = None) -> str:
 
 
 def run_batch(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
-              metadata: DataFrame | Sequence[dict] | None = None,
+              metadata: DataFrame | Sequence[dict],
               cfg: BatchConfig | None = None, run_ts: str | None = None) -> dict:
     """Run the whole load; returns the written tables, the ingest report
     and the check results.  Raises on an empty load, a failed gate or a
@@ -64,14 +65,15 @@ def run_batch(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
         catalog.ensure_database(spark, db, f"{cfg.location}/{db}.db" if cfg.location else None)
 
     # 1: bronze -> silver bars
-    bars, report = csv_bars.read_bars_csv(spark, files, run_ts, cfg.strict_dates)
+    bars, plan = csv_bars.read_bars_csv(spark, files, run_ts, cfg.strict_dates,
+                                        date_format=cfg.date_format)
     catalog.write_table(bars, f"{s}.ohlcv", sort_within=["coin_id", "date"],
                         location=cfg.location)
     lap("load_ohlcv")
 
     # 2: metadata
-    if metadata is None or isinstance(metadata, Sequence):
-        metadata = literal.metadata_rows(spark, metadata or literal.DEFAULT_ASSETS, run_ts)
+    if isinstance(metadata, Sequence):
+        metadata = literal.metadata_rows(spark, metadata, run_ts)
     catalog.write_table(metadata, f"{s}.coin_metadata", location=cfg.location)
     lap("load_metadata")
 
@@ -81,6 +83,7 @@ def run_batch(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
     gate = quality.enforce(quality.combine(
         quality.min_rows(silver, MIN_SILVER_ROWS, f"{s}.ohlcv"),
         quality.min_rows(meta, MIN_METADATA_ROWS, f"{s}.coin_metadata")))
+    report = csv_bars.ingest_report(silver, plan)
     lap("verify_silver")
 
     # 4: models
@@ -94,9 +97,7 @@ def run_batch(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
     catalog.write_table(star.dim_date(date_spine(spark, lo, hi)), f"{g}.dim_date",
                         location=cfg.location)
     dim_asset_t, dim_date_t = spark.table(f"{g}.dim_coin"), spark.table(f"{g}.dim_date")
-    asset_rows = dim_asset_t.count()  # a written, tiny table: a proven size for the broadcast
-    fact = star.fact_price(spark.table(f"{s}.int_price_enriched"), dim_asset_t, dim_date_t,
-                           asset_rows=asset_rows, date_rows=(hi - lo).days + 1)
+    fact = star.fact_price(spark.table(f"{s}.int_price_enriched"), dim_asset_t, dim_date_t)
     # clustered by asset then day: row-group min/max statistics prune both
     # an asset filter (coin_sk = md5(id)) and a date_id range
     catalog.write_table(fact.repartitionByRange("coin_sk", "date_id"),
@@ -109,7 +110,7 @@ def run_batch(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
     checks = quality.enforce(quality.star_checks(fact_t, dim_asset_t, dim_date_t))
     lap("run_tests")
     return {
-        "report": report.collect(),  # one row per asset file
+        "report": report,
         "gate": gate,
         "checks": checks,
         "steps": steps,

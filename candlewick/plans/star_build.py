@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.operators import clean, enrich, star
+from candlewick.operators import clean, enrich, series, star
 from candlewick.sources import fixtures
 from candlewick.sources.spine import spine_from_bounds
 
@@ -20,7 +20,7 @@ class Warehouse:
     silver: DataFrame
     meta: DataFrame
     spine: DataFrame
-    chunk_rows: int | None = enrich.DEFAULT_CHUNK_ROWS
+    chunk_rows: int | str | None = series.AUTO
 
     @cached_property
     def staged(self) -> DataFrame:

@@ -74,13 +74,3 @@ def written(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from
-    the written copy (reliable checkpoint, not a local one).
-
-    Used where an operator reads its input several times (statistics with
-    more than one pass): the upstream plan runs once instead of once per
-    branch, and a lost executor re-reads the checkpoint instead of
-    recomputing the lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -7,36 +7,53 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.sources import fs
+
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
-def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                sort_within: list[str] | None = None, location: str | None = None) -> str:
-    """Replace table ``db.table`` with ``df``.
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def write_table(df: DataFrame, name: str, sort_within: list[str] | None = None,
+                location: str | None = None) -> str:
+    """Replace the contents of table ``db.table`` with ``df``.
 
-    The new contents are written to a staging table first and swapped in
-    by rename, so readers never see a half-written table and a failed
-    write leaves the old table intact.  ``sort_within`` orders rows inside
-    each file so Parquet min/max statistics prune date ranges.
+    Every write goes to a folder of its own under ``location`` (by default
+    that of the database); one ``ALTER TABLE .. SET LOCATION`` then points the
+    table at it and the previous folder is deleted.  A failed write leaves the
+    table as it was, and a reader sees either the old or the new rows.  Only a
+    change of schema re-creates the table entry.  ``sort_within`` orders rows
+    inside each file so Parquet min/max statistics prune date ranges.
     """
     spark = df.sparkSession
     db, _, tbl = name.rpartition(".")
     if db:
         ensure_database(spark, db)
-    staging = f"{db + '.' if db else ''}{tbl}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    base = location or spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri
+    path = f"{base.rstrip('/')}/{tbl}/v-{uuid.uuid4().hex[:12]}"
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    w = out.write.mode("overwrite").format("parquet")
-    if location:
-        w = w.option("path", f"{location.rstrip('/')}/{tbl}-{uuid.uuid4().hex[:12]}")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    try:
+        out.write.parquet(path)
+    except Exception:
+        fs.delete(spark, path)
+        raise
+    old = _location(spark, name) if spark.catalog.tableExists(name) else None
+    new_schema = spark.read.parquet(path).schema
+    if old is not None and spark.table(name).schema == new_schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        if old is not None:
+            spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, path=path, source="parquet", schema=new_schema)
+    if old is not None:
+        fs.delete(spark, old)
     return name
 
 

@@ -1,14 +1,16 @@
 """Per-asset CSV price files -> silver bars.
 
-Files are matched to the five-column contract *by header name* (strip,
+Columns are matched to the five-column contract *by header name* (strip,
 case-insensitive; any header containing "date" is the date, exact
-open/high/low/close; other columns are dropped).  Files are grouped by
-header layout and each group is read by one CSV scan with an explicit
-all-string schema, so files with different column orders never shift
-columns.  Values are coerced leniently (bad number -> row dropped) and
-dates strictly by default (an unparsable date fails the load; blank
-dates drop the row).  A report row per asset tells what was loaded or
-why it was skipped.
+open/high/low/close; other columns are dropped).  Each asset names files or
+folders; the files of one path share a header, which is read once per path
+and which Spark checks in every file it reads.  Paths are grouped by header
+and date format and each group is one CSV scan with an explicit all-string
+schema, so paths with different column orders never shift columns; the
+asset comes from a join of the file's path with the (path, asset) table.
+Values are coerced leniently (bad number -> row dropped) and dates strictly
+by default (an unparsable date fails the load; blank dates drop the row).
+A report row per asset tells what was loaded or why it was skipped.
 """
 
 from __future__ import annotations
@@ -63,11 +65,15 @@ def header_map(header: Sequence[str]) -> tuple[dict[int, str], list[str]]:
     return found, missing
 
 
-def parse_date(text, strict: bool = True):
-    """Date text (``yyyy-MM-dd`` with optional time) -> DATE.  Strict: a
-    non-blank unparsable value raises at run time; lenient: NULL."""
+def parse_date(text, strict: bool = True, date_format: str | None = None):
+    """Date text -> DATE: ``yyyy-MM-dd`` with optional time, or the given
+    pattern (e.g. ``MM/dd/yyyy``).  Strict: a non-blank unparsable value
+    raises at run time; lenient: NULL."""
     t = F.trim(text)
-    parsed = F.coalesce(t.try_cast("date"), t.try_cast("timestamp_ntz").cast("date"))
+    if date_format is None:
+        parsed = F.coalesce(t.try_cast("date"), t.try_cast("timestamp_ntz").cast("date"))
+    else:
+        parsed = F.try_to_timestamp(t, F.lit(date_format)).cast("date")
     if not strict:
         return parsed
     bad = parsed.isNull() & t.isNotNull() & (t != "")
@@ -76,23 +82,23 @@ def parse_date(text, strict: bool = True):
 
 
 def read_bars_csv(spark: SparkSession, files: Mapping[str, str | Sequence[str]], run_ts: str,
-                  strict_dates: bool = True, source: str = DEFAULT_SOURCE,
-                  sep: str = ",") -> tuple[DataFrame, DataFrame]:
+                  strict_dates: bool = True, source: str = DEFAULT_SOURCE, sep: str = ",",
+                  date_format: str | Mapping[str, str] | None = None) -> tuple[DataFrame, dict]:
     """Load ``{asset_id: path(s)}`` into silver bars.
 
-    Returns ``(silver, report)``.  ``silver`` has columns date (text
-    yyyy-MM-dd), open, high, low, close (double), coin_id, source,
-    extracted_at (``run_ts`` text) and one row per (coin_id, date).
-    Lenient dates (``strict_dates=False``) drop rows whose date does not
-    parse; :func:`rejected_dates` lists them.
+    Returns ``(silver, plan)``; :func:`ingest_report` makes the report of the
+    plan from the silver rows, best from the table they were written to.
+    ``silver`` has columns date (text yyyy-MM-dd), open, high, low, close
+    (double), coin_id, source, extracted_at (``run_ts`` text) and one row per
+    (coin_id, date).  ``date_format`` is the pattern of all sources, or by
+    asset.  Lenient dates (``strict_dates=False``) drop rows whose date does
+    not parse; :func:`rejected_dates` lists them.
     """
-    plan = plan_csv_files(spark, files, sep)
-    skipped = plan["skipped"]
+    plan = plan_csv_files(spark, files, sep, date_format)
     if not plan["groups"]:
-        raise NoDataError(f"no OHLCV data could be loaded: {skipped}")
-    frames = [_read_group(spark, layout, paths, plan["asset_of"], strict_dates, sep)
-              for layout, paths in plan["groups"].items()]
-    raw = union_all(frames)
+        raise NoDataError(f"no OHLCV data could be loaded: {plan['skipped']}")
+    raw = union_all([_read_group(spark, key, paths, strict_dates, sep)
+                     for key, paths in plan["groups"].items()])
     clean = (raw.where(F.col("date").isNotNull())
              .select(F.date_format("date", "yyyy-MM-dd").alias("date"),
                      *[F.col(c) for c in ("open", "high", "low", "close")],
@@ -102,78 +108,98 @@ def read_bars_csv(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
     one = dedup(clean, ["coin_id", "date"], ["_file", "open", "high", "low", "close"])
     silver = one.select("date", "open", "high", "low", "close", "coin_id",
                         F.lit(source).alias("source"), F.lit(run_ts).alias("extracted_at"))
-    loaded = (silver.groupBy("coin_id")
-              .agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"),
-                   F.max("date").alias("last_date"))
-              .select("coin_id", F.lit("loaded").alias("status"),
-                      F.lit(None).cast("string").alias("detail"), "rows", "first_date",
-                      "last_date"))
-    skipped_df = spark.createDataFrame(
-        [(a, s, d, 0, None, None) for a, s, d in skipped], REPORT_SCHEMA)
-    return silver, loaded.unionByName(skipped_df)
+    return silver, plan
+
+
+def ingest_report(silver: DataFrame, plan: Mapping) -> DataFrame:
+    """One row per asset of the plan: loaded (with the rows that survived,
+    0 if none did), missing, or missing_columns with the reason."""
+    spark = silver.sparkSession
+    assets = sorted({a for paths in plan["groups"].values() for _, a in paths})
+    read = spark.createDataFrame([(a,) for a in assets], "_asset string")
+    per = silver.groupBy("coin_id").agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"),
+                                        F.max("date").alias("last_date"))
+    loaded = (read.join(per, F.col("_asset") == F.col("coin_id"), "left")
+              .select(F.col("_asset").alias("coin_id"), F.lit("loaded").alias("status"),
+                      F.lit(None).cast("string").alias("detail"),
+                      F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "first_date", "last_date"))
+    skipped = spark.createDataFrame([(a, s, d, 0, None, None) for a, s, d in plan["skipped"]], REPORT_SCHEMA)
+    return loaded.unionByName(skipped)
 
 
 def rejected_dates(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
-                   sep: str = ",") -> DataFrame:
+                   sep: str = ",", date_format: str | Mapping[str, str] | None = None) -> DataFrame:
     """Rows whose non-blank date text does not parse (lenient mode)."""
-    plan = plan_csv_files(spark, files, sep)
-    frames = [_read_group(spark, layout, paths, plan["asset_of"], False, sep, keep_text=True)
-              for layout, paths in plan["groups"].items()]
-    raw = union_all(frames)
+    plan = plan_csv_files(spark, files, sep, date_format)
+    raw = union_all([_read_group(spark, key, paths, False, sep, keep_text=True)
+                     for key, paths in plan["groups"].items()])
     t = F.trim("date_text")
     return raw.where(F.col("date").isNull() & t.isNotNull() & (t != "")).select(
         "coin_id", "_file", "date_text")
 
 
-def plan_csv_files(spark: SparkSession, files: Mapping[str, str | Sequence[str]],
-                   sep: str = ",") -> dict:
-    """Driver-side metadata pass: list files, read headers, group by layout."""
-    asset_of: dict[str, str] = {}
+def plan_csv_files(spark: SparkSession, files: Mapping[str, str | Sequence[str]], sep: str = ",",
+                   date_format: str | Mapping[str, str] | None = None) -> dict:
+    """Metadata pass over the given paths: which exist, and one header of each.
+
+    ``groups``: (header, date format) -> [(path, asset)]; ``skipped``: (asset,
+    status, detail).  An asset with a missing or unusable path is skipped
+    entirely.  The work grows with the paths that the caller names, not with
+    the files below them."""
+    groups: dict[tuple, list[tuple[str, str]]] = defaultdict(list)
     skipped: list[tuple[str, str, str]] = []
     for asset, paths in files.items():
         paths = [paths] if isinstance(paths, str) else list(paths)
-        found = [f for p in paths for f in fs.list_data_files(spark, p)]
+        fmt = date_format.get(asset) if isinstance(date_format, Mapping) else date_format
+        found = [(p, f) for p in paths if (f := fs.first_data_file(spark, p)) is not None]
         if not found:
             skipped.append((asset, "missing", ", ".join(paths)))
             continue
-        for f in found:
-            asset_of[f] = asset
-    headers = fs.first_lines(spark, list(asset_of))
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    bad_assets: dict[str, str] = {}
-    for f, line in headers.items():
-        header = tuple(split_header(line, sep))
-        _, missing = header_map(header)
-        if missing:
-            bad_assets[asset_of[f]] = f"missing columns {missing} in {f}"
+        mine, why = [], None
+        for path, first in found:
+            header = tuple(split_header(fs.first_line(spark, first), sep))
+            _, missing = header_map(header)
+            if missing:
+                why = f"missing columns {missing} in {path}"
+            mine.append(((header, fmt), (path, asset)))
+        if why:
+            skipped.append((asset, "missing_columns", why))
         else:
-            groups[header].append(f)
-    # an asset with any unusable file is skipped entirely
-    for asset, why in bad_assets.items():
-        skipped.append((asset, "missing_columns", why))
-    groups = {h: [f for f in ps if asset_of[f] not in bad_assets] for h, ps in groups.items()}
-    groups = {h: ps for h, ps in groups.items() if ps}
-    return {"groups": groups, "asset_of": asset_of, "skipped": skipped}
-
-
-def _read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str],
-                asset_of: Mapping[str, str], strict_dates: bool, sep: str,
-                keep_text: bool = False) -> DataFrame:
+            for key, path in mine:
+                groups[key].append(path)
+    return {"groups": dict(groups), "skipped": skipped}
+
+
+def _read_group(spark: SparkSession, key: tuple, paths: list[tuple[str, str]], strict_dates: bool,
+                sep: str, keep_text: bool = False) -> DataFrame:
+    header, date_format = key
     positions, _ = header_map(header)
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+    # the header's own names: with enforceSchema off Spark compares the header
+    # of every file with them and fails the load where they differ (names that
+    # repeat or are empty cannot be compared)
+    named = len({h.lower() for h in header}) == len(header) and all(header)
+    if not named:
+        header = tuple(f"_c{i}" for i in range(len(header)))
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
     df = (spark.read.schema(schema).option("header", True).option("sep", sep)
-          .option("mode", "PERMISSIVE").csv(paths))
+          .option("enforceSchema", not named).option("recursiveFileLookup", True)
+          .option("mode", "PERMISSIVE").csv([p for p, _ in paths]))
+    df = df.select(*[F.col(f"`{h}`").alias(f"_c{i}") for i, h in enumerate(header)],
+                   F.col("_metadata.file_path").alias("_file"))
     col_of = {name: f"_c{i}" for i, name in positions.items()}
-    assets = F.create_map(*[x for f in paths
-                            for x in (F.lit(fs.uri_path(spark, f)), F.lit(asset_of[f]))])
-    file_col = F.col("_metadata.file_path")
-    out = df.select(
-        parse_date(F.col(col_of["date"]), strict_dates).alias("date"),
+    # files and folders by their raw path; a file lies in the folder that
+    # holds it or in one above (partition folders)
+    own = [(fs.uri_path(spark, fs.qualified(spark, p)).rstrip("/"), a) for p, a in paths]
+    names = spark.createDataFrame(own, "_path string, coin_id string")
+    place = F.split(F.parse_url("_file", F.lit("PATH")), "/")
+    depth = sorted({p.count("/") + 1 for p, _ in own})
+    tagged = df.withColumn("_at", F.explode(F.array(*[
+        F.array_join(F.slice(place, 1, d), "/") for d in depth])))
+    return tagged.join(names, F.col("_at") == F.col("_path")).select(
+        parse_date(F.col(col_of["date"]), strict_dates, date_format).alias("date"),
         *[parse_number(F.col(col_of[c])).alias(c) for c in ("open", "high", "low", "close")],
-        F.element_at(assets, F.parse_url(file_col, F.lit("PATH"))).alias("coin_id"),
-        file_col.alias("_file"),
+        "coin_id", "_file",
         *([F.col(col_of["date"]).alias("date_text")] if keep_text else []))
-    return out
 
 
 def write_bars_csv(silver: DataFrame, base_dir: str,
@@ -194,12 +220,6 @@ def write_bars_csv(silver: DataFrame, base_dir: str,
          .option("header", True)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .csv(path))
-        for f in fs.list_data_files(spark, path):
-            part = [seg for seg in f.split("/") if seg.startswith("coin_id=")]
-            if part:
-                folder = f[: f.index(part[-1]) + len(part[-1])]
-                asset = part[-1].split("=", 1)[1]
-                out.setdefault(asset, [])
-                if folder not in out[asset]:
-                    out[asset].append(folder)
+        for folder in fs.subfolders(spark, path, "coin_id="):
+            out.setdefault(folder.rsplit("=", 1)[1], []).append(folder)
     return out

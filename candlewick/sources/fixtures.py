@@ -1,7 +1,7 @@
 """Price-bar inputs derived from the TPC-H-style driver tables.
 
 The driver tables hold no price series, so bars are derived from them;
-the oracle SQL in :mod:`candlewick.plans.oracle` states the same
+the oracle SQL in :mod:`candlewick.plans.oracle_sql` states the same
 derivations for DuckDB.
 
 * ``bars``: one bar per (return flag, ship date) from ``lineitem``; open
@@ -12,7 +12,7 @@ derivations for DuckDB.
   high/low, NULL assets, duplicated rows at a higher price).
 * ``asset_meta`` / ``asset_meta_sparse``: metadata snapshots, one per
   (asset, status) group, so an asset has several versions.
-* ``calendar_bounds``: the whole calendar years covered by ``orders``.
+* ``calendar_bounds``: the whole calendar years of order and ship dates.
 """
 
 from __future__ import annotations
@@ -52,32 +52,16 @@ def _fmt_ts(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-# A line is ordered by (order key, line number); the pair is
-# packed into one long (line numbers stay below 2^20, order keys below 2^43).
-LINE_NUMBER_BITS = 20
-
-
 def _line_bars(li: DataFrame, asset: Column) -> DataFrame:
     """OHLC per (asset, ship day): open/close = price of the first/last line
-    in (order key, line number, price) order, high/low = max/min price.
-
-    Two hash aggregations with primitive buffers: lines sharing an
-    (order, line number) pair are first collapsed to their min/max price,
-    after which the packed line key is unique per day and ``min_by`` /
-    ``max_by`` on it are exact.  (A struct ordering would force a
-    sort-based aggregate.)"""
-    per_line = (li.groupBy(asset.alias("_a"), F.to_date("l_shipdate").alias("_d"),
-                           "l_orderkey", "l_linenumber")
-                .agg(F.min("l_extendedprice").alias("_pmin"),
-                     F.max("l_extendedprice").alias("_pmax")))
-    packed = F.shiftleft(F.col("l_orderkey"), LINE_NUMBER_BITS) + F.col("l_linenumber")
-    fits = ((F.col("l_linenumber") >= 0) & (F.col("l_linenumber") < 1 << LINE_NUMBER_BITS)
-            & (F.col("l_orderkey") >= 0) & (F.col("l_orderkey") < 1 << 43))
-    line = F.when(fits, packed).otherwise(
-        F.raise_error(F.lit("line key out of the packed range")).cast("long"))
-    return (per_line.groupBy("_a", "_d")
-            .agg(F.min_by("_pmin", line).alias("open"), F.max("_pmax").alias("high"),
-                 F.min("_pmin").alias("low"), F.max_by("_pmax", line).alias("close")))
+    in (order key, line number, price) order, high/low = max/min price.  One
+    aggregate, combined map-side: only (asset, day) rows are shuffled."""
+    line = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
+    return (li.groupBy(asset.alias("_a"), F.to_date("l_shipdate").alias("_d"))
+            .agg(F.min(line).alias("_first"), F.max("l_extendedprice").alias("high"),
+                 F.min("l_extendedprice").alias("low"), F.max(line).alias("_last"))
+            .select("_a", "_d", F.col("_first.l_extendedprice").alias("open"), "high", "low",
+                    F.col("_last.l_extendedprice").alias("close")))
 
 
 def bars(t: Tables) -> DataFrame:
@@ -159,9 +143,18 @@ def asset_meta_sparse(t: Tables) -> DataFrame:
 
 
 def calendar_bounds(t: Tables) -> DataFrame:
-    """One row (lo, hi): the complete calendar years of the order dates."""
-    o = t.orders
-    return (o.agg(F.min("o_orderdate").alias("_lo"), F.max("o_orderdate").alias("_hi"))
+    """One row (lo, hi): the calendar years of all order and ship dates."""
+    days = (t.orders.select(F.to_date("o_orderdate").alias("d"))
+            .union(t.lineitem.select(F.to_date("l_shipdate"))))
+    return (days.agg(F.min("d").alias("_lo"), F.max("d").alias("_hi"))
+            .select(F.trunc("_lo", "year").alias("lo"),
+                    F.date_sub(F.add_months(F.trunc("_hi", "year"), 12), 1).alias("hi")))
+
+
+def complete_order_years(t: Tables) -> DataFrame:
+    """One row (lo, hi): the years that orders cover to their end; ship dates
+    run past it, so a fact built on it has rows without a calendar day."""
+    return (t.orders.agg(F.min("o_orderdate").alias("_lo"), F.max("o_orderdate").alias("_hi"))
             .select(F.trunc(F.to_date("_lo"), "year").alias("lo"),
                     F.date_sub(F.trunc(F.to_date("_hi"), "year"), 1).alias("hi")))
 

@@ -1,13 +1,11 @@
 """Hadoop FileSystem helpers (work for local, HDFS, S3A, ... paths).
 
-Only metadata work happens here: listing files, existence checks and
-reading a file's first line (its CSV header).  Data is always read by
+Only metadata work happens here: existence checks, deleting replaced
+versions and reading one header line per input path.  Data is always read by
 Spark's own sources."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import SparkSession
 
 
@@ -39,24 +37,37 @@ def uri_path(spark: SparkSession, uri: str) -> str:
     return _jvm(spark).java.net.URI(uri).getRawPath()
 
 
-def list_data_files(spark: SparkSession, path: str) -> list[str]:
-    """The file itself, or the visible files under a directory (recursive),
-    skipping ``_SUCCESS``-style and hidden entries."""
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
+def first_data_file(spark: SparkSession, path: str) -> str | None:
+    """The file itself, or the first visible, non-empty file under a
+    directory; the listing stops there."""
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):
-        return []
-    st = fs.getFileStatus(p)
-    if st.isFile():
-        return [qualified(spark, path)]
-    out = []
+        return None
+    if fs.getFileStatus(p).isFile():
+        return path
     it = fs.listFiles(p, True)
     while it.hasNext():
         f = it.next()
-        name = f.getPath().getName()
-        if name.startswith(("_", ".")) or f.getLen() == 0:
-            continue
-        out.append(f.getPath().toUri().toString())
-    return sorted(out)
+        if not f.getPath().getName().startswith(("_", ".")) and f.getLen() > 0:
+            return f.getPath().toUri().toString()
+    return None
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.getFileStatus(p).isFile())
+
+
+def subfolders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Folders directly under ``path`` whose name begins with ``prefix``."""
+    fs, p = _fs_path(spark, path)
+    return sorted(str(f.getPath().toUri()) for f in fs.listStatus(p)
+                  if f.isDirectory() and f.getPath().getName().startswith(prefix))
 
 
 def first_line(spark: SparkSession, path: str, max_bytes: int = 1 << 16) -> str:
@@ -67,12 +78,6 @@ def first_line(spark: SparkSession, path: str, max_bytes: int = 1 << 16) -> str:
         reader = jvm.java.io.BufferedReader(
             jvm.java.io.InputStreamReader(stream, "UTF-8"), max_bytes)
         line = reader.readLine()
-        return "" if line is None else line.lstrip("﻿")
+        return "" if line is None else line.lstrip("\ufeff")
     finally:
         stream.close()
-
-
-def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, str]:
-    """Header lines of many files, read concurrently (a few bytes each)."""
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths) or 1))) as ex:
-        return dict(zip(paths, ex.map(lambda p: first_line(spark, p), paths)))

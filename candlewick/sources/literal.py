@@ -17,21 +17,7 @@ METADATA_SCHEMA = T.StructType([
     T.StructField("extracted_at", T.StringType()),
 ])
 
-# The asset metadata the warehouse ships with.
-DEFAULT_ASSETS = [
-    {"coin_id": "bitcoin", "symbol": "BTC", "name": "Bitcoin",
-     "categories": "['Cryptocurrency', 'Layer 1']", "genesis_date": "2009-01-03",
-     "hashing_algorithm": "SHA-256"},
-    {"coin_id": "ethereum", "symbol": "ETH", "name": "Ethereum",
-     "categories": "['Cryptocurrency', 'Smart Contract']", "genesis_date": "2015-07-30",
-     "hashing_algorithm": "Ethash"},
-    {"coin_id": "solana", "symbol": "SOL", "name": "Solana",
-     "categories": "['Cryptocurrency', 'Layer 1']", "genesis_date": "2020-03-16",
-     "hashing_algorithm": "PoH"},
-]
-
-
-def metadata_rows(spark: SparkSession, rows: Sequence[dict] = DEFAULT_ASSETS,
+def metadata_rows(spark: SparkSession, rows: Sequence[dict],
                   extracted_at: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Records -> silver metadata table; a missing ``extracted_at`` gets
     the load timestamp (text ``yyyy-MM-ddTHH:mm:ssZ``)."""

@@ -10,12 +10,6 @@ from pyspark.sql import functions as F
 # Default calendar bounds of the warehouse.
 DEFAULT_LO = dt.date(2013, 1, 1)
 DEFAULT_HI = dt.date(2030, 12, 31)
-# Calendar window a data-derived spine is clamped to.  It gives every
-# spine a proven size bound (at most 109,573 days) so the calendar can
-# always be broadcast; bars outside it simply find no calendar row.
-CALENDAR_MIN = dt.date(1900, 1, 1)
-CALENDAR_MAX = dt.date(2199, 12, 31)
-CALENDAR_MAX_ROWS = (CALENDAR_MAX - CALENDAR_MIN).days + 1
 
 
 def date_spine(spark: SparkSession, lo: dt.date = DEFAULT_LO, hi: dt.date = DEFAULT_HI,
@@ -29,11 +23,9 @@ def spine_from_bounds(bounds: DataFrame, lo: str | Column, hi: str | Column,
                       name: str = "date") -> DataFrame:
     """Spine between bounds held in a (one-row) DataFrame, e.g. the
     min/max of a table, so the calendar follows the data without a driver
-    round trip.  Bounds are clamped to [CALENDAR_MIN, CALENDAR_MAX]."""
-    lo = F.col(lo) if isinstance(lo, str) else lo
-    hi = F.col(hi) if isinstance(hi, str) else hi
-    lo_c = F.greatest(lo.cast("date"), F.lit(CALENDAR_MIN))
-    hi_c = F.least(hi.cast("date"), F.lit(CALENDAR_MAX))
-    days = F.when(lo_c <= hi_c, F.sequence(lo_c, hi_c, F.expr("INTERVAL 1 DAY"))) \
+    round trip.  NULL or crossed bounds give no days."""
+    lo = (F.col(lo) if isinstance(lo, str) else lo).cast("date")
+    hi = (F.col(hi) if isinstance(hi, str) else hi).cast("date")
+    days = F.when(lo <= hi, F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))) \
         .otherwise(F.array().cast("array<date>"))
     return bounds.select(F.explode(days).alias(name))

@@ -6,6 +6,7 @@ from candlewick.operators import quality
 from candlewick.plans.batch import BatchConfig, run_batch
 from candlewick.session import scratch_path
 from candlewick.sources import csv_bars
+from tests.assets import DEFAULT_ASSETS
 
 
 def _csv(tmp_path, name, start, n, shift=0.0):
@@ -25,16 +26,16 @@ def test_run_batch_end_to_end(spark, tmp_path):
              "solana": str(tmp_path / "missing.csv")}
     cfg = BatchConfig(silver_db="t_silver", gold_db="t_gold",
                       location=scratch_path(spark, "batch-test"))
-    out = run_batch(spark, files, cfg=cfg, run_ts="2024-01-01T00:00:00Z")
+    out = run_batch(spark, files, DEFAULT_ASSETS, cfg=cfg, run_ts="2024-01-01T00:00:00Z")
     t = out["tables"]
     assert t["t_gold.fact_price_ohlcv"].count() == 150
     assert t["t_gold.dim_coin"].count() == 3
     assert t["t_gold.dim_date"].count() == 6574
-    assert {r["status"] for r in out["report"]} == {"loaded", "missing"}
+    assert {r["status"] for r in out["report"].collect()} == {"loaded", "missing"}
     assert len(out["checks"]) == 13
     assert all(r["failures"] == 0 for r in out["checks"])
     # running again replaces the tables instead of appending
-    out2 = run_batch(spark, files, cfg=cfg, run_ts="2024-01-02T00:00:00Z")
+    out2 = run_batch(spark, files, DEFAULT_ASSETS, cfg=cfg, run_ts="2024-01-02T00:00:00Z")
     assert out2["tables"]["t_gold.fact_price_ohlcv"].count() == 150
 
 
@@ -43,10 +44,17 @@ def test_run_batch_gate_fails_below_minimum(spark, tmp_path):
     cfg = BatchConfig(silver_db="g_silver", gold_db="g_gold",
                       location=scratch_path(spark, "batch-gate"))
     with pytest.raises(quality.DataQualityError, match="min_rows"):
-        run_batch(spark, files, cfg=cfg)
+        run_batch(spark, files, DEFAULT_ASSETS, cfg=cfg)
 
 
 def test_run_batch_nothing_loaded(spark, tmp_path):
     with pytest.raises(csv_bars.NoDataError):
-        run_batch(spark, {"x": str(tmp_path / "nope.csv")},
+        run_batch(spark, {"x": str(tmp_path / "nope.csv")}, DEFAULT_ASSETS,
                   cfg=BatchConfig(location=scratch_path(spark, "batch-none")))
+
+
+def test_run_batch_gate_fails_without_metadata(spark, tmp_path):
+    files = {"bitcoin": _csv(tmp_path, "bitcoin", dt.date(2020, 1, 1), 120)}
+    with pytest.raises(quality.DataQualityError, match="coin_metadata"):
+        run_batch(spark, files, [], cfg=BatchConfig(silver_db="m_silver", gold_db="m_gold",
+                                                    location=scratch_path(spark, "batch-meta")))

@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from candlewick.operators import serve
 from candlewick.session import scratch_path
-from candlewick.sources import catalog
+from candlewick.sources import catalog, fs
 
 
 def test_write_replace_discover(spark):
@@ -19,7 +20,6 @@ def test_write_replace_discover(spark):
     listed = [(r["table_schema"], r["table_name"]) for r in catalog.list_tables(spark).collect()]
     assert ("cat_gold", "fact_price_ohlcv") in listed
     assert listed == sorted(set(listed))
-    assert not catalog.table_exists(spark, "cat_gold.fact_price_ohlcv__staging")
 
 
 def test_require_rows(spark):
@@ -27,3 +27,20 @@ def test_require_rows(spark):
     assert serve.require_rows(df) is df
     with pytest.raises(serve.EmptyResult):
         serve.require_rows(df.where("id > 10"), "asset x")
+
+
+def test_a_failing_write_leaves_the_old_rows_and_one_folder(spark):
+    loc = scratch_path(spark, "cat-atomic")
+    catalog.ensure_database(spark, "cat_atomic", loc)
+    name, df = "cat_atomic.t", spark.range(5).withColumnRenamed("id", "v")
+    for k in (1, 2, 3):
+        catalog.write_table(df.where(f"v < {k}"), name, location=loc)
+    fail = df.select(F.when(F.col("v") > 2, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("v")).alias("v"))
+    with pytest.raises(Exception, match="boom"):
+        catalog.write_table(fail, name, location=loc)
+    assert sorted(r.v for r in spark.table(name).collect()) == [0, 1, 2]
+    assert len(fs.subfolders(spark, f"{loc}/t", "v-")) == 1
+    # another schema re-creates the entry
+    catalog.write_table(df.withColumn("w", F.lit("x")), name, location=loc)
+    assert spark.table(name).columns == ["v", "w"] and spark.table(name).count() == 5
+    assert len(fs.subfolders(spark, f"{loc}/t", "v-")) == 1

@@ -5,6 +5,7 @@ import pytest
 from candlewick.operators import clean, enrich, star
 from candlewick.sources import csv_bars, literal
 from candlewick.sources.spine import date_spine
+from tests.assets import DEFAULT_ASSETS
 
 RUN_TS = "2024-01-01T00:00:00Z"
 
@@ -29,13 +30,13 @@ def write(path, text):
 
 def test_f1_dirty_csv_golden(spark, tmp_path):
     f = write(tmp_path / "btc.csv", F1)
-    silver, report = csv_bars.read_bars_csv(spark, {"btc": f}, RUN_TS)
+    silver, plan = csv_bars.read_bars_csv(spark, {"btc": f}, RUN_TS)
     assert sorted(r["date"] for r in silver.collect()) == [
         "2020-01-01", "2020-01-02", "2020-01-05", "2020-01-06", "2020-01-08"]
-    rep = report.collect()
+    rep = csv_bars.ingest_report(silver, plan).collect()
     assert [(r["coin_id"], r["status"], r["rows"]) for r in rep] == [("btc", "loaded", 5)]
     enriched = enrich.enrich(clean.stage_prices(silver))
-    fact = star.fact_price(enriched, star.dim_asset(literal.metadata_rows(spark)),
+    fact = star.fact_price(enriched, star.dim_asset(literal.metadata_rows(spark, DEFAULT_ASSETS)),
                            star.dim_date(date_spine(spark)))
     got = {r["price_sk"]: r for r in fact.collect()}
     expect = {
@@ -62,8 +63,9 @@ def test_f2_different_header_orders_do_not_shift(spark, tmp_path):
 def test_f3_missing_column_and_missing_file(spark, tmp_path):
     ok = write(tmp_path / "ok.csv", "Date,Open,High,Low,Close\n2020-01-01,1,3,0.5,2\n")
     no_close = write(tmp_path / "nc.csv", "Date,Open,High,Low\n2020-01-01,1,3,0.5\n")
-    silver, report = csv_bars.read_bars_csv(
+    silver, plan = csv_bars.read_bars_csv(
         spark, {"ok": ok, "nc": no_close, "gone": str(tmp_path / "gone.csv")}, RUN_TS)
+    report = csv_bars.ingest_report(silver, plan)
     status = {r["coin_id"]: r["status"] for r in report.collect()}
     assert status == {"ok": "loaded", "nc": "missing_columns", "gone": "missing"}
     assert silver.count() == 1
@@ -105,3 +107,32 @@ def test_provenance_columns(spark, tmp_path):
     staged = clean.stage_prices(csv_bars.read_bars_csv(spark, {"x": f}, RUN_TS)[0]).first()
     assert staged["extracted_at"] == dt.datetime(2024, 1, 1)
     assert staged["price_date"] == dt.date(2020, 1, 1)
+
+
+def test_date_formats_by_source(spark, tmp_path):
+    us = write(tmp_path / "us.csv", "Date,Open,High,Low,Close\n04/29/2013,1,3,0.5,2\n")
+    iso = write(tmp_path / "iso.csv", "Date,Open,High,Low,Close\n2013-04-30 23:59:59,1,3,0.5,2\n")
+    silver, _ = csv_bars.read_bars_csv(spark, {"us": us, "iso": iso}, RUN_TS, date_format={"us": "MM/dd/yyyy"})
+    assert {r["coin_id"]: r["date"] for r in silver.collect()} == {"us": "2013-04-29", "iso": "2013-04-30"}
+    with pytest.raises(Exception, match="unparsable date"):
+        csv_bars.read_bars_csv(spark, {"us": us}, RUN_TS)[0].collect()
+
+
+def test_asset_without_a_surviving_row_is_reported(spark, tmp_path):
+    ok = write(tmp_path / "ok.csv", "Date,Open,High,Low,Close\n2020-01-01,1,3,0.5,2\n")
+    bad = write(tmp_path / "bad.csv", "Date,Open,High,Low,Close\n2020-01-01,x,x,x,x\n")
+    silver, plan = csv_bars.read_bars_csv(spark, {"ok": ok, "bad": bad}, RUN_TS)
+    got = {r["coin_id"]: (r["status"], r["rows"], r["first_date"])
+           for r in csv_bars.ingest_report(silver, plan).collect()}
+    assert got == {"ok": ("loaded", 1, "2020-01-01"), "bad": ("loaded", 0, None)}
+
+
+def test_folders_share_one_header_and_a_different_one_fails(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / "many" / f"p={k}").mkdir(parents=True)
+        write(tmp_path / "many" / f"p={k}" / "f.csv", f"Date,Open,High,Low,Close\n2020-01-0{k + 1},1,3,0.5,2\n")
+    silver, _ = csv_bars.read_bars_csv(spark, {"m": str(tmp_path / "many")}, RUN_TS)
+    assert silver.count() == 3 and {r["coin_id"] for r in silver.collect()} == {"m"}
+    write(tmp_path / "many" / "p=2" / "g.csv", "Date,Close,High,Low,Open\n2020-01-09,1,3,0.5,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_bars.read_bars_csv(spark, {"m": str(tmp_path / "many")}, RUN_TS)[0].collect()

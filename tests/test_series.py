@@ -93,3 +93,17 @@ def test_hot_key_is_spread_over_many_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_auto_takes_the_plain_window_for_dates_only(spark):
+    df = spark.range(50).select(F.lit("k").alias("k"), F.expr("date_add(DATE '2020-01-01', CAST(id AS INT))").alias("d"),
+                                F.col("id").alias("t"), F.col("id").cast("double").alias("v"))
+    plans = [series_window(df, ["k"], [o], 4, _cols)._jdf.queryExecution().optimizedPlan().toString()
+             for o in ("d", "t")]
+    assert "_cw_chunk" not in plans[0] and "_cw_chunk" in plans[1]
+
+
+def test_text_order_needs_a_bucket(spark):
+    df = spark.createDataFrame([("k", "2020-01-01", 1.0)], "k string, t string, v double")
+    with pytest.raises(TypeError, match="bucket"):
+        series_window(df, ["k"], ["t"], 4, _cols)

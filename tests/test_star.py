@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from candlewick.operators import star
 from candlewick.sources import literal
 from candlewick.sources.spine import date_spine
+from tests.assets import DEFAULT_ASSETS
 
 
 def test_dim_date_default_calendar(spark):
@@ -29,8 +30,8 @@ def test_dim_date_default_calendar(spark):
 
 
 def test_dim_asset_keys_and_latest_version(spark):
-    rows = [dict(r, extracted_at="2024-01-02T00:00:00Z") for r in literal.DEFAULT_ASSETS]
-    old = dict(literal.DEFAULT_ASSETS[0], name="Old Bitcoin", extracted_at="2023-01-01T00:00:00Z")
+    rows = [dict(r, extracted_at="2024-01-02T00:00:00Z") for r in DEFAULT_ASSETS]
+    old = dict(DEFAULT_ASSETS[0], name="Old Bitcoin", extracted_at="2023-01-01T00:00:00Z")
     meta = literal.metadata_rows(spark, rows + [old])
     dim = {r["coin_id"]: r for r in star.dim_asset(meta).collect()}
     assert dim["bitcoin"]["coin_sk"] == "cd5b1e4947e304476c788cd474fb579a"
@@ -58,7 +59,7 @@ def test_fact_keeps_unmatched_rows_with_null_keys(spark):
         enriched = enriched.withColumn(c, F.lit(None).cast("double"))
     enriched = enriched.withColumn("source", F.lit("x")).withColumn(
         "extracted_at", F.lit(None).cast("timestamp_ntz"))
-    fact = star.fact_price(enriched, star.dim_asset(literal.metadata_rows(spark)),
+    fact = star.fact_price(enriched, star.dim_asset(literal.metadata_rows(spark, DEFAULT_ASSETS)),
                            star.dim_date(date_spine(spark)))
     rows = {r["price_sk"]: r for r in fact.collect()}
     assert len(rows) == 2
@@ -66,3 +67,11 @@ def test_fact_keeps_unmatched_rows_with_null_keys(spark):
     assert got["coin_sk"] is None and got["date_id"] is None
     ok = [r for r in rows.values() if r["close_price"] == 1.0][0]
     assert ok["date_id"] == 20200101 and ok["coin_sk"] == "cd5b1e4947e304476c788cd474fb579a"
+
+
+def test_spine_is_not_clamped(spark):
+    dd = star.dim_date(date_spine(spark, dt.date(1890, 1, 1), dt.date(2250, 12, 31)))
+    r = dd.agg(F.count("*").alias("n"), F.min("date_id").alias("lo"), F.max("date_id").alias("hi")).first()
+    assert (r["n"], r["lo"], r["hi"]) == ((dt.date(2250, 12, 31) - dt.date(1890, 1, 1)).days + 1,
+                                          18900101, 22501231)
+    assert date_spine(spark, dt.date(2020, 1, 2), dt.date(2020, 1, 1)).count() == 0

@@ -26,11 +26,10 @@ def values(spark):
     return spark.createDataFrame(rows, "k string, v double")
 
 
-@pytest.mark.parametrize("accuracy", [8, 25, 100, 10_000])
-def test_exact_quantiles_match_numpy(values, accuracy):
+def test_exact_quantiles_match_numpy(values):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {r["k"]: [r[f"q_{i}"] for i in range(len(probs))]
-           for r in stats.exact_quantiles(values, "v", probs, ["k"], accuracy).collect()}
+           for r in stats.exact_quantiles(values, "v", probs, ["k"]).collect()}
     pdf = values.toPandas().dropna()
     assert set(got) == set(pdf["k"])
     for k, g in pdf.groupby("k"):
@@ -38,12 +37,48 @@ def test_exact_quantiles_match_numpy(values, accuracy):
         assert got[k] == pytest.approx(list(want), abs=1e-9), k
 
 
-def test_exact_quantiles_sorts_only_bracket_interiors(values, spark):
-    """With a coarse sketch every large group takes the bracket path; the
-    result stays exact (checked above) — here the keyless form."""
+def test_exact_quantiles_without_and_with_null_keys(values, spark):
     v = values.where("k = 'o'")
-    r = stats.exact_quantiles(v, "v", [0.5], accuracy=16).first()
+    r = stats.exact_quantiles(v, "v", [0.5]).first()
     assert r["q_0"] == pytest.approx(float(np.median(v.toPandas()["v"])), abs=1e-12)
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 5.0)], "k string, v double")
+    assert {r["k"]: r["q_0"] for r in stats.exact_quantiles(df, "v", [0.5], ["k"]).collect()} == \
+        {None: 1.5, "a": 5.0}
+
+
+def test_quantile_ranks_of_a_hot_key_lie_in_many_partitions(spark):
+    """One key with all values: its values are ranked in as many tasks as
+    there are range partitions, and only those with a wanted rank are read."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    parts = []
+    write = stats.written
+    stats.written = lambda df, name: parts.append((name, write(df, name))) or parts[-1][1]
+    try:
+        df = spark.range(40_000).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % 40_009).cast("double").alias("v"))
+        q = stats.exact_quantiles(df, "v", [0.25, 0.5], ["k"]).first()
+        want = np.quantile(df.toPandas()["v"], [0.25, 0.5])
+        assert [q["q_0"], q["q_1"]] == pytest.approx(list(want))
+        sizes = [r["count"] for r in dict(parts)["quantile-parts"].groupBy("_p").count().collect()]
+        assert len(sizes) >= 12 and max(sizes) < 10_000
+        assert dict(parts)["quantile-ranks"].select("_q").distinct().count() <= 4
+    finally:
+        stats.written = write
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_describe_keeps_every_value_in_the_mean(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(1e28,), (3.0,), (None,), (float("nan"),)], "v double")
+        r = stats.describe(df, ["v"]).first()
+        assert (r["count"], r["mean"], r["min"], r["max"]) == (2, pytest.approx(5e27), 3.0, 1e28)
+        small = stats.describe(spark.createDataFrame([(1e-11,), (3e-11,)], "v double"), ["v"], digits=12).first()
+        assert small["mean"] == pytest.approx(2e-11)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_describe_matches_pandas(values):
@@ -86,11 +121,16 @@ def returns(spark):
     return spark.createDataFrame(rows, "date date, symbol string, daily_return_pct double")
 
 
+@pytest.fixture(scope="module")
+def assets(returns):
+    return returns.select("symbol").distinct()
+
+
 @pytest.mark.parametrize("block,chunk", [(256, 4096), (2, 16), (1, 1)])
-def test_corr_matrix_matches_pandas(returns, block, chunk):
+def test_corr_matrix_matches_pandas(returns, assets, block, chunk):
     pdf = returns.toPandas().pivot(index="date", columns="symbol", values="daily_return_pct")
     want = pdf.corr()
-    got = stats.corr_matrix_long(returns, block_size=block, date_chunk=chunk).collect()
+    got = stats.corr_matrix_long(returns, assets, block_size=block, date_chunk=chunk).collect()
     assert len(got) == len(want) ** 2
     for r in got:
         w = want.loc[r["symbol_a"], r["symbol_b"]]
@@ -104,7 +144,7 @@ def test_rolling_corr_matches_pandas(returns):
     pdf = returns.toPandas().pivot(index="date", columns="symbol", values="daily_return_pct")
     want = pdf.rolling(30).corr()["A"].reset_index()
     want = want[want["symbol"] != "A"]
-    for chunk in (31, 1 << 20):
+    for chunk in (31, 1 << 20, "auto"):
         got = {(r["date"], r["symbol"]): r["rolling_corr"] for r in
                stats.rolling_corr(returns, "A", 30, chunk_rows=chunk).collect()}
         assert len(got) == len(want)
@@ -127,7 +167,7 @@ def test_pivot_rejects_duplicates(spark):
     df = spark.createDataFrame([("2020-01-01", "A", 1.0), ("2020-01-01", "A", 2.0)],
                                "date string, symbol string, daily_return_pct double")
     with pytest.raises(Exception, match="duplicate"):
-        stats.returns_pivot(df).collect()
+        stats.returns_pivot(df, ["A"]).collect()
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
@@ -140,8 +180,53 @@ def test_corr_matrix_disjoint_assets_ansi_safe(spark, ansi):
         rows += [(d0 + dt.timedelta(days=100 + i), "B", float(i % 5)) for i in range(20)]
         df = spark.createDataFrame(rows, "date date, symbol string, daily_return_pct double")
         got = {(r["symbol_a"], r["symbol_b"]): r["corr"]
-               for r in stats.corr_matrix_long(df).collect()}
-        assert got[("A", "B")] is None and got[("B", "A")] is None
+               for r in stats.corr_matrix_long(df, df.select("symbol")).collect()}
+        assert set(got) == {("A", "A"), ("B", "B")}  # no common date, no row
         assert got[("A", "A")] == 1.0
+        wide = {r["symbol"]: r for r in stats.corr_matrix_wide(df, df.select("symbol")).collect()}
+        assert wide["A"]["B"] is None and wide["B"]["B"] == 1.0
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def _returns(spark, rows):
+    import datetime as dt
+    d0 = dt.date(2020, 1, 1)
+    return spark.createDataFrame([(d0 + dt.timedelta(days=i), k, v) for i, k, v in rows],
+                                 "date date, symbol string, daily_return_pct double")
+
+
+@pytest.mark.parametrize("chunk", [8, 4096])
+def test_corr_of_a_series_that_varies_little_on_the_shared_dates(spark, chunk):
+    """Far from the key's mean on the shared dates, r is still defined."""
+    rnd = random.Random(1)
+    rows = [(i, "A", 1.0 + rnd.gauss(0, 1e-8)) for i in range(40)] + [(100 + i, "A", 2.0) for i in range(40)]
+    rows += [(i, "B", rnd.gauss(0, 1)) for i in range(40)]
+    df = _returns(spark, rows)
+    want = df.toPandas().pivot(index="date", columns="symbol", values="daily_return_pct").corr().loc["A", "B"]
+    got = {(r["symbol_a"], r["symbol_b"]): r["corr"]
+           for r in stats.corr_matrix_long(df, df.select("symbol"), date_chunk=chunk).collect()}
+    assert got[("A", "B")] == pytest.approx(want, abs=1e-5)
+
+
+def test_corr_of_a_series_flat_on_the_shared_dates_only(spark):
+    rows = [(i, "A", 0.1 if i < 10 else float(i)) for i in range(30)] + [(i, "B", float(i % 3)) for i in range(10)]
+    df = _returns(spark, rows)
+    got = {(r["symbol_a"], r["symbol_b"]): r["corr"]
+           for r in stats.corr_matrix_long(df, df.select("symbol"), date_chunk=4).collect()}
+    assert got[("A", "B")] is None and got[("A", "A")] == 1.0
+
+
+def test_correlations_reject_duplicates(spark):
+    df = _returns(spark, [(0, "A", 1.0), (0, "A", 2.0), (1, "A", 3.0), (0, "B", 1.0), (1, "B", 2.0)])
+    with pytest.raises(Exception, match="duplicate"):
+        stats.corr_matrix_long(df, df.select("symbol")).collect()
+    with pytest.raises(Exception, match="duplicate"):
+        stats.rolling_corr(df, "B", 2).collect()
+
+
+def test_few_assets_give_several_groups(spark, returns, assets):
+    m = stats.pair_moments(returns, assets, "date", "symbol", "daily_return_pct", date_chunk=16)
+    assert m.where("n = 0").count() == 0
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" in plan and "SinglePartition" not in plan
