@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 15  # characters of a chunk
 OVERLAP = 1 << 9  # characters that neighbours share on either side of a cut
 GUARD = 3  # a boundary this near a chunk's end may change with the text after it
-CACHE = 200_000  # pieces whose ids a Python worker remembers
+CACHE = 300_000  # pieces whose ids a Python worker remembers
 SLICE = 128  # rows of a slice of results
 
 
@@ -163,11 +163,13 @@ def _by_slices(batches: Iterator[pd.Series], one) -> Iterator[pd.Series]:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", *, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+           text_col: str = "text", *, chunk: int = CHUNK, overlap: int = OVERLAP,
+           round_trip: bool = False) -> DataFrame:
     """Encode every text, without special tokens.
 
     Returns one row per input row: ``id_col``, ``n_tokens`` and ``ids`` (the
-    ids packed as little-endian unsigned 32-bit integers).  Null text counts
+    ids packed as little-endian unsigned 32-bit integers); with
+    ``round_trip`` also ``decoded``, the ids decoded again in the same pass.  Null text counts
     as empty; an empty text has no ids.  Repeated rows give repeated results
     (a long text is told apart by a row number of the scan, not by its id).
     Other columns are not read.  ``ranks`` is the vocabulary, sent with the
@@ -176,10 +178,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
 
-    @F.pandas_udf("binary")
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    fields = "ids binary, decoded binary" if round_trip else "ids binary"
+
+    def results(batches: Iterator[pd.Series], pieces) -> Iterator[pd.DataFrame]:
+        """Frames of ``fields`` for the pieces of every value."""
+        table = _tokens(ranks) if round_trip else None
+        for ids in _by_slices(batches, lambda x: b"".join(pieces(x))):
+            out = {"ids": ids}
+            if round_trip:
+                out["decoded"] = [_decoded(x, table) for x in ids]
+            yield pd.DataFrame(out, dtype=object)
+
+    @F.pandas_udf(fields)
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         find, cache = _tools(ranks, pattern, key)
-        yield from _by_slices(batches, lambda t: b"".join(map(cache.__getitem__, find.findall(t))))
+        yield from results(batches, lambda t: map(cache.__getitem__, find.findall(t)))
 
     @F.pandas_udf("array<struct<no:bigint,begin:bigint,text:string>>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -191,14 +204,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         find, _ = _tools(ranks, pattern, key)
         yield from _by_slices(batches, lambda t: boundaries(t, find).astype("<i4").tobytes())
 
-    @F.pandas_udf("binary")
-    def join(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(fields)
+    def join(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         find, cache = _tools(ranks, pattern, key)
-        yield from _by_slices(batches, lambda chunks: b"".join(map(cache.__getitem__, stitch(
+        yield from results(batches, lambda chunks: map(cache.__getitem__, stitch(
             [(c["begin"], c["text"], np.frombuffer(c["ends"], dtype="<i4").astype(np.int64))
-             for c in chunks], find))))
+             for c in chunks], find)))
 
-    one = base.where(F.char_length("text") <= chunk).select("id", whole("text").alias("ids"))
+    one = base.where(F.char_length("text") <= chunk).select("id", whole("text").alias("r"))
     pieces = (base.where(F.char_length("text") > chunk)
               .withColumn("row", F.monotonically_increasing_id())
               .select("id", "row", F.explode(cut("text")).alias("c")).select("id", "row", "c.*")
@@ -206,22 +219,31 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     many = (pieces.groupBy("row").agg(
         F.first("id").alias("id"),
         F.sort_array(F.collect_list(F.struct("no", "begin", "text", "ends"))).alias("chunks"))
-        .select("id", join("chunks").alias("ids")))
+        .select("id", join("chunks").alias("r")))
     return one.unionByName(many).select(
-        F.col("id").alias(id_col), F.floor(F.octet_length("ids") / 4).alias("n_tokens"), "ids")
+        F.col("id").alias(id_col), F.floor(F.octet_length("r.ids") / 4).alias("n_tokens"), "r.*")
 
 
-def decode(tokens: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
-    """``tokens`` with ``decoded``: the raw bytes of the packed ids, which
-    need not be valid UTF-8.  A null list of ids decodes to null."""
-    table = [b""] * (max(ranks.values()) + 1)
+def _tokens(ranks: dict[bytes, int]) -> list[bytes]:
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, i in ranks.items():
         table[i] = token
+    return table
 
+
+def _decoded(packed: bytes | None, table: list[bytes]) -> bytes | None:
+    if packed is None:
+        return None
+    return b"".join(map(table.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
+
+
+def decode(tokens: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
+    """``tokens`` with ``decoded``: the raw bytes of the packed ids, which
+    need not be valid UTF-8.  A null list of ids decodes to null."""
     @F.pandas_udf("binary")
-    def to_bytes(packed: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        yield from _by_slices(packed, lambda p: None if p is None else b"".join(
-            map(table.__getitem__, np.frombuffer(p, dtype="<u4").tolist())))
+    def to_bytes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = _tokens(ranks)
+        yield from _by_slices(batches, lambda p: _decoded(p, table))
 
     return tokens.withColumn("decoded", to_bytes(ids_col))
 
@@ -235,7 +257,7 @@ def public_vocabulary(name: str = "byte_bpe_multi_50k.tiktoken"):
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:
     ranks, pattern = public_vocabulary()
-    tokens = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, pattern)
-    return decode(tokens, ranks).select(
+    tokens = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, pattern, round_trip=True)
+    return tokens.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -38,7 +38,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the bytes
     that they decode to."""
     ranks, pattern = bpe.public_vocabulary()
-    out = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
+    out = bpe.encode(docs, ranks, pattern, round_trip=True)
     return out.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
