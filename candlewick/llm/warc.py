@@ -129,14 +129,16 @@ def plan_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """(id, url, html, refers_to): rows of equal payloads of at least
     ``min_bytes`` refer to the largest id among them, which itself and all
     rows without a partner refer to nothing.  Digests are counted first,
-    combined map-side; only digests that occur twice are joined back, so a
-    payload that a third of the rows share is a single row of that side."""
+    combined map-side; only digests that occur twice are written and joined
+    back: a broadcast while they are small, else a join whose skewed payloads
+    AQE splits, as one that a third of the rows share is one row of that side."""
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                         F.coalesce(payload_col, F.lit("")).alias("html"))
     base = base.withColumn("sha", F.sha1(F.encode("html", "UTF-8")))
     many = (base.where(F.octet_length("html") >= min_bytes).groupBy("sha")
             .agg(F.count("*").alias("n"), F.max("id").alias("top")).where("n > 1")
             .select(F.col("sha").alias("d_sha"), "top"))
+    many = written(many, "payload-copies")
     return (base.join(many, F.col("sha") == F.col("d_sha"), "left")
             .select("id", "url", "html",
                     F.when(~F.col("top").eqNullSafe(F.col("id")), F.col("top")).alias("refers_to")))
@@ -195,7 +197,9 @@ def read_archives(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=names).astype({"header_length": "Int64"})
 
-    return manifest.select("file").repartition("file").mapInPandas(read, CHUNK_SCHEMA)
+    # one task per archive: by size alone the few manifest rows would share one
+    files = manifest.select("file")
+    return files.repartition(max(1, files.count())).mapInPandas(read, CHUNK_SCHEMA)
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
