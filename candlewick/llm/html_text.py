@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.url_filter import host_of
+from candlewick.session import written
 
 MIN_PAGES = 5  # distinct pages of a host that must share a template subtree
 MIN_SHARE = 0.2  # and the share of the host's distinct pages
@@ -273,7 +274,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     or odd urls) share the empty host.  Repeated rows give repeated results.
     Malformed html is read as far as it goes.  Other columns are not read.
     """
-    found = host_templates(pages, url_col, html_col, min_pages=min_pages, min_share=min_share)
+    # written: small files make the join a broadcast that leaves the pages where
+    # they are, large ones a join whose skewed hosts AQE splits
+    found = written(host_templates(pages, url_col, html_col, min_pages=min_pages,
+                                   min_share=min_share), "site-templates")
     rows = (pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                          host_of(F.col(url_col)).alias("host"),
                          F.coalesce(html_col, F.lit("")).alias("html"))
