@@ -49,6 +49,7 @@ def shared_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = (keyed.where("id IS NOT NULL").select("a", "b", "id").distinct()
               .groupBy("a", "b").agg(F.count("*").alias("n"), F.max("id").alias("keep"))
               .where(F.col("n") >= min_docs).select("a", "b", "keep"))
+    shared = written(shared, "shared-lines")  # a side of its own, so AQE can split a common line
     return (keyed.join(shared, ["a", "b"]).where("id IS NULL OR id <> keep")
             .groupBy("id", "th").agg(F.collect_list("pos").alias("drop"))
             .select(F.col("id").alias("d_id"), F.col("th").alias("d_th"), "drop"))
