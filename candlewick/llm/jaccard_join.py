@@ -303,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     merged = (classes.select("ckey", "rep", "copies")
               .join(roots, F.col("ckey") == F.col("node"), "left")
               .select("ckey", "rep", "copies", F.coalesce("root", "ckey").alias("root")))
-    least = merged.groupBy("root").agg(F.min("rep").alias("class_id"))
+    least = written(merged.groupBy("root").agg(F.min("rep").alias("class_id")), "class-ids")
     table = (merged.join(least, "root").join(counts.withColumnRenamed("ckey", "l_key"),
                                              F.col("ckey") == F.col("l_key"), "left")
              .select(F.col("ckey").alias("t_key"), "class_id", F.coalesce("links", F.lit(0)).alias("links"),
