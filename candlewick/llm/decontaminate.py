@@ -19,12 +19,15 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.session import written
+
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6  # share of an item's own BM25 score
 OVERLAP = 0.5  # share of the n-grams of question and of answer
@@ -167,7 +170,7 @@ def build_indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str
         for s in batches:
             yield s.map(words_of)
 
-    counted = items.withColumn("words", words("text"))
+    counted = written(items.withColumn("words", words("text")), "test-items")
     n, chars, length = counted.agg(F.count("*"), F.sum(F.char_length("text")),
                                    F.sum(F.size("words"))).first()
     if not n:
@@ -187,26 +190,22 @@ def build_indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str
     return out
 
 
-def matches_of(text: Column, indexes: list[Index]) -> Column:
+def matches_of(text: Column, index: Index) -> Column:
     """Array of the verified test items of a text (fields of ``MATCH``); empty
-    for null and empty texts and for an empty benchmark."""
-    def of(index: Index):
-        @F.pandas_udf(MATCH)
-        def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            names = ("item", "score", "question", "answer", "begin", "end")
-            for s in batches:
-                yield pd.Series([[dict(zip(names, m)) for m in index.matches(t)] for t in s],
-                                dtype=object)
-        return match(F.coalesce(text, F.lit("")))
+    for null and empty texts."""
+    @F.pandas_udf(MATCH)
+    def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        names = ("item", "score", "question", "answer", "begin", "end")
+        for s in batches:
+            yield pd.Series([[dict(zip(names, m)) for m in index.matches(t)] for t in s],
+                            dtype=object)
 
-    if not indexes:
-        return F.array().cast(MATCH)
-    return F.concat(*[of(i) for i in indexes])
+    return match(F.coalesce(text, F.lit("")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id",
-                 item_text_col: str = "text") -> DataFrame:
+                 item_text_col: str = "text", *, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """(document, test item) pairs with ``score``, ``question`` and ``answer``
     overlap and the passage (``begin``, ``end`` in words) that shows them.
 
@@ -214,16 +213,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     reported; rows that repeat a document repeat its pairs.  Other columns
     are not read.
     """
-    indexes = build_indexes(benchmark, item_col, item_text_col)
-    found = docs.select(F.col(id_col).alias("id"), matches_of(F.col(text_col), indexes).alias("m"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    empty = rows.limit(0).select("id", F.array().cast(MATCH).alias("m"))
+    # a pass per shard: a task holds one index at a time
+    found = reduce(DataFrame.unionByName,
+                   [rows.select("id", matches_of(F.col("text"), index).alias("m"))
+                    for index in build_indexes(benchmark, item_col, item_text_col, shard_chars=shard_chars)]
+                   or [empty])
     return (found.select("id", F.explode("m").alias("m"))
             .select(F.col("id").alias(id_col), F.col("m.item").alias(item_col), "m.score",
                     "m.question", "m.answer", "m.begin", "m.end"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns) that show no test item."""
-    return docs.where(F.size(matches_of(F.col(text_col), build_indexes(benchmark))) == 0)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *,
+                      shard_chars: int = SHARD_CHARS) -> DataFrame:
+    """The rows of ``docs`` (all columns) that show no test item: one pass per
+    shard, written in between."""
+    for k, index in enumerate(build_indexes(benchmark, shard_chars=shard_chars)):
+        docs = (written(docs, "clean-so-far") if k else docs).where(
+            F.size(matches_of(F.col(text_col), index)) == 0)
+    return docs
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -262,16 +262,17 @@ def test_shards_find_the_same(spark):
     items, docs = items_and_docs()
     bench, rows = spark.createDataFrame(items, "item_id long, text string"), docs_of(spark, docs)
 
-    def pairs(indexes):
-        m = decontaminate.matches_of(F.col("text"), indexes)
-        return {(r.doc_id, r.m.item, round(r.m.score, 9))
-                for r in rows.select("doc_id", F.explode(m).alias("m")).collect()}
+    def leaks(**kw):
+        # windows depend on the longest item of a shard, scores of whole leaks do not
+        return {(r.doc_id, r.item_id) for r in decontaminate.contaminated(rows, bench, **kw).collect()
+                if r.score > 0.999}
 
     many = decontaminate.build_indexes(bench, shard_chars=2500)
     assert len(many) >= 3 and {i for x in many for i in x.ids} == {i for i, _ in items}
-    one = pairs(decontaminate.build_indexes(bench))
-    # windows depend on the longest item of a shard, scores of whole leaks do not
-    assert {p for p in one if p[2] > 0.999} == {p for p in pairs(many) if p[2] > 0.999}
+    assert leaks() == leaks(shard_chars=2500) and len(leaks()) > 10
+    clean = decontaminate.drop_contaminated(rows, bench, shard_chars=2500)
+    assert clean.columns == rows.columns
+    assert not {i for i, _ in leaks()} & {r.doc_id for r in clean.collect()}
 
 
 def test_decontamination_of_nothing(spark):
