@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import bpe, decontaminate, jaccard_join, line_dedup, quality
-from candlewick.session import written
+from candlewick.session import scratch_path, temporary
+from candlewick.sources import fs
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +58,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Rows of the last stage.  What a stage wrote for itself, and the result
+    of the stage before, are deleted once its own result is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            fs.delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -5,6 +5,8 @@ from collections import Counter
 
 import corpus_pipeline
 from candlewick.llm import quality
+from candlewick.session import ensure_checkpoint_dir
+from candlewick.sources import fs
 from tests.conftest import SF_SMALL
 from tests.llm.test_native_ops import brute_dedup, brute_signals
 from tests.llm.test_python_ops import brute_classes, brute_matches, plain, table
@@ -24,7 +26,11 @@ def test_pipeline(spark):
     items = table("benchmark", "item_id, text")
     rows = [(i, t) for i, t in rows if not brute_matches(t, items)]
     assert 0 < len(rows) < len(kept) < len(docs)
+    base = ensure_checkpoint_dir(spark)
+    there = set(fs.subfolders(spark, base, ""))
     out = corpus_pipeline.run(spark, SF_SMALL).collect()
+    left = set(fs.subfolders(spark, base, "")) - there
+    assert [x.rsplit("/", 1)[1].rsplit("-", 1)[0] for x in left] == ["pipeline-bpe"]
     sha = lambda b: hashlib.sha256(b).hexdigest()
     assert Counter((r.doc_id, r.n_tokens, bytes(r.ids), r.ids_sha256, r.decoded_sha256) for r in out) == Counter(
         (i, len(plain(t)) // 4, plain(t), sha(plain(t)), sha(t.encode())) for i, t in rows)
