@@ -64,6 +64,6 @@ def parse_number(c) -> Column:
     return (
         F.when(s.rlike(NUMBER_PATTERN), F.trim(s).try_cast("double"))
         .when(s.rlike(INFINITY_PATTERN),
-              F.when(F.trim(s).startswith("-"), F.lit(float("-inf")))
+              F.when(s.rlike(r"^\s*-"), F.lit(float("-inf")))
               .otherwise(F.lit(float("inf"))))
     )

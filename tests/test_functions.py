@@ -32,7 +32,7 @@ def test_safe_pct_zero_open_is_null(spark, ansi):
 @pytest.mark.parametrize("text,expected", [
     ("12d", None), ("NaN", None), ("-", None), ("1,234.5", None), ("oops", None), ("", None),
     (" 12.5 ", 12.5), ("1e3", 1000.0), ("-.5", -0.5), ("+7", 7.0), ("inf", math.inf),
-    ("-Infinity", -math.inf),
+    ("-Infinity", -math.inf), ("\t-inf", -math.inf), ("\t 7", 7.0),
 ])
 def test_parse_number(spark, text, expected):
     assert one(spark, parse_number(F.col("t")), t=text) == expected
