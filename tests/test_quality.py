@@ -41,3 +41,16 @@ def test_min_rows_and_enforce(dirty):
     assert quality.enforce(warn)[0]["failures"] == 1
     with pytest.raises(quality.DataQualityError):
         quality.enforce(quality.combine(ok, quality.min_rows(dirty, 6, "t")))
+
+
+def test_profiles_agree_with_the_single_checks(dirty, spark):
+    got = {r["check"]: r["failures"] for r in quality.key_profile(dirty, "k", "t").collect()}
+    assert got == {"not_null": quality.not_null(dirty, ["k"]).first()["failures"],
+                   "unique": quality.unique(dirty, "k").first()["failures"]}
+    ks = spark.createDataFrame([("a",), ("a",), (None,), ("x",)], "k string")
+    ds = spark.createDataFrame([(1,), (3,)], "d int")
+    rows = {(r["check"], r["column_name"]): (r["failures"], r["severity"])
+            for r in quality.reference_profile(dirty, ["k", "v"], {"k": ks, "d": ds}).collect()}
+    assert rows == {("not_null", "k"): (1, "error"), ("not_null", "v"): (1, "error"),
+                    ("relationships", "k"): (quality.relationships(dirty, "k", ks, "k").first()["failures"], "warn"),
+                    ("relationships", "d"): (quality.relationships(dirty, "d", ds, "d").first()["failures"], "warn")}
