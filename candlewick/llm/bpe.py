@@ -19,15 +19,15 @@ from collections.abc import Iterator
 from types import ModuleType
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.rows import row_function
+
 CHUNK = 1 << 15  # characters of a chunk
 OVERLAP = 1 << 9  # characters that neighbours share on either side of a cut
 GUARD = 3  # a boundary this near a chunk's end may change with the text after it
 CACHE = 300_000  # pieces whose ids a Python worker remembers
-SLICE = 128  # rows of a slice of results
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -154,14 +154,6 @@ def _tools(ranks: dict[bytes, int], pattern: str, key: str):
     return held[key]
 
 
-def _by_slices(batches: Iterator[pd.Series], one) -> Iterator[pd.Series]:
-    """``one`` of every value, in slices, so that a batch's results are not
-    held beside the batch."""
-    for s in batches:
-        for at in range(0, len(s), SLICE):
-            yield pd.Series([one(x) for x in s.iloc[at:at + SLICE]], dtype=object)
-
-
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
            text_col: str = "text", *, chunk: int = CHUNK, overlap: int = OVERLAP,
            round_trip: bool = False) -> DataFrame:
@@ -178,44 +170,44 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
 
-    fields = "ids binary, decoded binary" if round_trip else "ids binary"
-
-    def results(batches: Iterator[pd.Series], pieces) -> Iterator[pd.DataFrame]:
-        """Frames of ``fields`` for the pieces of every value."""
-        table = _tokens(ranks) if round_trip else None
-        for ids in _by_slices(batches, lambda x: b"".join(pieces(x))):
-            out = {"ids": ids}
-            if round_trip:
-                out["decoded"] = [_decoded(x, table) for x in ids]
-            yield pd.DataFrame(out, dtype=object)
-
-    @F.pandas_udf(fields)
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        find, cache = _tools(ranks, pattern, key)
-        yield from results(batches, lambda t: map(cache.__getitem__, find.findall(t)))
-
-    @F.pandas_udf("array<struct<no:bigint,begin:bigint,text:string>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        yield from _by_slices(batches, lambda t: [{"no": no, "begin": begin, "text": part}
-                                                  for no, begin, part in chunks_of(t, chunk, overlap)])
-
-    @F.pandas_udf("binary")
-    def ends(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    result = "struct<ids:binary,decoded:binary>" if round_trip else "struct<ids:binary>"
+
+    def coded(pieces_of):
+        """A row function's maker: ``pieces_of(find)`` gives the pieces of a value."""
+        def make():
+            find, cache = _tools(ranks, pattern, key)
+            pieces, table = pieces_of(find), _tokens(ranks) if round_trip else None
+
+            def one(x):
+                ids = b"".join(map(cache.__getitem__, pieces(x)))
+                return {"ids": ids, "decoded": _decoded(ids, table)} if round_trip else {"ids": ids}
+
+            return one
+
+        return make
+
+    def ends():
         find, _ = _tools(ranks, pattern, key)
-        yield from _by_slices(batches, lambda t: boundaries(t, find).astype("<i4").tobytes())
+        return lambda t: boundaries(t, find).astype("<i4").tobytes()
+
+    def cut():
+        return lambda t: [{"no": no, "begin": begin, "text": part}
+                          for no, begin, part in chunks_of(t, chunk, overlap)]
 
-    @F.pandas_udf(fields)
-    def join(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        find, cache = _tools(ranks, pattern, key)
-        yield from results(batches, lambda chunks: map(cache.__getitem__, stitch(
-            [(c["begin"], c["text"], np.frombuffer(c["ends"], dtype="<i4").astype(np.int64))
-             for c in chunks], find)))
+    def stitched(find):
+        return lambda chunks: stitch([
+            (c["begin"], c["text"], np.frombuffer(c["ends"], dtype="<i4").astype(np.int64))
+            for c in chunks], find)
 
+    whole = row_function(coded(lambda find: find.findall), result)
+    join = row_function(coded(stitched), result)
+    cuts = row_function(cut, "array<struct<no:bigint,begin:bigint,text:string>>")
+    bounds = row_function(ends, "binary")
     one = base.where(F.char_length("text") <= chunk).select("id", whole("text").alias("r"))
     pieces = (base.where(F.char_length("text") > chunk)
               .withColumn("row", F.monotonically_increasing_id())
-              .select("id", "row", F.explode(cut("text")).alias("c")).select("id", "row", "c.*")
-              .repartition("row", "no").withColumn("ends", ends("text")))
+              .select("id", "row", F.explode(cuts("text")).alias("c")).select("id", "row", "c.*")
+              .repartition("row", "no").withColumn("ends", bounds("text")))
     many = (pieces.groupBy("row").agg(
         F.first("id").alias("id"),
         F.sort_array(F.collect_list(F.struct("no", "begin", "text", "ends"))).alias("chunks"))
@@ -240,12 +232,11 @@ def _decoded(packed: bytes | None, table: list[bytes]) -> bytes | None:
 def decode(tokens: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
     """``tokens`` with ``decoded``: the raw bytes of the packed ids, which
     need not be valid UTF-8.  A null list of ids decodes to null."""
-    @F.pandas_udf("binary")
-    def to_bytes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def to_bytes():
         table = _tokens(ranks)
-        yield from _by_slices(batches, lambda p: _decoded(p, table))
+        return lambda p: _decoded(p, table)
 
-    return tokens.withColumn("decoded", to_bytes(ids_col))
+    return tokens.withColumn("decoded", row_function(to_bytes, "binary")(ids_col))
 
 
 def public_vocabulary(name: str = "byte_bpe_multi_50k.tiktoken"):

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.rows import row_function
 from candlewick.session import written
 
 K1, B = 1.2, 0.75
@@ -165,11 +165,7 @@ def build_indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text"))
     items = items.where(F.col("item").isNotNull() & F.col("text").rlike(r"(?U)\w"))
 
-    @F.pandas_udf("array<string>")
-    def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(words_of)
-
+    words = row_function(lambda: words_of, "array<string>")
     counted = written(items.withColumn("words", words("text")), "test-items")
     n, chars, length = counted.agg(F.count("*"), F.sum(F.char_length("text")),
                                    F.sum(F.size("words"))).first()
@@ -193,14 +189,12 @@ def build_indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str
 def matches_of(text: Column, index: Index) -> Column:
     """Array of the verified test items of a text (fields of ``MATCH``); empty
     for null and empty texts."""
-    @F.pandas_udf(MATCH)
-    def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        names = ("item", "score", "question", "answer", "begin", "end")
-        for s in batches:
-            yield pd.Series([[dict(zip(names, m)) for m in index.matches(t)] for t in s],
-                            dtype=object)
-
-    return match(F.coalesce(text, F.lit("")))
+    names = ("item", "score", "question", "answer", "begin", "end")
+
+    def match():
+        return lambda t: [dict(zip(names, m)) for m in index.matches(t)]
+
+    return row_function(match, MATCH)(F.coalesce(text, F.lit("")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",

@@ -14,12 +14,11 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.rows import row_function
 from candlewick.llm.url_filter import host_of
 from candlewick.session import written
 
@@ -250,15 +249,10 @@ def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
                          F.coalesce(html_col, F.lit("")).alias("html"))
             .withColumn("page", F.xxhash64("html")))
 
-    def hashes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(h, p, x) for h, p, t in zip(f["host"], f["page"], f["html"])
-                    for x in template_hashes(t)]
-            yield pd.DataFrame(rows, columns=["host", "page", "hash"])
-
+    hashes = row_function(lambda: lambda t: sorted(template_hashes(t)), "array<bigint>")
     sizes = (base.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
              .where(F.col("pages") >= min_pages))
-    marks = (base.mapInPandas(hashes, "host string, page bigint, hash bigint").distinct()
+    marks = (base.select("host", "page", F.explode(hashes("html")).alias("hash")).distinct()
              .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
     return (marks.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages"))
             .groupBy("host").agg(F.collect_list("hash").alias("templates")))
@@ -284,13 +278,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             .join(found.withColumnRenamed("host", "t_host"), F.col("host") == F.col("t_host"), "left")
             .select("id", "url", "html", "templates"))
 
-    @F.pandas_udf("string")
-    def texts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for html, templates in batches:
-            yield pd.Series([main_text(h, frozenset(() if t is None else t))
-                             for h, t in zip(html, templates)], dtype=object)
-
-    return rows.select(F.col("id").alias(id_col), "url", texts("html", "templates").alias("text"))
+    texts = row_function(lambda: lambda r: main_text(r["html"], frozenset(r["templates"] or ())), "string")
+    return rows.select(F.col("id").alias(id_col), "url", texts(F.struct("html", "templates")).alias("text"))
 
 
 def op10_html_text(spark, sf_dir: str) -> DataFrame:

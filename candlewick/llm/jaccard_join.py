@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.rows import packed, unpacked
+from candlewick.llm.rows import packed, row_function, unpacked
 from candlewick.session import written
 
 NGRAM = 5
@@ -100,19 +100,22 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
                        F.coalesce(text_col, F.lit("")).alias("text"))
 
-    @F.pandas_udf("ckey binary, label binary")
-    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def sign():
         import xxhash
 
         hashes = WordHashes()
-        for texts in batches:
-            split = [t.lower().split() for t in texts]
-            yield pd.DataFrame({
-                "ckey": [xxhash.xxh3_128_digest("\n".join(w)) if w else None for w in split],
-                "label": [label(shingles(w, hashes, n), trees, values) if w else None for w in split]},
-                dtype=object)
 
-    return base.withColumn("s", sign("text")).select("id", "th", "s.ckey", "s.label")
+        def one(text):
+            words = text.lower().split()
+            if not words:
+                return {"ckey": None, "label": None}
+            return {"ckey": xxhash.xxh3_128_digest("\n".join(words)),
+                    "label": label(shingles(words, hashes, n), trees, values)}
+
+        return one
+
+    signed = row_function(sign, "struct<ckey:binary,label:binary>")
+    return base.withColumn("s", signed("text")).select("id", "th", "s.ckey", "s.label")
 
 
 def candidate_units(classes: DataFrame, depth: int, trees: int, values: int, block: int) -> DataFrame:
@@ -274,13 +277,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("th").alias("rep_th")), "classes")
     kind = sig.schema["id"].dataType.simpleString()
 
-    @F.pandas_udf("binary")
-    def gram_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def gram_set():
         hashes = WordHashes()
-        for texts in batches:
-            yield pd.Series([shingles(t.lower().split(), hashes, n).tobytes() for t in texts],
-                            dtype=object)
+        return lambda text: shingles(text.lower().split(), hashes, n).tobytes()
 
+    gram_sets = row_function(gram_set, "binary")
     floor = longest_prefix(threshold, recall, trees, values)
     depth = max(floor, longest_prefix(max(threshold, FIRST_SIMILARITY), recall, trees, values))
     while True:
@@ -291,7 +292,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         texts = (docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
                  .join(reps, F.col("th") == F.col("rep_th"))
                  .select("ckey", "text").dropDuplicates(["ckey"]))
-        grams = texts.select(F.col("ckey").alias("g_key"), gram_set("text").alias("grams"))
+        grams = texts.select(F.col("ckey").alias("g_key"), gram_sets("text").alias("grams"))
         linked = written(verify(units.join(grams, F.col("ckey") == F.col("g_key")), depth, floor,
                                 threshold=threshold, trees=trees, values=values), "links")
         found, expected = linked.agg(F.sum("found"), F.sum("expected")).first()

@@ -14,10 +14,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.rows import row_function
+
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
 MAX_LANGUAGES = 1000  # the model is MAX_LANGUAGES x BUCKETS floats at most; more is an error
@@ -56,26 +58,28 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"):
     base = (labelled.where(F.col(lang_col).isNotNull())
             .select(F.col(lang_col).alias("lang"), F.coalesce(text_col, F.lit("")).alias("text")))
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, held = letter_table(), {}
 
-        def flush() -> pd.DataFrame:
-            rows = [pd.DataFrame({"lang": k, "bucket": np.flatnonzero(v), "n": v[v > 0]})
-                    for k, v in held.items()]
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, v in held.items():
+                bucket = np.flatnonzero(v)
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array([lang] * len(bucket), pa.string()),
+                    "bucket": pa.array(bucket, pa.int32()), "n": pa.array(v[bucket], pa.int64())})
             held.clear()
-            return pd.concat(rows)
 
-        for f in frames:
-            for lang, text in zip(f["lang"], f["text"]):
+        for batch in batches:
+            for lang, text in zip(batch["lang"], batch["text"]):
+                lang = lang.as_py()
                 if lang not in held:
                     if len(held) >= FLUSH_LANGUAGES:
-                        yield flush()
+                        yield from flush()
                     held[lang] = np.zeros(BUCKETS, dtype=np.int64)
-                held[lang] += np.bincount(trigrams(text, letters), minlength=BUCKETS)
-        if held:
-            yield flush()
+                held[lang] += np.bincount(trigrams(text.as_py(), letters), minlength=BUCKETS)
+        yield from flush()
 
-    counts = (base.mapInPandas(count, "lang string, bucket int, n bigint")
+    counts = (base.mapInArrow(count, "lang string, bucket int, n bigint")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     per = counts.groupBy("lang").agg(F.collect_list("bucket").alias("b"), F.collect_list("n").alias("n"))
     rows = per.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
@@ -138,24 +142,24 @@ def identify(docs: DataFrame, languages: list[str], loglik: np.ndarray, id_col:
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     model = loglik.astype(np.float32)
 
-    @F.pandas_udf("lang_pred string, score double, languages array<string>, proportions array<double>")
-    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def guess():
         letters, lp = letter_table(), model.astype(np.float64)
-        names = np.array(languages, dtype=object)
-        for texts in batches:
-            rows = []
-            for t in texts:
-                grams = trigrams(t, letters)
-                if not len(grams) or not len(names):
-                    rows.append(("und", 0.0, [], []))
-                    continue
-                which, w = mixture(grams, lp)
-                order = np.argsort(-w, kind="stable")
-                rows.append((names[which[order[0]]], min(1.0, float(w[order[0]])),
-                             list(names[which[order]]), [float(x) for x in w[order]]))
-            yield pd.DataFrame(rows, columns=["lang_pred", "score", "languages", "proportions"])
-
-    return (base.withColumn("g", guess("text"))
+
+        def one(text):
+            grams = trigrams(text, letters)
+            if not len(grams) or not languages:
+                return {"lang_pred": "und", "score": 0.0, "languages": [], "proportions": []}
+            which, w = mixture(grams, lp)
+            order = np.argsort(-w, kind="stable")
+            names = [languages[k] for k in which[order]]
+            return {"lang_pred": names[0], "score": min(1.0, float(w[order[0]])), "languages": names,
+                    "proportions": w[order].tolist()}
+
+        return one
+
+    guessed = row_function(guess, "struct<lang_pred:string,score:double,languages:array<string>,"
+                                  "proportions:array<double>>")
+    return (base.withColumn("g", guessed("text"))
             .select(F.col("id").alias(id_col), "g.lang_pred", "g.score", "g.languages", "g.proportions"))
 
 

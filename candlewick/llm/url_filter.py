@@ -13,12 +13,12 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.rows import row_function
+
 TOKEN = "[a-z0-9]+"
 
 # Host rules (host, path, verdict): a host with its subdomains and the start of a path.
@@ -117,8 +117,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             always.append(n)
     index = dict(index)
 
-    @F.pandas_udf("rule string, verdict string, pattern string")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def judge():
         split = re.compile(TOKEN)
         compiled = [re.compile(rx) for rx, _, _ in rules]
 
@@ -129,13 +128,13 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             for n in sorted(fetched):  # in order of precedence
                 if compiled[n].match(target):
                     rx, rule, verdict = rules[n]
-                    return rule, verdict, None if rule else rx
-            return None, default, None
+                    return {"rule": rule, "verdict": verdict, "pattern": None if rule else rx}
+            return {"rule": None, "verdict": default, "pattern": None}
 
-        for targets in batches:
-            yield pd.DataFrame([one(t) for t in targets], columns=["rule", "verdict", "pattern"])
+        return one
 
-    return (base.withColumn("j", judge("target"))
+    judged = row_function(judge, "struct<rule:string,verdict:string,pattern:string>")
+    return (base.withColumn("j", judged("target"))
             .select(F.col("id").alias(id_col), "host", "path", "j.rule", "j.verdict", "j.pattern"))
 
 

@@ -17,7 +17,6 @@ import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from candlewick.llm import bpe, decontaminate, html_text, jaccard_join, lang_id, warc
 from candlewick.session import scratch_path
