@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,17 +59,19 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids")
+    """An element; ``h1`` and ``core`` tell what it holds (see ``_CORE``)."""
+
+    __slots__ = ("tag", "attrs", "kids", "h1", "core")
 
     def __init__(self, tag: str, attrs: str):
-        self.tag, self.attrs, self.kids = tag, attrs, []
+        self.tag, self.attrs, self.kids, self.h1, self.core = tag, attrs, [], False, False
 
 
 def parse(html: str) -> Node:
     """A light element tree: text is kept as it stands, end tags that are
     missing or too many are forgiven, raw-text elements are not parsed."""
     root = Node("#root", "")
-    stack, at = [root], 0
+    stack, at, nodes = _Open(root), 0, [root]
     m = _TAG.search(html)
     while m:
         if m.start() > at:
@@ -78,47 +81,67 @@ def parse(html: str) -> Node:
         if tag is not None:
             tag = tag.lower()
             if m[1]:
-                _close(stack, tag)
+                stack.close(tag)
             else:
                 if tag in CLOSES_P:
-                    _leave(stack, ("p",))
+                    stack.leave(("p",))
                 elif tag in SAME_LEVEL:
-                    _leave(stack, SAME_LEVEL[tag])
+                    stack.leave(SAME_LEVEL[tag])
                 node = Node(tag, m[3])
                 stack[-1].kids.append(node)
+                nodes.append(node)
                 if tag in RAW:
                     end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                     node.kids.append(html[at:end.start() if end else len(html)])
                     at = end.end() if end else len(html)
-                elif tag not in VOID and not m[3].endswith("/"):
-                    stack.append(node)
-                elif tag not in VOID and tag not in ("svg", "path"):
-                    stack.append(node)  # a slash does not close an HTML element
+                elif tag not in VOID and not (m[3].endswith("/") and tag in ("svg", "path")):
+                    stack.push(node)  # a slash does not close an HTML element
         m = _TAG.search(html, at)
     if at < len(html):
         stack[-1].kids.append(html[at:])
+    for node in reversed(nodes):  # elements begin before those they hold
+        for k in node.kids:
+            if isinstance(k, Node):
+                node.h1 |= k.h1 or k.tag == "h1"
+                node.core |= k.core or k.tag in _CORE
     return root
 
 
-def _leave(stack: list[Node], tags: tuple[str, ...]) -> None:
-    """Close an open element of ``tags`` in the present scope."""
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in tags:
-            del stack[k:]
-            return
-        if stack[k].tag in SCOPE:
-            return
+class _Open(list):
+    """The open elements, with how many there are of each tag."""
+
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.tags = Counter()
+
+    def push(self, node: Node) -> None:
+        self.append(node)
+        self.tags[node.tag] += 1
 
+    def cut(self, k: int) -> None:
+        self.tags.subtract(x.tag for x in self[k:])
+        del self[k:]
 
-def _close(stack: list[Node], tag: str) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
-            return
-        if tag in INLINE and stack[k].tag not in INLINE:
-            return  # an inline end tag does not close blocks
-        if tag == "p" and stack[k].tag in SCOPE:
-            return
+    def leave(self, tags: tuple[str, ...]) -> None:
+        """Close an open element of ``tags`` in the present scope."""
+        if any(self.tags[t] for t in tags):
+            for k in range(len(self) - 1, 0, -1):
+                if self[k].tag in tags:
+                    return self.cut(k)
+                if self[k].tag in SCOPE:
+                    return None
+        return None
+
+    def close(self, tag: str) -> None:
+        if self.tags[tag]:
+            for k in range(len(self) - 1, 0, -1):
+                if self[k].tag == tag:
+                    return self.cut(k)
+                if tag in INLINE and self[k].tag not in INLINE:
+                    return None  # an inline end tag does not close blocks
+                if tag == "p" and self[k].tag in SCOPE:
+                    return None
+        return None
 
 
 def _traits(node: Node) -> tuple[frozenset[str], bool]:
@@ -135,18 +158,6 @@ def _traits(node: Node) -> tuple[frozenset[str], bool]:
     return frozenset(words), hidden
 
 
-def _holds(node: Node, tags: frozenset[str]) -> bool:
-    todo = list(node.kids)
-    while todo:
-        x = todo.pop()
-        if isinstance(x, Node):
-            if x.tag in tags:
-                return True
-            todo.extend(x.kids)
-    return False
-
-
-_HEADING = frozenset(["h1"])
 _CORE = frozenset(["h1", "article", "main", "body"])
 
 
@@ -156,58 +167,75 @@ def furniture(node: Node, in_article: bool) -> bool:
     if node.tag in DROPPED or hidden:
         return True
     if node.tag == "header":
-        return not (in_article and _holds(node, _HEADING))
+        return not (in_article and node.h1)
     if words & FURNITURE and node.tag not in ("html", "body", "main"):
-        return not _holds(node, _CORE) or bool(words & {"comment", "comments"})
+        return not node.core or bool(words & {"comment", "comments"})
     return False
 
 
-def text_in(node: Node) -> str:
-    """All text of a subtree on one line, markup dropped."""
-    parts, todo = [], [node]
-    while todo:
-        x = todo.pop()
-        if isinstance(x, str):
-            parts.append(x)
-        elif x.tag not in RAW:
-            todo.extend(reversed(x.kids))
-            if x.tag not in INLINE:
-                parts.append(" ")
-    return " ".join(entities.unescape("".join(parts)).split())
-
-
-def subtree_hash(node: Node) -> int:
-    """64-bit hash of tag, attributes' words and text; 0 without text."""
+def subtree_hashes(top: Node) -> dict[int, int]:
+    """Signed 64-bit hash by ``id`` of the elements of a subtree that hold
+    text: of the tag, the words of its attributes, its text with white space
+    as one blank and the hashes of the elements in it, from the leaves up."""
     import xxhash
 
-    text = text_in(node)
-    if not text:
-        return 0
-    words = " ".join(sorted(_traits(node)[0]))
-    return xxhash.xxh64_intdigest(f"{node.tag}\0{words}\0{text}") - (1 << 63)
+    order, todo, out = [], [top], {}
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [k for k in node.kids if isinstance(k, Node) and k.tag not in RAW]
+    for node in reversed(order):
+        parts = []
+        for k in node.kids:
+            if isinstance(k, str):
+                k = " ".join(k.split())
+                if k:
+                    parts.append(k)
+            elif id(k) in out:
+                parts.append(f"\1{out[id(k)]}")
+        if parts:
+            head = " ".join([node.tag, *sorted(_traits(node)[0])])
+            out[id(node)] = xxhash.xxh3_64_intdigest("\0".join([head, *parts])) - (1 << 63)
+    return out
+
+
+def is_template(node: Node) -> bool:
+    """Whether an element can be site template: a container that holds
+    neither the heading nor the article."""
+    return node.tag in TEMPLATE and not node.core
 
 
 def template_hashes(html: str) -> set[int]:
-    """Hashes of the subtrees of a page that can be site template: containers
-    that hold neither the heading nor the article, the outermost and those
-    inside them, and are not dropped by name anyway."""
+    """Hashes of the subtrees of a page that can be site template and are not
+    dropped by name anyway, nested ones included."""
     found, todo = set(), [(parse(html), False)]
     while todo:
         node, inside = todo.pop()
-        if node.tag in TEMPLATE and not _holds(node, _CORE):
-            found.add(subtree_hash(node))
+        if is_template(node):
+            hashes, inner = subtree_hashes(node), [node]
+            while inner:
+                x = inner.pop()
+                if is_template(x) and id(x) in hashes:
+                    found.add(hashes[id(x)])
+                inner += [k for k in x.kids if isinstance(k, Node)]
+            continue
         inside = inside or node.tag in ("article", "main")
         todo += [(k, inside) for k in node.kids if isinstance(k, Node) and not furniture(k, inside)]
-    return found - {0}
+    return found
 
 
 def main_text(html: str, templates=frozenset()) -> str:
     """Text of the article: blocks in page order, white space as one blank."""
-    root = parse(html)
+    root, hashes = parse(html), {}
 
     def bad(k: Node, inside: bool) -> bool:
-        return furniture(k, inside) or bool(
-            templates and k.tag in TEMPLATE and not _holds(k, _CORE) and subtree_hash(k) in templates)
+        if furniture(k, inside):
+            return True
+        if not templates or not is_template(k):
+            return False
+        if id(k) not in hashes:  # of the outermost container, then its own are there
+            hashes.update({id(k): None} | subtree_hashes(k))
+        return hashes[id(k)] in templates
 
     tops, todo = [], [root]
     while todo:  # the outermost articles, else the outermost main, else the page
@@ -224,7 +252,7 @@ def main_text(html: str, templates=frozenset()) -> str:
                 tops.append(node)
             else:
                 todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not bad(k, False)]
-    inside = bool(tops)
+    inside, own = bool(tops), {id(x) for x in tops}
     parts, todo = [], list(reversed(tops or [root]))
     while todo:
         x = todo.pop()
@@ -232,7 +260,7 @@ def main_text(html: str, templates=frozenset()) -> str:
             parts.append(x)
         elif x is None:
             parts.append("\n")
-        elif x in tops or not bad(x, inside):
+        elif id(x) in own or not bad(x, inside):
             block = x.tag not in INLINE
             if block:
                 parts.append("\n")

@@ -401,7 +401,9 @@ FULL = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><b
     ("", ""), ("plain  text", "plain text"), ("a < b &lt; c", "a < b < c"),
     ("<body><nav>n</nav><div>Hello <i>w</i>orld<br>x</div><div class=sidebar>s</div>", "Hello world x"),
     ("<article><p>open <b>bold<p>next</article><footer>f", "open bold next"),
-    ("<article>" + "<div>" * 5000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
+    ("<article>" + "<div>" * 50_000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
+    ("<article>a" + "<b title=\"" * 20_000, "a"), ("<" * 100_000, "<" * 100_000),
+    ("<div>" * 30_000 + "x" + "</section></p></i>" * 30_000, "x"), ("<p>" + "<i>" * 30_000 + "<p>" * 30_000 + "y", "y"),
     ("<article>x</article><article>y</article>", "x y"), ("<article><p>caf&eacute; &#x41;&#66;</p>", "café AB"),
     ("<ARTICLE><P CLASS='x>y'>up</P></ARTICLE>", "up"), ("<article>1 <!-- open", "1"), ("<p>a</p><p>b", "a b"),
 ])
@@ -409,6 +411,15 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+def test_hashes_of_deep_nesting():
+    page = "<body>" + "<div>x" * 20_000 + "</div>" * 20_000
+    assert len(html_text.template_hashes(page)) == 20_000
+    assert html_text.main_text(page, html_text.template_hashes(page)) == ""
+    assert html_text.template_hashes("<div> </div><nav>n</nav><p>x") == set()
+    one, two = (html_text.template_hashes(f"<div class='b a'>t  <i>u</i></div><p>{k}") for k in "12")
+    assert one == two and len(one) == 1
+
+
 def test_extraction_from_the_pages(spark):
     out = {r.page_id: r for r in html_text.op10_html_text(spark, SF_TESTED).collect()}
     pages = table("pages", "page_id, url, html", SF_TESTED)
