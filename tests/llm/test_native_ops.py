@@ -10,7 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.llm import license_scan, line_dedup, quality, registry, url_filter
+from candlewick.llm import html_text, license_scan, line_dedup, quality, registry, url_filter, warc
 from tests.conftest import SF_SMALL
 from tools.oracle_check import rows_of
 
@@ -236,3 +236,34 @@ def test_sha_of_kept_text(spark):
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{SF_SMALL}/documents.parquet'").fetchall()
     text = next(k for (i, _, _, k) in brute_dedup(docs) if i == got.doc_id)
     assert got.kept_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are when a side is too large to broadcast."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def shuffled_by(df, *keys):
+    """Sides of joins that are shuffled on ``keys`` for the join alone: both
+    must be, or AQE cannot split a partition that one key fills."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    key = ", ".join(rf"{k}#\d+L?" for k in keys)
+    return len(re.findall(rf"Exchange hashpartitioning\({key}, \d+\), ENSURE_REQUIREMENTS", plan))
+
+
+def test_joins_on_hot_keys_can_be_split(spark, no_broadcast):
+    docs = docs_of(spark, dedup_rows())
+    drops = line_dedup.shared_positions(docs)
+    assert shuffled_by(drops, "a", "b") == 2
+    pages = spark.createDataFrame([(1, "http://a/", "x"), (2, "http://a/", "x")],
+                                  "page_id long, url string, html string")
+    planned = warc.plan_revisits(pages)
+    assert shuffled_by(planned, "sha") + shuffled_by(planned, "d_sha") == 2
+    found = html_text.extract(pages)
+    assert shuffled_by(found, "host") + shuffled_by(found, "t_host") == 2
