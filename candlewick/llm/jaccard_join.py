@@ -119,9 +119,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
 
 
 def candidate_units(classes: DataFrame, depth: int, trees: int, values: int, block: int) -> DataFrame:
-    """(bucket, bi, bj, tree, ckey, block, copies, label): classes by pair of
-    blocks of every node that shares a prefix of ``depth`` values."""
-    nodes = classes.select("ckey", "copies", "label", F.posexplode(F.array(*[
+    """(bucket, bi, bj, tree, ckey, block, copies): classes by pair of blocks
+    of every node that shares a prefix of ``depth`` values.  Labels stay
+    behind; only classes of a node with company are looked up again."""
+    nodes = classes.select("ckey", "copies", F.posexplode(F.array(*[
         F.xxhash64(F.lit(t), F.substring("label", 1 + 2 * values * t, 2 * depth))
         for t in range(trees)])).alias("tree", "bucket"))
     size = (nodes.groupBy("bucket", "tree").agg(
@@ -133,9 +134,9 @@ def candidate_units(classes: DataFrame, depth: int, trees: int, values: int, blo
     units = (nodes.join(once, (F.col("bucket") == F.col("k_bucket")) & (F.col("tree") == F.col("k_tree")))
              .withColumn("block", F.pmod(F.xxhash64(F.lit(2), "ckey"), F.col("blocks")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return (units.select("bucket", "tree", "ckey", "block", "copies", "label", other.alias("o"))
+    return (units.select("bucket", "tree", "ckey", "block", "copies", other.alias("o"))
             .select("bucket", F.least("block", "o").alias("bi"), F.greatest("block", "o").alias("bj"),
-                    "tree", "ckey", "block", "copies", "label"))
+                    "tree", "ckey", "block", "copies"))
 
 
 def compare(tree: int, same_block: bool, block: np.ndarray, labels: np.ndarray,
@@ -288,11 +289,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         units = written(candidate_units(classes, depth, trees, values, block), "units")
         wanted = units.select("ckey").distinct()
         # a text of each wanted class: that of its least text hash
-        reps = classes.join(wanted, "ckey", "left_semi").select("ckey", "rep_th")
+        reps = classes.join(wanted, "ckey", "left_semi").select("ckey", "rep_th", "label")
         texts = (docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
                  .join(reps, F.col("th") == F.col("rep_th"))
-                 .select("ckey", "text").dropDuplicates(["ckey"]))
-        grams = texts.select(F.col("ckey").alias("g_key"), gram_sets("text").alias("grams"))
+                 .select("ckey", "label", "text").dropDuplicates(["ckey"]))
+        grams = texts.select(F.col("ckey").alias("g_key"), "label", gram_sets("text").alias("grams"))
         linked = written(verify(units.join(grams, F.col("ckey") == F.col("g_key")), depth, floor,
                                 threshold=threshold, trees=trees, values=values), "links")
         found, expected = linked.agg(F.sum("found"), F.sum("expected")).first()
