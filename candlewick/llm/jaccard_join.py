@@ -186,7 +186,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
     return [find(x) for x in range(n)]
 
 
-def verify(units: DataFrame, depth: int, floor: int, *, threshold: float, trees: int,
+def verify(units: DataFrame, depth: int, *, threshold: float, trees: int,
            values: int) -> DataFrame:
     """One row per class and unit with a link: ckey, root (least class it is
     joined to in the unit), links (documents), texts (classes) and, for the
@@ -285,16 +285,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gram_sets = row_function(gram_set, "binary")
     floor = longest_prefix(threshold, recall, trees, values)
     depth = max(floor, longest_prefix(max(threshold, FIRST_SIMILARITY), recall, trees, values))
+    # the n-grams of every class that has company at the floor, from one text
+    # of each (that of its least text hash): texts are moved once for all rounds
+    company = candidate_units(classes, floor, trees, values, block).select("ckey").distinct()
+    reps = classes.join(company, "ckey", "left_semi").select("ckey", "rep_th", "label")
+    texts = (docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+             .join(reps, F.col("th") == F.col("rep_th"))
+             .select("ckey", "label", "text").dropDuplicates(["ckey"]))
+    grams = written(texts.select(F.col("ckey").alias("g_key"), "label", gram_sets("text").alias("grams")),
+                    "n-grams")
     while True:
-        units = written(candidate_units(classes, depth, trees, values, block), "units")
-        wanted = units.select("ckey").distinct()
-        # a text of each wanted class: that of its least text hash
-        reps = classes.join(wanted, "ckey", "left_semi").select("ckey", "rep_th", "label")
-        texts = (docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-                 .join(reps, F.col("th") == F.col("rep_th"))
-                 .select("ckey", "label", "text").dropDuplicates(["ckey"]))
-        grams = texts.select(F.col("ckey").alias("g_key"), "label", gram_sets("text").alias("grams"))
-        linked = written(verify(units.join(grams, F.col("ckey") == F.col("g_key")), depth, floor,
+        units = candidate_units(classes, depth, trees, values, block)
+        linked = written(verify(units.join(grams, F.col("ckey") == F.col("g_key")), depth,
                                 threshold=threshold, trees=trees, values=values), "links")
         found, expected = linked.agg(F.sum("found"), F.sum("expected")).first()
         if depth == floor or not expected or found >= recall * expected:
