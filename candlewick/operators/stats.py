@@ -289,17 +289,20 @@ def one_value(long: DataFrame, date: str, key: str, value: str) -> DataFrame:
 
 
 def pair_moments(long: DataFrame, assets: DataFrame, date: str, key: str, value: str,
-                 block_size: int = 256, date_chunk: int = 256) -> DataFrame:
+                 block_size: int = 256, date_chunk: int | None = None) -> DataFrame:
     """Moments of every key pair (a <= b, diagonal included) of the asset set
     over the dates where both have a value: key_a, key_b, n and the columns of
     ``_MOMENTS``.  Pairs without a common date have no row.
 
     ``assets`` (its first column) names the keys; others are left out.  Keys
     are dealt to blocks by hash, dates to chunks by value, so neither needs a
-    global numbering, and a few assets still give a group per date chunk."""
+    global numbering.  A chunk returns a row per pair, so chunks are long
+    (4,096 days) where block pairs already give many groups and short (256)
+    where all assets are one block."""
     assets = assets.select(F.col(assets.columns[0]).alias("_ak")).where(F.col("_ak").isNotNull()).distinct()
     assets = written(assets, "correlated-assets")
     blocks = max(1, -(-assets.count() // block_size))
+    date_chunk = date_chunk or (256 if blocks == 1 else 4096)
     kind = long.schema[date].dataType
     day = F.unix_date("_d") if isinstance(kind, T.DateType) else (
         F.col("_d") if isinstance(kind, (T.IntegerType, T.LongType)) else time_bucket("_d", kind))
@@ -366,8 +369,9 @@ def corr_pairs(fact: DataFrame, dim_asset: DataFrame, value: str = "daily_return
                digits: int = CORR_DIGITS, **kw) -> DataFrame:
     """Documented pair query: correlation of each unordered asset pair over
     common calendar days, the pair oriented by surrogate key (a < b)."""
-    rows = fact.where(F.col("date_id").isNotNull() & F.col("coin_sk").isNotNull())
-    m = pair_moments(rows, dim_asset.select("coin_sk"), "date_id", "coin_sk", value, **kw).where(
+    # yyyymmdd as a day, so that chunks of days are even
+    rows = fact.select("coin_sk", value, F.to_date(F.col("date_id").cast("string"), "yyyyMMdd").alias("day"))
+    m = pair_moments(rows, dim_asset.select("coin_sk"), "day", "coin_sk", value, **kw).where(
         F.col("key_a") != F.col("key_b"))
     syms = dim_asset.select("coin_sk", "symbol")
     return (m.withColumn("correlation", corr_from_moments(digits))
