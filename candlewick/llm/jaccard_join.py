@@ -3,11 +3,11 @@
 Texts are sets of word n-grams.  Texts with the same words are one class
 before anything is compared.  A class has one label per tree of the forest:
 a sequence of MinHash values.  Classes that share a label prefix in a tree
-are candidates.  Matched prefixes start long and are shortened until the
-links found, weighted by the chance each had of being found, say that the
-target recall is reached; a floor bounds the shortening where even links at
-the threshold itself reach the target.  Candidates are verified by their
-exact n-gram sets.
+are candidates.  The prefix matched is the full label shortened until links
+at the threshold itself are found with the target recall, so the chance of a
+link does not hang on what other links there are; a shorter prefix finds all
+that a longer one finds, so one round at that length is the whole search.
+Candidates are verified by their exact n-gram sets.
 
 Nothing emits all pairs of a group.  A prefix node goes to tasks in blocks
 of bounded size (every pair of blocks is a unit), a unit returns one row per
@@ -33,7 +33,6 @@ NGRAM = 5
 THRESHOLD = 0.8
 TREES, LABEL = 10, 8  # trees of the forest, values of a label (two bytes each)
 RECALL = 0.99
-FIRST_SIMILARITY = 0.85  # prefixes start where links of this similarity reach the target
 BLOCK = 256  # classes of a block
 SHINGLES_AT_ONCE = 2048
 WORD_CACHE = 200_000
@@ -140,9 +139,9 @@ def candidate_units(classes: DataFrame, depth: int, trees: int, values: int, blo
 
 
 def compare(tree: int, same_block: bool, block: np.ndarray, labels: np.ndarray,
-            grams: list[np.ndarray], depth: int, threshold: float) -> tuple[np.ndarray, ...]:
-    """(i, j, similarity) of the links in a unit: pairs of different blocks
-    (of one block if the unit is that), first met in ``tree``."""
+            grams: list[np.ndarray], depth: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of the links in a unit: pairs of different blocks (of one block
+    if the unit is that), first met in ``tree``."""
     size = np.array([len(g) for g in grams])
     flat = np.concatenate(grams)
     owner = np.repeat(np.arange(len(grams)), size)
@@ -166,8 +165,7 @@ def compare(tree: int, same_block: bool, block: np.ndarray, labels: np.ndarray,
     for t in range(tree):
         pairs &= ~met(t)
     union = size[:, None] + size[None, :] - both
-    i, j = np.nonzero(pairs & (both >= threshold * union - 1e-6))
-    return i, j, both[i, j] / union[i, j]
+    return np.nonzero(pairs & (both >= threshold * union - 1e-6))
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
@@ -189,17 +187,15 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
 def verify(units: DataFrame, depth: int, *, threshold: float, trees: int,
            values: int) -> DataFrame:
     """One row per class and unit with a link: ckey, root (least class it is
-    joined to in the unit), links (documents), texts (classes) and, for the
-    recall, ``found`` and ``expected`` links (each found link stands for one
-    over its chance) at this depth."""
-    cols = ["ckey", "root", "links", "texts", "found", "expected"]
+    joined to in the unit), links (documents) and texts (classes)."""
+    cols = ["ckey", "root", "links", "texts"]
 
     def run(unit: list[tuple]) -> pd.DataFrame | None:
         unit.sort(key=lambda r: r[4])
         grams = [np.frombuffer(r[8], dtype="<u8") for r in unit]
         labels = np.stack([np.frombuffer(r[7], dtype=">u2") for r in unit]).reshape(-1, trees, values)
-        i, j, sim = compare(unit[0][3], unit[0][1] == unit[0][2], np.array([r[5] for r in unit]),
-                            labels, grams, depth, threshold)
+        i, j = compare(unit[0][3], unit[0][1] == unit[0][2], np.array([r[5] for r in unit]),
+                       labels, grams, depth, threshold)
         if not len(i):
             return None
         m, copies = len(unit), np.array([r[6] for r in unit], dtype=np.int64)
@@ -209,9 +205,7 @@ def verify(units: DataFrame, depth: int, *, threshold: float, trees: int,
         has = np.flatnonzero(texts)
         return pd.DataFrame({
             "ckey": [unit[k][4] for k in has], "root": [unit[root[k]][4] for k in has],
-            "links": links[has].astype(np.int64), "texts": texts[has].astype(np.int64),
-            "found": np.bincount(i, minlength=m)[has].astype(float),
-            "expected": np.bincount(i, 1 / found_chance(sim, depth, trees), m)[has]}, columns=cols)
+            "links": links[has].astype(np.int64), "texts": texts[has].astype(np.int64)}, columns=cols)
 
     def all_units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, rows, out = None, [], []
@@ -230,8 +224,7 @@ def verify(units: DataFrame, depth: int, *, threshold: float, trees: int,
 
     return (units.select("bucket", "bi", "bj", "tree", "ckey", "block", "copies", "label", "grams")
             .repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj")
-            .mapInPandas(all_units, "ckey binary, root binary, links bigint, texts bigint, "
-                                    "found double, expected double"))
+            .mapInPandas(all_units, "ckey binary, root binary, links bigint, texts bigint"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -283,25 +276,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return lambda text: shingles(text.lower().split(), hashes, n).tobytes()
 
     gram_sets = row_function(gram_set, "binary")
-    floor = longest_prefix(threshold, recall, trees, values)
-    depth = max(floor, longest_prefix(max(threshold, FIRST_SIMILARITY), recall, trees, values))
-    # the n-grams of every class that has company at the floor, from one text
-    # of each (that of its least text hash): texts are moved once for all rounds
-    company = candidate_units(classes, floor, trees, values, block).select("ckey").distinct()
-    reps = classes.join(company, "ckey", "left_semi").select("ckey", "rep_th", "label")
+    depth = longest_prefix(threshold, recall, trees, values)
+    # the n-grams of every class that has company, from one text of each (that
+    # of its least text hash)
+    units = candidate_units(classes, depth, trees, values, block)
+    reps = (classes.join(units.select("ckey").distinct(), "ckey", "left_semi")
+            .select("ckey", "rep_th", "label"))
     texts = (docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
              .join(reps, F.col("th") == F.col("rep_th"))
              .select("ckey", "label", "text").dropDuplicates(["ckey"]))
     grams = written(texts.select(F.col("ckey").alias("g_key"), "label", gram_sets("text").alias("grams")),
                     "n-grams")
-    while True:
-        units = candidate_units(classes, depth, trees, values, block)
-        linked = written(verify(units.join(grams, F.col("ckey") == F.col("g_key")), depth,
-                                threshold=threshold, trees=trees, values=values), "links")
-        found, expected = linked.agg(F.sum("found"), F.sum("expected")).first()
-        if depth == floor or not expected or found >= recall * expected:
-            break
-        depth -= 1
+    linked = written(verify(units.join(grams, F.col("ckey") == F.col("g_key")), depth,
+                            threshold=threshold, trees=trees, values=values), "links")
     roots = components(linked.select(F.col("ckey").alias("u"), F.col("root").alias("v")))
     counts = linked.groupBy("ckey").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     merged = (classes.select("ckey", "rep", "copies")

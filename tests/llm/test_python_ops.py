@@ -156,6 +156,26 @@ def test_blocks_do_not_change_the_result(spark):
         classes_of(jaccard_join.near_duplicates(docs, block=1000))
 
 
+def test_large_groups_do_not_hide_pairs(spark):
+    """Pairs at the threshold reach the recall beside a group with far more links."""
+    rnd = random.Random(6)
+    base = [f"g{k}" for k in range(404)]
+    group = []
+    for k in range(150):  # any two share 390 of 410 n-grams or more: 11,175 links
+        w = list(base)
+        w[10 + 2 * k] = f"own{k}"
+        group.append((k, " ".join(w), "en", "s", 1))
+    pairs = []
+    for k in range(1000):  # 80 of 100 n-grams
+        w = [f"p{k}w{x}" for x in range(94)]
+        v = list(w)
+        v[rnd.randrange(10, 40)] = v[rnd.randrange(50, 80)] = "changed"
+        pairs += [(1000 + 2 * k, " ".join(w), "en", "s", 1), (1001 + 2 * k, " ".join(v), "en", "s", 1)]
+    out = jaccard_join.near_duplicates(docs_of(spark, group + pairs)).collect()
+    found = sum(r.class_id == r.doc_id - 1 for r in out if r.doc_id >= 1000 and r.doc_id % 2)
+    assert found >= jaccard_join.RECALL * 1000
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.near_duplicates(docs_of(spark, [])).collect() == []
     assert classes_of(jaccard_join.near_duplicates(docs_of(spark, EDGES[:3]))) == brute_classes(EDGES[:3])
