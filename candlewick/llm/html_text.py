@@ -54,7 +54,7 @@ FURNITURE = frozenset(
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+[^>]*+)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"(class|id|role|aria-hidden|hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTR = re.compile(r"([^\s/=>]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -144,18 +144,22 @@ class _Open(list):
         return None
 
 
+def _attributes(node: Node) -> dict[str, str]:
+    """Value by name of the attributes of an element, read as whole
+    name[=value] pairs; the first of a name counts."""
+    found = {}
+    for k, v in _ATTR.findall(node.attrs):
+        found.setdefault(k.lower(), v[1:].rstrip(v[0]) if v[:1] in ("'", '"') else v)
+    return found
+
+
 def _traits(node: Node) -> tuple[frozenset[str], bool]:
     """(words of class, id and role; hidden)."""
-    if not node.attrs or "=" not in node.attrs and "hidden" not in node.attrs:
+    if not node.attrs:
         return frozenset(), False
-    words, hidden = set(), False
-    for k, v in _ATTR.findall(node.attrs):
-        k, v = k.lower(), v.strip("\"'")
-        if k == "hidden" or (k == "aria-hidden" and v.lower() == "true"):
-            hidden = True
-        else:
-            words.update(w.lower() for w in _WORD.findall(v))
-    return frozenset(words), hidden
+    of = _attributes(node)
+    words = {w.lower() for k in ("class", "id", "role") for w in _WORD.findall(of.get(k, ""))}
+    return frozenset(words), "hidden" in of or of.get("aria-hidden", "").strip().lower() == "true"
 
 
 _CORE = frozenset(["h1", "article", "main", "body"])
@@ -248,7 +252,7 @@ def main_text(html: str, templates=frozenset()) -> str:
         todo = [root]
         while todo:
             node = todo.pop()
-            if node.tag == "main" or re.search(r"\brole\s*=\s*[\"']?main\b", node.attrs):
+            if node.tag == "main" or "main" in _attributes(node).get("role", "").split():
                 tops.append(node)
             else:
                 todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not bad(k, False)]

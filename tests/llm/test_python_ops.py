@@ -431,6 +431,25 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize("attrs", [
+    'style="overflow:hidden"', 'data-hidden="false"', "href='/hidden-gems'", 'href="/p?id=search"', 'data-id="menu"',
+    'title="class=ad"', 'data-role=banner', 'aria-hidden="false"', 'data-x="a>b" data-class = sidebar'])
+def test_only_whole_attributes_count(attrs):
+    for page in (f"<body {attrs}><article>x</article>", f"<article {attrs}>x", f"<article><div {attrs}>x</div>",
+                 f"<body><div {attrs}>x</div>"):
+        assert html_text.main_text(page) == "x"
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "HIDDEN=''", "aria-hidden='true'", "title=x hidden", 'Class="ad"', "id=sidebar",
+                                   "class=menu id=b", 'role="search"'])
+def test_named_attributes_still_count(attrs):
+    assert html_text.main_text(f"<article>x<div {attrs}>y</div></article>") == "x"
+
+
+def test_role_main_is_an_attribute():
+    assert html_text.main_text("<div data-role='main'>x</div><div role='main'>y</div>") == "y"
+
+
 def test_hashes_of_deep_nesting():
     page = "<body>" + "<div>x" * 20_000 + "</div>" * 20_000
     assert len(html_text.template_hashes(page)) == 20_000
