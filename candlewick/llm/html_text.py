@@ -50,6 +50,12 @@ FURNITURE = frozenset(
     "subscription signup login sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs "
     "pagination pager footer masthead comment comments disqus reply replies respond share sharing "
     "social related recommended search toolbar widget contentinfo complementary skip".split())
+COMMENTS = frozenset(["comment", "comments"])
+# Words that beside those make a class of page furniture inside an article too.
+NEUTRAL = frozenset(
+    "area block bottom box button buttons container form inner item items left link links list "
+    "outer post posts right section slot top unit wrap wrapper".split())
+NAMED = frozenset("h1 h2 h3 h4 h5 h6 p".split())  # their ids are made from their text
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -59,12 +65,13 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    """An element; ``h1`` and ``core`` tell what it holds (see ``_CORE``)."""
+    """An element; ``h1`` and ``core`` tell what it holds (see ``_CORE``),
+    ``size`` how many characters of text outside elements of ``DROPPED``."""
 
-    __slots__ = ("tag", "attrs", "kids", "h1", "core")
+    __slots__ = ("tag", "attrs", "kids", "h1", "core", "size")
 
     def __init__(self, tag: str, attrs: str):
-        self.tag, self.attrs, self.kids, self.h1, self.core = tag, attrs, [], False, False
+        self.tag, self.attrs, self.kids, self.h1, self.core, self.size = tag, attrs, [], False, False, 0
 
 
 def parse(html: str) -> Node:
@@ -104,6 +111,10 @@ def parse(html: str) -> Node:
             if isinstance(k, Node):
                 node.h1 |= k.h1 or k.tag == "h1"
                 node.core |= k.core or k.tag in _CORE
+                if k.tag not in DROPPED:
+                    node.size += k.size
+            else:
+                node.size += len(k.strip())
     return root
 
 
@@ -165,16 +176,44 @@ def _traits(node: Node) -> tuple[frozenset[str], bool]:
 _CORE = frozenset(["h1", "article", "main", "body"])
 
 
-def furniture(node: Node, in_article: bool) -> bool:
-    """Whether an element is page furniture by its name or attributes."""
-    words, hidden = _traits(node)
-    if node.tag in DROPPED or hidden:
+def _named(node: Node, in_article: bool) -> tuple[bool, bool]:
+    """Whether class, id or role name an element page furniture, and comments.
+
+    Classes that tell what an element has or has not (``has-sidebar``) do not
+    name it.  Outside the article one word is enough, but for ids of sections,
+    headings and paragraphs.  Inside, and in those ids, a name counts as a
+    whole, and so does a class of such words and neutral ones
+    (``related-posts``); only containers go."""
+    if not node.attrs or in_article and node.tag not in TEMPLATE and node.tag != "article":
+        return False, False
+    of, found, comments = _attributes(node), False, False
+    for key in ("class", "id", "role"):
+        if key == "id" and node.tag in NAMED:
+            continue
+        for name in of.get(key, "").split():
+            words = [w.lower() for w in _WORD.findall(name)]
+            if not words or words[0] in ("has", "no", "with") and len(words) > 1:
+                continue
+            own = [w for w in words if w in FURNITURE]
+            whole = len(words) == 1 or key != "id" and NEUTRAL.issuperset(set(words) - set(own))
+            if own and (whole or not in_article and not (key == "id" and node.tag == "section")):
+                found = True
+                comments |= whole and not COMMENTS.isdisjoint(own)
+    return found, comments
+
+
+def furniture(node: Node, in_article: bool, whole: int) -> bool:
+    """Whether an element is page furniture by its name or attributes.  By its
+    class, id or role alone, one with most of the ``whole`` characters of the
+    article or page is not, unless it is named comments."""
+    if node.tag in DROPPED or _traits(node)[1]:
         return True
     if node.tag == "header":
         return not (in_article and node.h1)
-    if words & FURNITURE and node.tag not in ("html", "body", "main"):
-        return not node.core or bool(words & {"comment", "comments"})
-    return False
+    if node.tag in ("html", "body", "main"):
+        return False
+    found, comments = _named(node, in_article)
+    return found and (comments or not node.core and 2 * node.size <= whole)
 
 
 def subtree_hashes(top: Node) -> dict[int, int]:
@@ -212,9 +251,10 @@ def is_template(node: Node) -> bool:
 def template_hashes(html: str) -> set[int]:
     """Hashes of the subtrees of a page that can be site template and are not
     dropped by name anyway, nested ones included."""
-    found, todo = set(), [(parse(html), False)]
+    root = parse(html)
+    found, todo = set(), [(root, False, root.size)]
     while todo:
-        node, inside = todo.pop()
+        node, inside, whole = todo.pop()
         if is_template(node):
             hashes, inner = subtree_hashes(node), [node]
             while inner:
@@ -223,8 +263,10 @@ def template_hashes(html: str) -> set[int]:
                     found.add(hashes[id(x)])
                 inner += [k for k in x.kids if isinstance(k, Node)]
             continue
-        inside = inside or node.tag in ("article", "main")
-        todo += [(k, inside) for k in node.kids if isinstance(k, Node) and not furniture(k, inside)]
+        if not inside and node.tag in ("article", "main"):
+            inside, whole = True, node.size
+        todo += [(k, inside, whole) for k in node.kids
+                 if isinstance(k, Node) and not furniture(k, inside, whole)]
     return found
 
 
@@ -232,8 +274,8 @@ def main_text(html: str, templates=frozenset()) -> str:
     """Text of the article: blocks in page order, white space as one blank."""
     root, hashes = parse(html), {}
 
-    def bad(k: Node, inside: bool) -> bool:
-        if furniture(k, inside):
+    def bad(k: Node, inside: bool, whole: int) -> bool:
+        if furniture(k, inside, whole):
             return True
         if not templates or not is_template(k):
             return False
@@ -247,7 +289,7 @@ def main_text(html: str, templates=frozenset()) -> str:
         if node.tag == "article":
             tops.append(node)
         else:
-            todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not bad(k, False)]
+            todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not bad(k, False, root.size)]
     if not tops:
         todo = [root]
         while todo:
@@ -255,8 +297,8 @@ def main_text(html: str, templates=frozenset()) -> str:
             if node.tag == "main" or "main" in _attributes(node).get("role", "").split():
                 tops.append(node)
             else:
-                todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not bad(k, False)]
-    inside, own = bool(tops), {id(x) for x in tops}
+                todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not bad(k, False, root.size)]
+    inside, own, whole = bool(tops), {id(x) for x in tops}, root.size
     parts, todo = [], list(reversed(tops or [root]))
     while todo:
         x = todo.pop()
@@ -264,7 +306,9 @@ def main_text(html: str, templates=frozenset()) -> str:
             parts.append(x)
         elif x is None:
             parts.append("\n")
-        elif id(x) in own or not bad(x, inside):
+        elif id(x) in own or not bad(x, inside, whole):
+            if id(x) in own:
+                whole = x.size
             block = x.tag not in INLINE
             if block:
                 parts.append("\n")

@@ -446,6 +446,37 @@ def test_named_attributes_still_count(attrs):
     assert html_text.main_text(f"<article>x<div {attrs}>y</div></article>") == "x"
 
 
+BODY = "<p>words of the article that are most of its text</p>"
+
+
+@pytest.mark.parametrize("part", [
+    '<h2 id="related-work">y</h2>', '<section id="search-algorithms">y</section>', '<p id="notices">y</p>',
+    '<h2 id="social-history">y</h2>', '<span class="ad">y</span>', '<h2 id="comments">y</h2>',
+    '<div class="content has-sidebar">y</div>', '<div class="no-ads with-comments">y</div>',
+    '<div class="search-algorithms">y</div>'])
+def test_parts_of_the_article_stay(part):
+    want = "words of the article that are most of its text y"
+    assert html_text.main_text(f"<article>{BODY}{part}</article>") == want
+    if 'class="ad' not in part and 'class="search' not in part:  # outside one word of a class is enough
+        assert html_text.main_text(f"<body>{BODY}{part}") == want
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="related-posts">y</div>', '<div id="comments">y</div>', '<ul class="social">y</ul>',
+    '<section class="box newsletter">y</section>', '<div class="shareButtons">y</div>', '<div role="search">y</div>',
+    '<div class="comment-list"><h1>y</h1></div>', f'<div id="comments">{BODY * 3}</div>'])
+def test_furniture_of_the_article_goes(part):
+    assert html_text.main_text(f"<article>{BODY}{part}</article>") == "words of the article that are most of its text"
+
+
+def test_most_of_the_text_stays():
+    want = "T words of the article that are most of its text"
+    for name in ("page-sidebar content", "widget", "content has-sidebar"):
+        part = f'<div class="{name}">{BODY}</div>'
+        for page in (f"<h1>T</h1>{part}", f"<article><h1>T</h1>{part}</article>", f"<main><h1>T</h1>{part}</main>"):
+            assert html_text.main_text(page) == want
+
+
 def test_role_main_is_an_attribute():
     assert html_text.main_text("<div data-role='main'>x</div><div role='main'>y</div>") == "y"
 
