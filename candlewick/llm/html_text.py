@@ -2,12 +2,13 @@
 
 Pages are parsed into light element trees in two passes.  The first hashes
 the element subtrees that can be template (containers outside the headings
-and paragraphs of the article) and Spark counts, per host, on how many
-distinct pages each hash stands; the second pass deletes subtrees that recur
-across many pages of their host and takes the text of the article.  Pages
-with equal html count once, so copies of an article do not make it a
-template.  Counting is split by (host, hash) and combined map-side; the list
-of a host's templates is bounded by the share it asks for.
+and paragraphs of the article) and Spark counts, per host and per section of
+a host, on how many distinct pages each hash stands; the second pass deletes
+subtrees that recur across many pages of their host or section and takes the
+text of the article.  Pages with equal html count once, so copies of an
+article do not make it a template.  Counting is split by (host, section,
+hash) and combined map-side; a page's list of templates is bounded by the
+shares it asks for.
 """
 
 from __future__ import annotations
@@ -16,15 +17,15 @@ import html as entities
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.rows import row_function
-from candlewick.llm.url_filter import host_of
+from candlewick.llm.url_filter import host_of, path_of
 from candlewick.session import written
 
-MIN_PAGES = 5  # distinct pages of a host that must share a template subtree
-MIN_SHARE = 0.2  # and the share of the host's distinct pages
+MIN_PAGES = 5  # distinct pages of a host or section that must share a template subtree
+MIN_SHARE = 0.2  # and the share of the distinct pages of that host or section
 
 # Elements of HTML by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -317,21 +318,40 @@ def main_text(html: str, templates=frozenset()) -> str:
     return " ".join(entities.unescape("".join(parts)).split())
 
 
-def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", *,
+def section_of(url: Column) -> Column:
+    """The first part of the path if more path or a query follows it; else
+    empty, the section of the pages at the top of a host."""
+    deep = F.regexp_extract(path_of(url), r"(?s)^/+([^/]+)/", 1)
+    asked = F.regexp_extract(url, r"(?s)^[^/?#]*://[^/?#]*/+([^/?#]+)\?", 1)
+    return F.coalesce(F.when(deep != "", deep).otherwise(asked), F.lit(""))
+
+
+def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", *,
                    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, templates): hashes of the subtrees that recur on at least
-    ``min_pages`` distinct pages and ``min_share`` of those of their host."""
-    base = (pages.select(host_of(F.col(url_col)).alias("host"),
+    """(host, section, templates): hashes of the subtrees that recur on at
+    least ``min_pages`` distinct pages and ``min_share`` of those of their
+    host, or of those of the section."""
+    url = F.col(url_col)
+    base = (pages.select(host_of(url).alias("host"), section_of(url).alias("section"),
                          F.coalesce(html_col, F.lit("")).alias("html"))
             .withColumn("page", F.xxhash64("html")))
+    # "/" is no section: it stands for the whole host
+    scope = F.explode(F.array(F.lit("/"), F.col("section"))).alias("scope")
 
     hashes = row_function(lambda: lambda t: sorted(template_hashes(t)), "array<bigint>")
-    sizes = (base.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-             .where(F.col("pages") >= min_pages))
-    marks = (base.select("host", "page", F.explode(hashes("html")).alias("hash")).distinct()
-             .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
-    return (marks.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages"))
-            .groupBy("host").agg(F.collect_list("hash").alias("templates")))
+    sizes = (base.select("host", "page", scope).distinct()
+             .groupBy("host", "scope").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages))
+    marks = (base.select("host", "section", "page", F.explode(hashes("html")).alias("hash"))
+             .select("host", "page", "hash", scope).distinct()
+             .groupBy("host", "scope", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
+    lists = written(marks.join(sizes, ["host", "scope"]).where(F.col("n") >= min_share * F.col("pages"))
+                    .groupBy("host", "scope").agg(F.collect_list("hash").alias("templates")), "template-lists")
+    whole = lists.where("scope = '/'").select("host", F.col("templates").alias("w"))
+    own = lists.where("scope <> '/'").select("host", F.col("scope").alias("section"), F.col("templates").alias("o"))
+    none = F.array().cast("array<bigint>")
+    return (base.select("host", "section").distinct().join(whole, "host", "left")
+            .join(own, ["host", "section"], "left").where("w IS NOT NULL OR o IS NOT NULL")
+            .select("host", "section", F.array_union(F.coalesce("w", none), F.coalesce("o", none)).alias("templates")))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -346,12 +366,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """
     # written: small files make the join a broadcast that leaves the pages where
     # they are, large ones a join whose skewed hosts AQE splits
-    found = written(host_templates(pages, url_col, html_col, min_pages=min_pages,
+    found = written(site_templates(pages, url_col, html_col, min_pages=min_pages,
                                    min_share=min_share), "site-templates")
     rows = (pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
-                         host_of(F.col(url_col)).alias("host"),
+                         host_of(F.col(url_col)).alias("host"), section_of(F.col(url_col)).alias("section"),
                          F.coalesce(html_col, F.lit("")).alias("html"))
-            .join(found.withColumnRenamed("host", "t_host"), F.col("host") == F.col("t_host"), "left")
+            .join(found.select(F.col("host").alias("t_host"), F.col("section").alias("t_section"), "templates"),
+                  (F.col("host") == F.col("t_host")) & (F.col("section") == F.col("t_section")), "left")
             .select("id", "url", "html", "templates"))
 
     texts = row_function(lambda: lambda r: main_text(r["html"], frozenset(r["templates"] or ())), "string")

@@ -519,3 +519,16 @@ def test_site_templates_go(spark):
     assert got == Counter(want)
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert html_text.extract(none).collect() == []
+
+
+def test_section_templates_go(spark):
+    box = "<div>About our shop</div>"
+    urls = [f"http://a.org/shop/{k}" for k in range(6)] + [f"http://a.org/item?id={k}" for k in range(6)]
+    rows = [(k, u, f"<article><h1>T{k}</h1>{box}<p>own {k}</p></article>") for k, u in enumerate(urls)]
+    # 12 of 112 pages of the host, and two of a section where it is no template
+    rows += [(20 + k, f"http://a.org/news/{k}", f"<article><p>n {k}</p>{box if k < 2 else ''}</article>")
+             for k in range(100)]
+    out = {r.page_id: r.text for r in html_text.extract(
+        clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
+    assert out == {k: f"T{k} own {k}" for k in range(12)} | {
+        20 + k: f"n {k}" + (" About our shop" if k < 2 else "") for k in range(100)}
