@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.line_dedup import LOWER, UPPER
 
-# Licence sentences by identifier, normalised (a-z, 0-9, blanks).
+# Licence sentences by identifier, normalised (a-z, 0-9, blanks),
+# each as ``_units`` cuts it: published notices go on after ``:``, ``;`` and
+# ``v.``, so theirs stand in parts beside the forms without such a mark.
 SENTENCES = {
     "apache-name": "licensed under the apache license version 2 0",
     "apache-not-use": "you may not use this file except in compliance with the license",
@@ -47,26 +49,56 @@ SENTENCES = {
                       "without specific prior written permission",
     "mpl2": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "rights-reserved": "all rights reserved",
+    "apache-name-the": "licensed under the apache license version 2 0 the license",
+    "gpl-free-software": "this program is free software",
+    "gpl3-redistribute": "you can redistribute it and or modify it under the terms of the gnu general "
+                         "public license as published by the free software foundation either version "
+                         "3 of the license or at your option any later version",
+    "gpl-without-warranty": "this program is distributed in the hope that it will be useful but without "
+                            "any warranty",
+    "gpl-without-even": "without even the implied warranty of merchantability or fitness for a "
+                        "particular purpose",
+    "mpl2-form": "this source code form is subject to the terms of the mozilla public license v",
+    "ccbync-work": "this work is licensed under cc by nc 4 0",
+    "ccbysa-work": "this work is licensed under cc by sa 4 0",
+    "ccby-work": "this work is licensed under cc by 4 0",
+    "ccbync-long": "this work is licensed under a creative commons attribution noncommercial 4 0 "
+                   "international license",
+    "ccbysa-long": "this work is licensed under a creative commons attribution sharealike 4 0 "
+                   "international license",
+    "ccby-long": "this work is licensed under a creative commons attribution 4 0 international license",
 }
 
 # Ordered rules (licence, identifiers in sequence): an earlier rule takes its
 # sentences, so a later, shorter rule does not report them again.
 RULES = [
     ("Apache-2.0", ["apache-name", "apache-not-use", "apache-copy", "apache-as-is"]),
+    ("Apache-2.0", ["apache-name-the", "apache-not-use", "apache-copy", "apache-as-is"]),
     ("MIT", ["mit-grant", "mit-notice"]),
     ("GPL-3.0", ["gpl-free", "gpl-warranty"]),
+    ("GPL-3.0", ["gpl-free-software", "gpl3-redistribute", "gpl-without-warranty", "gpl-without-even"]),
     ("BSD-3-Clause", ["bsd-redistribution", "bsd-no-endorse"]),
     ("Apache-2.0", ["apache-name"]),
+    ("Apache-2.0", ["apache-name-the"]),
     ("Apache-2.0", ["apache-not-use"]),
     ("MIT", ["mit-name"]),
     ("MIT", ["mit-grant"]),
     ("GPL-3.0", ["gpl3-name"]),
     ("GPL-3.0", ["gpl-free"]),
+    ("GPL-3.0", ["gpl-free-software", "gpl3-redistribute"]),
+    ("GPL-3.0", ["gpl3-redistribute"]),
     ("CC-BY-NC-4.0", ["ccbync-name"]),
+    ("CC-BY-NC-4.0", ["ccbync-work"]),
+    ("CC-BY-NC-4.0", ["ccbync-long"]),
     ("CC-BY-SA-4.0", ["ccbysa-name"]),
+    ("CC-BY-SA-4.0", ["ccbysa-work"]),
+    ("CC-BY-SA-4.0", ["ccbysa-long"]),
     ("CC-BY-4.0", ["ccby-name"]),
+    ("CC-BY-4.0", ["ccby-work"]),
+    ("CC-BY-4.0", ["ccby-long"]),
     ("BSD-2-Clause", ["bsd-redistribution"]),
     ("MPL-2.0", ["mpl2"]),
+    ("MPL-2.0", ["mpl2-form"]),
     ("LicenseRef-proprietary", ["rights-reserved"]),
 ]
 

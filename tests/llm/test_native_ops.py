@@ -113,6 +113,80 @@ def test_license_scan(spark):
     assert license_scan.scan_licenses(docs_of(spark, [])).collect() == []
 
 
+NOTICES = {  # as published
+    "Apache-2.0": '''Copyright 2020 A. Author
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+''',
+    "GPL-3.0": '''This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+''',
+    "MPL-2.0": '''This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+''',
+    "BSD-3-Clause": '''Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer.
+
+3. Neither the name of the copyright holder nor the names of its contributors
+may be used to endorse or promote products derived from this software without
+specific prior written permission.
+''',
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0\nInternational License.",
+    "CC-BY-SA-4.0": "This work is licensed under CC BY-SA 4.0. To view a copy of this license,\nvisit "
+                    "https://creativecommons.org/licenses/by-sa/4.0/",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0\n"
+                    "International License.",
+}
+RULED = {"Apache-2.0": ["apache-name-the", "apache-not-use", "apache-copy", "apache-as-is"],
+         "GPL-3.0": ["gpl-free-software", "gpl3-redistribute", "gpl-without-warranty", "gpl-without-even"],
+         "MPL-2.0": ["mpl2-form"], "BSD-3-Clause": ["bsd-redistribution", "bsd-no-endorse"],
+         "CC-BY-4.0": ["ccby-long"], "CC-BY-SA-4.0": ["ccbysa-work"], "CC-BY-NC-4.0": ["ccbync-long"]}
+
+
+def test_published_notices(spark):
+    """Wrapped as published and with each paragraph on one line."""
+    rows = []
+    for name, t in NOTICES.items():
+        rows += [(len(rows), t, name, "s", 1),
+                 (len(rows) + 1, "\n\n".join(p.replace("\n", " ") for p in t.split("\n\n")), name, "s", 1)]
+    gpl2 = NOTICES["GPL-3.0"].replace("version 3", "version 2").replace("software:", "software;")
+    rows.append((len(rows), gpl2, None, "s", 1))
+    out = {r.doc_id: r for r in license_scan.scan_licenses(docs_of(spark, rows)).collect()}
+    for i, _, name, *_ in rows[:-1]:
+        assert (out[i].licenses, out[i].license) == ([name], name)
+        assert sorted(out[i].sentence_ids) == sorted(RULED[name])
+    assert out[len(rows) - 1].license is None
+
+
+def test_sentences_are_units(spark):
+    """Every known sentence is what it would be cut into, and has a rule."""
+    df = spark.createDataFrame([(s,) for s in license_scan.SENTENCES.values()], "s string")
+    for joined in (False, True):
+        assert all(r.u == [r.s] for r in df.select("s", license_scan._units(F.col("s"), joined).alias("u")).collect())
+    assert {i for _, ids in license_scan.RULES for i in ids} == set(license_scan.SENTENCES)
+
+
 def test_license_rules_take_their_sentences(spark):
     sentences = {"a": "alpha one", "b": "beta two"}
     rules = [("AB", ["a", "b"]), ("A", ["a"])]
