@@ -7,7 +7,9 @@ query.  Block-max bounds prune it: the words' maxima tell whether the passage
 can reach the threshold at all, the maxima per block of items tell which
 blocks are opened, and only items of open blocks are scored.  All items above
 the threshold are then verified by the word n-grams of their question and of
-their answer.
+their answer.  Items too short for both (under ``LEAST`` words) are reported
+so too, but drop a document only if they stand in it whole, as one run; those
+of fewer words than an n-gram only if the document says nothing else.
 
 Documents are read once per shard of the benchmark and never shuffled.  A
 shard is bounded in characters, and only shards travel to the tasks; a
@@ -32,6 +34,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6  # share of an item's own BM25 score
 OVERLAP = 0.5  # share of the n-grams of question and of answer
 NGRAM = 3
+LEAST = 2 * NGRAM  # words of an item with a question and an answer of its own
 BLOCK = 8  # items of a block
 MAX_BLOCKS = 256  # a larger shard has larger blocks
 SHARD_CHARS = 2_000_000
@@ -83,7 +86,7 @@ class Index:
         self.ids = [i for _, i, _ in rows]
         self.width = max(len(w) for w, _, _ in rows)
         self.terms = Vocabulary()
-        self.item_terms, self.item_impacts, self.parts = [], [], []
+        self.item_terms, self.item_impacts, self.parts, self.short = [], [], [], {}
         for words, _, text in rows:
             tf = Counter(words)
             norm = K1 * (1 - B + B * len(words) / mean_len)
@@ -91,6 +94,8 @@ class Index:
                                for w, f in tf.items()])
             self.item_terms.append(np.array([self.terms.setdefault(w, len(self.terms)) for w in tf]))
             self.item_impacts.append(impact / impact.sum())
+            if len(words) < LEAST:
+                self.short[len(self.parts)] = words
             self.parts.append(tuple(map(ngrams, question_and_answer(text))))
         self.block = max(BLOCK, -(-len(rows) // MAX_BLOCKS))
         self.block_max = np.zeros((len(self.terms), -(-len(rows) // self.block)), dtype=np.float32)
@@ -132,9 +137,24 @@ class Index:
         """Verified items of a text: (item, score, question and answer
         overlap, begin and end of the passage in words), the best passage
         of each item (the first of equals), by item."""
+        return sorted(m for _, m in self._best(words_of(text)).values())
+
+    def drops(self, text: str) -> bool:
+        """Whether a verified item is long enough, or stands in the text so,
+        that the text is to go."""
         words = words_of(text)
+        return any(self._tells(k, words) for k in self._best(words))
+
+    def _tells(self, k: int, words: list[str]) -> bool:
+        own = self.short.get(k)
+        if own is None or own == words:
+            return True
+        return len(own) >= NGRAM and f" {' '.join(own)} " in f" {' '.join(words)} "
+
+    def _best(self, words: list[str]) -> dict[int, tuple]:
+        """(rank, match) by the place of the item."""
         if not words:
-            return []
+            return {}
         terms = np.fromiter(map(self.terms.__getitem__, words), dtype=np.int64, count=len(words))
         best: dict[int, tuple] = {}
         mark = np.zeros(len(self.terms), dtype=bool)
@@ -154,7 +174,7 @@ class Index:
                     if min(q, a) >= OVERLAP and (k not in best or (score, q + a) > best[k][0]):
                         best[k] = ((score, q + a), (self.ids[k], min(score, 1.0), q, a, begin, end))
             mark[mine] = False
-        return sorted(m for _, m in best.values())
+        return best
 
 
 def build_indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", *,
@@ -197,6 +217,11 @@ def matches_of(text: Column, index: Index) -> Column:
     return row_function(match, MATCH)(F.coalesce(text, F.lit("")))
 
 
+def dropped(text: Column, index: Index) -> Column:
+    """Whether a text shows a test item that drops it; null and empty do not."""
+    return row_function(lambda: index.drops, "boolean")(F.coalesce(text, F.lit("")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text", *, shard_chars: int = SHARD_CHARS) -> DataFrame:
@@ -222,10 +247,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *,
                       shard_chars: int = SHARD_CHARS) -> DataFrame:
     """The rows of ``docs`` (all columns) that show no test item: one pass per
-    shard, written in between."""
+    shard, written in between.  Items under ``LEAST`` words count only as one
+    whole run, those under ``NGRAM`` only as the whole text."""
     for k, index in enumerate(build_indexes(benchmark, shard_chars=shard_chars)):
         docs = (written(docs, "clean-so-far") if k else docs).where(
-            F.size(matches_of(F.col(text_col), index)) == 0)
+            ~dropped(F.col(text_col), index))
     return docs
 
 

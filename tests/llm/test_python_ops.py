@@ -277,6 +277,20 @@ def test_decontamination_against_brute_force(spark):
         i for i, t, *_ in docs if not brute_matches(t, items))
 
 
+def test_short_items_do_not_drop_clean_documents(spark):
+    items = [(1, "yes"), (2, "two words"), (3, "one of four words"),
+             (4, "what is the longest river here? it is the long river")]
+    docs = [(k, t, "en", "s", 1) for k, t in enumerate([
+        "she said yes to that", "Yes.", "these are two words among more", "Two words!",
+        "one of four and more words", "so one of four words stands here", "no item here",
+        "so what is the longest river here? it is the long river"])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    pairs = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_of(spark, docs), bench).collect()}
+    assert {(0, 1), (1, 1), (2, 2), (3, 2), (4, 3), (5, 3), (7, 4)} == pairs  # all are reported
+    kept = decontaminate.drop_contaminated(docs_of(spark, docs), bench)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 6]
+
+
 def test_shards_find_the_same(spark):
     items, docs = items_and_docs()
     bench, rows = spark.createDataFrame(items, "item_id long, text string"), docs_of(spark, docs)
