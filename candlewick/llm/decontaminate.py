@@ -177,11 +177,33 @@ class Index:
         return best
 
 
+class Indexes:
+    """The indexes of the shards in turn: each is built as it is asked for and
+    not kept, so the driver holds one shard."""
+
+    def __init__(self, counted: DataFrame, shards: list[int], n: int, mean_len: float):
+        self.counted, self.shards, self.n, self.mean_len = counted, shards, n, mean_len
+        self.df = (counted.select(F.explode(F.array_distinct("words")).alias("word"))
+                   .groupBy("word").agg(F.count("*").alias("df"))) if shards else None
+
+    def __len__(self) -> int:
+        return len(self.shards)
+
+    def __iter__(self) -> Iterator[Index]:
+        return map(self.build, self.shards)
+
+    def build(self, shard: int) -> Index:
+        own = self.counted.where(F.col("shard") == shard)
+        mine = own.select(F.explode("words").alias("word")).distinct().join(self.df, "word").collect()
+        rows = own.select("item", "text").collect()
+        return Index([tuple(r) for r in rows], {r["word"]: r["df"] for r in mine}, self.n, self.mean_len)
+
+
 def build_indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", *,
-                  shard_chars: int = SHARD_CHARS) -> list[Index]:
+                  shard_chars: int = SHARD_CHARS) -> Indexes:
     """One index per shard.  Items without an id or a word are left out.
     Word statistics are over all items; each shard collects only its own
-    items and the counts of its own words."""
+    items and the counts of its own words, when its index is asked for."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text"))
     items = items.where(F.col("item").isNotNull() & F.col("text").rlike(r"(?U)\w"))
 
@@ -190,20 +212,11 @@ def build_indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str
     n, chars, length = counted.agg(F.count("*"), F.sum(F.char_length("text")),
                                    F.sum(F.size("words"))).first()
     if not n:
-        return []
+        return Indexes(counted, [], 0, 0)
     shards = -(-chars // shard_chars)
     counted = counted.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(shards)))
-    df = (counted.select(F.explode(F.array_distinct("words")).alias("word"))
-          .groupBy("word").agg(F.count("*").alias("df")))
-    out = []
-    for s in range(shards):
-        own = counted.where(F.col("shard") == s)
-        mine = own.select(F.explode("words").alias("word")).distinct().join(df, "word").collect()
-        rows = own.select("item", "text").collect()
-        if rows:
-            out.append(Index([tuple(r) for r in rows], {r["word"]: r["df"] for r in mine},
-                             n, length / n))
-    return out
+    there = sorted(r["shard"] for r in counted.select("shard").distinct().collect())
+    return Indexes(counted, there, n, length / n)
 
 
 def matches_of(text: Column, index: Index) -> Column:
@@ -233,12 +246,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    empty = rows.limit(0).select("id", F.array().cast(MATCH).alias("m"))
-    # a pass per shard: a task holds one index at a time
-    found = reduce(DataFrame.unionByName,
-                   [rows.select("id", matches_of(F.col("text"), index).alias("m"))
-                    for index in build_indexes(benchmark, item_col, item_text_col, shard_chars=shard_chars)]
-                   or [empty])
+    found = [rows.limit(0).select("id", F.array().cast(MATCH).alias("m"))]
+    # a pass per shard: tasks and driver hold one index at a time, so the
+    # matches of a shard are written before the next index is built
+    indexes = build_indexes(benchmark, item_col, item_text_col, shard_chars=shard_chars)
+    left = len(indexes)
+    for index in indexes:  # enumerate() would hold the last one
+        left -= 1
+        shown = rows.select("id", matches_of(F.col("text"), index).alias("m")).where(F.size("m") > 0)
+        found.append(written(shown, "matches") if left else shown)
+        del index, shown
+    found = reduce(DataFrame.unionByName, found)
     return (found.select("id", F.explode("m").alias("m"))
             .select(F.col("id").alias(id_col), F.col("m.item").alias(item_col), "m.score",
                     "m.question", "m.answer", "m.begin", "m.end"))
@@ -249,9 +267,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The rows of ``docs`` (all columns) that show no test item: one pass per
     shard, written in between.  Items under ``LEAST`` words count only as one
     whole run, those under ``NGRAM`` only as the whole text."""
-    for k, index in enumerate(build_indexes(benchmark, shard_chars=shard_chars)):
-        docs = (written(docs, "clean-so-far") if k else docs).where(
-            ~dropped(F.col(text_col), index))
+    indexes = build_indexes(benchmark, shard_chars=shard_chars)
+    left = len(indexes)
+    for index in indexes:
+        left -= 1
+        docs = docs.where(~dropped(F.col(text_col), index))
+        if left:
+            docs = written(docs, "clean-so-far")
+        del index
     return docs
 
 

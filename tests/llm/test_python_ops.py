@@ -308,6 +308,26 @@ def test_shards_find_the_same(spark):
     assert not {i for i, _ in leaks()} & {r.doc_id for r in clean.collect()}
 
 
+def test_one_index_at_a_time(spark, monkeypatch):
+    """No index is built while the driver still holds the one before."""
+    import gc
+    import weakref
+    items, docs = items_and_docs()
+    bench, rows = spark.createDataFrame(items, "item_id long, text string"), docs_of(spark, docs)
+    live, most, plain_init = weakref.WeakSet(), [], decontaminate.Index.__init__
+
+    def init(self, *a):
+        gc.collect()
+        most.append(len(live) + 1)
+        live.add(self)
+        plain_init(self, *a)
+
+    monkeypatch.setattr(decontaminate.Index, "__init__", init)
+    decontaminate.contaminated(rows, bench, shard_chars=4000)
+    decontaminate.drop_contaminated(rows, bench, shard_chars=4000)
+    assert len(most) >= 4 and set(most) == {1}
+
+
 def test_decontamination_of_nothing(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     docs = docs_of(spark, [(1, "text", "en", "s", 1)])
