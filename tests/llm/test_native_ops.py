@@ -340,4 +340,4 @@ def test_joins_on_hot_keys_can_be_split(spark, no_broadcast):
     planned = warc.plan_revisits(pages)
     assert shuffled_by(planned, "sha") + shuffled_by(planned, "d_sha") == 2
     found = html_text.extract(pages)
-    assert shuffled_by(found, "host") + shuffled_by(found, "t_host") == 2
+    assert shuffled_by(found, "host", "section") + shuffled_by(found, "t_host", "t_section") == 2
