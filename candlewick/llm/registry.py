@@ -2,7 +2,9 @@
 
 from candlewick.llm import (
     bpe,
+    chat,
     decontaminate,
+    divergence,
     html_text,
     jaccard_join,
     lang_id,
@@ -11,6 +13,7 @@ from candlewick.llm import (
     quality,
     url_filter,
     warc,
+    whitening,
 )
 
 QUERIES = {
@@ -24,10 +27,13 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_warc": warc.op9_warc,
     "op10_html_text": html_text.op10_html_text,
+    "op11_whiten": whitening.op11_whiten,
+    "op12_chat_format": chat.op12_chat_format,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
-# Language ID, decontamination, BPE and HTML extraction are tested in
-# tests/llm by held-out accuracy, brute force and exact round trips.
+# Language ID, decontamination, BPE, HTML extraction and whitening are tested
+# in tests/llm by held-out accuracy, brute force and exact round trips.
 ORACLE = {
     "op1_url_filter": url_filter.OP1_SQL,
     "op2_license_scan": license_scan.OP2_SQL,
@@ -35,4 +41,6 @@ ORACLE = {
     "op5_quality_rules": quality.OP5_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op9_warc": warc.OP9_SQL,
+    "op12_chat_format": chat.OP12_SQL,
+    "op13_source_divergence": divergence.OP13_SQL,
 }
