@@ -65,6 +65,10 @@ def clusters(values: np.ndarray, error: float) -> list[np.ndarray]:
     return np.split(order, cuts)
 
 
+def _symmetric(m: np.ndarray) -> np.ndarray:
+    return (m + m.T) / 2
+
+
 def refine(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues and eigenvectors of the symmetric ``a``, in its precision,
     from approximate eigenvectors ``x``; quadratic convergence.
@@ -80,8 +84,9 @@ def refine(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     least = np.finfo(a.dtype).eps * len(a)
     x, last, settled = x.astype(a.dtype), np.inf, 0
     for _ in range(MAX_STEPS):
-        r = one - x.T @ x
-        s = x.T @ (a @ x)
+        # symmetric to the last digit, or the correction of a narrow gap would
+        # not be a rotation
+        r, s = _symmetric(one - x.T @ x), _symmetric(x.T @ (a @ x))
         values = np.diag(s) / (1 - np.diag(r))
         off = s - np.diag(np.diag(s))
         error = 2 * (np.sqrt((off * off).sum()) + size * np.sqrt((r * r).sum()))
@@ -108,12 +113,10 @@ def _solved(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     Shifted by the cluster's mean, the projected matrix is as small as the
     cluster is wide, so working precision resolves differences that are far
     below its error on ``a``."""
-    r = np.eye(x.shape[1], dtype=a.dtype) - x.T @ x
-    x = x + x @ (r / 2)
+    x = x + x @ (_symmetric(np.eye(x.shape[1], dtype=a.dtype) - x.T @ x) / 2)
     ax = a @ x
     mean = (x * ax).sum(axis=0).mean()
-    small = x.T @ (ax - mean * x)
-    small = (small + small.T) / 2
+    small = _symmetric(x.T @ (ax - mean * x))
     scale = np.abs(small).max()
     if not scale > 0:
         return x
