@@ -134,12 +134,26 @@ def q_ingest_report(spark, sf):
 
 @register("src_us_dates", O.with_(_LOCAL_BARS) + "SELECT * FROM bars")
 def q_src_us_dates(spark, sf):
-    """Dates as MM/dd/yyyy in every file, by the sources' date format."""
+    """Dates as MM/dd/yyyy in every file; the format is inferred."""
     us = F.date_format(F.to_date("date"), "MM/dd/yyyy")
     layouts = [[(h, us if "date" in h.lower() else c) for h, c in layout]
                for layout in fixtures.csv_layouts()]
-    return csv_bars.read_bars_csv(spark, _csv_files(spark, sf, layouts=layouts), RUN_TS,
-                                  date_format="MM/dd/yyyy")[0]
+    return csv_bars.read_bars_csv(spark, _csv_files(spark, sf, layouts=layouts), RUN_TS)[0]
+
+
+@register("src_mixed_layouts", O.with_(_LOCAL_BARS) + "SELECT * FROM bars")
+def q_src_mixed_layouts(spark, sf):
+    """Files of three layouts in every asset's folder, told apart by each
+    file's own header: one begins with a column without a name, one has the
+    prices in another order, one has its dates as MM/dd/yyyy."""
+    bars = fixtures.text_bars(fixtures.bars(_tables(spark, sf)))
+    base = scratch_path(spark, "mixed-csv")
+    folders: dict[str, str] = {}
+    for k, layout in enumerate(fixtures.mixed_layouts()):
+        mine = csv_bars.write_bars_csv(bars.where(fixtures.mixed_layout_of() == k), base, [layout],
+                                       F.lit(0), mode="append")
+        folders.update({a: p[0] for a, p in mine.items()})
+    return csv_bars.read_bars_csv(spark, folders, RUN_TS)[0]
 
 
 @register("src_header_map", O.with_(O.BARS) + """

@@ -198,6 +198,25 @@ def csv_layouts():
     ]
 
 
+def mixed_layouts():
+    """Three layouts of files that lie in one folder."""
+    t = F.col
+    us = F.date_format(F.to_date("date"), "MM/dd/yyyy")
+    return [
+        [("", F.lit("7")), ("Date", t("date_text")), ("Open", t("open_text")), ("High", t("high_text")),
+         ("Low", t("low_text")), ("Close", t("close_text"))],
+        [("", F.lit("8")), ("Date", t("date_text")), ("Close", t("close_text")), ("Low", t("low_text")),
+         ("High", t("high_text")), ("Open", t("open_text"))],
+        [("low", t("low_text")), ("high", t("high_text")), ("open", t("open_text")), ("Date", us),
+         ("close", t("close_text"))],
+    ]
+
+
+def mixed_layout_of():
+    """Layout index of a bar: its day modulo 3, so that every asset has all."""
+    return F.pmod(F.datediff(F.to_date("date"), F.lit(DIRT_EPOCH)), F.lit(3))
+
+
 def csv_layout_of():
     """Layout index of an asset: its first character code modulo 3."""
     return F.ascii(F.col("coin_id")) % 3

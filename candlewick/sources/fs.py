@@ -1,13 +1,17 @@
 """Hadoop FileSystem helpers (work for local, HDFS, S3A, ... paths).
 
-Only metadata work happens here: existence checks, deleting replaced
-versions and reading one header line per input path.  Data is always read by
-Spark's own sources."""
+Only metadata work happens here: existence checks, listing and deleting of
+versions.  Data is always read by Spark's own sources."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+CALLS = 32  # calls to a file system at a time
+
 
 def _jvm(spark: SparkSession):
     return spark.sparkContext._jvm  # py4j gateway to the Hadoop client
@@ -20,21 +24,17 @@ def _fs_path(spark: SparkSession, path: str):
     return fs, p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p))
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """Fully qualified URI string, as Spark reports in ``_metadata.file_path``."""
-    fs, p = _fs_path(spark, path)
-    return fs.makeQualified(p).toUri().toString()
-
+def existing(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The paths that exist, with the raw (still percent-encoded) path of their
+    qualified URI, which equals ``parse_url(_metadata.file_path, 'PATH')`` for
+    the same file.  Many are looked up at a time."""
+    def look(path: str) -> str | None:
+        fs, p = _fs_path(spark, path)
+        return fs.makeQualified(p).toUri().getRawPath() if fs.exists(p) else None
 
-def uri_path(spark: SparkSession, uri: str) -> str:
-    """Raw (still percent-encoded) path component of a file URI; equals
-    ``parse_url(_metadata.file_path, 'PATH')`` for the same file."""
-    return _jvm(spark).java.net.URI(uri).getRawPath()
+    distinct = list(dict.fromkeys(paths))
+    with ThreadPoolExecutor(CALLS) as pool:
+        return {p: raw for p, raw in zip(distinct, pool.map(look, distinct)) if raw is not None}
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -42,42 +42,8 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def first_data_file(spark: SparkSession, path: str) -> str | None:
-    """The file itself, or the first visible, non-empty file under a
-    directory; the listing stops there."""
-    fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return None
-    if fs.getFileStatus(p).isFile():
-        return path
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        f = it.next()
-        if not f.getPath().getName().startswith(("_", ".")) and f.getLen() > 0:
-            return f.getPath().toUri().toString()
-    return None
-
-
-def is_file(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.getFileStatus(p).isFile())
-
-
 def subfolders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     """Folders directly under ``path`` whose name begins with ``prefix``."""
     fs, p = _fs_path(spark, path)
     return sorted(str(f.getPath().toUri()) for f in fs.listStatus(p)
                   if f.isDirectory() and f.getPath().getName().startswith(prefix))
-
-
-def first_line(spark: SparkSession, path: str, max_bytes: int = 1 << 16) -> str:
-    fs, p = _fs_path(spark, path)
-    stream = fs.open(p)
-    try:
-        jvm = _jvm(spark)
-        reader = jvm.java.io.BufferedReader(
-            jvm.java.io.InputStreamReader(stream, "UTF-8"), max_bytes)
-        line = reader.readLine()
-        return "" if line is None else line.lstrip("\ufeff")
-    finally:
-        stream.close()

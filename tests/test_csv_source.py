@@ -112,10 +112,51 @@ def test_provenance_columns(spark, tmp_path):
 def test_date_formats_by_source(spark, tmp_path):
     us = write(tmp_path / "us.csv", "Date,Open,High,Low,Close\n04/29/2013,1,3,0.5,2\n")
     iso = write(tmp_path / "iso.csv", "Date,Open,High,Low,Close\n2013-04-30 23:59:59,1,3,0.5,2\n")
-    silver, _ = csv_bars.read_bars_csv(spark, {"us": us, "iso": iso}, RUN_TS, date_format={"us": "MM/dd/yyyy"})
-    assert {r["coin_id"]: r["date"] for r in silver.collect()} == {"us": "2013-04-29", "iso": "2013-04-30"}
+    for named in ({"us": "MM/dd/yyyy"}, None):  # by name, inferred
+        silver, _ = csv_bars.read_bars_csv(spark, {"us": us, "iso": iso}, RUN_TS, date_format=named)
+        assert {r["coin_id"]: r["date"] for r in silver.collect()} == {"us": "2013-04-29", "iso": "2013-04-30"}
     with pytest.raises(Exception, match="unparsable date"):
-        csv_bars.read_bars_csv(spark, {"us": us}, RUN_TS)[0].collect()
+        csv_bars.read_bars_csv(spark, {"us": us}, RUN_TS, date_format=csv_bars.ISO)[0].collect()
+
+
+def bars_file(path, dates):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    return write(path, "Date,Open,High,Low,Close\n" + "".join(f"{d},1,3,0.5,2\n" for d in dates))
+
+
+@pytest.mark.parametrize("dates, want", [
+    (["1/2/2020", "1/13/2020"], {"2020-01-02", "2020-01-13"}),
+    (["2/1/2020", "13/1/2020 10:30"], {"2020-01-02", "2020-01-13"}),
+    (["", "05/05/2020 23:59:59"], {"2020-05-05"}),  # both orders say the same
+    (["20200102", "20201231"], {"2020-01-02", "2020-12-31"}),
+    (["2020/1/2"], {"2020-01-02"}), (["3.12.2020"], {"2020-12-03"}),
+    (["", ""], set())])
+def test_inferred_dates(spark, tmp_path, dates, want):
+    f = bars_file(tmp_path / "x.csv", dates)
+    silver, _ = csv_bars.read_bars_csv(spark, {"x": f}, RUN_TS)
+    assert {r["date"] for r in silver.collect()} == want
+
+
+def test_dates_of_a_folder_are_inferred_together(spark, tmp_path):
+    """The second file alone is ambiguous; ISO files of the folder stay ISO."""
+    for name, dates in (("a", ["1/13/2020"]), ("b", ["1/2/2020"]), ("c", ["2020-01-05"])):
+        bars_file(tmp_path / "d" / f"{name}.csv", dates)
+    silver, _ = csv_bars.read_bars_csv(spark, {"x": str(tmp_path / "d")}, RUN_TS)
+    assert {r["date"] for r in silver.collect()} == {"2020-01-13", "2020-01-02", "2020-01-05"}
+
+
+@pytest.mark.parametrize("dates, match", [(["1/2/2020"], "fit .*d/M/yyyy"), (["1/13/2020", "13/1/2020"], "unparsable date"),
+                                          (["soon"], "unparsable date")])
+def test_ambiguous_and_unknown_dates_raise(spark, tmp_path, dates, match):
+    f = bars_file(tmp_path / "x.csv", dates)
+    with pytest.raises(csv_bars.DateFormatError, match=match):
+        csv_bars.read_bars_csv(spark, {"x": f}, RUN_TS)
+    # lenient: the pattern that parses the most, if one does
+    if len(dates) == 1 and dates[0] == "soon":
+        assert csv_bars.read_bars_csv(spark, {"x": f}, RUN_TS, strict_dates=False)[0].count() == 0
+    more = bars_file(tmp_path / "y.csv", ["1/13/2020", "1/14/2020", "13/1/2020"])
+    silver, _ = csv_bars.read_bars_csv(spark, {"y": more}, RUN_TS, strict_dates=False)
+    assert {r["date"] for r in silver.collect()} == {"2020-01-13", "2020-01-14"}
 
 
 def test_asset_without_a_surviving_row_is_reported(spark, tmp_path):
@@ -127,12 +168,75 @@ def test_asset_without_a_surviving_row_is_reported(spark, tmp_path):
     assert got == {"ok": ("loaded", 1, "2020-01-01"), "bad": ("loaded", 0, None)}
 
 
-def test_folders_share_one_header_and_a_different_one_fails(spark, tmp_path):
+def test_folders_of_one_header(spark, tmp_path):
     for k in range(3):
-        (tmp_path / "many" / f"p={k}").mkdir(parents=True)
-        write(tmp_path / "many" / f"p={k}" / "f.csv", f"Date,Open,High,Low,Close\n2020-01-0{k + 1},1,3,0.5,2\n")
-    silver, _ = csv_bars.read_bars_csv(spark, {"m": str(tmp_path / "many")}, RUN_TS)
+        bars_file(tmp_path / "many" / f"p={k}" / "f.csv", [f"2020-01-0{k + 1}"])
+    silver, plan = csv_bars.read_bars_csv(spark, {"m": str(tmp_path / "many")}, RUN_TS)
     assert silver.count() == 3 and {r["coin_id"] for r in silver.collect()} == {"m"}
-    write(tmp_path / "many" / "p=2" / "g.csv", "Date,Close,High,Low,Open\n2020-01-09,1,3,0.5,2\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        csv_bars.read_bars_csv(spark, {"m": str(tmp_path / "many")}, RUN_TS)[0].collect()
+    assert list(plan["groups"].values()) == [[(str(tmp_path / "many"), "m")]]
+
+
+@pytest.mark.parametrize("headers", [
+    (",Date,Open,High,Low,Close", ",Date,Close,Low,High,Open"),  # a column without a name: a pandas index
+    ("Date,Open,High,Low,Close", "Date,Close,Low,High,Open"),
+    ("x,Date,x,Open,High,Low,Close", "Date,Close,Low,High,Open,x,X"),  # repeated names
+    ("\ufeffDate,Open,High,Low,Close", 'Close,"Date, local",Low,High,Open')])
+def test_two_layouts_in_one_folder(spark, tmp_path, headers):
+    want = {"open": "1", "high": "4", "low": "0.5", "close": "2"}
+    folder = tmp_path / "mixed"
+    (folder / "deep").mkdir(parents=True)
+    days = []
+    for k, header in enumerate(headers * 2):
+        day = f"2020-01-0{k + 1}"
+        names = csv_bars.split_header(header.lstrip("\ufeff"))
+        cells = [day if "date" in n.lower() else want.get(n.lower(), str(k)) for n in names]
+        write((folder / "deep" if k > 1 else folder) / f"{k}.csv", f"{header}\n{','.join(cells)}\n")
+        days.append(day)
+    write(folder / "empty.csv", "")
+    silver, plan = csv_bars.read_bars_csv(spark, {"m": str(folder)}, RUN_TS)
+    assert sorted((r.date, r.open, r.high, r.low, r.close, r.coin_id) for r in silver.collect()) == [
+        (d, 1.0, 4.0, 0.5, 2.0, "m") for d in days]
+    assert len(plan["groups"]) == 2 and all(len(p) == 2 for p in plan["groups"].values())
+
+
+def test_a_file_without_a_column_skips_its_asset(spark, tmp_path):
+    ok = bars_file(tmp_path / "ok" / "a.csv", ["2020-01-01"])
+    bars_file(tmp_path / "part" / "a.csv", ["2020-01-01"])
+    write(tmp_path / "part" / "b.csv", "Date,Open,High,Low\n2020-01-02,1,3,0.5\n")
+    silver, plan = csv_bars.read_bars_csv(spark, {"ok": ok, "part": str(tmp_path / "part")}, RUN_TS)
+    assert {r.coin_id for r in silver.collect()} == {"ok"}
+    (asset, status, detail), = plan["skipped"]
+    assert (asset, status) == ("part", "missing_columns") and detail.endswith("/part/b.csv")
+
+
+def test_a_file_that_came_or_changed_after_the_plan_fails(spark, tmp_path):
+    folder = tmp_path / "late"
+    bars_file(folder / "a.csv", ["2020-01-01"])
+    for name, header in (("a", "Date,Close,Low,High,Open"), ("b", "Date,Close,Low,High,Open")):
+        plan = csv_bars.plan_csv_files(spark, {"m": str(folder)})
+        (key, _), = plan["groups"].items()
+        write(folder / f"{name}.csv", f"{header}\n2020-01-09,1,3,0.5,2\n")
+        with pytest.raises(Exception, match="(?i)header"):
+            csv_bars._read_group(spark, plan, key, True, ",").collect()
+
+
+def test_only_the_heads_of_large_files_are_read(spark, tmp_path):
+    """More rows than a batch holds, split into several parts when read."""
+    rows = "".join(f"{k},2020-01-{k % 28 + 1:02d},1,3,0.5,2\n" for k in range(60_000))
+    f = write(tmp_path / "big.csv", "No,Date,Open,High,Low,Close\n" + rows)
+    g = write(tmp_path / "big2.csv", "No,Date,Close,High,Low,Open\n" + rows)
+    heads = {r.file.rsplit("/", 1)[1]: (r.line, r.sample) for r in csv_bars.read_heads(spark, [f, g]).collect()}
+    assert heads == {"big.csv": ("No,Date,Open,High,Low,Close", "2020-01-01"),
+                     "big2.csv": ("No,Date,Close,High,Low,Open", "2020-01-01")}
+    silver, _ = csv_bars.read_bars_csv(spark, {"x": f, "y": g}, RUN_TS)
+    assert {(r.coin_id, r.open, r.close) for r in silver.collect()} == {("x", 1.0, 2.0), ("y", 2.0, 1.0)}
+    assert silver.count() == 56
+
+
+def test_one_file_of_two_assets_and_paths_inside_each_other(spark, tmp_path):
+    inner = bars_file(tmp_path / "top" / "in" / "a.csv", ["2020-01-01"])
+    bars_file(tmp_path / "top" / "b.csv", ["2020-01-02"])
+    silver, _ = csv_bars.read_bars_csv(spark, {"all": str(tmp_path / "top"), "one": inner,
+                                               "both": [str(tmp_path / "top" / "in"), inner]}, RUN_TS)
+    assert sorted((r.coin_id, r.date) for r in silver.collect()) == [
+        ("all", "2020-01-01"), ("all", "2020-01-02"), ("both", "2020-01-01"), ("one", "2020-01-01")]
