@@ -18,11 +18,12 @@ the task before anything is returned.
 from __future__ import annotations
 
 import heapq
-import pickle
 import zlib
-from collections import Counter, defaultdict
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,101 +36,203 @@ from candlewick.session import written
 # that the term report lists.
 SCALE, MIN_DOCS, TOP_TERMS = 1_000_000_000, 3, 200
 
-BLOCK_BYTES = 48 << 20  # estimated size at which a block is spilled
-ENTRY_BYTES = 120  # a dictionary entry of a block
+BLOCK_BYTES = 48 << 20  # size at which a block is spilled
+ENTRY_BYTES = 180  # a term of a block beside its text
+POSTING_BYTES = 24
+WORDS = 1 << 19  # words that are counted at once
+PART = 1 << 22  # bytes of a text that are split at once
 PIECE = 2048  # terms of a piece of a run
+ROUND = 1 << 18  # open terms from which a merge moves on before its next piece
 CELLS = 1 << 20  # pairs corrected at once
-PAIRS = 1 << 21  # sums of pairs that a task holds
+PAIRS = 1 << 20  # sums of pairs that a task holds
 
 # bytes of terms as they are, but A-Z lower-cased; all others become blanks
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def terms_of(text: str) -> list[bytes]:
-    """Runs of ASCII letters and non-ASCII characters, A-Z lower-cased."""
-    return text.encode().translate(FOLD).split()
+def terms_of(text: str) -> Iterator[list[bytes]]:
+    """Runs of ASCII letters and non-ASCII characters, A-Z lower-cased, of one
+    part of the text after the other; parts end at blanks."""
+    data, at = text.encode().translate(FOLD), 0
+    while at < len(data):
+        end = data.find(b" ", at + PART)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
+
+
+def added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, in order, and the sums of the values of each."""
+    if not len(keys):
+        return (keys, *values)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return (keys[starts], *[np.add.reduceat(v[order], starts) for v in values])
+
+
+class Numbers(dict):
+    """Value -> its number, in the order in which they come."""
+
+    def __missing__(self, value) -> int:
+        self[value] = n = len(self)
+        return n
 
 
 class Block:
-    """Postings in memory: documents per (language, term), occurrences per
-    (language, source, term)."""
+    """Postings in memory: occurrences and documents per (language, source)
+    and term, as arrays of (group and term number, occurrences, documents)."""
 
     def __init__(self):
-        self.docs: dict[str, Counter] = defaultdict(Counter)
-        self.counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        self.size = 0
+        self.terms, self.groups = Numbers(), Numbers()
+        self.waiting: list[tuple[int, np.ndarray]] = []  # (group, term numbers) of documents
+        self.words = self.size = 0
+        self.postings: list[tuple[np.ndarray, ...]] = []
 
     def add(self, lang: str, source: str, text: str) -> None:
-        words = terms_of(text)
-        docs, counts = self.docs[lang], self.counts[lang, source]
-        before = len(docs) + len(counts)
-        counts.update(words)
-        docs.update(set(words))
-        new = len(docs) + len(counts) - before
-        if new:  # their text is at most the document's
-            self.size += new * ENTRY_BYTES + len(text)
-
-    def runs(self, shards: int) -> Iterator[tuple[int, str, bytes, bytes]]:
-        """(shard, language, first term, piece), pieces in term order."""
-        for lang, docs in self.docs.items():
-            postings: dict[bytes, list] = {t: [] for t in docs}
-            for (own, source), counts in self.counts.items():
-                if own == lang:
-                    for t, n in counts.items():
-                        postings[t].append((source, n))
-            seed = zlib.crc32(lang.encode())
-            dealt = defaultdict(list)
-            for t in sorted(docs):
-                dealt[zlib.crc32(t, seed) % shards].append(t)
-            for shard, terms in dealt.items():
-                for at in range(0, len(terms), PIECE):
-                    own = terms[at:at + PIECE]
-                    yield shard, lang, own[0], pickle.dumps([(t, docs[t], postings[t]) for t in own])
-
-
-def merged(pieces: Iterator[tuple[int, str, bytes, bytes]]) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
-    """(language, term, documents, count per source) of pieces that come by
-    shard, language and first term: a heap merge that opens a piece when its
-    first term is due."""
-    heap: list[tuple] = []
-    place, number = None, 0
-    term, docs, counts = None, 0, {}
-
-    def step():
-        """The least entry of the heap; its piece moves on."""
-        t, no, at, piece = heap[0]
-        if at + 1 < len(piece):
-            heapq.heapreplace(heap, (piece[at + 1][0], no, at + 1, piece))
-        else:
-            heapq.heappop(heap)
-        return piece[at]
-
-    def due(first):
-        """Entries before ``first`` (all if None)."""
-        nonlocal term, docs, counts
-        while heap and (first is None or heap[0][0] < first):
-            t, n, posted = step()
-            if t != term:
-                if term is not None:
-                    yield place[1], term, docs, counts
-                term, docs, counts = t, 0, {}
-            docs += n
-            for source, k in posted:
-                counts[source] = counts.get(source, 0) + k
-
-    for shard, lang, first, blob in pieces:
+        group, before = self.groups[lang, source], len(self.terms)
+        parts = [np.fromiter(map(self.terms.__getitem__, words), dtype=np.int64, count=len(words))
+                 for words in terms_of(text)]
+        if len(self.terms) > before:  # their text is at most the document's
+            self.size += (len(self.terms) - before) * ENTRY_BYTES + len(text)
+        if len(parts) > 1:  # a very long text: its distinct terms by themselves
+            ids, n = added(*map(np.concatenate, zip(*[np.unique(p, return_counts=True) for p in parts])))
+            self._post(group << 32 | ids, n, np.ones_like(n))
+        elif parts and len(parts[0]):
+            self.waiting.append((group, parts[0]))
+            self.words += len(parts[0])
+            if self.words >= WORDS:
+                self.count()
+
+    def _post(self, *arrays: np.ndarray) -> None:
+        self.postings.append(arrays)
+        self.size += POSTING_BYTES * len(arrays[0])
+
+    def count(self) -> None:
+        """Count the waiting documents' terms: first per document, then per group."""
+        if self.waiting:
+            lengths = [len(ids) for _, ids in self.waiting]
+            doc = np.repeat(np.arange(len(lengths)), lengths)
+            keys, n = np.unique(doc << 32 | np.concatenate([ids for _, ids in self.waiting]), return_counts=True)
+            group = np.array([g for g, _ in self.waiting])[keys >> 32]
+            self._post(*added(group << 32 | keys & 0xFFFFFFFF, n, np.ones_like(n)))
+        self.waiting, self.words = [], 0
+
+    def runs(self, shards: int) -> Iterator[tuple]:
+        """Rows of ``RUN``: the postings in term order per hash shard and
+        language, in pieces."""
+        self.count()
+        if not self.postings:
+            return
+        keys, counts, docs = added(*map(np.concatenate, zip(*self.postings)))
+        self.postings = []
+        terms, groups = list(self.terms), list(self.groups)
+        group, term = keys >> 32, keys & 0xFFFFFFFF
+        langs = Numbers()
+        lang = np.array([langs[name] for name, _ in groups])[group]
+        shard = np.array([zlib.crc32(t) % shards for t in terms])[term]
+        rank = np.empty(len(terms), dtype=np.int64)
+        rank[sorted(range(len(terms)), key=terms.__getitem__)] = np.arange(len(terms))
+        order = np.lexsort((group, rank[term], lang, shard))
+        group, term, lang, shard, counts, docs = (x[order] for x in (group, term, lang, shard, counts, docs))
+        new = np.concatenate(([True], (term[1:] != term[:-1]) | (lang[1:] != lang[:-1])))
+        firsts = np.flatnonzero(new)  # the first posting of every entry
+        place = (shard << 32 | lang)[firsts]
+        cuts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+        names = list(langs)
+        for a, b in zip(cuts, [*cuts[1:], len(firsts)]):
+            for at in range(a, b, PIECE):
+                end = min(at + PIECE, b)
+                lo, hi = firsts[at], firsts[end] if end < len(firsts) else len(term)
+                own = [terms[t] for t in term[firsts[at:end]].tolist()]
+                used, source = np.unique(group[lo:hi], return_inverse=True)
+                yield (int(shard[lo]), names[lang[lo]], own[0], b" ".join(own),
+                       np.diff(np.append(firsts[at:end], hi)).astype("<i4").tobytes(),
+                       [groups[g][1] for g in used.tolist()], source.astype("<i4").tobytes(),
+                       counts[lo:hi].astype("<i8").tobytes(), docs[lo:hi].astype("<i8").tobytes())
+
+
+RUN = ("shard int, lang string, first binary, terms binary, sizes binary, sources array<string>, "
+       "source binary, counts binary, docs binary")
+
+
+@dataclass
+class Piece:
+    """A piece of a run, read up to the entry ``at``."""
+    terms: list[bytes]
+    sizes: np.ndarray
+    source: np.ndarray
+    counts: np.ndarray
+    docs: np.ndarray
+    at: int = 0
+
+    def take(self, end: int, place: list[int]) -> tuple[np.ndarray, ...]:
+        """(place << 32 | source, counts, docs) of the postings of the entries
+        up to ``end``, whose terms have the given places."""
+        lo, hi = int(self.sizes[:self.at].sum()), int(self.sizes[:end].sum())
+        spread = np.repeat(np.array(place, dtype=np.int64), self.sizes[self.at:end])
+        self.at = end
+        return spread << 32 | self.source[lo:hi], self.counts[lo:hi], self.docs[lo:hi]
+
+
+def merged(rows: Iterator[tuple], min_docs: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``TERMS`` from rows of ``RUN`` that come by shard, language and
+    first term.  Pieces are opened as they come; a heap merges them up to the
+    first term of the next one, once enough is open."""
+    place, sources, open_ = None, Numbers(), []
+
+    def due(bound: bytes | None) -> Iterator[pa.RecordBatch]:
+        nonlocal open_
+        ends = [len(p.terms) if bound is None else bisect_left(p.terms, bound, p.at) for p in open_]
+        heads = [zip(p.terms[p.at:end], repeat(k)) for k, (p, end) in enumerate(zip(open_, ends))]
+        terms: list[bytes] = []
+        places: list[list[int]] = [[] for _ in open_]
+        last = None
+        for t, k in heapq.merge(*heads):
+            if t != last:
+                terms.append(t)
+                last = t
+            places[k].append(len(terms) - 1)
+        if terms:
+            taken = [p.take(end, own) for p, end, own in zip(open_, ends, places)]
+            yield from _kept(place[1], terms, list(sources), added(*map(np.concatenate, zip(*taken))), min_docs)
+        open_ = [p for p in open_ if p.at < len(p.terms)]
+
+    for shard, lang, first, terms, sizes, names, source, counts, docs in rows:
         if place != (shard, lang):
             yield from due(None)
-            if term is not None:
-                yield place[1], term, docs, counts
-            place, term = (shard, lang), None
-        else:
+            place, sources = (shard, lang), Numbers()
+        elif sum(len(p.terms) - p.at for p in open_) >= ROUND:
             yield from due(first)
-        heapq.heappush(heap, (first, number, 0, pickle.loads(blob)))
-        number += 1
+        number = np.array([sources[s] for s in names], dtype=np.int64)
+        open_.append(Piece(terms.split(b" "), np.frombuffer(sizes, "<i4"), number[np.frombuffer(source, "<i4")],
+                           np.frombuffer(counts, "<i8"), np.frombuffer(docs, "<i8")))
     yield from due(None)
-    if term is not None:
-        yield place[1], term, docs, counts
+
+
+TERMS = "lang string, term string, docs bigint, total bigint, sources array<string>, counts array<bigint>"
+
+
+def _kept(lang: str, terms: list[bytes], sources: list[str], sums: tuple[np.ndarray, ...],
+          min_docs: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``TERMS`` for the terms that enough documents hold."""
+    keys, counts, docs = sums
+    term = keys >> 32
+    starts = np.searchsorted(term, np.arange(len(terms) + 1))
+    total, held = (np.add.reduceat(x, starts[:-1]) for x in (counts, docs))
+    keep = np.flatnonzero(held >= min_docs)
+    for at in range(0, len(keep), 4096):
+        own = keep[at:at + 4096]
+        sizes = starts[own + 1] - starts[own]
+        ends = np.cumsum(sizes)
+        rows = np.repeat(starts[own] - (ends - sizes), sizes) + np.arange(ends[-1])
+        offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+        yield pa.RecordBatch.from_arrays([
+            pa.array([lang] * len(own)), pa.array([terms[k].decode() for k in own.tolist()]),
+            pa.array(held[own]), pa.array(total[own]),
+            pa.ListArray.from_arrays(offsets, pa.array(sources).take(pa.array(keys[rows] & 0xFFFFFFFF))),
+            pa.ListArray.from_arrays(offsets, pa.array(counts[rows]))],
+            names=["lang", "term", "docs", "total", "sources", "counts"])
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, n: int = 4096) -> Iterator[pa.RecordBatch]:
@@ -161,10 +264,10 @@ def frequencies(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     source that has one.  Rows are documents, repeated ones too.  Null
     language, source or text: the empty text; texts of any length are read
     whole, an empty one has no term.  Other columns are not read."""
-    shards = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    run = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("first", pa.binary()), ("piece", pa.binary())])
-    row = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("total", pa.int64()),
-                     ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("first", pa.binary()), ("terms", pa.binary()),
+                     ("sizes", pa.binary()), ("sources", pa.list_(pa.string())),
+                     *[(c, pa.binary()) for c in ("source", "counts", "docs")]])
 
     def index(batches):
         block = Block()
@@ -178,15 +281,12 @@ def frequencies(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         yield from _batches(block.runs(shards), run, 64)
 
     def merge(batches):
-        pieces = (tuple(c[k].as_py() for c in batch.columns) for batch in batches for k in range(len(batch)))
-        yield from _batches(((lang, term.decode(), n, sum(counts.values()), list(counts), list(counts.values()))
-                             for lang, term, n, counts in merged(pieces) if n >= min_docs), row)
+        yield from merged((tuple(c[k].as_py() for c in batch.columns) for batch in batches
+                           for k in range(len(batch))), min_docs)
 
-    runs = labelled(docs, text_col, lang_col, source_col).mapInArrow(
-        index, "shard int, lang string, first binary, piece binary")
+    runs = labelled(docs, text_col, lang_col, source_col).mapInArrow(index, RUN)
     return (runs.repartition("shard").sortWithinPartitions("shard", "lang", "first")
-            .mapInArrow(merge, "lang string, term string, docs bigint, total bigint, "
-                               "sources array<string>, counts array<bigint>"))
+            .mapInArrow(merge, TERMS))
 
 
 def probability(count: Column, total: Column, terms: Column) -> Column:
@@ -210,40 +310,32 @@ class PairSums:
     """Sums per pair of sources, added up in arrays of bounded size."""
 
     def __init__(self):
-        self.names: list[tuple[str, str]] = []
-        self.ids: dict[tuple[str, str], int] = {}
-        self.keys, self.values, self.size = [], [], 0
-
-    def number(self, lang: str, source: str) -> int:
-        k = self.ids.setdefault((lang, source), len(self.names))
-        if k == len(self.names):
-            self.names.append((lang, source))
-        return k
-
-    def term(self, lang: str, sources: list[str], p: list[int], zero: list[int]) -> None:
-        """The corrections of one term for all pairs of the sources that hold
-        it, a stripe of pairs at a time."""
-        ids = np.array([self.number(lang, s) for s in sources])
-        p, zero = np.array(p), np.array(zero)
-        stripe = max(1, CELLS // len(ids))
-        for at in range(0, len(ids), stripe):
-            a, pa_, za = ids[at:at + stripe, None], p[at:at + stripe, None], zero[at:at + stripe, None]
-            value = _distance(pa_, p) - _distance(pa_, zero) - _distance(za, p) + _distance(za, zero)
-            self.keys.append(((a << 32) | ids).ravel())
-            self.values.append(value.ravel())
-            self.size += value.size
-
-    def compact(self) -> None:
-        if len(self.keys) > 1:
-            keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
-            sums = np.zeros(len(keys), dtype=np.int64)
-            np.add.at(sums, place, np.concatenate(self.values))
-            self.keys, self.values, self.size = [keys], [sums], len(keys)
+        self.numbers = Numbers()
+        self.sums = (np.zeros(0, dtype=np.int64),) * 2
+
+    def terms(self, names: np.ndarray, sizes: np.ndarray, p: np.ndarray, zero: np.ndarray) -> None:
+        """The corrections of some terms for all pairs of the sources that hold
+        them: ``sizes`` sources each, given by number, p and p without a count."""
+        starts = np.cumsum(sizes) - sizes
+        first = np.repeat(starts, sizes)  # of the term that a source stands in
+        many = np.repeat(sizes, sizes)
+        total = np.cumsum(many)
+        at = 0
+        while at < len(many):  # a stripe of sources, each with all of its partners
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + CELLS)))
+            a = np.repeat(np.arange(at, end), many[at:end])
+            own = np.cumsum(many[at:end])
+            b = np.repeat(first[at:end] - (own - many[at:end]), many[at:end]) + np.arange(own[-1])
+            pa_, pb, za, zb = p[a], p[b], zero[a], zero[b]
+            value = _distance(pa_, pb) - _distance(pa_, zb) - _distance(za, pb) + _distance(za, zb)
+            new = added(names[a] << 32 | names[b], value)
+            self.sums = added(*map(np.concatenate, zip(self.sums, new)))
+            at = end
 
     def rows(self) -> Iterator[tuple[str, str, str, int]]:
-        self.compact()
-        for key, value in zip(*(x[0].tolist() if x else [] for x in (self.keys, self.values))):
-            (lang, a), (_, b) = self.names[key >> 32], self.names[key & 0xFFFFFFFF]
+        names = list(self.numbers)
+        for key, value in zip(*(x.tolist() for x in self.sums)):
+            (lang, a), (_, b) = names[key >> 32], names[key & 0xFFFFFFFF]
             if a != b:
                 yield lang, a, b, value
         self.__init__()
@@ -258,14 +350,18 @@ def shared_terms(rows: DataFrame) -> DataFrame:
         sums = PairSums()
         for batch in batches:
             langs, held = batch.columns
-            for k in range(len(batch)):
-                own = held[k].as_py()
-                sums.term(langs[k].as_py(), [x["source"] for x in own], [x["p"] for x in own],
-                          [x["zero"] for x in own])
-                if sums.size > 2 * PAIRS:
-                    sums.compact()
-                    if sums.size > PAIRS:
-                        yield from _batches(sums.rows(), schema)
+            if not len(batch):
+                continue
+            sizes = held.value_lengths().to_numpy()
+            source, p, zero = held.flatten().flatten()
+            lang, source = langs.dictionary_encode(), source.dictionary_encode()
+            pair = np.repeat(lang.indices.to_numpy(), sizes).astype(np.int64) << 32 | source.indices.to_numpy()
+            there, place = np.unique(pair, return_inverse=True)
+            number = np.array([sums.numbers[lang.dictionary[k >> 32].as_py(), source.dictionary[k & 0xFFFFFFFF].as_py()]
+                               for k in there.tolist()])
+            sums.terms(number[place], sizes.astype(np.int64), p.to_numpy(), zero.to_numpy())
+            if len(sums.sums[0]) > PAIRS:
+                yield from _batches(sums.rows(), schema)
         yield from _batches(sums.rows(), schema)
 
     return rows.select("lang", "held").mapInArrow(correct, "lang string, source string, item string, value bigint")

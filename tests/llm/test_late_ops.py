@@ -318,36 +318,50 @@ def test_divergence_edge_cases(spark):
     assert divergence.audit(docs.limit(0)).collect() == []
 
 
-def test_runs_are_merged_by_term(monkeypatch):
-    monkeypatch.setattr(divergence, "PIECE", 3)
+@pytest.mark.parametrize("piece, open_terms", [(3, 1), (3, 20), (2048, 1 << 18)])
+def test_runs_are_merged_by_term(monkeypatch, piece, open_terms):
+    monkeypatch.setattr(divergence, "PIECE", piece)
+    monkeypatch.setattr(divergence, "ROUND", open_terms)
+    monkeypatch.setattr(divergence, "WORDS", 20)
+    monkeypatch.setattr(divergence, "PART", 200)
     rng = random.Random(8)
     want, pieces = defaultdict(lambda: [0, Counter()]), []
     for _ in range(9):
         block = divergence.Block()
         for _ in range(6):
             lang, source = rng.choice("ef"), rng.choice("stu")
-            words = rng.choices([chr(97 + i) * rng.randint(1, 2) for i in range(12)], k=9)
+            words = rng.choices([chr(97 + i) * rng.randint(1, 2) for i in range(12)], k=rng.choice([0, 9, 300]))
             block.add(lang, source, " ".join(words))
             for w in set(words):
-                want[lang, w.encode()][0] += 1
+                want[lang, w][0] += 1
+            want[lang, "total"][1].update(words)
             for w in words:
-                want[lang, w.encode()][1][source] += 1
-        own = list(block.runs(4))
-        assert all(len(p[3]) > 0 for p in own)
-        pieces += own
-    got = list(divergence.merged(iter(sorted(pieces, key=lambda p: p[:3]))))
-    assert len(got) == len(want)
-    assert {(lang, t): [n, Counter(c)] for lang, t, n, c in got} == dict(want)
-
-
-def test_pair_sums_in_stripes(monkeypatch):
-    monkeypatch.setattr(divergence, "CELLS", 4)
-    sums = divergence.PairSums()
-    p, zero = {"a": 5, "b": 90, "c": 17}, {"a": 2, "b": 3, "c": 4}
+                want[lang, w][1][source] += 1
+        pieces += block.runs(4)
+    del want["e", "total"], want["f", "total"]
+    batches = list(divergence.merged(iter(sorted(pieces, key=lambda p: p[:3])), 2))
+    got = [r for b in batches for r in b.to_pylist()]
+    assert {(r["lang"], r["term"]): [r["docs"], dict(zip(r["sources"], r["counts"]))] for r in got} == {
+        k: [n, dict(c)] for k, (n, c) in want.items() if n >= 2}
+    assert all(r["total"] == sum(r["counts"]) for r in got) and len(got) == len({(r["lang"], r["term"]) for r in got})
+    assert (len(batches) > 20) == (piece == 3 and open_terms == 1)
+
+
+@pytest.mark.parametrize("cells", [1, 5, 1 << 20])
+def test_pair_sums_in_stripes(monkeypatch, cells):
+    monkeypatch.setattr(divergence, "CELLS", cells)
+    rng = random.Random(6)
+    sums, want = divergence.PairSums(), Counter()
     f = lambda x, y: (x - y) ** 2 // y
+    zero = {s: rng.randint(1, 5) for s in "abcde"}
+    number = {s: sums.numbers["l", s] for s in zero}
     for _ in range(3):
-        sums.term("l", list(p), list(p.values()), list(zero.values()))
-        sums.compact()
-    assert {r[1:3]: r[3] for r in sums.rows()} == {
-        (a, b): 3 * (f(p[a], p[b]) - f(p[a], zero[b]) - f(zero[a], p[b]) + f(zero[a], zero[b]))
-        for a in p for b in p if a != b}
+        terms = [{s: rng.randint(1, 10 ** 9) for s in rng.sample("abcde", rng.randint(1, 5))} for _ in range(4)]
+        flat = [(number[s], p, zero[s]) for t in terms for s, p in t.items()]
+        names, p, z = map(np.array, zip(*flat))
+        sums.terms(names, np.array([len(t) for t in terms]), p, z)
+        for t in terms:
+            for a in t:
+                for b in t:
+                    want["l", a, b] += f(t[a], t[b]) - f(t[a], zero[b]) - f(zero[a], t[b]) + f(zero[a], zero[b])
+    assert {r[:3]: r[3] for r in sums.rows()} == {k: v for k, v in want.items() if k[1] != k[2]}
