@@ -1,6 +1,7 @@
 """Column-level helpers (pure Spark expressions, codegen friendly)."""
 
 from candlewick.functions.numeric import (
+    exact_parts,
     parse_number,
     round_away,
     safe_corr,
@@ -13,6 +14,7 @@ from candlewick.functions.calendar import (
 )
 
 __all__ = [
+    "exact_parts",
     "parse_number",
     "round_away",
     "safe_corr",

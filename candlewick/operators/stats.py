@@ -2,6 +2,8 @@
 correlation matrix / pairs and rolling correlation against a benchmark.
 
 Scale notes
+* Sums of the summary are exact, whatever order a cluster adds in: doubles are
+  split into whole numbers by exponent, which add up map-side as decimals.
 * Quantiles are exact (linear interpolation) on one path for all keys:
   values are counted map-side, range-partitioned by (key, value), and only
   the partitions that hold a wanted rank are looked into, so a key with any
@@ -17,24 +19,24 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions import round_away, safe_corr
+from candlewick.functions import exact_parts, round_away, safe_corr
 from candlewick.operators.series import AUTO, DEFAULT_CHUNK_ROWS, row_index, time_bucket
 from candlewick.session import written
 
 STAT_DIGITS = 4
 CORR_DIGITS = 6
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
-# A mean within this relative distance of a rounding tie counts as the tie,
-# so the order in which a cluster adds doubles does not show.
-TIE = 1e-12
 
 
 # --------------------------------------------------------------------------
@@ -138,33 +140,77 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                                for i, x in enumerate(h)])
 
 
+def exact_sums(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Per key: ``n`` (values) and ``total``, their sum as if it were added up
+    without rounding and rounded once, so that it does not hang on the order
+    of the rows.  NULL and NaN values are left out; a key without a value has
+    n = 0 and a NULL total.  A NULL key is a group of its own.
+
+    Values become whole numbers by place (:func:`exact_parts`), which add up
+    exactly, map-side; a key has one row per place that occurs."""
+    keys = list(keys)
+    place, whole = exact_parts(value)
+    v = F.col(value).cast("double")
+    inf = F.lit(float("inf"))
+    parts = (df.select(*keys, place.alias("_p"), whole.cast("decimal(38,0)").alias("_w"), v.alias("_v"))
+             .groupBy(*keys, "_p").agg(
+                 F.sum("_w").alias("_w"), F.count_if(F.col("_v").isNotNull() & ~F.isnan("_v")).alias("_n"),
+                 F.count_if(F.col("_v") == inf).alias("_up"), F.count_if(F.col("_v") == -inf).alias("_down")))
+    sums = parts.groupBy(*keys).agg(
+        F.collect_list(F.when(F.col("_w").isNotNull(), F.struct(
+            F.col("_p").alias("p"), F.col("_w").cast("string").alias("w")))).alias("_parts"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_n", "_up", "_down")])
+    total = (F.when(F.col("_n") == 0, None).when((F.col("_up") > 0) & (F.col("_down") > 0), F.lit(float("nan")))
+             .when(F.col("_up") > 0, inf).when(F.col("_down") > 0, -inf).otherwise(_joined("_parts")))
+    return sums.select(*keys, F.col("_n").alias("n"), total.cast("double").alias("total"))
+
+
+@F.arrow_udf(T.DoubleType())
+def _joined(parts: pa.Array) -> pa.Array:
+    """The places of a sum, rounded once: a value for every group, not row."""
+    def total(places) -> float | None:
+        if not places:
+            return None
+        low = min(x["p"] for x in places)
+        whole = sum(int(x["w"]) << 8 * (x["p"] - low) for x in places)
+        try:
+            return float(Fraction(whole) * Fraction(2) ** (8 * low))
+        except OverflowError:
+            return math.inf if whole > 0 else -math.inf
+
+    return pa.array([total(x) for x in parts.to_pylist()], pa.float64())
+
+
 def describe(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
              digits: int = STAT_DIGITS) -> DataFrame:
-    """Summary statistics per key and column: count, mean, std (n-1),
-    min, 25/50/75 % (exact, linear), max — rounded to ``digits``.  NULL and
-    NaN values are left out; a column without a value has no row."""
+    """Summary statistics per key and column: count, mean (of the exact sum),
+    std (n-1), min, 25/50/75 % (exact, linear), max — rounded to ``digits``.
+    NULL and NaN values are left out; a column without a value has count 0 and
+    NULLs."""
     keys = list(keys)
     number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
     base = written(df.select(*keys, *[number(c).alias(c) for c in columns]), "describe")
     stats = base.groupBy(*keys).agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (
-        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
+        ("count", F.count), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
     moments = stats.select(*keys, F.explode(F.array(*[F.struct(
-        F.lit(c).alias("column"), *[F.col(f"{n}_{i}").alias(n) for n in ("count", "mean", "std", "min", "max")])
-        for i, c in enumerate(columns)])).alias("_m")).select(*keys, "_m.*").where(F.col("count") > 0)
+        F.lit(c).alias("column"), *[F.col(f"{n}_{i}").alias(n) for n in ("count", "std", "min", "max")])
+        for i, c in enumerate(columns)])).alias("_m")).select(*keys, "_m.*")
     values = base.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])).alias("_kv"))
-    qs = exact_quantiles(values.select(*keys, "_kv.column", "_kv.value"), "value", DESCRIBE_PROBS,
-                         [*keys, "column"])
-    qs = qs.withColumnsRenamed({k: f"_k_{k}" for k in [*keys, "column"]})
-    same = F.col("column") == F.col("_k_column")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    r = lambda c: round_away(F.col(c), digits)
-    return (moments.join(qs, same)
-            .select(*keys, "column", "count",
-                    round_away(F.col("mean") * F.lit(1 + TIE), digits).alias("mean"), r("std").alias("std"),
-                    r("min").alias("min"), r("q_0").alias("p25"), r("q_1").alias("p50"),
-                    r("q_2").alias("p75"), r("max").alias("max")))
+    values = values.select(*keys, "_kv.column", "_kv.value")
+    by = [*keys, "column"]
+    found = moments
+    for part in (exact_quantiles(values, "value", DESCRIBE_PROBS, by), exact_sums(values, "value", by)):
+        part = part.withColumnsRenamed({k: f"_k_{k}" for k in by})
+        same = F.col("column") == F.col("_k_column")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        found = found.join(part, same, "left").drop(*[f"_k_{k}" for k in by])
+    r = lambda c: round_away(c, digits)
+    mean = F.try_divide(F.col("total"), F.col("n").cast("double"))
+    return found.select(*keys, "column", "count", r(mean).alias("mean"), r("std").alias("std"),
+                        r("min").alias("min"), r("q_0").alias("p25"), r("q_1").alias("p50"),
+                        r("q_2").alias("p75"), r("max").alias("max"))
 
 
 def _bin_of(v: Column, lo: Column, hi: Column, bins: int) -> Column:

@@ -700,20 +700,21 @@ def q_dq_enforced(spark, sf):
 # every measure of every bar, from the enriched bars; {symbol} is the rule
 # that makes the asset's symbol
 _PL = """
-pl AS (UNPIVOT (SELECT {symbol} AS symbol, """ + ", ".join(PRICE_COLUMNS) + """ FROM enriched)
-       ON """ + ", ".join(PRICE_COLUMNS) + """ INTO NAME measure VALUE value)"""
+pl AS (SELECT * FROM (SELECT {symbol} AS symbol, """ + ", ".join(PRICE_COLUMNS) + """ FROM enriched) AS e
+       UNPIVOT INCLUDE NULLS (value FOR measure IN (""" + ", ".join(PRICE_COLUMNS) + """)))"""
 
 
 def _stats_sql(bars_sql: str, symbol: str) -> str:
-    """Describe per (symbol, measure).  The mean is nudged by 1e-12 of itself
-    before it is rounded, so that a rounding tie does not hang on the order
-    in which doubles are added."""
+    """Describe per (symbol, measure).  The sum behind the mean is added up in
+    whole multiples of 2^-70, which all these values are."""
     return bars_sql.rstrip() + "," + _PL.format(symbol=symbol) + """
-SELECT symbol, measure, count(value) AS count, round(avg(value) * (1 + 1e-12), 4) AS mean,
+SELECT symbol, measure, count(value) AS count,
+       round(CAST(sum(CAST(value * 1180591620717411303424 AS HUGEINT)) AS DOUBLE)
+             / 1180591620717411303424 / count(value), 4) AS mean,
        round(stddev_samp(value), 4) AS std, round(min(value), 4) AS min,
        round(quantile_cont(value, 0.25), 4) AS p25, round(quantile_cont(value, 0.5), 4) AS p50,
        round(quantile_cont(value, 0.75), 4) AS p75, round(max(value), 4) AS max
-FROM pl WHERE value IS NOT NULL GROUP BY symbol, measure"""
+FROM pl GROUP BY symbol, measure"""
 
 
 register("price_stats", _stats_sql(_SERVE, "repeat(coin_id, 3)"))(

@@ -1,10 +1,13 @@
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from candlewick.functions import exact_parts
 from candlewick.operators import stats
 
 
@@ -74,13 +77,57 @@ def test_describe_keeps_every_value_in_the_mean(spark, ansi):
     try:
         df = spark.createDataFrame([(1e28,), (3.0,), (None,), (float("nan"),)], "v double")
         r = stats.describe(df, ["v"]).first()
-        assert (r["count"], r["mean"], r["min"], r["max"]) == (2, pytest.approx(5e27), 3.0, 1e28)
+        assert (r["count"], r["mean"], r["min"], r["max"]) == (2, 5e27, 3.0, 1e28)
         small = stats.describe(spark.createDataFrame([(1e-11,), (3e-11,)], "v double"), ["v"], digits=12).first()
         assert small["mean"] == pytest.approx(2e-11)
+        for v in (1e8, 1.5e9, 1e12):
+            r = stats.describe(spark.createDataFrame([(v,)] * 10, "v double"), ["v"]).first()
+            assert r["mean"] == r["min"] == r["max"] == v
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_a_column_without_a_value_has_a_row(spark):
+    df = spark.createDataFrame([("a", 1.0, None), ("a", 2.0, None), (None, None, float("nan"))],
+                               "k string, v double, w double")
+    got = {(r.k, r.column): (r["count"], r["mean"], r["p50"], r["max"]) for r in stats.describe(df, ["v", "w"], ["k"]).collect()}
+    none = (0, None, None, None)
+    assert got == {("a", "v"): (2, 1.5, 1.5, 2.0), ("a", "w"): none, (None, "v"): none, (None, "w"): none}
+
+
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 1.0, -1.0, 2.0 ** 62, 2.0 ** 63,
+         -2.0 ** -54, 0.1, 1e16, -1e16, 1e-300, 3.0, 2.0 ** 8 - 2.0 ** -45]
+
+
+def test_exact_sums_are_those_of_fractions(spark):
+    """Any doubles, in any order and partitioning: rounded once."""
+    rng = random.Random(11)
+    groups = {"edges": EDGES, "cancel": [1e308, 1.0, -1e308, 1e-20], "none": []}
+    for g in range(12):
+        groups[f"r{g}"] = [rng.choice([-1, 1]) * math.ldexp(rng.getrandbits(53), rng.randint(-1126, 900))
+                           for _ in range(rng.randint(1, 60))]
+    groups["money"] = [rng.randint(-10 ** 7, 10 ** 7) / 100 for _ in range(3000)]
+    rows = [(k, v) for k, vs in groups.items() for v in vs] + [("none", None), ("none", float("nan")), ("money", None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, v double")
+    want = {k: (len(vs), float(sum(map(Fraction, vs))) if vs else None) for k, vs in groups.items()}
+    for frame in (df, df.repartition(7).sortWithinPartitions(F.desc("v")), df.coalesce(1)):
+        assert {r.k: (r.n, r.total) for r in stats.exact_sums(frame, "v", ["k"]).collect()} == want
+    one = stats.exact_sums(df.where("k = 'money'"), "v").first()
+    assert (one.n, one.total) == want["money"]
+    inf = float("inf")
+    odd = spark.createDataFrame([("u", inf), ("u", 1.0), ("d", -inf), ("b", inf), ("b", -inf), ("o", 1.7e308), ("o", 1.7e308)],
+                                "k string, v double")
+    got = {r.k: r.total for r in stats.exact_sums(odd, "v", ["k"]).collect()}
+    assert (got["u"], got["d"], got["o"]) == (inf, -inf, inf) and math.isnan(got["b"])
+
+
+def test_exact_parts_lose_no_digit(spark):
+    place, whole = exact_parts("v")
+    for r in spark.createDataFrame([(v,) for v in EDGES], "v double").select("v", place.alias("p"), whole.alias("w")).collect():
+        assert Fraction(r.v) == r.w * Fraction(2) ** (8 * r.p)
+
+
 def test_describe_matches_pandas(values):
     d = {(r["k"], r["column"]): r for r in stats.describe(values, ["v"], ["k"]).collect()}
     pdf = values.toPandas()
