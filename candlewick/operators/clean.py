@@ -31,6 +31,17 @@ def is_invalid_bar(high_c="high", low_c="low") -> Column:
     return F.coalesce(F.col(high_c) < F.col(low_c), F.lit(False))
 
 
+def stage_sql(table: str) -> str:
+    """:func:`stage_prices` of a silver table as SQL text, for a catalog view."""
+    prices = ", ".join(f"round(CAST({c} AS DOUBLE) * 1e{PRICE_DIGITS}D, 0) / 1e{PRICE_DIGITS}D AS {c}_price"
+                       for c in PRICE_COLUMNS)
+    return (f"SELECT coin_id, to_date(date) AS price_date, {prices}, source, "
+            "try_cast(regexp_replace(extracted_at, 'Z$', '') AS TIMESTAMP_NTZ) AS extracted_at, "
+            "open IS NULL OR close IS NULL AS has_null_price, "
+            "coalesce(high < low, false) AS is_invalid_ohlc "
+            f"FROM {table} WHERE coin_id IS NOT NULL AND date IS NOT NULL")
+
+
 def stage_prices(silver: DataFrame) -> DataFrame:
     """Silver bars -> staged prices (typed, rounded, flagged).
 

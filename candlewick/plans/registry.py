@@ -8,6 +8,7 @@ written to the session's shared scratch folder first.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -220,6 +221,34 @@ def q_sink_replace_table(spark, sf):
     return spark.table("cw_silver.ohlcv")
 
 
+@register("sink_versions", O.with_(O.BARS, O.BARS_SPARSE) + """
+SELECT 'before' AS seen, * FROM bars_sparse UNION ALL SELECT 'after', * FROM bars""")
+def q_sink_versions(spark, sf):
+    """A query planned before a table is replaced keeps the rows that it was
+    planned on, also where another set of columns stood there before."""
+    loc, t = scratch_path(spark, "versions"), _tables(spark, sf)
+    catalog.ensure_database(spark, "cw_versions", loc)
+    catalog.write_table(fixtures.asset_meta(t), "cw_versions.ohlcv", location=loc)
+    catalog.write_table(fixtures.bars_sparse(t), "cw_versions.ohlcv", location=loc)
+    before = spark.table("cw_versions.ohlcv")
+    catalog.write_table(fixtures.bars(t), "cw_versions.ohlcv", location=loc)
+    catalog.vacuum(spark, "cw_versions.ohlcv", dt.timedelta(0), keep=2)
+    return clean.union_all([df.select(F.lit(seen).alias("seen"), "*") for seen, df in (
+        ("before", before), ("after", spark.table("cw_versions.ohlcv")))])
+
+
+@register("staging_view", ts(O.with_(O.BARS, O.BARS_DIRTY, O.stg("bars_dirty")) + "SELECT * FROM stg", "price_date"))
+def q_staging_view(spark, sf):
+    """The staging view of the catalog, read by another session after the
+    table under it was replaced."""
+    loc, t = scratch_path(spark, "staging"), _tables(spark, sf)
+    catalog.ensure_database(spark, "cw_staging", loc)
+    catalog.write_table(fixtures.bars(t), "cw_staging.ohlcv", location=loc)
+    catalog.create_sql_view(spark, "cw_staging.stg_coin_prices", clean.stage_sql("cw_staging.ohlcv"))
+    catalog.write_table(fixtures.bars_dirty(t), "cw_staging.ohlcv", location=loc)
+    return spark.newSession().table("cw_staging.stg_coin_prices")
+
+
 def _discovery(spark, sf) -> str:
     """Two tables in a database of this query's own."""
     db = "cw_found"
@@ -671,6 +700,54 @@ register("dq_star_checks", _DIRTY_STAR + "\nUNION ALL\n".join([
     _dq_gold(lambda w: quality.star_checks(w.fact, w.dim_asset, w.dim_date)))
 
 
+# The star's suite without asset R in its dimension, a test more, and other
+# severities: declared, not programmed.
+DIRTY_SUITE = {
+    "fact_price_ohlcv": {
+        "tests": [{"min_rows": {"least": 1_000_000_000, "severity": "warn"}}],
+        "columns": {"price_sk": [{"unique": {"severity": "warn"}}, "not_null"], "close_price": ["not_null"],
+                    "open_price": [{"not_null": {"severity": "warn"}}],
+                    "coin_sk": [{"relationships": {"to": "dim_coin", "field": "coin_sk", "severity": "error"}}],
+                    "date_id": ["not_null", {"relationships": {"to": "dim_date", "field": "date_id"}}]}},
+    "dim_coin": {"columns": {"coin_id": ["unique", "not_null"]}},
+    "dim_date": {"columns": {"year": ["unique"]}},
+}
+
+
+def _without_r(w: Warehouse) -> dict[str, DataFrame]:
+    return quality.star_tables(w.fact, w.dim_asset.where("coin_id <> 'R'"), w.dim_date)
+
+
+register("dq_suite", _DIRTY_STAR + """
+SELECT * FROM (VALUES ('min_rows', 'fact_price_ohlcv', NULL, 1, 'warn'),
+  ('not_null', 'dim_coin', 'coin_id', 0, 'error'), ('unique', 'dim_coin', 'coin_id', 0, 'error'),
+  ('not_null', 'fact_price_ohlcv', 'price_sk', (SELECT count(*) FROM fact WHERE price_sk IS NULL), 'error'),
+  ('unique', 'fact_price_ohlcv', 'price_sk', (SELECT count(*) - count(DISTINCT price_sk) FROM fact WHERE price_sk IN
+     (SELECT min(price_sk) FROM fact GROUP BY price_sk HAVING count(*) = 2)), 'warn'),
+  ('not_null', 'fact_price_ohlcv', 'close_price', (SELECT count(*) - count(close_price) FROM fact), 'error'),
+  ('not_null', 'fact_price_ohlcv', 'open_price', (SELECT count(*) - count(open_price) FROM fact), 'warn'),
+  ('relationships', 'fact_price_ohlcv', 'coin_sk', (SELECT count(*) FROM fact WHERE coin_sk = md5('R')), 'error'),
+  ('not_null', 'fact_price_ohlcv', 'date_id', (SELECT count(*) FROM fact WHERE date_id IS NULL), 'error'),
+  ('relationships', 'fact_price_ohlcv', 'date_id',
+     (SELECT count(*) FROM fact WHERE date_id IS NOT NULL) - (SELECT count(*) FROM fact JOIN dim_date USING (date_id)), 'warn'),
+  ('unique', 'dim_date', 'year', (SELECT count(DISTINCT year) FROM dim_date), 'error')
+) AS v("check", table_name, column_name, failures, severity)""")(
+    _dq_gold(lambda w: quality.run_suite(quality.declared(DIRTY_SUITE), _without_r(w))))
+
+
+register("dq_failing_rows", _DIRTY_STAR + """
+SELECT 'min_rows' AS "check", 'fact_price_ohlcv' AS table_name, NULL AS column_name, 'warn' AS severity,
+       NULL AS key, (SELECT count(*) FROM fact) AS rows
+UNION ALL
+SELECT 'unique', 'fact_price_ohlcv', 'price_sk', 'warn', price_sk, count(*) FROM fact GROUP BY price_sk HAVING count(*) > 1
+UNION ALL
+SELECT 'relationships', 'fact_price_ohlcv', 'coin_sk', 'error', md5('R'), count(*) FROM fact WHERE coin_sk = md5('R')
+HAVING count(*) > 0
+UNION ALL
+SELECT 'unique', 'dim_date', 'year', 'error', CAST(year AS VARCHAR), count(*) FROM dim_date GROUP BY year""")(
+    _dq_gold(lambda w: quality.failing_rows(quality.declared(DIRTY_SUITE), _without_r(w))))
+
+
 @register("dq_enforced", _DIRTY_STAR + """
 SELECT 'relationships' AS "check", 'warn' AS severity, 'reported' AS outcome,
        (SELECT count(*) FROM fact WHERE coin_sk <> md5('R')) AS failures

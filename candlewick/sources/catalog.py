@@ -1,82 +1,172 @@
-"""Catalog tables: replace-table sink, discovery and existence checks."""
+"""Catalog tables as versions: replace-table sink, publishing, vacuum, views,
+discovery and existence checks.
+
+A table ``db.t`` is a catalog view of its current version, a Parquet table
+``db__versions.t__<stamp>_<id>`` with a folder of its own.  Writing makes a new
+version that nobody reads yet; publishing points the view at it in one catalog
+call, also where the columns change.  Versions stay until :func:`vacuum`, so a
+query that was planned before keeps its files to its end, and what was
+published before can be published again.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.sources import fs
 
+VERSIONS = "__versions"  # suffix of the database that holds the versions
+STAMP = "%Y%m%d%H%M%S%f"
+PROPERTY = "candlewick.version"  # of a view: the version that it shows
 
-def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
+def quoted(name: str) -> str:
+    """``db.table`` with both parts quoted."""
+    return ".".join(f"`{p.replace('`', '``')}`" for p in name.split("."))
 
-def _location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
 
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{loc}")
 
-def write_table(df: DataFrame, name: str, sort_within: list[str] | None = None,
-                location: str | None = None) -> str:
-    """Replace the contents of table ``db.table`` with ``df``.
 
-    Every write goes to a folder of its own under ``location`` (by default
-    that of the database); one ``ALTER TABLE .. SET LOCATION`` then points the
-    table at it and the previous folder is deleted.  A failed write leaves the
-    table as it was, and a reader sees either the old or the new rows.  Only a
-    change of schema re-creates the table entry.  ``sort_within`` orders rows
-    inside each file so Parquet min/max statistics prune date ranges.
-    """
-    spark = df.sparkSession
+def _split(spark: SparkSession, name: str) -> tuple[str, str]:
     db, _, tbl = name.rpartition(".")
-    if db:
-        ensure_database(spark, db)
-    base = location or spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri
-    path = f"{base.rstrip('/')}/{tbl}/v-{uuid.uuid4().hex[:12]}"
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    return db or spark.catalog.currentDatabase(), tbl
+
+
+@dataclass(frozen=True)
+class Version:
+    """A written version of the table ``table``; ``name`` is its own."""
+    table: str
+    name: str
+
+    @property
+    def written(self) -> dt.datetime:
+        stamp = self.name.rsplit("__", 1)[1].rsplit("_", 1)[0]
+        return dt.datetime.strptime(stamp, STAMP).replace(tzinfo=dt.timezone.utc)
+
+
+def write_version(df: DataFrame, name: str, sort_within: Sequence[str] | None = None,
+                  location: str | None = None, bucket_by: tuple[str, int] | None = None) -> Version:
+    """Write ``df`` as a version of ``db.table`` that no reader of the table
+    sees.  Its folder lies under ``location`` (by default that of the
+    database); a failed write leaves none.  ``sort_within`` orders rows inside
+    each file so Parquet min/max statistics prune ranges; ``bucket_by`` (column,
+    buckets) stores the rows of a key together, so joins, groups and windows on
+    it need no shuffle (a key with most of the rows is then one file: range
+    partition before instead)."""
+    spark = df.sparkSession
+    db, tbl = _split(spark, name)
+    ensure_database(spark, db)
+    ensure_database(spark, db + VERSIONS)
+    own = f"{tbl}__{dt.datetime.now(dt.timezone.utc).strftime(STAMP)}_{uuid.uuid4().hex[:8]}"
+    base = location or spark.catalog.getDatabase(quoted(db)).locationUri
+    path = f"{base.rstrip('/')}/{tbl}/{own.removeprefix(tbl + '__')}"
     try:
-        out.write.parquet(path)
+        if bucket_by:
+            column, buckets = bucket_by
+            # a task per bucket, so that a bucket is one file, in order
+            out = df.repartition(buckets, column).write.bucketBy(buckets, column)
+            out = out.sortBy(*(sort_within or [column]))
+        else:
+            out = (df.sortWithinPartitions(*sort_within) if sort_within else df).write
+        out.format("parquet").option("path", path).saveAsTable(quoted(f"{db}{VERSIONS}.{own}"))
     except Exception:
         fs.delete(spark, path)
         raise
-    old = _location(spark, name) if spark.catalog.tableExists(name) else None
-    new_schema = spark.read.parquet(path).schema
-    if old is not None and spark.table(name).schema == new_schema:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
-    else:
-        if old is not None:
-            spark.sql(f"DROP TABLE {name}")
-        spark.catalog.createTable(name, path=path, source="parquet", schema=new_schema)
-    if old is not None:
-        fs.delete(spark, old)
+    return Version(f"{db}.{tbl}", f"{db}{VERSIONS}.{own}")
+
+
+def publish(spark: SparkSession, *versions: Version) -> None:
+    """Show each version under its table's name: one catalog call a table, in
+    the order given."""
+    for v in versions:
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted(v.table)} TBLPROPERTIES ('{PROPERTY}' = '{v.name}') "
+                  f"AS SELECT * FROM {quoted(v.name)}")
+
+
+def write_table(df: DataFrame, name: str, sort_within: Sequence[str] | None = None,
+                location: str | None = None, **kw) -> str:
+    """Replace the contents of table ``db.table`` with ``df``: a new version,
+    published.  A reader sees the old rows or the new ones, a running query the
+    version that it was planned on; a failed write leaves the table as it was."""
+    publish(df.sparkSession, write_version(df, name, sort_within, location, **kw))
     return name
 
 
+def current(spark: SparkSession, name: str) -> Version | None:
+    """The version that the table shows; None if there is no such table."""
+    db, tbl = _split(spark, name)
+    table = f"{db}.{tbl}"
+    if not spark.catalog.tableExists(quoted(table)):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").where(F.col("key") == PROPERTY).collect()
+    return Version(table, rows[0]["value"]) if rows else None
+
+
+def versions(spark: SparkSession, name: str) -> list[Version]:
+    """The versions of a table that are there, oldest first."""
+    db, tbl = _split(spark, name)
+    if not spark.catalog.databaseExists(quoted(db + VERSIONS)):
+        return []
+    found = [t.name for t in spark.catalog.listTables(quoted(db + VERSIONS))]
+    own = [Version(f"{db}.{tbl}", f"{db}{VERSIONS}.{t}") for t in found if t.rsplit("__", 1)[0] == tbl]
+    return sorted(own, key=lambda v: v.name)
+
+
+def vacuum(spark: SparkSession, name: str, older_than: dt.timedelta, keep: int = 1) -> list[Version]:
+    """Delete the versions of a table that were written longer ago than
+    ``older_than``, but never the one shown nor the ``keep`` newest.
+    ``older_than`` is to exceed the longest query.  Returns what is gone."""
+    there = versions(spark, name)
+    shown = current(spark, name)
+    until = dt.datetime.now(dt.timezone.utc) - older_than
+    gone = [v for v in there[:len(there) - keep if keep else None] if v != shown and v.written < until]
+    for v in gone:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(v.name)}").where("col_name = 'Location'").collect()
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(v.name)}")
+        for r in rows:
+            fs.delete(spark, r["data_type"])
+    return gone
+
+
 def create_view(df: DataFrame, name: str) -> str:
-    """Lazy view (recomputed on read), like a warehouse staging model."""
+    """Lazy view of this session (recomputed on read)."""
     df.createOrReplaceTempView(name)
     return name
 
 
+def create_sql_view(spark: SparkSession, name: str, sql: str) -> str:
+    """Lazy view ``db.name`` of the catalog, which other sessions read, too: a
+    warehouse staging model.  Tables that it names are looked up when it is
+    read, so it shows their current versions."""
+    ensure_database(spark, _split(spark, name)[0])
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS {sql}")
+    return name
+
+
+def _databases(spark: SparkSession) -> list[str]:
+    return sorted(d.name for d in spark.catalog.listDatabases() if not d.name.endswith(VERSIONS))
+
+
 def list_tables(spark: SparkSession) -> DataFrame:
     """All (database, table) pairs of the catalog, distinct and sorted."""
-    rows = [(db.name, t.name) for db in spark.catalog.listDatabases()
-            for t in spark.catalog.listTables(db.name) if not t.isTemporary]
+    rows = [(db, t.name) for db in _databases(spark)
+            for t in spark.catalog.listTables(quoted(db)) if not t.isTemporary]
     return (spark.createDataFrame(rows, "table_schema string, table_name string")
             .distinct().orderBy("table_schema", "table_name"))
 
 
 def find_database(spark: SparkSession, table: str) -> str | None:
     """First database (by name) that holds ``table``; None if none does."""
-    for db in sorted(d.name for d in spark.catalog.listDatabases()):
-        if spark.catalog.tableExists(f"`{db}`.`{table}`"):
-            return db
-    return None
+    return next((db for db in _databases(spark) if spark.catalog.tableExists(quoted(f"{db}.{table}"))), None)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -90,5 +180,10 @@ def scan(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def scan_versions(spark: SparkSession, written: Mapping[str, Version]) -> dict[str, DataFrame]:
+    """Frames over versions, published or not."""
+    return {key: spark.table(quoted(v.name)) for key, v in written.items()}
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -1,11 +1,13 @@
+import dataclasses
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from candlewick.operators import quality
-from candlewick.plans.batch import BatchConfig, run_batch
+from candlewick.plans.batch import BatchConfig, run_batch, vacuum
 from candlewick.session import scratch_path
-from candlewick.sources import csv_bars
+from candlewick.sources import catalog, csv_bars
 from tests.assets import DEFAULT_ASSETS
 
 
@@ -39,6 +41,42 @@ def test_run_batch_end_to_end(spark, tmp_path):
     assert out2["tables"]["t_gold.fact_price_ohlcv"].count() == 150
 
 
+def test_a_failing_check_leaves_the_old_gold(spark, tmp_path):
+    """Nothing is published that failed; the failing keys are in the error."""
+    files = {"bitcoin": _csv(tmp_path, "bitcoin", dt.date(2020, 1, 1), 120)}
+    cfg = BatchConfig(silver_db="p_silver", gold_db="p_gold", location=scratch_path(spark, "batch-publish"))
+    run_batch(spark, files, DEFAULT_ASSETS, cfg=cfg)
+    shown = {t: catalog.current(spark, f"p_gold.{t}") for t in ("fact_price_ohlcv", "dim_coin", "dim_date")}
+    more = {"bitcoin": _csv(tmp_path, "more", dt.date(2020, 1, 1), 150)}
+    strict = {**quality.STAR_SUITE, "dim_coin": {"columns": {"name": ["unique"], "symbol": [{"unique": {"severity": "error"}}]}}}
+    twins = [{**a, "symbol": "SAME"} for a in DEFAULT_ASSETS]
+    with pytest.raises(quality.DataQualityError, match="symbol.*SAME"):
+        run_batch(spark, more, twins, cfg=dataclasses.replace(cfg, suite=strict))
+    assert {t: catalog.current(spark, f"p_gold.{t}") for t in shown} == shown
+    assert spark.table("p_gold.fact_price_ohlcv").count() == 120
+    assert spark.table("p_silver.ohlcv").count() == 150  # passed its gate
+    # a gate that fails leaves silver, too
+    with pytest.raises(quality.DataQualityError, match="min_rows"):
+        run_batch(spark, {"bitcoin": _csv(tmp_path, "few", dt.date(2020, 1, 1), 20)}, DEFAULT_ASSETS, cfg=cfg)
+    assert spark.table("p_silver.ohlcv").count() == 150
+    # the old suite passes; versions that nobody shows go with the vacuum
+    out = run_batch(spark, more, twins, cfg=cfg)
+    assert out["tables"]["p_gold.fact_price_ohlcv"].count() == 150 and out["failing"]().count() == 0
+    gone = vacuum(spark, cfg, dt.timedelta(0))
+    assert len(gone) >= 6 and all(len(catalog.versions(spark, v.table)) == 1 for v in gone)
+    assert spark.newSession().table("p_silver.stg_coin_prices").count() == 150
+    assert spark.table("p_gold.fact_price_ohlcv").count() == 150
+
+
+def test_a_bucketed_fact_is_read_without_a_shuffle_on_its_asset(spark, tmp_path):
+    files = {a: _csv(tmp_path, a, dt.date(2020, 1, 1), 60) for a in ("bitcoin", "ethereum")}
+    cfg = BatchConfig(silver_db="b_silver", gold_db="b_gold", location=scratch_path(spark, "batch-buckets"), fact_buckets=4)
+    fact = run_batch(spark, files, DEFAULT_ASSETS, cfg=cfg)["tables"]["b_gold.fact_price_ohlcv"]
+    per = fact.groupBy("coin_sk").agg(F.count("*").alias("n"), F.max("close_price").alias("top"))
+    plan = per._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and sorted(r.n for r in per.collect()) == [60, 60]
+
+
 def test_run_batch_gate_fails_below_minimum(spark, tmp_path):
     files = {"bitcoin": _csv(tmp_path, "bitcoin", dt.date(2020, 1, 1), 20)}
     cfg = BatchConfig(silver_db="g_silver", gold_db="g_gold",

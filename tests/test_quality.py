@@ -1,6 +1,7 @@
 import pytest
 
 from candlewick.operators import quality
+from candlewick.session import written
 
 
 @pytest.fixture
@@ -43,14 +44,63 @@ def test_min_rows_and_enforce(dirty):
         quality.enforce(quality.combine(ok, quality.min_rows(dirty, 6, "t")))
 
 
-def test_profiles_agree_with_the_single_checks(dirty, spark):
-    got = {r["check"]: r["failures"] for r in quality.key_profile(dirty, "k", "t").collect()}
-    assert got == {"not_null": quality.not_null(dirty, ["k"]).first()["failures"],
-                   "unique": quality.unique(dirty, "k").first()["failures"]}
-    ks = spark.createDataFrame([("a",), ("a",), (None,), ("x",)], "k string")
-    ds = spark.createDataFrame([(1,), (3,)], "d int")
-    rows = {(r["check"], r["column_name"]): (r["failures"], r["severity"])
-            for r in quality.reference_profile(dirty, ["k", "v"], {"k": ks, "d": ds}).collect()}
-    assert rows == {("not_null", "k"): (1, "error"), ("not_null", "v"): (1, "error"),
-                    ("relationships", "k"): (quality.relationships(dirty, "k", ks, "k").first()["failures"], "warn"),
-                    ("relationships", "d"): (quality.relationships(dirty, "d", ds, "d").first()["failures"], "warn")}
+def suite(spark, dirty):
+    tables = {"t": dirty, "ks": spark.createDataFrame([("a",), ("a",), (None,), ("x",)], "k string"),
+              "ds": spark.createDataFrame([(1,), (3,)], "d int")}
+    return {"t": {"tests": [{"min_rows": {"least": 6, "severity": "warn"}}, {"min_rows": {"least": 5}}],
+                  "columns": {"k": ["not_null", "unique", {"relationships": {"to": "ks", "field": "k"}}],
+                              "d": [{"relationships": {"to": "ds", "field": "d", "severity": "error"}}], "v": ["not_null"]}},
+            "ks": {"columns": {"k": ["unique", "not_null"]}}, "ds": {"columns": {"d": ["unique"]}}}, tables
+
+
+def test_a_suite_agrees_with_the_single_checks(dirty, spark):
+    tests, tables = suite(spark, dirty)
+    checks = quality.declared(tests)
+    rows = [tuple(r) for r in quality.run_suite(checks, tables).collect()]
+    one = lambda df: df.first()["failures"]
+    want = {("min_rows", "t", None, 1, "warn"), ("min_rows", "t", None, 0, "error"),
+            ("relationships", "t", "k", one(quality.relationships(dirty, "k", tables["ks"], "k")), "warn"),
+            ("relationships", "t", "d", one(quality.relationships(dirty, "d", tables["ds"], "d")), "error")}
+    want |= {(kind, t, c, one(getattr(quality, kind)(tables[t], *([[c]] if kind == "not_null" else [c]))), "error")
+             for kind, t, c in (("not_null", "t", "k"), ("not_null", "t", "v"), ("unique", "t", "k"),
+                                ("unique", "ks", "k"), ("not_null", "ks", "k"), ("unique", "ds", "d"))}
+    assert len(rows) == len(checks) == 10 and set(rows) == want
+
+
+def test_a_table_is_read_once_for_rows_and_once_per_key(dirty, spark):
+    tests, tables = suite(spark, dirty)
+    tables["t"] = written(dirty, "dirty")
+
+    def reads(tests):
+        plan = quality.run_suite(quality.declared(tests), tables)._jdf.queryExecution().optimizedPlan().toString()
+        return sum("Relation [k#" in line and ",d#" in line for line in plan.split("\n"))
+
+    assert reads(tests) == 2  # eight checks
+    assert reads({"t": {"columns": {"k": ["unique", "not_null"], "d": ["unique", "not_null"]}}}) == 2
+    assert reads({"t": {"columns": {"k": ["not_null"], "d": ["not_null"], "v": ["not_null"]}}}) == 1
+    star = quality.declared(quality.STAR_SUITE)
+    assert len(star) == 13 and sum(c.severity == "warn" for c in star) == 2
+
+
+def test_failing_rows_and_their_sample(dirty, spark):
+    tests, tables = suite(spark, dirty)
+    failing = quality.failing_rows(quality.declared(tests), tables)
+    assert {tuple(r) for r in failing.collect()} == {
+        ("min_rows", "t", None, "warn", None, 5), ("not_null", "t", "k", "error", None, 1),
+        ("unique", "t", "k", "error", "a", 2), ("relationships", "t", "k", "warn", "b", 1),
+        ("relationships", "t", "k", "warn", "c", 1), ("relationships", "t", "d", "error", "9", 1),
+        ("not_null", "t", "v", "error", None, 1), ("unique", "ks", "k", "error", "a", 2),
+        ("not_null", "ks", "k", "error", None, 1)}
+    sample = quality.sample_keys(failing, 1)
+    assert sample["relationships", "t", "k"] == ["b"] and sample["unique", "t", "k"] == ["a"]
+    with pytest.raises(quality.DataQualityError, match=r"unique\(t.k\): 1 such as \['a'\]"):
+        quality.enforce(quality.run_suite(quality.declared(tests), tables), lambda: quality.sample_keys(failing))
+
+
+@pytest.mark.parametrize("bad", [
+    {"t": {"columns": {"k": ["no_such"]}}}, {"t": {"columns": {"k": ["min_rows"]}}}, {"t": {"tests": ["unique"]}},
+    {"t": {"columns": {"k": [{"unique": {"severity": "fatal"}}]}}}, {"t": {"columns": {"k": [{"unique": {"least": 1, "x": 2}}]}}},
+    {"t": {"column": {}}}])
+def test_wrong_declarations_raise(bad):
+    with pytest.raises(ValueError):
+        quality.declared(bad)
