@@ -220,27 +220,58 @@ def test_prefixes_shorten_to_the_recall():
 # --- decontamination
 
 
-def brute_matches(text, items):
-    """Score every item on every window, without bounds or blocks."""
-    items = [(i, t) for i, t in items if i is not None and decontaminate.words_of(t or "")]
-    words = {i: decontaminate.words_of(t) for i, t in items}
-    n, mean = len(items), sum(map(len, words.values())) / len(items)
-    df = Counter(w for ws in words.values() for w in set(ws))
-    width = max(map(len, words.values()))
-    own, found = decontaminate.words_of(text or ""), set()
+def brute_scores(text, items):
+    """{item: (score, question, answer)} from the definition, for every item on
+    every window: BM25 with k1 = 1.2, b = 0.75 as a share of the item's own
+    score, 0.6 at least, in windows of 2w words every w words, w the least
+    power of two from 8 on that the item fits; then half of the word trigrams
+    of its question and of its answer (the last sentence or line of three words
+    or more, if as many are left before it, else the last quarter)."""
+    say = lambda t: re.findall(r"\w+", (t or "").lower())
+    items = [(i, t) for i, t in items if i is not None and say(t)]
+    said = {i: say(t) for i, t in items}
+    mean = sum(map(len, said.values())) / len(items)
+    own, found = say(text), {}
     for i, t in items:
-        norm = decontaminate.K1 * (1 - decontaminate.B + decontaminate.B * len(words[i]) / mean)
-        imp = {w: np.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * f * (decontaminate.K1 + 1) / (f + norm)
-               for w, f in Counter(words[i]).items()}
-        for begin in range(0, max(len(own) - width, 1), width):
-            window = own[begin:begin + 2 * width]
-            if sum(v for w, v in imp.items() if w in window) / sum(imp.values()) < decontaminate.THRESHOLD - 1e-9:
+        words = said[i]
+        parts = [say(p) for p in re.split(r"\n+|(?<=[.!?])\s+", t)]
+        split = None
+        for k in reversed(range(1, len(parts))):
+            after = [w for p in parts[k:] for w in p]
+            if len(after) >= 3:
+                before = [w for p in parts[:k] for w in p]
+                if len(before) >= 3:
+                    split = before, after
+                    break
+        if split is None:
+            cut = len(words) - max(min(3, len(words)), len(words) // 4)
+            split = (words[:cut], words[cut:]) if cut >= 3 else (words, words)
+        impact = {}
+        for w in words:
+            df = sum(w in s for s in said.values())
+            f = words.count(w)
+            impact[w] = np.log(1 + (len(items) - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(words) / mean))
+        half = 8
+        while half < len(words):
+            half *= 2
+        for at in range(0, max(len(own) - half, 1), half):
+            window = own[at:at + 2 * half]
+            score = sum(x for w, x in impact.items() if w in window) / sum(impact.values())
+            if score < 0.6 - 1e-9:
                 continue
-            grams = {tuple(window[a:a + k]) for k in (1, 2, 3) for a in range(len(window))}
-            parts = [decontaminate.ngrams(p) for p in decontaminate.question_and_answer(t)]
-            if all(len(p & grams) >= decontaminate.OVERLAP * len(p) for p in parts):
-                found.add(i)
-    return found
+            shares = []
+            for p in split:
+                n = min(3, len(p))
+                grams = {tuple(p[j:j + n]) for j in range(len(p) - n + 1)}
+                shares.append(len(grams & {tuple(window[j:j + n]) for j in range(len(window))}) / len(grams))
+            best = (round(score, 9), sum(shares), *shares)
+            if min(shares) >= 0.5 and best > found.get(i, ()):
+                found[i] = best
+    return {i: (score, q, a) for i, (score, _, q, a) in found.items()}
+
+
+def brute_matches(text, items):
+    return set(brute_scores(text, items))
 
 
 def items_and_docs():
@@ -269,9 +300,9 @@ def test_decontamination_against_brute_force(spark):
              (104, "filler " * 50_000 + items[3][1] + " end" * 50_000, "en", "s", 1)]
     bench = clashing(spark.createDataFrame(items, "item_id long, text string"))
     got = decontaminate.contaminated(docs_of(spark, docs), bench)
-    want = Counter((i, m) for i, t, *_ in docs for m in brute_matches(t, items))
-    assert Counter((r.doc_id, r.item_id) for r in got.collect()) == want
-    assert (102, 902) in want and (104, items[3][0]) in want and (None, 903) in want
+    want = Counter((i, m, *s) for i, t, *_ in docs for m, s in brute_scores(t, items).items())
+    assert Counter((r.doc_id, r.item_id, round(r.score, 9), r.question, r.answer) for r in got.collect()) == want
+    assert {(102, 902), (104, items[3][0]), (None, 903)} <= {k[:2] for k in want}
     kept = decontaminate.drop_contaminated(docs_of(spark, docs), bench)
     assert Counter(r.doc_id for r in kept.collect()) == Counter(
         i for i, t, *_ in docs if not brute_matches(t, items))
@@ -292,20 +323,85 @@ def test_short_items_do_not_drop_clean_documents(spark):
 
 
 def test_shards_find_the_same(spark):
+    """All scores, above and at the threshold, however the items are dealt."""
     items, docs = items_and_docs()
+    items += [(950, " ".join(f"long{k}" for k in range(600)))]
     bench, rows = spark.createDataFrame(items, "item_id long, text string"), docs_of(spark, docs)
 
     def leaks(**kw):
-        # windows depend on the longest item of a shard, scores of whole leaks do not
-        return {(r.doc_id, r.item_id) for r in decontaminate.contaminated(rows, bench, **kw).collect()
-                if r.score > 0.999}
-
-    many = decontaminate.build_indexes(bench, shard_chars=2500)
-    assert len(many) >= 3 and {i for x in many for i in x.ids} == {i for i, _ in items}
-    assert leaks() == leaks(shard_chars=2500) and len(leaks()) > 10
+        return {tuple(r) for r in decontaminate.contaminated(rows, bench, **kw).collect()}
+
+    whole = leaks()
+    assert len(whole) > 10 and {r[2] for r in whole if r[2] < 0.9}
+    for chars in (500, 2500, 4000):
+        many = decontaminate.build_indexes(bench, shard_chars=chars)
+        assert len(many) >= 3 and {i for x in many for i in x.ids} == {i for i, _ in items}
+        assert leaks(shard_chars=chars) == whole
     clean = decontaminate.drop_contaminated(rows, bench, shard_chars=2500)
     assert clean.columns == rows.columns
-    assert not {i for i, _ in leaks()} & {r.doc_id for r in clean.collect()}
+    assert {r.doc_id for r in clean.collect()} == {d for d, *_ in docs} - {r[0] for r in whole}
+
+
+def test_a_verdict_does_not_hang_on_other_items(spark):
+    """Question and answer 200 words apart are no leak of a short item, with a
+    long unrelated item beside it as without."""
+    short = (1, "where does the old grey heron nest in winter? it nests by the frozen northern lake")
+    question, answer = short[1].split("?")
+    apart = f"{question} " + "filler words between them " * 50 + answer
+    docs = docs_of(spark, [(1, apart, "en", "s", 1), (2, "so " + short[1] + " then", "en", "s", 1)])
+    for more in ([], [(2, " ".join(f"unrelated{k}" for k in range(600)))]):
+        bench = spark.createDataFrame([short, *more], "item_id long, text string")
+        assert [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()] == [(2, 1)]
+        assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()] == [1]
+
+
+def test_text_ids_and_tied_passages(spark):
+    item = "which of the seven gates was opened last? the western gate was opened last of all"
+    bench = spark.createDataFrame([("b/7", item), ("b/8", item), (None, item)], "item_id string, text string")
+    docs = docs_of(spark, [(1, (item + " pad" * 40 + " ") * 3, "en", "s", 1)])
+    got = sorted((r.item_id, r.begin, round(r.score, 12)) for r in decontaminate.contaminated(docs, bench).collect())
+    assert got == [("b/7", 0, 1.0), ("b/8", 0, 1.0)]
+
+
+def test_wand_skips_and_finds_all():
+    """Every window against every item; most items are never scored."""
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choices(words, weights=range(1, 401), k=rng.randint(9, 16)))) for k in range(300)]
+    df = Counter(w for _, t in items for w in set(t.split()))
+    index = decontaminate.Index(items, df, len(items), 12.5)
+    (band,) = index.bands
+    assert band.width == 16 and band.blocks == 38
+    scored, plain_sum = [0], decontaminate.fsum
+    impacts = [dict() for _ in items]
+    for t, (at, of) in band.postings.items():
+        for k, x in zip(at, of):
+            impacts[k][t] = x
+    assert all(abs(sum(x.values()) - 1) < 1e-12 for x in impacts)
+
+    def counting(values):
+        scored[0] += 1
+        return plain_sum(values)
+
+    decontaminate.fsum = counting
+    try:
+        n = 0
+        for _ in range(60):
+            text = rng.choices(words, k=30) + rng.choice(items)[1].split()
+            rng.shuffle(text)
+            terms = sorted({index.terms[w] for w in text} - {-1})
+            want = {k for k, x in enumerate(impacts) if plain_sum(x[t] for t in terms if t in x) >= 0.6 - 1e-9}
+            assert {k for k, _ in band.found(terms, list(range(band.blocks)))} == want
+            arr = np.array([index.terms[w] for w in text[:32]])
+            before = np.array([max((j for j in range(i) if arr[j] == arr[i]), default=-1) for i in range(len(arr))])
+            own = sorted(set(arr.tolist()) - {-1})
+            want = {k for k, x in enumerate(impacts) if plain_sum(x[t] for t in own if t in x) >= 0.6 - 1e-9}
+            got = {k for b, mine, blocks in band.passages(arr, before) for k, _ in band.found(mine.tolist(), blocks)}
+            assert got == want
+            n += len(want)
+        assert n > 5 and scored[0] < 120 * len(items) / 10
+    finally:
+        decontaminate.fsum = plain_sum
 
 
 def test_one_index_at_a_time(spark, monkeypatch):
