@@ -250,9 +250,7 @@ def components(edges: DataFrame) -> DataFrame:
     return answer
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                    n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL,
-                    trees: int = TREES, values: int = LABEL, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """Classes of near duplicates: Jaccard similarity of the word n-gram sets
     (lower-cased, split at white space) of ``threshold`` or more.
 
@@ -265,11 +263,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     never a class id unless all of a class are null.  Other columns are not
     read.
     """
+    found = _classified(docs, id_col, text_col, **kw)
+    kind = found.schema["id"].dataType.simpleString()
+    has = F.col("ckey").isNotNull()
+    return found.select(
+        F.col("id").alias(id_col), "th",
+        F.when(has, F.col("best.id")).otherwise(F.col("id")).cast(kind).alias("class_id"),
+        F.when(has, F.col("links") + F.col("copies") - 1).otherwise(F.lit(0)).alias("n_links"),
+        F.when(has, F.col("texts")).otherwise(F.lit(0)).alias("n_texts"))
+
+
+def _classified(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
+                threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES,
+                values: int = LABEL, block: int = BLOCK) -> DataFrame:
+    """One row per input row: ``id``, ``th``, ``ckey`` (of its text; null
+    without a word) and, of its class, ``best`` (its first row: by id, nulls
+    last, then text hash), ``links``, ``texts`` and ``copies``."""
     sig = written(signatures(docs, id_col, text_col, n=n, trees=trees, values=values), "signatures")
     classes = written(sig.where("ckey IS NOT NULL").groupBy("ckey").agg(
-        F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"),
-        F.min("th").alias("rep_th")), "classes")
-    kind = sig.schema["id"].dataType.simpleString()
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("first"),
+        F.count("*").alias("copies"), F.first("label").alias("label"), F.min("th").alias("rep_th")), "classes")
 
     def gram_set():
         hashes = WordHashes()
@@ -291,32 +304,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                             threshold=threshold, trees=trees, values=values), "links")
     roots = components(linked.select(F.col("ckey").alias("u"), F.col("root").alias("v")))
     counts = linked.groupBy("ckey").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
-    merged = (classes.select("ckey", "rep", "copies")
+    merged = (classes.select("ckey", "first", "copies")
               .join(roots, F.col("ckey") == F.col("node"), "left")
-              .select("ckey", "rep", "copies", F.coalesce("root", "ckey").alias("root")))
-    least = written(merged.groupBy("root").agg(F.min("rep").alias("class_id")), "class-ids")
+              .select("ckey", "first", "copies", F.coalesce("root", "ckey").alias("root")))
+    least = written(merged.groupBy("root").agg(F.min("first").alias("best")), "class-ids")
     table = (merged.join(least, "root").join(counts.withColumnRenamed("ckey", "l_key"),
                                              F.col("ckey") == F.col("l_key"), "left")
-             .select(F.col("ckey").alias("t_key"), "class_id", F.coalesce("links", F.lit(0)).alias("links"),
+             .select(F.col("ckey").alias("t_key"), "best", F.coalesce("links", F.lit(0)).alias("links"),
                      F.coalesce("texts", F.lit(0)).alias("texts"), "copies"))
     table = written(table, "class-table")
-    has = F.col("ckey").isNotNull()
-    return (sig.join(table, F.col("ckey") == F.col("t_key"), "left").select(
-        F.col("id").alias(id_col), "th",
-        F.when(has, F.col("class_id")).otherwise(F.col("id")).cast(kind).alias("class_id"),
-        F.when(has, F.col("links") + F.col("copies") - 1).otherwise(F.lit(0)).alias("n_links"),
-        F.when(has, F.col("texts")).otherwise(F.lit(0)).alias("n_texts")))
+    return sig.join(table, F.col("ckey") == F.col("t_key"), "left").drop("t_key", "label")
+
+
+# The characters that Python's split() takes for white space.
+NO_SPACE = "[^\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (all columns) with one row of each class: that of the class
-    id.  Rows that repeat an id (or have none) and a text are one."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = (found.where(F.col(id_col) != F.col("class_id"))
-            .select(F.col(id_col).alias("g_id"), F.col("th").alias("g_th")).distinct())
-    rows = packed(docs, id=F.col(id_col), th=F.xxhash64(text_col))
-    left = rows.join(gone, (F.col("id") == F.col("g_id")) & (F.col("th") == F.col("g_th")), "left_anti")
-    return unpacked(left.dropDuplicates(["id", "th"]))
+    """``docs`` (all columns) with one row of each class: that of the least id
+    (a row without an id only if all are), of rows with that id the one of the
+    least text hash, of equal ones any.  Rows without a word are in no class:
+    all stay."""
+    found = _classified(docs, id_col, text_col)
+    first = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("th") == F.col("best.th"))
+    gone = (found.where(F.col("ckey").isNotNull() & ~first)
+            .select(F.col("id").alias("g_id"), F.col("th").alias("g_th")).distinct())
+    rows = packed(docs, id=F.col(id_col), th=F.xxhash64(text_col),
+                  tie=F.when(~F.coalesce(F.col(text_col), F.lit("")).rlike(NO_SPACE), F.monotonically_increasing_id()))
+    left = rows.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")), "left_anti")
+    return unpacked(left.dropDuplicates(["id", "th", "tie"]))
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from candlewick.llm import bpe, decontaminate, html_text, jaccard_join, lang_id, warc
 from candlewick.session import scratch_path
@@ -186,9 +187,32 @@ def test_one_of_each(spark):
     docs = docs_of(spark, rows)
     out = jaccard_join.one_of_each(docs)
     assert out.schema.names == docs.schema.names
+    # 1000 to 1002 have no word and stay; the other null id is alone in its class
     want = {r[1] for r in brute_classes(rows)} - {None}
     got = [r.doc_id for r in out.collect()]
-    assert sorted(i for i in got if i is not None) == sorted(want) and got.count(None) == 2
+    assert sorted(i for i in got if i is not None) == sorted(want) and got.count(None) == 1
+
+
+def test_one_row_of_a_class_without_ids_and_with_repeated_ones(spark):
+    t, u = "one two three four five six", "ONE two three four five six"
+    v = "seven eight nine ten eleven twelve"
+    long = " ".join(f"n{k}" for k in range(60))
+    rows = [(None, t), (None, u), (1, t),  # the row with an id
+            (2, v), (2, v.upper()), (2, v),  # one of the rows of one id
+            (None, long), (None, long), (None, long + " more"), (None, long.upper()),  # none has an id
+            (None, ""), (None, ""), (None, None), (5, " "), (5, " "), (5, "\u2003\x1c")]  # no words: no class
+    out = jaccard_join.one_of_each(docs_of(spark, [(*r, "en", "s", 1) for r in rows]))
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    words = [(i, x) for i, x in got if (x or "").split()]
+    assert sorted((i is None, i) for i, _ in words) == [(False, 1), (False, 2), (True, None)]
+    assert (1, t) in words and len(got) - len(words) == 6
+
+
+def test_white_space_is_that_of_split(spark):
+    chars = [chr(c) for c in range(0x11000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(c,) for c in chars], "c string")
+    assert {r.c for r in df.where(~F.col("c").rlike(jaccard_join.NO_SPACE)).collect()} == {
+        c for c in chars if not c.split()}
 
 
 def test_components(spark):
