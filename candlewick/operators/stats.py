@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from fractions import Fraction
 
 import numpy as np
@@ -261,32 +261,50 @@ _MOMENT_SCHEMA = ("key_a string, key_b string, dc long, n long, "
                   + ", ".join(f"{c} double" for c in _MOMENTS[1:]))
 
 
-def _block_moments(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pair moments of one (date chunk, block a, block b) group: for every
-    pair that shares a date the number of dates, means, centred sums and the
-    least and greatest value of either side.
+GROUP_ROWS = 1 << 21  # rows of a task's group that chunks of days aim at
+TILE = 512  # assets of either side whose pairs are computed at once
+
+
+def _tiles(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Pair moments of one (date chunk, block a, block b) group, a tile of
+    pairs at a time: for every pair that shares a date the number of dates,
+    means, centred sums and the least and greatest value of either side.
 
     Sums come from matrix products of values centred per asset.  Where a
     variance over the shared dates is small beside the asset's own, centring
     per asset has lost digits: such pairs are computed on their own."""
-    ba, bb = int(pdf["_ba"].iat[0]), int(pdf["_bb"].iat[0])
+    ba, bb, dc = (int(pdf[c].iat[0]) for c in ("_ba", "_bb", "_dc"))
     dates, di = np.unique(pdf["_d"].to_numpy(), return_inverse=True)
     blocks, keys, x = pdf["_b"].to_numpy(), pdf["_k"].to_numpy(), pdf["_v"].to_numpy()
 
-    def dense(block):
+    def sides(block) -> list[tuple]:
         own = blocks == block
         names, ki = np.unique(keys[own], return_inverse=True)
-        v, m = np.zeros((len(dates), len(names))), np.zeros((len(dates), len(names)), dtype=bool)
-        v[di[own], ki], m[di[own], ki] = x[own], True
-        return names, v, m
-
-    names_a, va, ma = dense(ba)
-    names_b, vb, mb = (names_a, va, ma) if ba == bb else dense(bb)
+        out = []
+        for at in range(0, len(names), TILE):
+            here = (ki >= at) & (ki < at + TILE)
+            n = min(TILE, len(names) - at)
+            v, m = np.zeros((len(dates), n)), np.zeros((len(dates), n), dtype=bool)
+            place = di[own][here], ki[here] - at
+            v[place], m[place] = x[own][here], True
+            out.append((names[at:at + n], v, m))
+        return out
+
+    side_a = sides(ba)
+    side_b = side_a if ba == bb else sides(bb)
+    for k, a in enumerate(side_a):
+        for j, b in enumerate(side_b):
+            if ba != bb or j >= k:
+                yield _tile_moments(a, b, a is b).assign(dc=dc)
+
+
+def _tile_moments(a: tuple, b: tuple, same: bool) -> pd.DataFrame:
+    (names_a, va, ma), (names_b, vb, mb) = a, b
     ca = np.where(ma, va - va.sum(0) / np.maximum(ma.sum(0), 1), 0.0)
     cb = np.where(mb, vb - vb.sum(0) / np.maximum(mb.sum(0), 1), 0.0)
     fa, fb = ma.astype(float), mb.astype(float)
     n = fa.T @ fb
-    ia, ib = np.nonzero((n > 0) & (names_a[:, None] <= names_b[None, :] if ba == bb else True))
+    ia, ib = np.nonzero((n > 0) & (names_a[:, None] <= names_b[None, :] if same else True))
     n = n[ia, ib]
     sx, sy, sxy = ((p.T @ q)[ia, ib] for p, q in ((ca, fb), (fa, cb), (ca, cb)))
     qx, qy = ((ca * ca).T @ fb)[ia, ib], (fa.T @ (cb * cb))[ia, ib]
@@ -303,8 +321,25 @@ def _block_moments(pdf: pd.DataFrame) -> pd.DataFrame:
                             ("cxy", dx @ dy), ("x0", px.min()), ("x1", px.max()), ("y0", py.min()),
                             ("y1", py.max())):
             out[name][k] = value
-    return pd.DataFrame({"key_a": names_a[ia], "key_b": names_b[ib], "dc": int(pdf["_dc"].iat[0]),
-                         "n": n.astype("int64"), **out})
+    return pd.DataFrame({"key_a": names_a[ia], "key_b": names_b[ib], "dc": 0, "n": n.astype("int64"), **out})
+
+
+def _block_moments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Tiles of the groups of a partition, which is sorted by group; one group
+    is held at a time."""
+    held: list[pd.DataFrame] = []
+    group = ["_dc", "_ba", "_bb"]
+    for f in frames:
+        while len(f):
+            key = tuple(f[group].iloc[0])
+            end = int((f[group] == key).all(axis=1).sum())  # sorted: the first rows
+            if held and tuple(held[0][group].iloc[0]) != key:
+                yield from _tiles(pd.concat(held))
+                held = []
+            held.append(f.iloc[:end])
+            f = f.iloc[end:]
+    if held:
+        yield from _tiles(pd.concat(held))
 
 
 def _merged(a: Column, b: Column) -> Column:
@@ -342,24 +377,32 @@ def pair_moments(long: DataFrame, assets: DataFrame, date: str, key: str, value:
 
     ``assets`` (its first column) names the keys; others are left out.  Keys
     are dealt to blocks by hash, dates to chunks by value, so neither needs a
-    global numbering.  A chunk returns a row per pair, so chunks are long
-    (4,096 days) where block pairs already give many groups and short (256)
-    where all assets are one block."""
+    global numbering.  Block pairs make a square grid of tasks: there are at
+    most about sqrt(2 * tasks) blocks, and a row is copied once per block, so
+    copies grow with the root of the cluster and not with the assets.  A task
+    works through the pairs of its two blocks tile by tile.  A chunk of days is
+    as long as a group of ``GROUP_ROWS`` rows allows, as every chunk returns a
+    row per pair."""
     assets = assets.select(F.col(assets.columns[0]).alias("_ak")).where(F.col("_ak").isNotNull()).distinct()
     assets = written(assets, "correlated-assets")
-    blocks = max(1, -(-assets.count() // block_size))
-    date_chunk = date_chunk or (256 if blocks == 1 else 4096)
+    count = assets.count()
+    tasks = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, min(-(-count // block_size), math.isqrt(2 * tasks - 1) + 1))
+    if date_chunk is None:
+        date_chunk = 256 if blocks == 1 else min(4096, max(64, GROUP_ROWS * blocks // (2 * count)))
     kind = long.schema[date].dataType
     day = F.unix_date("_d") if isinstance(kind, T.DateType) else (
         F.col("_d") if isinstance(kind, (T.IntegerType, T.LongType)) else time_bucket("_d", kind))
+    name = day if isinstance(kind, (T.DateType, T.IntegerType, T.LongType)) else F.col("_d").cast("string")
     rows = (one_value(long, date, key, value).join(assets, F.col("_k") == F.col("_ak"))
-            .select(F.col("_d").cast("string").alias("_d"), "_k", "_v",
+            .select(name.alias("_d"), "_k", "_v",
                     F.floor(day / F.lit(date_chunk)).alias("_dc"),
                     F.pmod(F.xxhash64("_k"), F.lit(blocks)).alias("_b")))
     # a row goes to each pair of blocks that holds its own
     spread = (rows.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
               .withColumn("_ba", F.least("_b", "_o")).withColumn("_bb", F.greatest("_b", "_o")).drop("_o"))
-    chunks = spread.groupBy("_dc", "_ba", "_bb").applyInPandas(_block_moments, _MOMENT_SCHEMA)
+    group = ["_dc", "_ba", "_bb"]
+    chunks = spread.repartition(*group).sortWithinPartitions(*group).mapInPandas(_block_moments, _MOMENT_SCHEMA)
     # blocks are by hash: a pair of two blocks comes in either order
     flip = F.col("key_a") > F.col("key_b")
     swap = {"key_a": "key_b", "mx": "my", "cxx": "cyy", "x0": "y0", "x1": "y1"}
@@ -411,17 +454,40 @@ def corr_matrix_wide(long: DataFrame, assets: DataFrame, date: str = "date", sym
             .pivot("symbol_b", symbols).agg(F.first("corr")))
 
 
+def corr_of_pairs(long: DataFrame, pairs: DataFrame, date: str, key: str, value: str,
+                  digits: int = CORR_DIGITS) -> DataFrame:
+    """Correlation of the given pairs only (``key_a``, ``key_b``) over their
+    common dates: (key_a, key_b, corr), no row for a pair without one.  Repeated
+    pairs count once.  The work grows with the rows of the assets of the pairs,
+    not with all pairs of assets: two joins and one map-side aggregate."""
+    v = written(one_value(long, date, key, value), "pair-values")
+    named = written(pairs.select("key_a", "key_b").where("key_a IS NOT NULL AND key_b IS NOT NULL").distinct(), "pairs")
+    x = v.join(named, F.col("_k") == F.col("key_a")).select("key_a", "key_b", "_d", F.col("_v").alias("_x"))
+    both = x.join(v.select(F.col("_k").alias("_kb"), F.col("_d").alias("_db"), F.col("_v").alias("_y")),
+                  (F.col("key_b") == F.col("_kb")) & (F.col("_d") == F.col("_db")))
+    return both.groupBy("key_a", "key_b").agg(
+        F.count(F.lit(1)).alias("n"), F.covar_pop("_x", "_y").alias("cxy"), F.var_pop("_x").alias("cxx"),
+        F.var_pop("_y").alias("cyy"), F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"),
+        F.max("_y").alias("y1")).select("key_a", "key_b", corr_from_moments(digits).alias("corr"))
+
+
 def corr_pairs(fact: DataFrame, dim_asset: DataFrame, value: str = "daily_return_pct",
-               digits: int = CORR_DIGITS, **kw) -> DataFrame:
+               digits: int = CORR_DIGITS, pairs: DataFrame | None = None, **kw) -> DataFrame:
     """Documented pair query: correlation of each unordered asset pair over
-    common calendar days, the pair oriented by surrogate key (a < b)."""
+    common calendar days, the pair oriented by surrogate key (a < b).  ``pairs``
+    (two columns of surrogate keys) names the pairs wanted; without it they are
+    all pairs of the dimension."""
     # yyyymmdd as a day, so that chunks of days are even
     rows = fact.select("coin_sk", value, F.to_date(F.col("date_id").cast("string"), "yyyyMMdd").alias("day"))
-    m = pair_moments(rows, dim_asset.select("coin_sk"), "day", "coin_sk", value, **kw).where(
-        F.col("key_a") != F.col("key_b"))
+    if pairs is None:
+        found = (pair_moments(rows, dim_asset.select("coin_sk"), "day", "coin_sk", value, **kw)
+                 .where(F.col("key_a") != F.col("key_b")).withColumn("correlation", corr_from_moments(digits)))
+    else:
+        a, b = (F.col(c) for c in pairs.columns[:2])
+        wanted = pairs.select(F.least(a, b).alias("key_a"), F.greatest(a, b).alias("key_b")).where("key_a <> key_b")
+        found = corr_of_pairs(rows, wanted, "day", "coin_sk", value, digits).withColumnRenamed("corr", "correlation")
     syms = dim_asset.select("coin_sk", "symbol")
-    return (m.withColumn("correlation", corr_from_moments(digits))
-            .join(syms.withColumnsRenamed({"coin_sk": "key_a", "symbol": "symbol_a"}), "key_a")
+    return (found.join(syms.withColumnsRenamed({"coin_sk": "key_a", "symbol": "symbol_a"}), "key_a")
             .join(syms.withColumnsRenamed({"coin_sk": "key_b", "symbol": "symbol_b"}), "key_b")
             .select("symbol_a", "symbol_b", "correlation"))
 

@@ -943,6 +943,19 @@ _SUPPLIER = O.with_(O.BARS_SUPPLIER, O.stg("bars_supplier"), O.enriched("stg"))
 register("supplier_corr_pairs", _pairs_sql(_SUPPLIER, "coin_id"))(
     lambda spark, sf: (lambda w: stats.corr_pairs(w.fact, w.dim_asset))(_supplier_warehouse(spark, sf)))
 
+def _neighbours(w: Warehouse) -> DataFrame:
+    """Pairs of suppliers with numbers that follow each other."""
+    number = F.substring("coin_id", 2, 20).cast("long")
+    a = w.dim_asset.select(F.col("coin_sk").alias("a"), number.alias("n"))
+    b = w.dim_asset.select(F.col("coin_sk").alias("b"), (number - 1).alias("n"))
+    return a.join(b, "n").select("a", "b")
+
+
+register("supplier_corr_given_pairs", _pairs_sql(_SUPPLIER, "coin_id").replace(
+    "a.k < b.k", "a.k < b.k AND abs(CAST(substr(a.s, 2) AS INT) - CAST(substr(b.s, 2) AS INT)) = 1"))(
+    lambda spark, sf: (lambda w: stats.corr_pairs(w.fact, w.dim_asset, pairs=_neighbours(w)))(
+        _supplier_warehouse(spark, sf)))
+
 register("supplier_price_stats", _stats_sql(_SUPPLIER, "coin_id"))(
     lambda spark, sf: (lambda w: stats.describe(
         serve.price_series(w.fact, w.dim_asset, w.dim_date), PRICE_COLUMNS, ["symbol"])

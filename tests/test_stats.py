@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from fractions import Fraction
 
 import numpy as np
@@ -277,3 +278,36 @@ def test_few_assets_give_several_groups(spark, returns, assets):
     assert m.where("n = 0").count() == 0
     plan = m._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInPandas" in plan and "SinglePartition" not in plan
+
+
+def test_copies_of_a_row_grow_with_the_tasks_not_with_the_assets(spark, monkeypatch):
+    """As many blocks as a square grid of the tasks needs, at most."""
+    df = spark.range(3000).select(F.expr("date'2020-01-01' + cast(id div 750 as int)").alias("date"),
+                                  F.concat(F.lit("k"), (F.col("id") % 750).cast("string")).alias("symbol"),
+                                  F.hash("id").cast("double").alias("daily_return_pct"))
+    monkeypatch.setattr(stats, "TILE", 100)
+    seen = {}
+    for tasks in ("2", "8", "32"):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        try:
+            m = stats.pair_moments(df, df.select("symbol"), "date", "symbol", "daily_return_pct", block_size=8)
+            plan = m._jdf.queryExecution().analyzed().toString()
+            blocks = int(re.search(r"sequence\(cast\(0 as bigint\), cast\((\d+) as bigint\)", plan).group(1)) + 1
+            assert blocks == {"2": 2, "8": 4, "32": 8}[tasks]
+            r = m.agg(F.count("*").alias("n"), F.sum("n").alias("days"), F.sum("cxy").alias("c")).first()
+            seen[tasks] = (r.n, r.days, round(r.c / 1e18, 6))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(set(seen.values())) == 1 and seen["2"][0] == 750 * 751 // 2
+
+
+def test_given_pairs_agree_with_the_matrix(returns, assets, spark):
+    cells = {(r.symbol_a, r.symbol_b): r["corr"] for r in stats.corr_matrix_long(returns, assets).collect()}
+    names = sorted({a for a, _ in cells})
+    wanted = [(a, b) for a in names for b in names[::2]] + [(names[0], "nobody"), (None, names[0]), (names[0], names[-1])]
+    pairs = spark.createDataFrame(wanted, "key_a string, key_b string")
+    got = {(r.key_a, r.key_b): r["corr"] for r in stats.corr_of_pairs(
+        returns, pairs, "date", "symbol", "daily_return_pct").collect()}
+    assert set(got) == {k for k in set(wanted) if k in cells}
+    for k, v in got.items():
+        assert v == cells[k] if v is None or cells[k] is None else abs(v - cells[k]) <= 1.01e-6, k
