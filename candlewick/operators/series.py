@@ -13,7 +13,8 @@ plain window while the work spreads over ``rows / chunk_rows`` tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -92,18 +93,23 @@ def chunked_window(df: DataFrame, keys: Sequence[str], index: str, lookback: int
     key and chunk and ordered by ``index`` and returns the new columns;
     frames are added by the caller (``w.rowsBetween(-6, 0)``).
     """
+    w = Window.partitionBy(*keys, _C).orderBy(index)
+    out = _in_chunks(df, index, lookback, chunk_rows).withColumns(columns(w))
+    return out.where(F.col(_C) == F.col(_HOME)).drop(_C, _HOME)
+
+
+def _in_chunks(df: DataFrame, index: str, lookback: int, chunk_rows: int) -> DataFrame:
+    """Rows with their own chunk and the chunk that they are in: the last
+    ``lookback`` rows of a chunk are in the next one, too."""
     if chunk_rows <= lookback:
         raise ValueError("chunk_rows must exceed the window lookback")
     pos = F.col(index) - 1
     home = F.floor(pos / F.lit(chunk_rows))
     in_halo = (pos % F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
-    spread = (df.withColumn(_HOME, home)
-              .withColumn(_C, F.explode(F.when(in_halo & F.lit(lookback > 0),
-                                               F.array(F.col(_HOME), F.col(_HOME) + 1))
-                                        .otherwise(F.array(F.col(_HOME))))))
-    w = Window.partitionBy(*keys, _C).orderBy(index)
-    out = spread.withColumns(columns(w))
-    return out.where(F.col(_C) == F.col(_HOME)).drop(_C, _HOME)
+    return (df.withColumn(_HOME, home)
+            .withColumn(_C, F.explode(F.when(in_halo & F.lit(lookback > 0),
+                                             F.array(F.col(_HOME), F.col(_HOME) + 1))
+                                      .otherwise(F.array(F.col(_HOME))))))
 
 
 def series_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], lookback: int,
@@ -125,3 +131,66 @@ def series_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], look
         return df.withColumns(columns(w))
     indexed = row_index(df, keys, order, bucket=bucket)
     return chunked_window(indexed, keys, _G, lookback, columns, chunk_rows).drop(_G)
+
+
+@dataclass(frozen=True)
+class Frame:
+    """An aggregate (sum, avg, count, min or max) of a column's values in the
+    last ``rows`` rows, the current one included."""
+    column: str
+    kind: str
+    rows: int
+
+
+# kind -> (aggregates that are kept, how two parts of a frame become one)
+_PARTS = {"sum": ("sum",), "count": ("count",), "avg": ("sum", "count"), "min": ("min",), "max": ("max",)}
+
+
+def sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str], frames: Mapping[str, Frame],
+            chunk_rows: int | None = None, bucket: Column | None = None) -> DataFrame:
+    """Aggregates of sliding row frames of any length, a few steps a row.
+
+    A plain sliding window adds up its whole frame for every row.  Here the
+    rows of a key are cut into blocks of the frame's length: a frame is the end
+    of one block and the beginning of the next, so it is one running aggregate
+    from the block's start and one, a frame ago, to its block's end.  Nothing
+    is subtracted, so no digits are lost.  NULLs are left out as SQL does; the
+    first rows of a key have the part of the frame that there is.  ``order``
+    must be unique within a key, whose rows spread over chunks of
+    ``chunk_rows`` (by default a million, or eight of the longest frame)."""
+    keys, order = list(keys), list(order)
+    longest = max(f.rows for f in frames.values())
+    if min(f.rows for f in frames.values()) < 1 or {f.kind for f in frames.values()} - set(_PARTS):
+        raise ValueError("frames have one row at least and a kind of " + ", ".join(_PARTS))
+    chunk_rows = chunk_rows or max(DEFAULT_CHUNK_ROWS, 8 * longest)
+    out = _in_chunks(row_index(df, keys, order, bucket=bucket), _G, longest - 1, chunk_rows)
+    parts = {(f.column, k, f.rows) for f in frames.values() for k in _PARTS[f.kind]}
+    names = {p: f"_cw_{i}" for i, p in enumerate(sorted(parts))}
+    in_chunk = Window.partitionBy(*keys, _C).orderBy(_G)
+    for n in sorted({f.rows for f in frames.values()}):
+        own = {p: c for p, c in names.items() if p[2] == n}
+        out = out.withColumn("_cw_block", F.floor((F.col(_G) - 1) / F.lit(n)))
+        block = Window.partitionBy(*keys, _C, "_cw_block")
+        until = block.orderBy(F.desc(_G)).rowsBetween(Window.unboundedPreceding, 0)
+        since = block.orderBy(_G).rowsBetween(Window.unboundedPreceding, 0)
+        agg = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+        out = out.withColumns({f"{c}_u": agg[k](col).over(until) for (col, k, _), c in own.items()})
+        out = out.withColumns({f"{c}_s": agg[k](col).over(since) for (col, k, _), c in own.items()})
+        # the rest of the frame, where the block's rows do not fill it
+        short = (F.col(_G) - 1) % n < n - 1
+        out = out.withColumns({f"{c}_u": F.when(short, F.lag(f"{c}_u", n - 1).over(in_chunk)) for c in own.values()})
+        out = out.withColumns({c: _both(k, F.col(f"{c}_u"), F.col(f"{c}_s")) for (_, k, _), c in own.items()})
+        out = out.drop("_cw_block", *[f"{c}_{x}" for c in own.values() for x in "us"])
+
+    def value(f: Frame) -> Column:
+        part = [F.col(names[f.column, k, f.rows]) for k in _PARTS[f.kind]]
+        return F.try_divide(*part) if f.kind == "avg" else part[0]
+
+    out = out.where(F.col(_C) == F.col(_HOME)).withColumns({name: value(f) for name, f in frames.items()})
+    return out.drop(_C, _HOME, _G, *names.values())
+
+
+def _both(kind: str, a: Column, b: Column) -> Column:
+    if kind in ("sum", "count"):
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+    return (F.least if kind == "min" else F.greatest)(a, b)  # these skip NULLs

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from candlewick.operators.series import row_index, series_window
+from candlewick.operators.series import Frame, row_index, series_window, sliding
 
 
 def _cols(w):
@@ -107,3 +107,34 @@ def test_text_order_needs_a_bucket(spark):
     df = spark.createDataFrame([("k", "2020-01-01", 1.0)], "k string, t string, v double")
     with pytest.raises(TypeError, match="bucket"):
         series_window(df, ["k"], ["t"], 4, _cols)
+
+
+@pytest.mark.parametrize("rows, chunk", [(1, 3), (2, 3), (5, 7), (30, 64), (400, None), (400, 401), (5000, None)])
+def test_sliding_frames_equal_plain_windows(skewed, rows, chunk):
+    df = skewed.withColumn("v", F.when(F.col("t") % 7 > 0, F.col("v"))).withColumn("n", (F.col("t") % 5).cast("int"))
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(-(rows - 1), 0)
+    kinds = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max}
+    plain = df.withColumns({f"{c}_{k}": f(c).over(w) for c in "vn" for k, f in kinds.items()})
+    frames = {f"{c}_{k}": Frame(c, k, rows) for c in "vn" for k in kinds}
+    got = sliding(df, ["k"], ["t"], {**frames, "other": Frame("v", "max", 3)}, chunk, F.floor(F.col("t") / 100))
+    assert got.columns == [*df.columns, *frames, "other"]
+    key = lambda r: (r["k"] or "", r["t"])
+    a, b = sorted(plain.collect(), key=key), sorted(got.collect(), key=key)
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        for c in frames:
+            exact = c[0] == "n" and c != "n_avg" or c[2:] in ("count", "min", "max")
+            assert x[c] == y[c] if exact or x[c] is None else y[c] == pytest.approx(x[c], abs=1e-9), (c, x, y)
+
+
+def test_sliding_frames_lose_no_digits(spark):
+    """A value far larger than the others leaves no trace behind its frame."""
+    df = spark.createDataFrame([("a", t, 1e17 if t == 5 else 1.0) for t in range(60)], "k string, t long, v double")
+    got = {r.t: r.s for r in sliding(df, ["k"], ["t"], {"s": Frame("v", "sum", 4)}, 16).collect()}
+    assert all(got[t] == 4.0 for t in range(9, 60)) and got[0] == 1.0
+
+
+def test_sliding_frames_that_are_none(skewed):
+    for frame in (Frame("v", "median", 3), Frame("v", "sum", 0)):
+        with pytest.raises(ValueError):
+            sliding(skewed, ["k"], ["t"], {"x": frame})
