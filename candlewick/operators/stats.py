@@ -59,11 +59,12 @@ MAX_PIVOT_COLUMNS = 10_000
 
 def pivot_symbols(assets: DataFrame, symbol: str = "symbol") -> list[str]:
     """The column names of a pivot: the symbols of an asset dimension, sorted.
-    A wide table cannot have more than ``MAX_PIVOT_COLUMNS``; more raise."""
+    A wide table cannot have more than ``MAX_PIVOT_COLUMNS``; more raise (see
+    :func:`returns_pivot_array`)."""
     rows = assets.select(symbol).where(F.col(symbol).isNotNull()).distinct() \
         .limit(MAX_PIVOT_COLUMNS + 1).collect()
     if len(rows) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} symbols: use the long form")
+        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} symbols: use returns_pivot_array")
     return sorted(r[0] for r in rows)
 
 
@@ -86,6 +87,52 @@ def returns_unpivot(wide: DataFrame, date: str = "date", symbol: str = "symbol",
             .where(F.col(value).isNotNull()))
 
 
+def symbol_positions(assets: DataFrame, symbol: str = "symbol") -> DataFrame:
+    """(symbol, position from 0) of the symbols of an asset dimension, in
+    order, numbered by slices of their first characters."""
+    names = assets.select(F.col(assets.columns[0] if symbol not in assets.columns else symbol).alias("symbol"))
+    names = names.where("symbol IS NOT NULL").distinct()
+    numbered = row_index(names, [], ["symbol"], bucket=F.substring("symbol", 1, 3), name="position")
+    return written(numbered.select("symbol", (F.col("position") - 1).cast("int").alias("position")), "positions")
+
+
+def returns_pivot_array(long: DataFrame, positions: DataFrame, date: str = "date", symbol: str = "symbol",
+                        value: str = "daily_return_pct") -> DataFrame:
+    """One row per date with ``values``: an array over all symbols in the order
+    of ``positions`` (see :func:`symbol_positions`), NULL where a symbol has no
+    value.  For more symbols than a table can have columns.  Values of other
+    symbols are left out; a duplicated (date, symbol) raises."""
+    width = positions.count()
+    mine = positions.withColumnsRenamed({"symbol": "_ps", "position": "_pp"})
+    cells = long.join(mine, F.col(symbol) == F.col("_ps")).where(F.col(value).isNotNull())
+    per = cells.groupBy(date).agg(F.collect_list(F.struct("_pp", F.col(value).cast("double").alias("_v"))).alias("_c"))
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def dense(rows: pa.Array) -> pa.Array:
+        out = []
+        for k in range(len(rows)):
+            place, v = (x.to_numpy() for x in rows[k].values.flatten())
+            if len(np.unique(place)) < len(place):
+                raise ValueError("duplicate (date, symbol) in pivot input")
+            there = np.zeros(width, dtype=bool)
+            full = np.zeros(width)
+            full[place], there[place] = v, True
+            out.append(pa.array(full, mask=~there))
+        offsets = pa.array(np.arange(len(out) + 1) * width, pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.concat_arrays(out) if out else pa.array([], pa.float64()))
+
+    return per.select(date, dense("_c").alias("values"))
+
+
+def returns_unpivot_array(wide: DataFrame, positions: DataFrame, date: str = "date", symbol: str = "symbol",
+                          value: str = "daily_return_pct") -> DataFrame:
+    """:func:`returns_pivot_array` back to (date, symbol, value), present
+    values only."""
+    cells = wide.select(date, F.posexplode("values").alias("_p", value)).where(F.col(value).isNotNull())
+    mine = positions.select(F.col("symbol").alias(symbol), "position")
+    return cells.join(mine, F.col("_p") == F.col("position")).select(date, symbol, value)
+
+
 # --------------------------------------------------------------------------
 # exact quantiles and describe
 # --------------------------------------------------------------------------

@@ -983,3 +983,18 @@ register("part_enriched", ts(O.with_(O.BARS_PART, O.stg("bars_part"), O.enriched
                              + "SELECT * FROM enriched", "price_date"))(
     lambda spark, sf: enrich.enrich(clean.stage_prices(
         fixtures.bars_by_part(_tables(spark, sf)))))
+
+
+@register("part_returns_pivot", ts(O.with_(O.BARS_PART, O.stg("bars_part"), O.enriched("stg")) + """
+SELECT price_date AS date, coin_id AS symbol, daily_return_pct,
+       (SELECT count(DISTINCT coin_id) FROM enriched) AS width
+FROM enriched WHERE daily_return_pct IS NOT NULL""", "date"))
+def q_part_returns_pivot(spark, sf):
+    """Returns of every part, one array of all parts per date, and back."""
+    rows = written(enrich.enrich(clean.stage_prices(fixtures.bars_by_part(_tables(spark, sf))))
+                   .select(F.col("price_date").alias("date"), F.col("coin_id").alias("symbol"), "daily_return_pct"),
+                   "part-returns")
+    order = stats.symbol_positions(rows)
+    wide = written(stats.returns_pivot_array(rows, order), "part-pivot")
+    width = F.lit(wide.agg(F.max(F.size("values"))).first()[0]).cast("long")
+    return stats.returns_unpivot_array(wide, order).withColumn("width", width)

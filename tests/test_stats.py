@@ -311,3 +311,26 @@ def test_given_pairs_agree_with_the_matrix(returns, assets, spark):
     assert set(got) == {k for k in set(wanted) if k in cells}
     for k, v in got.items():
         assert v == cells[k] if v is None or cells[k] is None else abs(v - cells[k]) <= 1.01e-6, k
+
+
+def test_array_pivot_of_many_symbols(spark):
+    """More symbols than columns; gaps are NULL, other symbols are left out."""
+    n = 20_000
+    long = spark.range(n).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("symbol"),
+                                 F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("date"),
+                                 F.col("id").cast("double").alias("daily_return_pct"))
+    long = long.where("(hash(symbol) + date) % 3 > 0 OR date = 3")
+    order = stats.symbol_positions(long)
+    names = [r.symbol for r in order.orderBy("position").collect()]
+    assert names == sorted(f"s{k}" for k in range(n))
+    some = long.unionByName(spark.createDataFrame([("nobody", 1, 5.0), (None, 1, 5.0)],
+                                                 "symbol string, date int, daily_return_pct double"))
+    wide = stats.returns_pivot_array(some, order).collect()
+    assert sorted(r.date for r in wide) == [1, 2, 3] and all(len(r["values"]) == n for r in wide)
+    full = next(r["values"] for r in wide if r.date == 3)
+    assert full == [float(s[1:]) for s in names]
+    assert 0 < sum(v is None for v in wide[0]["values"] + wide[1]["values"]) < n * 2
+    back = stats.returns_unpivot_array(stats.returns_pivot_array(long, order), order)
+    assert back.exceptAll(long.select(back.columns)).count() == 0 and back.count() == long.count()
+    with pytest.raises(Exception, match="duplicate"):
+        stats.returns_pivot_array(long.union(long.limit(1)), order).collect()
