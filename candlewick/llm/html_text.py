@@ -1,14 +1,16 @@
 """HTML extraction: main text after site template removal.
 
-Pages are parsed into light element trees in two passes.  The first hashes
-the element subtrees that can be template (containers outside the headings
-and paragraphs of the article) and Spark counts, per host and per section of
-a host, on how many distinct pages each hash stands; the second pass deletes
-subtrees that recur across many pages of their host or section and takes the
-text of the article.  Pages with equal html count once, so copies of an
-article do not make it a template.  Counting is split by (host, section,
-hash) and combined map-side; a page's list of templates is bounded by the
-shares it asks for.
+Pages are parsed into light element trees in two passes.  The first hashes the
+subtrees of all containers, menus and footers included, and Spark counts, per
+host and per section of a host, on how many distinct pages each hash stands.
+A subtree has a hash of all that it says; one that is mostly links has a hash of
+its shape, too, as a menu says something else on every page and looks the same.
+The second pass deletes subtrees that recur across many pages of their host or
+section, and takes the text of the article; names of furniture come last, for
+what no other page tells.  Pages with equal html count once, so copies of an
+article do not make it a template.  Counting is split by (host, section, hash)
+and combined map-side; a page's list of templates is bounded by the shares it
+asks for.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,11 +54,12 @@ FURNITURE = frozenset(
     "subscription signup login sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs "
     "pagination pager footer masthead comment comments disqus reply replies respond share sharing "
     "social related recommended search toolbar widget contentinfo complementary skip".split())
-COMMENTS = frozenset(["comment", "comments"])
+COMMENTS = frozenset(["comment", "comments", "disqus"])
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
 # Words that beside those make a class of page furniture inside an article too.
 NEUTRAL = frozenset(
-    "area block bottom box button buttons container form inner item items left link links list "
-    "outer post posts right section slot top unit wrap wrapper".split())
+    "area block bottom box button buttons container content form inner item items left link links "
+    "list outer post posts reader readers right section slot thread top unit user users wrap wrapper".split())
 NAMED = frozenset("h1 h2 h3 h4 h5 h6 p".split())  # their ids are made from their text
 
 _TAG = re.compile(
@@ -63,16 +67,19 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+[^>]*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s/=>]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 
 class Node:
     """An element; ``h1`` and ``core`` tell what it holds (see ``_CORE``),
-    ``size`` how many characters of text outside elements of ``DROPPED``."""
+    ``size`` how many characters of text outside elements of ``DROPPED``,
+    ``all`` and ``links`` how many in all and in links."""
 
-    __slots__ = ("tag", "attrs", "kids", "h1", "core", "size")
+    __slots__ = ("tag", "attrs", "kids", "h1", "core", "size", "all", "links")
 
     def __init__(self, tag: str, attrs: str):
-        self.tag, self.attrs, self.kids, self.h1, self.core, self.size = tag, attrs, [], False, False, 0
+        self.tag, self.attrs, self.kids, self.h1, self.core = tag, attrs, [], False, False
+        self.size = self.all = self.links = 0
 
 
 def parse(html: str) -> Node:
@@ -112,10 +119,14 @@ def parse(html: str) -> Node:
             if isinstance(k, Node):
                 node.h1 |= k.h1 or k.tag == "h1"
                 node.core |= k.core or k.tag in _CORE
+                if k.tag not in RAW:
+                    node.all += k.all
+                    node.links += k.all if k.tag == "a" else k.links
                 if k.tag not in DROPPED:
                     node.size += k.size
             else:
                 node.size += len(k.strip())
+                node.all += len(k.strip())
     return root
 
 
@@ -171,7 +182,8 @@ def _traits(node: Node) -> tuple[frozenset[str], bool]:
         return frozenset(), False
     of = _attributes(node)
     words = {w.lower() for k in ("class", "id", "role") for w in _WORD.findall(of.get(k, ""))}
-    return frozenset(words), "hidden" in of or of.get("aria-hidden", "").strip().lower() == "true"
+    unseen = "hidden" in of or of.get("aria-hidden", "").strip().lower() == "true"
+    return frozenset(words), unseen or bool(_UNSEEN.search(of.get("style", "")))
 
 
 _CORE = frozenset(["h1", "article", "main", "body"])
@@ -184,9 +196,13 @@ def _named(node: Node, in_article: bool) -> tuple[bool, bool]:
     name it.  Outside the article one word is enough, but for ids of sections,
     headings and paragraphs.  Inside, and in those ids, a name counts as a
     whole, and so does a class of such words and neutral ones
-    (``related-posts``); only containers go."""
-    if not node.attrs or in_article and node.tag not in TEMPLATE and node.tag != "article":
+    (``related-posts``); only containers go, and paragraphs that a class names
+    an advert."""
+    if not node.attrs:
         return False, False
+    if in_article and node.tag not in TEMPLATE and node.tag != "article":
+        names = _attributes(node).get("class", "").lower().split()
+        return node.tag == "p" and not ADVERTS.isdisjoint(names), False
     of, found, comments = _attributes(node), False, False
     for key in ("class", "id", "role"):
         if key == "id" and node.tag in NAMED:
@@ -196,7 +212,8 @@ def _named(node: Node, in_article: bool) -> tuple[bool, bool]:
             if not words or words[0] in ("has", "no", "with") and len(words) > 1:
                 continue
             own = [w for w in words if w in FURNITURE]
-            whole = len(words) == 1 or key != "id" and NEUTRAL.issuperset(set(words) - set(own))
+            whole = len(words) == 1 or not (key == "id" and node.tag == "section") and NEUTRAL.issuperset(
+                set(words) - set(own))
             if own and (whole or not in_article and not (key == "id" and node.tag == "section")):
                 found = True
                 comments |= whole and not COMMENTS.isdisjoint(own)
@@ -217,10 +234,11 @@ def furniture(node: Node, in_article: bool, whole: int) -> bool:
     return found and (comments or not node.core and 2 * node.size <= whole)
 
 
-def subtree_hashes(top: Node) -> dict[int, int]:
+def subtree_hashes(top: Node, shape: bool = False) -> dict[int, int]:
     """Signed 64-bit hash by ``id`` of the elements of a subtree that hold
     text: of the tag, the words of its attributes, its text with white space
-    as one blank and the hashes of the elements in it, from the leaves up."""
+    as one blank and the hashes of the elements in it, from the leaves up.
+    With ``shape`` a text counts by being there, not by what it says."""
     import xxhash
 
     order, todo, out = [], [top], {}
@@ -234,7 +252,7 @@ def subtree_hashes(top: Node) -> dict[int, int]:
             if isinstance(k, str):
                 k = " ".join(k.split())
                 if k:
-                    parts.append(k)
+                    parts.append("\2" if shape else k)
             elif id(k) in out:
                 parts.append(f"\1{out[id(k)]}")
         if parts:
@@ -249,40 +267,46 @@ def is_template(node: Node) -> bool:
     return node.tag in TEMPLATE and not node.core
 
 
-def template_hashes(html: str) -> set[int]:
-    """Hashes of the subtrees of a page that can be site template and are not
-    dropped by name anyway, nested ones included."""
-    root = parse(html)
-    found, todo = set(), [(root, False, root.size)]
+def is_menu(node: Node) -> bool:
+    """Whether a container counts by its shape, too: most of it is links."""
+    return 2 * node.links > node.all
+
+
+def hashed(root: Node) -> Iterator[tuple[Node, int, int | None]]:
+    """(element, hash, hash of the shape or None) of the containers of a page
+    that can be site template, nested ones included; menus inside an article
+    have no shape."""
+    todo = [(root, False)]
     while todo:
-        node, inside, whole = todo.pop()
-        if is_template(node):
-            hashes, inner = subtree_hashes(node), [node]
-            while inner:
-                x = inner.pop()
-                if is_template(x) and id(x) in hashes:
-                    found.add(hashes[id(x)])
-                inner += [k for k in x.kids if isinstance(k, Node)]
+        node, inside = todo.pop()
+        if not is_template(node):
+            inside |= node.tag in ("article", "main")
+            todo += [(k, inside) for k in node.kids if isinstance(k, Node)]
             continue
-        if not inside and node.tag in ("article", "main"):
-            inside, whole = True, node.size
-        todo += [(k, inside, whole) for k in node.kids
-                 if isinstance(k, Node) and not furniture(k, inside, whole)]
-    return found
+        told, shapes, inner = subtree_hashes(node), {}, [node]
+        while inner:
+            x = inner.pop()
+            if is_template(x) and id(x) in told:
+                menu = not inside and is_menu(x)
+                if menu and id(x) not in shapes:  # of the outermost, then those in it are there
+                    shapes.update(subtree_hashes(x, shape=True))
+                yield x, told[id(x)], shapes[id(x)] if menu else None
+            inner += [k for k in x.kids if isinstance(k, Node)]
+
+
+def template_hashes(html: str) -> set[int]:
+    """Hashes of the subtrees of a page that can be site template."""
+    return {h for _, told, shape in hashed(parse(html)) for h in (told, shape) if h is not None}
 
 
 def main_text(html: str, templates=frozenset()) -> str:
-    """Text of the article: blocks in page order, white space as one blank."""
-    root, hashes = parse(html), {}
+    """Text of the article: blocks in page order, white space as one blank.
+    Templates go first; what is left goes by what it is named."""
+    root = parse(html)
+    gone = {id(x) for x, told, shape in hashed(root) if told in templates or shape in templates} if templates else ()
 
     def bad(k: Node, inside: bool, whole: int) -> bool:
-        if furniture(k, inside, whole):
-            return True
-        if not templates or not is_template(k):
-            return False
-        if id(k) not in hashes:  # of the outermost container, then its own are there
-            hashes.update({id(k): None} | subtree_hashes(k))
-        return hashes[id(k)] in templates
+        return id(k) in gone or furniture(k, inside, whole)
 
     tops, todo = [], [root]
     while todo:  # the outermost articles, else the outermost main, else the page
@@ -361,8 +385,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Returns one row per input row: ``id_col``, ``url`` and ``text``.  Null
     html counts as empty and gives an empty text; pages without a host (null
-    or odd urls) share the empty host.  Repeated rows give repeated results.
-    Malformed html is read as far as it goes.  Other columns are not read.
+    or odd urls) share the empty host.  Repeated rows give repeated results,
+    and count as one page.  Malformed html is read as far as it goes, html of
+    any length whole; no pages give no rows.  Other columns are not read.
     """
     # written: small files make the join a broadcast that leaves the pages where
     # they are, large ones a join whose skewed hosts AQE splits

@@ -607,7 +607,8 @@ BODY = "<p>words of the article that are most of its text</p>"
     '<h2 id="related-work">y</h2>', '<section id="search-algorithms">y</section>', '<p id="notices">y</p>',
     '<h2 id="social-history">y</h2>', '<span class="ad">y</span>', '<h2 id="comments">y</h2>',
     '<div class="content has-sidebar">y</div>', '<div class="no-ads with-comments">y</div>',
-    '<div class="search-algorithms">y</div>'])
+    '<div class="search-algorithms">y</div>', '<p style="display:block;overflow:hidden">y</p>',
+    '<p style="background:url(display-none.png)">y</p>', '<p id="advert">y</p>', '<section id="related-content">y</section>'])
 def test_parts_of_the_article_stay(part):
     want = "words of the article that are most of its text y"
     assert html_text.main_text(f"<article>{BODY}{part}</article>") == want
@@ -618,7 +619,10 @@ def test_parts_of_the_article_stay(part):
 @pytest.mark.parametrize("part", [
     '<div class="related-posts">y</div>', '<div id="comments">y</div>', '<ul class="social">y</ul>',
     '<section class="box newsletter">y</section>', '<div class="shareButtons">y</div>', '<div role="search">y</div>',
-    '<div class="comment-list"><h1>y</h1></div>', f'<div id="comments">{BODY * 3}</div>'])
+    '<div class="comment-list"><h1>y</h1></div>', f'<div id="comments">{BODY * 3}</div>',
+    '<div class="user-comments">y</div>', '<div class="sponsored-content">y</div>', '<p class="advert">y</p>',
+    '<div id="disqus_thread">y</div>', f'<div id="disqus_thread">{BODY * 3}</div>', '<div style="display:none">y</div>',
+    '<p style="color: red; DISPLAY : none;">y</p>', '<span style="visibility:hidden">y</span>'])
 def test_furniture_of_the_article_goes(part):
     assert html_text.main_text(f"<article>{BODY}{part}</article>") == "words of the article that are most of its text"
 
@@ -639,7 +643,8 @@ def test_hashes_of_deep_nesting():
     page = "<body>" + "<div>x" * 20_000 + "</div>" * 20_000
     assert len(html_text.template_hashes(page)) == 20_000
     assert html_text.main_text(page, html_text.template_hashes(page)) == ""
-    assert html_text.template_hashes("<div> </div><nav>n</nav><p>x") == set()
+    assert html_text.template_hashes("<div> </div><p>x<nav><script>n</script></nav>") == set()
+    assert len(html_text.template_hashes("<nav>n</nav><footer><ul><li><a>n</a></ul></footer>")) == 5
     one, two = (html_text.template_hashes(f"<div class='b a'>t  <i>u</i></div><p>{k}") for k in "12")
     assert one == two and len(one) == 1
 
@@ -655,6 +660,99 @@ def test_extraction_from_the_pages(spark):
         assert (out[i].url, out[i].text, out[i].n_chars) == (url, want, len(want))
 
 
+def brute_templates(pages, min_pages=5, min_share=0.2):
+    """{(host, section): templates} by nested tuples: an element is its tag,
+    the words of its class, id and role and what it holds; a menu (most of its
+    characters are links) is one, too, with its texts left out."""
+    def tell(n, shape):
+        kids = []
+        for k in n.kids:
+            if isinstance(k, str):
+                kids += [() if shape else k.split()] if k.strip() else []
+            elif k.tag not in html_text.RAW:
+                kids += [tell(k, shape)] if tell(k, shape) else []
+        words = re.findall(r"(?:class|id|role)=[\"']?([^\"'>]*)", n.attrs)
+        return (n.tag, sorted(set(re.findall("[a-z0-9]+", " ".join(words).lower()))), kids) if kids else None
+
+    def chars(n, only_links, inside=False):
+        inside |= n.tag == "a"
+        return sum((len(k.strip()) if inside or not only_links else 0) if isinstance(k, str)
+                   else 0 if k.tag in html_text.RAW else chars(k, only_links, inside) for k in n.kids)
+
+    def walk(n, inside, covered, out):
+        core = n.core
+        if n.tag in html_text.TEMPLATE and not core:
+            covered = True
+            if tell(n, False):
+                out.add(repr(tell(n, False)))
+                if not inside and 2 * chars(n, True) > chars(n, False):
+                    out.add("shape" + repr(tell(n, True)))
+        inside |= not covered and n.tag in ("article", "main")
+        for k in n.kids:
+            if not isinstance(k, str):
+                walk(k, inside, covered, out)
+        return out
+
+    seen, sizes = defaultdict(set), defaultdict(set)
+    where = {}
+    for url, html in pages:
+        host = url.split("://")[1].split("/")[0].split("?")[0].split("#")[0].lower()
+        path = url.split("://")[1][len(host):].split("#")[0]
+        first = path.strip("/").split("/")[0].split("?")[0]
+        section = first if path.lstrip("/").startswith(first + "/") or path.lstrip("/").startswith(first + "?") else ""
+        where[host, section] = None
+        told = walk(html_text.parse(html), False, False, set())
+        for scope in (None, section):
+            sizes[host, scope].add(html)
+            for t in told:
+                seen[host, scope, t].add(html)
+    found = defaultdict(set)
+    for (host, scope, t), own in seen.items():
+        if len(own) >= min_pages and len(own) >= min_share * len(sizes[host, scope]):
+            found[host, scope].add(t)
+    out = {k: found[k[0], None] | found[k] for k in where}
+    return {k: v for k, v in out.items() if v}
+
+
+def test_templates_of_the_given_pages(spark, monkeypatch):
+    """Every host's menus are templates, and they are all there is."""
+    pages = table("pages", "url, html", SF_TESTED)
+    df = spark.read.parquet(f"{SF_TESTED}/pages.parquet")
+    got = {(r.host, r.section): len(r.templates) for r in html_text.site_templates(df).collect()}
+    want = brute_templates(pages)
+    assert got == {k: len(v) for k, v in want.items()} and len(got) > 10
+    # a small page's template set against the same page without its menu
+    url, html = pages[0]
+    menu = re.search(r"<nav>.*?</nav>", html, re.S)[0]
+    templates = html_text.template_hashes(menu)
+    assert len(templates) == 4  # nav and ul, by text and by shape
+    # no name list: the templates and the article do
+    for name in ("FURNITURE", "COMMENTS", "ADVERTS"):
+        monkeypatch.setattr(html_text, name, frozenset())
+    monkeypatch.setattr(html_text, "DROPPED", frozenset(["head", "script", "style", "title"]))
+    bare = html.replace("<article>", "<div>").replace("</article>", "</div>")
+    without = html_text.main_text(bare.replace(menu, ""))
+    assert html_text.main_text(bare, templates) == without != html_text.main_text(bare)
+    test_extraction_from_the_pages(spark)
+
+
+def test_menus_go_by_their_shape(spark):
+    """On pages without an article or a name: links that say something else on
+    every page, as many, in the same place of the tree; not those of the text."""
+    menu = lambda k, n=4: "<div class=m><ul>" + "".join(f"<li><a href=/{k}>go {k} {i}</a>" for i in range(n)) + "</ul></div>"
+    rows = [(k, f"http://a.org/{k}", f"<body>{menu(k)}<h1>T{k}</h1><p>text {k}</p>") for k in range(8)]
+    rows += [(20 + k, f"http://b.org/{k}", f"<body><h1>T</h1>{menu(k, k + 1)}<p>text {k}</p>") for k in range(6)]
+    rows += [(40 + k, f"http://c.org/{k}", f"<article><h1>T</h1>{menu(k)}<p>text {k}</p></article>") for k in range(6)]
+    rows += [(60 + k, f"http://d.org/{k}", f"<body><div class=m><p>lead {k}</p></div><p>text {k}</p>") for k in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    links = lambda k, n: " ".join(f"go {k} {i}" for i in range(n))
+    assert out == {**{k: f"T{k} text {k}" for k in range(8)},
+                   **{20 + k: f"T {links(k, k + 1)} text {k}" for k in range(6)},
+                   **{40 + k: f"T {links(k, 4)} text {k}" for k in range(6)},
+                   **{60 + k: f"lead {k} text {k}" for k in range(6)}}
+
+
 def test_site_templates_go(spark):
     box = "<div class='blurb'>Read our handbook</div>"
     page = lambda k, extra="": f"<article><h1>T{k}</h1><p>shared words</p>{extra}<p>own {k}</p></article>"
