@@ -1,18 +1,23 @@
 """Quality rules with risk-controlled thresholds.
 
-Signals of every text are computed row by row; a labelled holdout then
-picks the cutoff of each signal in each stratum: the strictest cutoff whose
-false rejection rate is, by the exact binomial bound, at most ``risk`` with
-confidence ``1 - delta`` over all (stratum, signal, cutoff) tests together
-(Bonferroni).  A stratum whose labels cannot certify a cutoff rejects
-nothing by it.  All steps are DataFrame expressions; texts are read once and
-only the narrow signal table is shuffled, by document id, to meet its
-labels.
+Signals of every text are computed row by row; one cutoff per signal is a
+level, and the levels are nested from loose to strict.  A labelled holdout then
+picks the level of each stratum: the strictest one whose false rejection rate
+of good documents is, by the exact binomial bound, at most ``risk``.  Levels
+are tested from the loosest on and the first that fails ends the sequence, so
+no correction among them is due; the confidence ``1 - delta`` holds over all
+strata together (Bonferroni).  Good documents are those that pass the base
+rule, and equal texts count once, as copies are no independent evidence.  A
+stratum whose labels cannot certify the loosest level rejects nothing by them.
+All steps are DataFrame expressions; texts are read once and only the narrow
+signal table is shuffled, by document id, to meet its labels.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,16 +33,16 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 
-# Signals (high is bad) over the columns of ``text_signals``, and the cutoffs
-# tried for each, strictest first.
+# Signals (high is bad) over the columns of ``text_signals``, and their cutoff
+# at every level, loosest first.
 SIGNALS = {
-    "symbols": ("n_symbols / greatest(n_words, 1)", [0.1, 0.2, 0.35, 0.5, 1.0]),
-    "shouts": ("n_shouts / greatest(n_words, 1)", [0.1, 0.2, 0.35, 0.5, 1.0]),
-    "repeats": ("n_repeat_words / greatest(n_words, 1)", [0.05, 0.1, 0.15, 0.2]),
-    "copied_lines": ("n_dup_lines / greatest(n_lines, 1)", [0.1, 0.2, 0.3, 0.5]),
-    "one_word": ("top_word / greatest(n_words, 1)", [0.2, 0.3, 0.4, 0.6]),
+    "symbols": ("n_symbols / greatest(n_words, 1)", [2.0, 1.0, 0.7, 0.5, 0.4, 0.3]),
+    "shouts": ("n_shouts / greatest(n_words, 1)", [2.0, 1.0, 0.7, 0.5, 0.4, 0.3]),
+    "repeats": ("n_repeat_words / greatest(n_words, 1)", [0.2, 0.19, 0.18, 0.17, 0.16, 0.15]),
+    "copied_lines": ("n_dup_lines / greatest(n_lines, 1)", [0.8, 0.7, 0.6, 0.5, 0.45, 0.4]),
+    "one_word": ("top_word / greatest(n_words, 1)", [0.8, 0.7, 0.6, 0.5, 0.45, 0.4]),
 }
-RISK, DELTA = 0.05, 0.05
+RISK, DELTA = 0.03, 0.05
 
 
 def text_signals(text: Column, df: DataFrame) -> DataFrame:
@@ -112,25 +117,46 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.exp(log_term) * total
 
 
-def certified_cutoffs(labelled: DataFrame, *, signals=SIGNALS, risk: float = RISK,
-                      delta: float = DELTA) -> DataFrame:
-    """One row per stratum: a column per signal with the strictest cutoff
-    that the good rows (``good``) of ``stratum`` certify, null if none."""
-    each = risk / len(signals)
-    names = [(s, c) for s, (_, cuts) in signals.items() for c in cuts]
-    counts = labelled.where("good").groupBy("stratum").agg(
-        F.count("*").alias("n"),
-        *[F.count_if(F.expr(signals[s][0]) > F.lit(c)).alias(f"{s}_{i}")
-          for i, (s, c) in enumerate(names)])
+def base_failed() -> Column:
+    return ((F.col("n_words") < MIN_WORDS)
+            | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
+
+
+def certified_levels(good: DataFrame, *, signals=SIGNALS, risk: float = RISK, delta: float = DELTA,
+                     strata: int | None = None) -> DataFrame:
+    """One row per stratum: ``level`` (the strictest certified one, from 1;
+    0 if none), ``n`` and a column per signal with its cutoff at that level.
+
+    ``good`` has a row per independent good text of a ``stratum``, with the
+    columns of the signals.  ``strata`` is the number of strata that the
+    confidence is shared by (default: those of ``good``)."""
+    levels = len(next(iter(signals.values()))[1])
+    over = lambda i: reduce(or_, [F.expr(e) > F.lit(cuts[i]) for e, cuts in signals.values()])
+    counts = good.groupBy("stratum").agg(F.count("*").alias("n"), *[
+        F.count_if(over(i)).alias(f"k_{i}") for i in range(levels)])
     counts = written(counts, "quality-counts")
-    level = delta / max(1, counts.count() * len(names))
-    for i, (s, c) in enumerate(names):
-        k, n = F.col(f"{s}_{i}"), F.col("n")
-        sure = (k < n * each) & (binomial_cdf(k, n, each) <= level)
-        counts = counts.withColumn(f"{s}_{i}", F.when(sure, F.lit(c)))
-    pick = lambda s: F.coalesce(*[F.col(f"{s}_{i}")
-                                  for i, (t, _) in enumerate(names) if t == s])
-    return counts.select("stratum", *[pick(s).alias(f"cut_{s}") for s in signals])
+    alpha = delta / max(1, strata or counts.count())
+    sure, level = F.lit(True), F.lit(0)
+    for i in range(levels):
+        k, n = F.col(f"k_{i}"), F.col("n")
+        sure = sure & (k < n * risk) & (binomial_cdf(k, n, risk) <= alpha)
+        level = level + sure.cast("int")
+    counts = counts.withColumn("level", level)
+    cut = lambda cuts: F.get(F.array(*[F.lit(float(c)) for c in cuts]), F.col("level") - 1)
+    return counts.select("stratum", "n", "level", *[
+        F.when(F.col("level") > 0, cut(cuts)).alias(f"cut_{s}") for s, (_, cuts) in signals.items()])
+
+
+def good_texts(table: DataFrame, labels: DataFrame, label_id: str) -> DataFrame:
+    """The distinct good texts of every stratum, from signal rows (``id``,
+    ``stratum``, ``th``: hash of the text): a text is good if all labels of
+    all rows that say it are 1, and it passes the base rule."""
+    marks = (labels.select(F.col(label_id).alias("l_id"), F.col("quality").alias("q"))
+             .where("l_id IS NOT NULL AND q IS NOT NULL").groupBy("l_id").agg(F.min("q").alias("q")))
+    sig = [c for c in table.columns if c not in ("id", "stratum", "th")]
+    one = (table.join(marks, F.col("id") == F.col("l_id")).where(~base_failed()).groupBy("stratum", "th")
+           .agg(F.min("q").alias("q"), *[F.first(c).alias(c) for c in sig]))
+    return one.where("q = 1").drop("q", "th")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
@@ -143,31 +169,25 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     ``MAX_REPEAT_PCT`` % of them in repeated windows), ``rejected_by`` (the
     signals over their stratum's cutoff) and ``kept``.  Null text has no
     words and fails the base rule; a null stratum is a stratum of its own.
-    Labels (``id_col``, ``quality``): an id is good if all its rows say 1;
-    null qualities and ids are skipped.  Rows that repeat an id are judged
-    each on its own.  Without labels the base rule alone decides.
+    Labels (``id_col``, ``quality``): a text is good if all its rows' labels
+    say 1; null qualities and ids are skipped.  Rows that repeat an id are
+    judged each on its own, texts of any length whole.  Without labels the base
+    rule alone decides; no documents give no rows.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(stratum_col).alias("stratum"),
-                       F.col(text_col).alias("_text"))
-    table = text_signals(F.col("_text"), base).drop("_text")
-    table = written(table, "quality-signals")
-    good = (labels.select(F.col(id_col).alias("l_id"), F.col("quality").alias("q"))
-            .where("l_id IS NOT NULL AND q IS NOT NULL")
-            .groupBy("l_id").agg((F.min("q") == 1).alias("good")))
-    labelled = table.join(good, F.col("id") == F.col("l_id"))
-    return judged(table, certified_cutoffs(labelled, signals=signals, risk=risk, delta=delta),
-                  signals).drop("stratum").withColumnRenamed("id", id_col)
-
-
-def judged(table: DataFrame, cutoffs: DataFrame, signals=SIGNALS) -> DataFrame:
+                       F.xxhash64(text_col).alias("th"), F.col(text_col).alias("_text"))
+    table = written(text_signals(F.col("_text"), base).drop("_text"), "quality-signals")
+    levels = certified_levels(good_texts(table, labels, id_col), signals=signals, risk=risk, delta=delta)
+    return judged(table, levels, signals).drop("stratum", "th").withColumnRenamed("id", id_col)
+
+
+def judged(table: DataFrame, levels: DataFrame, signals=SIGNALS) -> DataFrame:
     """Signal rows with ``base_failed``, ``rejected_by`` and ``kept``."""
-    cuts = cutoffs.withColumnRenamed("stratum", "c_stratum")
+    cuts = levels.drop("n", "level").withColumnRenamed("stratum", "c_stratum")
     rows = table.join(cuts, F.col("stratum").eqNullSafe(F.col("c_stratum")), "left")
-    failed = ((F.col("n_words") < MIN_WORDS)
-              | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
     over = F.array_compact(F.array(*[F.when(F.expr(e) > F.col(f"cut_{s}"), F.lit(s))
                                      for s, (e, _) in signals.items()]))
-    return (rows.withColumn("base_failed", failed).withColumn("rejected_by", over)
+    return (rows.withColumn("base_failed", base_failed()).withColumn("rejected_by", over)
             .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
             .select(*table.columns, "base_failed", "rejected_by", "kept"))
 
@@ -180,11 +200,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     named = docs.select(F.col(id_col).alias("id"), F.col(stratum_col).alias("stratum"),
                         F.col(text_col).alias("_text")).withColumn("th", F.xxhash64("_text"))
     table = written(text_signals(F.col("_text"), named).drop("_text"), "quality-signals")
-    good = (labels.select(F.col(id_col).alias("l_id"), F.col("quality").alias("q"))
-            .where("l_id IS NOT NULL AND q IS NOT NULL")
-            .groupBy("l_id").agg((F.min("q") == 1).alias("good")))
-    cutoffs = certified_cutoffs(table.join(good, F.col("id") == F.col("l_id")))
-    bad = (judged(table, cutoffs).where(~F.col("kept"))
+    bad = (judged(table, certified_levels(good_texts(table, labels, id_col))).where(~F.col("kept"))
            .select(F.col("id").alias("b_id"), F.col("stratum").alias("b_s"), F.col("th").alias("b_th"))
            .distinct())
     rows = packed(docs, id=F.col(id_col), stratum=F.col(stratum_col), th=F.xxhash64(text_col))
@@ -203,10 +219,7 @@ def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     """The same verdicts in DuckDB: windows as exploded rows, the binomial
     bound as a plain sum over lgamma terms."""
-    each = RISK / len(SIGNALS)
-    names = [(s, c) for s, (_, cuts) in SIGNALS.items() for c in cuts]
-    tests = ",\n  ".join(f"('{s}', {c})" for s, c in names)
-    values = ", ".join(f"'{s}', {e}" for s, (e, _) in SIGNALS.items())
+    tests = ",\n  ".join(f"('{s}', {i + 1}, {c})" for s, (_, cuts) in SIGNALS.items() for i, c in enumerate(cuts))
     return f"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
@@ -232,17 +245,19 @@ s AS (SELECT doc_id, lang, len(ws)::BIGINT AS n_words,
       FROM w LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)),
 v AS (UNPIVOT (SELECT doc_id, lang, n_words, {", ".join(f"({e})::DOUBLE AS {s}" for s, (e, _) in SIGNALS.items())} FROM s)
       ON {", ".join(SIGNALS)} INTO NAME sig VALUE val),
-c(sig, cut) AS (VALUES {tests}),
-b AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL
-      GROUP BY doc_id HAVING min(quality) = 1),
-o AS (SELECT lang, sig, cut, count(*) AS n, count(*) FILTER (val > cut) AS k
-      FROM v JOIN b USING (doc_id) JOIN c USING (sig) GROUP BY ALL),
-z AS (SELECT *, {DELTA} / count(*) OVER () AS level,
+c(sig, lev, cut) AS (VALUES {tests}),
+b AS (SELECT lang, min(doc_id) AS doc_id FROM s JOIN d USING (doc_id, lang) JOIN
+        (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) USING (doc_id)
+      WHERE n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= {MAX_REPEAT_PCT} * n_words
+      GROUP BY lang, t HAVING min(q) = 1),
+x AS (SELECT v.doc_id, v.lang, lev, bool_or(val > cut) AS hit FROM v JOIN c USING (sig) GROUP BY ALL),
+o AS (SELECT x.lang, lev, count(*) AS n, count(*) FILTER (hit) AS k FROM x JOIN b USING (doc_id) GROUP BY ALL),
+z AS (SELECT *, {DELTA} / (SELECT count(DISTINCT coalesce(lang, '')) FROM o) AS level,
              list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
-                      + j * ln({each}) + (n - j) * ln(1 - {each})))) AS cdf FROM o),
-q AS (SELECT lang, sig, min(cut) AS cut FROM z WHERE k < n * {each} AND cdf <= level GROUP BY ALL),
-j AS (SELECT v.doc_id, bool_or(val > cut) AS over
-      FROM v JOIN q ON v.sig = q.sig AND v.lang IS NOT DISTINCT FROM q.lang GROUP BY v.doc_id)
+                      + j * ln({RISK}) + (n - j) * ln(1 - {RISK})))) AS cdf FROM o),
+q AS (SELECT lang, count(*) FILTER (sure) AS lev FROM
+        (SELECT lang, bool_and(k < n * {RISK} AND cdf <= level) OVER (PARTITION BY lang ORDER BY lev) AS sure FROM z) GROUP BY lang),
+j AS (SELECT x.doc_id, x.hit AS over FROM x JOIN q ON x.lev = q.lev AND x.lang IS NOT DISTINCT FROM q.lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce(over, false) AS kept
 FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM s)

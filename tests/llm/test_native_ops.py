@@ -256,15 +256,63 @@ def test_binomial_bound(spark):
     assert big == pytest.approx(0.5 * math.erfc(100_000.5 / 3146.4 / math.sqrt(2)), abs=1e-6)
 
 
-def test_cutoffs_are_certified_per_stratum(spark):
-    signals = {"symbols": ("v", [0.1, 0.5, 1.0])}
-    # stratum a: nothing good above 0.1; b: 3 % above 0.1, none above 0.5; c: too few rows
-    rows = [("a", True, 0.0)] * 2000 + [("a", False, 2.0)] * 100
-    rows += [("b", True, 0.3)] * 120 + [("b", True, 0.0)] * 1880 + [("c", True, 0.0)] * 30 + [(None, True, 0.0)] * 900
-    df = spark.createDataFrame(rows, "stratum string, good boolean, v double")
-    got = {r.stratum: r.cut_symbols
-           for r in quality.certified_cutoffs(df, signals=signals, risk=0.03, delta=0.05).collect()}
-    assert got == {"a": 0.1, "b": 0.5, "c": None, None: 0.1}
+def test_levels_are_certified_per_stratum(spark):
+    signals = {"symbols": ("v", [1.0, 0.5, 0.1]), "other": ("w", [9.0, 8.0, 7.0])}
+    # a: nothing good above 0.1; b: 3 % above 0.1, none above 0.5; c: too few rows;
+    # d: the loosest level fails on another signal, so no stricter one is looked at
+    rows = [("a", 0.0, 0.0)] * 2000 + [("c", 0.0, 0.0)] * 30 + [(None, 0.0, 0.0)] * 900
+    rows += [("b", 0.3, 0.0)] * 120 + [("b", 0.0, 0.0)] * 1880 + [("d", 0.0, 9.5)] * 200 + [("d", 0.0, 0.0)] * 800
+    df = spark.createDataFrame(rows, "stratum string, v double, w double")
+    got = {r.stratum: (r.level, r.cut_symbols, r.cut_other)
+           for r in quality.certified_levels(df, signals=signals, risk=0.03, delta=0.05).collect()}
+    assert got == {"a": (3, 0.1, 7.0), "b": (2, 0.5, 8.0), "c": (0, None, None), None: (3, 0.1, 7.0), "d": (0, None, None)}
+    # the least number of labels that certifies: 0.97 ** n <= 0.05
+    for n, level in ((98, 0), (99, 3)):
+        few = spark.createDataFrame([("x", 0.0, 0.0)] * n, df.schema)
+        assert quality.certified_levels(few, signals=signals, risk=0.03).first().level == level
+
+
+def test_the_bound_holds(spark):
+    """Of many holdouts, those that certify a level with more false rejections
+    than the risk are at most delta, each stratum being a holdout of its own."""
+    rng = random.Random(17)
+    cuts = [6.0, 5.0, 4.0, 3.0, 2.0, 1.0]
+    true = [0.005, 0.01, 0.02, 0.032, 0.045, 0.09]  # good documents over the cut: the fourth is too many
+    value = [0.5, 1.5, 2.5, 3.5, 4.5, 5.5, 6.5]
+    weights = [1 - true[5], true[5] - true[4], true[4] - true[3], true[3] - true[2], true[2] - true[1], true[1] - true[0], true[0]]
+    holdouts = 400
+    rows = [(f"h{h}", v) for h in range(holdouts) for v in rng.choices(value, weights, k=500)]
+    df = spark.createDataFrame(rows, "stratum string, v double")
+    got = [r.level for r in quality.certified_levels(df, signals={"s": ("v", cuts)}, risk=0.03, delta=0.1, strata=1).collect()]
+    assert len(got) == holdouts
+    wrong = sum(level >= 4 for level in got) / holdouts
+    assert wrong <= 0.1 + 3 * math.sqrt(0.09 / holdouts) and sum(level >= 1 for level in got) > 0.9 * holdouts
+
+
+def test_copies_and_contradictions_are_no_evidence(spark):
+    """A text counts once however often it stands there, and is good only if
+    all of its labels say so; texts that fail the base rule do not count."""
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(12))
+    rows = [(k, say(k % 40), "en", "s", 1) for k in range(200)] + [(300 + k, f"short {k}", "en", "s", 1) for k in range(9)]
+    labels = spark.createDataFrame([(k, 0 if k == 41 else 1, 0) for k in range(200)] + [(300 + k, 1, 0) for k in range(9)],
+                                   "doc_id long, quality int, toxic int")
+    docs = docs_of(spark, rows)
+    base = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("stratum"), F.xxhash64("text").alias("th"), "text")
+    table = quality.text_signals(F.col("text"), base).drop("text")
+    assert quality.good_texts(table, labels, "doc_id").count() == 39
+
+
+def test_certified_levels_reject_more_than_the_base_rule(spark):
+    """At sf0.01 the largest stratum has the labels for a level; rejected good
+    documents stay within the risk."""
+    sf = "/root/testdata/sf0.01"
+    out = quality.op5_quality_rules(spark, sf).toPandas()
+    langs, good = (dict(duckdb.sql(f"SELECT {c} FROM '{sf}/{t}.parquet'").fetchall())
+                   for c, t in (("doc_id, lang", "documents"), ("doc_id, quality", "labels")))
+    more = out[~out.base_failed & ~out.kept]
+    assert len(more) > 10 and {langs[i] for i in more.doc_id} == {"en"}
+    assert (more.n_symbols / more.n_words).median() > 0.3
+    assert sum(good.get(i) == 1 for i in more.doc_id) <= 0.03 * sum(good.get(i) == 1 and langs[i] == "en" for i in out.doc_id)
 
 
 URLS = [(1, "https://www.example.com/en/x?q#f"), (2, "http://m.example.com/en/"), (3, "http://example.com/en"),
