@@ -8,6 +8,8 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from candlewick.llm import html_text, license_scan, line_dedup, quality, registry, url_filter, warc
@@ -375,21 +377,65 @@ def brute_url(url):
     return host, path, None, "allow", None
 
 
+MORE_URLS = [f"http://{h}/{p}" for h in (
+    "a.org", "casino-royal.org", "my.casino.org", "mycasino.org", "pornhub.org", "ads.org", "ad.x.org", "adserver7.org",
+    "tracking.org", "buy-viagra.org", "slots-online.org", "bet365shop.org", "payday-loan.org", "paydayloans.org",
+    "torrentz.org", "x.torrents.org", "escort.org", "SEO-Services.org", "dömain.org") for p in (
+    "", "sign-in", "signup/", "signing", "cart", "carts", "x/wp-login.php", "a/b.zip", "a/b.zipper", "password/reset/1", "é/login")]
+
+
 def test_url_filter(spark):
-    pages = clashing(spark.createDataFrame(URLS, "page_id long, url string"))
-    got = Counter(map(tuple, url_filter.filter_urls(pages).collect()))
-    assert got == Counter((i, *brute_url(u)) for i, u in URLS)
+    rows = URLS + [(1000 + k, u) for k, u in enumerate(MORE_URLS)]
+    pages = clashing(spark.createDataFrame(rows, "page_id long, url string"))
+    out = url_filter.filter_urls(pages)
+    got = Counter(map(tuple, out.drop("tried").collect()))
+    assert got == Counter((i, *brute_url(u)) for i, u in rows)
     assert url_filter.filter_urls(pages.limit(0)).collect() == []
+    assert len({r.pattern for r in out.collect()}) > 12
+
+
+def test_expressions_run_on_candidates_only(spark):
+    """Every rule has a token on each of its ways; a plain URL runs none of the
+    patterns, and none runs more than the rules that share its tokens."""
+    ways = [w for rx, _ in url_filter.PATTERN_RULES for w in url_filter.literal_tokens(rx)]
+    assert all(ways) and len(ways) > 100
+    rows = [(1, "http://plain.org/a-page/of/words"), (2, "http://casino7.org/"), (3, "http://my.casino.org/login"),
+            (4, "http://example.com/en/x"), (5, None)]
+    out = {r.page_id: r.tried for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert out == {1: 0, 2: 1, 3: 1, 4: 1, 5: 0}  # 3: the first that fits ends it
+    open_rules = [(r"//[^/]*\d{9}", "block"), (r"//x|y", "block")]
+    out = {r.page_id: r.tried for r in url_filter.filter_urls(
+        spark.createDataFrame(rows, "page_id long, url string"), pattern_rules=open_rules).collect()}
+    assert out[1] == 2  # a rule without a literal runs on all
 
 
 def test_rule_tokens():
-    assert url_filter.literal_tokens(r"//[^/]*\bcheap-pills\b") == {"cheap", "pills"}
-    assert url_filter.literal_tokens(r"//a\.(b|c)/dd/e+f/") == {"a", "dd"}
-    assert url_filter.literal_tokens(r"x|y") == set()
-    assert url_filter.literal_tokens(r"//ab?/cd*/ef/gh{2}/") == {"ef"}
+    assert url_filter.literal_tokens(r"//[^/]*\bcheap-pills\b") == [{"cheap", "pills"}]
+    assert url_filter.literal_tokens(r"//a\.(b|c)/dd/e+f/") == [{"a", "b", "dd"}, {"a", "c", "dd"}]
+    assert url_filter.literal_tokens(r"//x|y") == [set(), set()]
+    assert url_filter.literal_tokens(r"//ab?/cd*/ef/gh{2}/") == [{"ab", "ef"}, {"a", "ef"}]
+    assert url_filter.literal_tokens(r"//.*\.(zip|tar)(?=$)") == [{"zip"}, {"tar"}]
+    assert url_filter.literal_tokens(r"//(abc(de)?)+x/.y") == [{"abcde*"}, {"abc*"}]
+    assert url_filter.literal_tokens(r"//" + "(a|b)" * 20) == [set()]
+    assert url_filter.literal_tokens(r"//(?i:x)/") == [set()] and url_filter.literal_tokens(r"//[x") == [set()]
     assert url_filter.host_rule_tokens("b.com", "/en/x") == {"b", "com", "en"}
 
 
+PARTS = st.recursive(st.sampled_from(["ab", "abc", "q7", "/", ".", "-", r"\.", r"\b", "[a-z0-9]*", "[^/]+", "x?", "c*"]),
+                     lambda x: st.lists(x, min_size=1, max_size=3).map("".join) | st.lists(x, min_size=2, max_size=3).map(
+                         lambda y: f"({'|'.join(y)})") | x.map(lambda y: f"({y})?"), max_leaves=8)
+
+
+@settings(max_examples=400, deadline=None)
+@given(PARTS, st.text("abcqx7/.-", max_size=14))
+def test_a_match_holds_a_token_of_one_way(rx, text):
+    target = "//" + text
+    if re.match("//" + rx, target):
+        tokens = re.findall("[a-z0-9]+", target)
+        held = lambda t: any(x.startswith(t[:-1]) for x in tokens) if t.endswith("*") else t in tokens
+        assert any(all(map(held, way)) for way in url_filter.literal_tokens("//" + rx)), (rx, target)
+
+
 def test_sha_of_kept_text(spark):
     got = line_dedup.op7_line_dedup(spark, SF_SMALL).orderBy("doc_id").first()
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{SF_SMALL}/documents.parquet'").fetchall()
