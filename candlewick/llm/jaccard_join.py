@@ -6,15 +6,18 @@ a sequence of MinHash values.  Classes that share a label prefix in a tree
 are candidates.  The prefix matched is the full label shortened until links
 at the threshold itself are found with the target recall, so the chance of a
 link does not hang on what other links there are; a shorter prefix finds all
-that a longer one finds, so one round at that length is the whole search.
-Candidates are verified by their exact n-gram sets.
+that a longer one finds, so one round at that length is the whole search, and
+values beyond it are not computed.  Candidates are verified by their exact
+n-gram sets.
 
 Nothing emits all pairs of a group.  A prefix node goes to tasks in blocks
-of bounded size (every pair of blocks is a unit), a unit returns one row per
-member: its links, their number and the least class it is linked to.  Equal
-nodes of different trees are verified once, and a pair that meets in several
-trees counts in the first of them.  Classes that linked are merged by a
-distributed component search.
+bounded in classes and in n-grams (every pair of blocks is a unit), and a unit
+is compared tile by tile and returns one row per member: its links, their
+number and the least class it is linked to.  So a class is sent once per block
+of its node, and a node of 4,096 small classes is one block.  Equal nodes of
+different trees are verified once, and a pair that meets in several trees
+counts in the first of them.  Classes that linked are merged by a distributed
+component search.
 """
 
 from __future__ import annotations
@@ -31,9 +34,12 @@ from candlewick.session import written
 
 NGRAM = 5
 THRESHOLD = 0.8
-TREES, LABEL = 10, 8  # trees of the forest, values of a label (two bytes each)
+TREES, LABEL = 10, 8  # trees of the forest, values of a full label (two bytes each)
 RECALL = 0.99
-BLOCK = 256  # classes of a block
+BLOCK = 4096  # classes of a block, at most
+BLOCK_GRAMS = 1 << 21  # n-grams of a block, about
+TILE = 256  # classes of either side that are compared at once
+GRAMS_AT_ONCE = 4096
 SHINGLES_AT_ONCE = 2048
 WORD_CACHE = 200_000
 
@@ -94,8 +100,9 @@ def longest_prefix(similarity: float, recall: float, trees: int, values: int) ->
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
                trees: int = TREES, values: int = LABEL) -> DataFrame:
-    """(id, th, ckey, label) of every row: the hash of the text, the 128-bit
-    key of its words (null without words) and the label of its n-grams."""
+    """(id, th, ckey, label, size) of every row: the hash of the text, the
+    128-bit key of its words (null without words), the label of its n-grams
+    and their number."""
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
                        F.coalesce(text_col, F.lit("")).alias("text"))
 
@@ -107,29 +114,31 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
         def one(text):
             words = text.lower().split()
             if not words:
-                return {"ckey": None, "label": None}
-            return {"ckey": xxhash.xxh3_128_digest("\n".join(words)),
-                    "label": label(shingles(words, hashes, n), trees, values)}
+                return {"ckey": None, "label": None, "size": None}
+            grams = shingles(words, hashes, n)
+            return {"ckey": xxhash.xxh3_128_digest("\n".join(words)), "label": label(grams, trees, values),
+                    "size": len(grams)}
 
         return one
 
-    signed = row_function(sign, "struct<ckey:binary,label:binary>")
-    return base.withColumn("s", signed("text")).select("id", "th", "s.ckey", "s.label")
+    signed = row_function(sign, "struct<ckey:binary,label:binary,size:bigint>")
+    return base.withColumn("s", signed("text")).select("id", "th", "s.*")
 
 
-def candidate_units(classes: DataFrame, depth: int, trees: int, values: int, block: int) -> DataFrame:
+def candidate_units(classes: DataFrame, trees: int, values: int, block: int, block_grams: int) -> DataFrame:
     """(bucket, bi, bj, tree, ckey, block, copies): classes by pair of blocks
-    of every node that shares a prefix of ``depth`` values.  Labels stay
+    of every node of company, that is of equal labels in a tree.  Labels stay
     behind; only classes of a node with company are looked up again."""
-    nodes = classes.select("ckey", "copies", F.posexplode(F.array(*[
-        F.xxhash64(F.lit(t), F.substring("label", 1 + 2 * values * t, 2 * depth))
+    nodes = classes.select("ckey", "copies", "size", F.posexplode(F.array(*[
+        F.xxhash64(F.lit(t), F.substring("label", 1 + 2 * values * t, 2 * values))
         for t in range(trees)])).alias("tree", "bucket"))
     size = (nodes.groupBy("bucket", "tree").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("ckey")).alias("x"),
+        F.count("*").alias("n"), F.sum("size").alias("grams"), F.bit_xor(F.xxhash64("ckey")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "ckey")).alias("y")).where("n > 1"))
-    once = (size.groupBy("n", "x", "y").agg(F.min(F.struct("tree", "bucket")).alias("b"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.least(F.col("n"), F.ceil(F.col("grams") / block_grams)))
+    once = (size.groupBy("n", "grams", "x", "y").agg(F.min(F.struct("tree", "bucket")).alias("b"))
             .select(F.col("b.bucket").alias("k_bucket"), F.col("b.tree").alias("k_tree"),
-                    F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+                    blocks.cast("int").alias("blocks")))
     units = (nodes.join(once, (F.col("bucket") == F.col("k_bucket")) & (F.col("tree") == F.col("k_tree")))
              .withColumn("block", F.pmod(F.xxhash64(F.lit(2), "ckey"), F.col("blocks")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -138,34 +147,57 @@ def candidate_units(classes: DataFrame, depth: int, trees: int, values: int, blo
                     "tree", "ckey", "block", "copies"))
 
 
+def _tiles(block: np.ndarray, same_block: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Members of both sides of the tiles: all pairs of one block (a tile with
+    itself first), or of two different ones."""
+    cut = lambda own: [own[at:at + TILE] for at in range(0, len(own), TILE)]
+    low = block.min()
+    a = cut(np.flatnonzero(block == low))
+    if same_block:
+        yield from ((x, y) for k, x in enumerate(a) for y in a[k:])
+    else:
+        b = cut(np.flatnonzero(block != low))
+        yield from ((x, y) for x in a for y in b)
+
+
 def compare(tree: int, same_block: bool, block: np.ndarray, labels: np.ndarray,
-            grams: list[np.ndarray], depth: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+            grams: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(i, j) of the links in a unit: pairs of different blocks (of one block
-    if the unit is that), first met in ``tree``."""
+    if the unit is that), first met in ``tree``.  ``labels``: (members, trees,
+    values)."""
     size = np.array([len(g) for g in grams])
-    flat = np.concatenate(grams)
-    owner = np.repeat(np.arange(len(grams)), size)
-    _, gram, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = times[gram] > 1
-    gram, owner = np.unique(gram[shared], return_inverse=True)[1], owner[shared]
-    both = np.zeros((len(grams), len(grams)), dtype=np.float32)
-    order = np.argsort(gram, kind="stable")
-    gram, owner = gram[order], owner[order]
-    for at in range(0, int(gram[-1]) + 1 if len(gram) else 0, 4096):
-        lo, hi = np.searchsorted(gram, (at, at + 4096))
-        has = np.zeros((len(grams), 4096), dtype=np.float32)
-        has[owner[lo:hi], gram[lo:hi] - at] = 1
-        both += has @ has.T
-    pairs = np.triu(np.ones_like(both, dtype=bool), 1)
-    if not same_block:
-        pairs &= block[:, None] != block[None, :]
-    prefix = labels[:, :, :depth]
-    met = lambda t: (prefix[:, None, t] == prefix[None, :, t]).all(axis=2)
-    pairs &= met(tree)
-    for t in range(tree):
-        pairs &= ~met(t)
-    union = size[:, None] + size[None, :] - both
-    return np.nonzero(pairs & (both >= threshold * union - 1e-6))
+    _, flat, times = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    ends = np.cumsum(size)
+    # numbers of the n-grams that more than one member has
+    own = [g[times[g] > 1] for g in np.split(flat, ends[:-1])]
+    none = np.zeros(0, dtype=np.int64)
+    out_i, out_j = [none], [none]  # one of two blocks can be empty
+    for a, b in _tiles(block, same_block):
+        both = np.zeros((len(a), len(b)), dtype=np.float32)
+        ga, gb = (np.concatenate([own[k] for k in x]) for x in (a, b))
+        oa, ob = (np.repeat(np.arange(len(x)), [len(own[k]) for k in x]) for x in (a, b))
+        common = np.intersect1d(ga, gb)
+        for side in range(0, len(common), GRAMS_AT_ONCE):
+            some = common[side:side + GRAMS_AT_ONCE]
+            has = []
+            for g, o, n in ((ga, oa, len(a)), (gb, ob, len(b))):
+                at = np.searchsorted(some, g)
+                there = some[np.minimum(at, len(some) - 1)] == g
+                m = np.zeros((n, len(some)), dtype=np.float32)
+                m[o[there], at[there]] = 1
+                has.append(m)
+            both += has[0] @ has[1].T
+        union = size[a][:, None] + size[b][None, :] - both
+        pairs = both >= threshold * union - 1e-6
+        if a[0] == b[0]:
+            pairs &= np.triu(np.ones_like(pairs), 1)
+        x, y = np.nonzero(pairs)
+        i, j = a[x], b[y]
+        met = (labels[i] == labels[j]).all(axis=2)
+        first = met[:, tree] & ~met[:, :tree].any(axis=1)
+        out_i.append(i[first])
+        out_j.append(j[first])
+    return np.concatenate(out_i), np.concatenate(out_j)
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
@@ -184,8 +216,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
     return [find(x) for x in range(n)]
 
 
-def verify(units: DataFrame, depth: int, *, threshold: float, trees: int,
-           values: int) -> DataFrame:
+def verify(units: DataFrame, *, threshold: float, trees: int, values: int) -> DataFrame:
     """One row per class and unit with a link: ckey, root (least class it is
     joined to in the unit), links (documents) and texts (classes)."""
     cols = ["ckey", "root", "links", "texts"]
@@ -195,7 +226,7 @@ def verify(units: DataFrame, depth: int, *, threshold: float, trees: int,
         grams = [np.frombuffer(r[8], dtype="<u8") for r in unit]
         labels = np.stack([np.frombuffer(r[7], dtype=">u2") for r in unit]).reshape(-1, trees, values)
         i, j = compare(unit[0][3], unit[0][1] == unit[0][2], np.array([r[5] for r in unit]),
-                       labels, grams, depth, threshold)
+                       labels, grams, threshold)
         if not len(i):
             return None
         m, copies = len(unit), np.array([r[6] for r in unit], dtype=np.int64)
@@ -275,24 +306,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _classified(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
                 threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES,
-                values: int = LABEL, block: int = BLOCK) -> DataFrame:
+                values: int = LABEL, block: int = BLOCK, block_grams: int = BLOCK_GRAMS) -> DataFrame:
     """One row per input row: ``id``, ``th``, ``ckey`` (of its text; null
     without a word) and, of its class, ``best`` (its first row: by id, nulls
     last, then text hash), ``links``, ``texts`` and ``copies``."""
+    values = longest_prefix(threshold, recall, trees, values)
     sig = written(signatures(docs, id_col, text_col, n=n, trees=trees, values=values), "signatures")
     classes = written(sig.where("ckey IS NOT NULL").groupBy("ckey").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("first"),
-        F.count("*").alias("copies"), F.first("label").alias("label"), F.min("th").alias("rep_th")), "classes")
+        F.count("*").alias("copies"), F.first("label").alias("label"), F.first("size").alias("size"),
+        F.min("th").alias("rep_th")), "classes")
 
     def gram_set():
         hashes = WordHashes()
         return lambda text: shingles(text.lower().split(), hashes, n).tobytes()
 
     gram_sets = row_function(gram_set, "binary")
-    depth = longest_prefix(threshold, recall, trees, values)
     # the n-grams of every class that has company, from one text of each (that
     # of its least text hash)
-    units = candidate_units(classes, depth, trees, values, block)
+    units = candidate_units(classes, trees, values, block, block_grams)
     reps = (classes.join(units.select("ckey").distinct(), "ckey", "left_semi")
             .select("ckey", "rep_th", "label"))
     texts = (docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
@@ -300,7 +332,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
              .select("ckey", "label", "text").dropDuplicates(["ckey"]))
     grams = written(texts.select(F.col("ckey").alias("g_key"), "label", gram_sets("text").alias("grams")),
                     "n-grams")
-    linked = written(verify(units.join(grams, F.col("ckey") == F.col("g_key")), depth,
+    linked = written(verify(units.join(grams, F.col("ckey") == F.col("g_key")),
                             threshold=threshold, trees=trees, values=values), "links")
     roots = components(linked.select(F.col("ckey").alias("u"), F.col("root").alias("v")))
     counts = linked.groupBy("ckey").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
@@ -313,7 +345,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
              .select(F.col("ckey").alias("t_key"), "best", F.coalesce("links", F.lit(0)).alias("links"),
                      F.coalesce("texts", F.lit(0)).alias("texts"), "copies"))
     table = written(table, "class-table")
-    return sig.join(table, F.col("ckey") == F.col("t_key"), "left").drop("t_key", "label")
+    return sig.join(table, F.col("ckey") == F.col("t_key"), "left").drop("t_key", "label", "size")
 
 
 # The characters that Python's split() takes for white space.

@@ -153,8 +153,37 @@ def test_jaccard_join(spark):
 
 def test_blocks_do_not_change_the_result(spark):
     docs = docs_of(spark, copies(seed=4, groups=2, size=60))
-    assert classes_of(jaccard_join.near_duplicates(docs, block=4)) == \
-        classes_of(jaccard_join.near_duplicates(docs, block=1000))
+    whole = classes_of(jaccard_join.near_duplicates(docs))
+    assert classes_of(jaccard_join.near_duplicates(docs, block=4)) == whole
+    assert classes_of(jaccard_join.near_duplicates(docs, block_grams=300)) == whole
+
+
+@pytest.mark.parametrize("tile", [1, 3, 7, 256])
+def test_tiles_find_every_link_once(monkeypatch, tile):
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    monkeypatch.setattr(jaccard_join, "GRAMS_AT_ONCE", 5)
+    rnd = np.random.default_rng(3)
+    base = rnd.integers(0, 1 << 60, 30, dtype=np.uint64)
+    grams = [np.unique(np.where(rnd.random(30) < 0.06, rnd.integers(0, 1 << 60, 30, dtype=np.uint64), base)) for _ in range(17)]
+    labels = rnd.integers(0, 2, (17, 3, 1)).astype(np.uint16)
+    block = rnd.integers(0, 2, 17)
+    for tree in range(3):
+        for same in (True, False):
+            members = np.flatnonzero(block == 1) if same else np.arange(17)
+            own = block[members]
+            i, j = jaccard_join.compare(tree, same, own, labels[members], [grams[k] for k in members], 0.8)
+            got = {frozenset((int(members[x]), int(members[y]))) for x, y in zip(i, j)}
+            assert len(got) == len(i)
+            want = set()
+            for x in members:
+                for y in members:
+                    shared = len(set(grams[x].tolist()) & set(grams[y].tolist()))
+                    if (x < y and (same or block[x] != block[y])
+                            and shared >= 0.8 * (len(grams[x]) + len(grams[y]) - shared) - 1e-9):
+                        met = [t for t in range(3) if (labels[x, t] == labels[y, t]).all()]
+                        if met and met[0] == tree:
+                            want.add(frozenset((int(x), int(y))))
+            assert got == want
 
 
 def test_large_groups_do_not_hide_pairs(spark):
