@@ -6,7 +6,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from candlewick.operators import clean, enrich, series, star
 from candlewick.sources import fixtures
@@ -42,15 +41,6 @@ class Warehouse:
     def fact(self) -> DataFrame:
         return star.fact_price(self.enriched, self.dim_asset, self.dim_date)
 
-    def fact_for(self, *asset_ids: str) -> DataFrame:
-        """Fact rows of some assets only.  The asset predicate is applied
-        to the staged prices: every window is partitioned by asset, so it
-        is exact there, and it reaches the bar scan instead of stopping at
-        the fact's hashed key."""
-        staged = self.staged.where(F.col("coin_id").isin(*asset_ids))
-        enriched = enrich.enrich(staged, chunk_rows=self.chunk_rows)
-        return star.fact_price(enriched, self.dim_asset, self.dim_date)
-
 
 def fixture_calendar(t: fixtures.Tables) -> DataFrame:
     return spine_from_bounds(fixtures.calendar_bounds(t), "lo", "hi")
