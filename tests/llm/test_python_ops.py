@@ -82,6 +82,45 @@ def test_em_finds_proportions():
     assert list(which) == [0, 2] and w[0] == pytest.approx(0.75, abs=0.04)
 
 
+def test_languages_against_all_sets(spark):
+    """Against a plain version: exact trigrams of letters in dictionaries, EM
+    on every set of languages, the set of the best penalised likelihood."""
+    docs = table("documents", "doc_id, text, lang")
+
+    def grams(text):
+        plain = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+        plain = re.sub(" +", " ", plain)
+        return Counter(plain[k:k + 3] for k in range(len(plain) - 2))
+
+    model = defaultdict(Counter)
+    for i, text, lang in docs:
+        if lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            model[lang].update(grams(text))
+    names = sorted(model)
+    share = {x: lambda g, x=x, n=sum(model[x].values()) + 0.5 * 32768: (model[x][g] + 0.5) / n for x in names}
+
+    def best(text):
+        c = grams(text)
+        if not c:
+            return "und"
+        p = np.array([[share[x](g) for x in names] for g in c])
+        n, found = np.array(list(c.values()), dtype=float), None
+        for mask in range(1, 1 << len(names)):
+            own = [k for k in range(len(names)) if mask >> k & 1]
+            w = np.full(len(own), 1 / len(own))
+            for _ in range(60):
+                w = w * ((n / (p[:, own] @ w)) @ p[:, own]) / n.sum()
+            score = n @ np.log(p[:, own] @ w) - 3 * np.log(max(n.sum(), 2)) * len(own)
+            if found is None or score > found[0]:
+                found = (score, names[own[int(w.argmax())]])
+        return found[1]
+
+    out = {r.doc_id: r.lang_pred for r in lang_id.op3_language_id(spark, SF_SMALL).collect()}
+    assert len(out) == len(docs) > 150
+    wrong = [i for i, text, _ in docs if out[i] != best(text)]
+    assert len(wrong) <= 1, wrong  # hashed trigrams can meet in a bucket
+
+
 # --- Jaccard join
 
 
