@@ -11,10 +11,11 @@ values beyond it are not computed.  Candidates are verified by their exact
 n-gram sets.
 
 Nothing emits all pairs of a group.  A prefix node goes to tasks in blocks
-bounded in classes and in n-grams (every pair of blocks is a unit), and a unit
-is compared tile by tile and returns one row per member: its links, their
-number and the least class it is linked to.  So a class is sent once per block
-of its node, and a node of 4,096 small classes is one block.  Equal nodes of
+(every pair of blocks is a unit), no more than make a square grid of the tasks
+unless their n-grams ask for it, and a unit is compared tile by tile and returns
+one row per member: its links, their number and the least class it is linked
+to.  So a hot node is spread over all tasks, and a class is sent once per block
+of its node, about the root of the tasks in number.  Equal nodes of
 different trees are verified once, and a pair that meets in several trees
 counts in the first of them.  Classes that linked are merged by a distributed
 component search.
@@ -22,6 +23,7 @@ component search.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +38,8 @@ NGRAM = 5
 THRESHOLD = 0.8
 TREES, LABEL = 10, 8  # trees of the forest, values of a full label (two bytes each)
 RECALL = 0.99
-BLOCK = 4096  # classes of a block, at most
-BLOCK_GRAMS = 1 << 21  # n-grams of a block, about
+BLOCK = 256  # classes of a block, unless that makes more units than tasks
+BLOCK_GRAMS = 1 << 21  # n-grams of a block, at most about
 TILE = 256  # classes of either side that are compared at once
 GRAMS_AT_ONCE = 4096
 SHINGLES_AT_ONCE = 2048
@@ -125,7 +127,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
     return base.withColumn("s", signed("text")).select("id", "th", "s.*")
 
 
-def candidate_units(classes: DataFrame, trees: int, values: int, block: int, block_grams: int) -> DataFrame:
+def candidate_units(classes: DataFrame, trees: int, values: int, block: int, block_grams: int, grid: int) -> DataFrame:
     """(bucket, bi, bj, tree, ckey, block, copies): classes by pair of blocks
     of every node of company, that is of equal labels in a tree.  Labels stay
     behind; only classes of a node with company are looked up again."""
@@ -135,7 +137,8 @@ def candidate_units(classes: DataFrame, trees: int, values: int, block: int, blo
     size = (nodes.groupBy("bucket", "tree").agg(
         F.count("*").alias("n"), F.sum("size").alias("grams"), F.bit_xor(F.xxhash64("ckey")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "ckey")).alias("y")).where("n > 1"))
-    blocks = F.greatest(F.ceil(F.col("n") / block), F.least(F.col("n"), F.ceil(F.col("grams") / block_grams)))
+    blocks = F.greatest(F.least(F.ceil(F.col("n") / block), F.lit(grid)),
+                        F.least(F.col("n"), F.ceil(F.col("grams") / block_grams)))
     once = (size.groupBy("n", "grams", "x", "y").agg(F.min(F.struct("tree", "bucket")).alias("b"))
             .select(F.col("b.bucket").alias("k_bucket"), F.col("b.tree").alias("k_tree"),
                     blocks.cast("int").alias("blocks")))
@@ -324,7 +327,8 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, *, n: int = NGRAM,
     gram_sets = row_function(gram_set, "binary")
     # the n-grams of every class that has company, from one text of each (that
     # of its least text hash)
-    units = candidate_units(classes, trees, values, block, block_grams)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = candidate_units(classes, trees, values, block, block_grams, math.isqrt(2 * tasks) + 1)
     reps = (classes.join(units.select("ckey").distinct(), "ckey", "left_semi")
             .select("ckey", "rep_th", "label"))
     texts = (docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
@@ -359,12 +363,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     all stay."""
     found = _classified(docs, id_col, text_col)
     first = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("th") == F.col("best.th"))
+    # one hash of the id, null or not: the join and the distinct rows share a shuffle
+    number = lambda c: F.xxhash64(F.col(c).isNull(), F.col(c))
     gone = (found.where(F.col("ckey").isNotNull() & ~first)
-            .select(F.col("id").alias("g_id"), F.col("th").alias("g_th")).distinct())
-    rows = packed(docs, id=F.col(id_col), th=F.xxhash64(text_col),
+            .select(number("id").alias("g_id"), F.col("th").alias("g_th")).distinct())
+    rows = packed(docs, rid=number(id_col), th=F.xxhash64(text_col),
                   tie=F.when(~F.coalesce(F.col(text_col), F.lit("")).rlike(NO_SPACE), F.monotonically_increasing_id()))
-    left = rows.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")), "left_anti")
-    return unpacked(left.dropDuplicates(["id", "th", "tie"]))
+    left = rows.join(gone, (F.col("rid") == F.col("g_id")) & (F.col("th") == F.col("g_th")), "left_anti")
+    return unpacked(left.dropDuplicates(["rid", "th", "tie"]))
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
