@@ -154,7 +154,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     keys, probs = list(keys), list(probs)
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # written before the ranges are sampled, which reads it a second time
+    counts = written(base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-counts")
     parts = written(counts.repartitionByRange(*keys, "_v")
                     .withColumn("_p", F.spark_partition_id()), "quantile-parts")
     by_key = Window.partitionBy(*keys)

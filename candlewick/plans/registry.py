@@ -12,7 +12,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -435,6 +435,21 @@ register("fact_price", O.STAR + "SELECT * FROM fact")(
     lambda spark, sf: main_warehouse(spark, sf).fact)
 
 
+@register("fact_bucketed", O.STAR + """
+SELECT coin_sk, date_id, close_price, count(*) OVER w AS days_so_far, close_price - first_value(close_price) OVER w AS since_first
+FROM fact WINDOW w AS (PARTITION BY coin_sk ORDER BY date_id ROWS UNBOUNDED PRECEDING)""")
+def q_fact_bucketed(spark, sf):
+    """The fact stored bucketed by asset and read back: windows by asset, in
+    the order of the calendar, without a shuffle."""
+    loc, w = scratch_path(spark, "bucketed"), main_warehouse(spark, sf)
+    catalog.ensure_database(spark, "cw_bucketed", loc)
+    catalog.write_table(w.fact, "cw_bucketed.fact", ["coin_sk", "date_id"], location=loc, bucket_by=("coin_sk", 8))
+    by = Window.partitionBy("coin_sk").orderBy("date_id").rowsBetween(Window.unboundedPreceding, 0)
+    return spark.table("cw_bucketed.fact").select(
+        "coin_sk", "date_id", "close_price", F.count(F.lit(1)).over(by).alias("days_so_far"),
+        (F.col("close_price") - F.first("close_price").over(by)).alias("since_first"))
+
+
 register("dim_asset_stamped", O.with_(O.META, O.dim_coin("meta")) + """
 SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS dbt_updated_at FROM dim_coin""")(
     lambda spark, sf: star.dim_asset(fixtures.asset_meta(_tables(spark, sf)),
