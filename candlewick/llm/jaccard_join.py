@@ -164,17 +164,15 @@ def _tiles(block: np.ndarray, same_block: bool) -> Iterator[tuple[np.ndarray, np
 
 
 def compare(tree: int, same_block: bool, block: np.ndarray, labels: np.ndarray,
-            grams: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(i, j) of the links in a unit: pairs of different blocks (of one block
-    if the unit is that), first met in ``tree``.  ``labels``: (members, trees,
-    values)."""
+            grams: list[np.ndarray], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of the links in a unit, tile by tile: pairs of different blocks
+    (of one block if the unit is that), first met in ``tree``.  ``labels``:
+    (members, trees, values)."""
     size = np.array([len(g) for g in grams])
     _, flat, times = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
     ends = np.cumsum(size)
     # numbers of the n-grams that more than one member has
     own = [g[times[g] > 1] for g in np.split(flat, ends[:-1])]
-    none = np.zeros(0, dtype=np.int64)
-    out_i, out_j = [none], [none]  # one of two blocks can be empty
     for a, b in _tiles(block, same_block):
         both = np.zeros((len(a), len(b)), dtype=np.float32)
         ga, gb = (np.concatenate([own[k] for k in x]) for x in (a, b))
@@ -198,25 +196,28 @@ def compare(tree: int, same_block: bool, block: np.ndarray, labels: np.ndarray,
         i, j = a[x], b[y]
         met = (labels[i] == labels[j]).all(axis=2)
         first = met[:, tree] & ~met[:, :tree].any(axis=1)
-        out_i.append(i[first])
-        out_j.append(j[first])
-    return np.concatenate(out_i), np.concatenate(out_j)
+        yield i[first], j[first]
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
-    root = list(range(n))
+class Roots:
+    """The least member of each group of linked members, link by link."""
 
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    def __init__(self, n: int):
+        self.root = np.arange(n)
 
-    for a, b in zip(i.tolist(), j.tolist()):
-        a, b = find(a), find(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-    return [find(x) for x in range(n)]
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        while True:
+            a, b = self.root[i], self.root[j]
+            apart = a != b
+            if not apart.any():
+                return
+            i, j = i[apart], j[apart]
+            low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+            parent = np.arange(len(self.root))
+            np.minimum.at(parent, high, low)  # a root goes to the least that it met
+            while (parent[parent] != parent).any():
+                parent = parent[parent]
+            self.root = parent[self.root]
 
 
 def verify(units: DataFrame, *, threshold: float, trees: int, values: int) -> DataFrame:
@@ -228,18 +229,20 @@ def verify(units: DataFrame, *, threshold: float, trees: int, values: int) -> Da
         unit.sort(key=lambda r: r[4])
         grams = [np.frombuffer(r[8], dtype="<u8") for r in unit]
         labels = np.stack([np.frombuffer(r[7], dtype=">u2") for r in unit]).reshape(-1, trees, values)
-        i, j = compare(unit[0][3], unit[0][1] == unit[0][2], np.array([r[5] for r in unit]),
-                       labels, grams, threshold)
-        if not len(i):
-            return None
         m, copies = len(unit), np.array([r[6] for r in unit], dtype=np.int64)
-        links = np.bincount(i, copies[j], m) + np.bincount(j, copies[i], m)
-        texts = np.bincount(i, minlength=m) + np.bincount(j, minlength=m)
-        root = _roots(m, i, j)
+        links, texts, roots = np.zeros(m, dtype=np.int64), np.zeros(m, dtype=np.int64), Roots(m)
+        for i, j in compare(unit[0][3], unit[0][1] == unit[0][2], np.array([r[5] for r in unit]),
+                            labels, grams, threshold):
+            for x, y in ((i, j), (j, i)):
+                np.add.at(links, x, copies[y])
+                texts += np.bincount(x, minlength=m)
+            roots.join(i, j)
         has = np.flatnonzero(texts)
+        if not len(has):
+            return None
         return pd.DataFrame({
-            "ckey": [unit[k][4] for k in has], "root": [unit[root[k]][4] for k in has],
-            "links": links[has].astype(np.int64), "texts": texts[has].astype(np.int64)}, columns=cols)
+            "ckey": [unit[k][4] for k in has], "root": [unit[roots.root[k]][4] for k in has],
+            "links": links[has], "texts": texts[has]}, columns=cols)
 
     def all_units(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, rows, out = None, [], []

@@ -210,9 +210,10 @@ def test_tiles_find_every_link_once(monkeypatch, tile):
         for same in (True, False):
             members = np.flatnonzero(block == 1) if same else np.arange(17)
             own = block[members]
-            i, j = jaccard_join.compare(tree, same, own, labels[members], [grams[k] for k in members], 0.8)
-            got = {frozenset((int(members[x]), int(members[y]))) for x, y in zip(i, j)}
-            assert len(got) == len(i)
+            found = [(x, y) for i, j in jaccard_join.compare(
+                tree, same, own, labels[members], [grams[k] for k in members], 0.8) for x, y in zip(i, j)]
+            got = {frozenset((int(members[x]), int(members[y]))) for x, y in found}
+            assert len(got) == len(found)
             want = set()
             for x in members:
                 for y in members:
@@ -283,6 +284,21 @@ def test_white_space_is_that_of_split(spark):
         c for c in chars if not c.split()}
 
 
+def test_roots_of_links():
+    rng = random.Random(2)
+    for _ in range(200):
+        n = rng.randint(1, 30)
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(rng.randint(0, 25))]
+        roots, plain = jaccard_join.Roots(n), list(range(n))
+        for at in range(0, len(links), 7):
+            i, j = (np.array(x, dtype=int) for x in zip(*links[at:at + 7]))
+            roots.join(i, j)
+        for _ in range(n):
+            for a, b in links:
+                plain[a] = plain[b] = min(plain[a], plain[b])
+        assert roots.root.tolist() == plain
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(f"{a:03}", f"{b:03}") for a, b in ((rnd.randrange(300), rnd.randrange(300)) for _ in range(180))]
