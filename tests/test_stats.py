@@ -277,7 +277,7 @@ def test_few_assets_give_several_groups(spark, returns, assets):
     m = stats.pair_moments(returns, assets, "date", "symbol", "daily_return_pct", date_chunk=16)
     assert m.where("n = 0").count() == 0
     plan = m._jdf.queryExecution().executedPlan().toString()
-    assert "FlatMapGroupsInPandas" in plan and "SinglePartition" not in plan
+    assert "MapInPandas" in plan and re.search(r"hashpartitioning\(_dc#\d+L?, _ba", plan) and "SinglePartition" not in plan
 
 
 def test_copies_of_a_row_grow_with_the_tasks_not_with_the_assets(spark, monkeypatch):
