@@ -34,7 +34,7 @@ def docs_of(spark, rows):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got = rows_of(registry.QUERIES[name](spark, SF_SMALL).toPandas())
     assert got == rows_of(con.execute(registry.ORACLE[name]).df())
