@@ -334,3 +334,26 @@ def test_array_pivot_of_many_symbols(spark):
     assert back.exceptAll(long.select(back.columns)).count() == 0 and back.count() == long.count()
     with pytest.raises(Exception, match="duplicate"):
         stats.returns_pivot_array(long.union(long.limit(1)), order).collect()
+
+
+def test_a_task_holds_one_wide_row_at_a_time(spark, monkeypatch):
+    """All dates in one task: arrays leave it one by one and are stored in
+    row groups of few rows; NULL and split dates stay whole."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(stats, "WIDE_CELLS", 2 * 20_000)
+    long = spark.range(40_000).select(F.concat(F.lit("s"), (F.col("id") % 10_000).cast("string")).alias("symbol"),
+                                      F.when(F.col("id") >= 10_000, F.floor(F.col("id") / 10_000)).alias("date"),
+                                      F.col("id").cast("double").alias("daily_return_pct")).where("hash(id) % 3 = 0")
+    order = stats.symbol_positions(long.union(spark.sql("SELECT concat('t', id), 0L, 0D FROM range(10000)")))
+    wide = stats.returns_pivot_array(long, order)
+    assert "MapInArrow" in wide._jdf.queryExecution().executedPlan().toString()
+    assert "ollect_list" not in wide._jdf.queryExecution().executedPlan().toString()
+    stored = stats.written_wide(wide.coalesce(1), order, "wide")
+    rows = [pq.ParquetFile(f.replace("file:", "").replace("///", "/")).metadata for f in stored.inputFiles()]
+    assert sum(m.num_rows for m in rows) == 4
+    assert max(m.row_group(k).num_rows for m in rows for k in range(m.num_row_groups)) <= 2
+    assert {(r.date, r.n) for r in stored.select("date", F.size("values").alias("n")).collect()} == {
+        (d, order.count()) for d in (None, 1, 2, 3)}
+    back = stats.returns_unpivot_array(stored, order)
+    assert back.exceptAll(long.select(back.columns)).count() == 0 and back.count() == long.count()
