@@ -357,3 +357,47 @@ def test_a_task_holds_one_wide_row_at_a_time(spark, monkeypatch):
         (d, order.count()) for d in (None, 1, 2, 3)}
     back = stats.returns_unpivot_array(stored, order)
     assert back.exceptAll(long.select(back.columns)).count() == 0 and back.count() == long.count()
+
+
+def test_moments_of_many_pairs_are_neither_shuffled_nor_joined(spark):
+    """All days of a pair are in one task, which returns its final row with
+    the symbols; rows are copied as arrays, once per block."""
+    facts = spark.range(120_000).select(
+        F.md5((F.col("id") % 600).cast("string")).alias("coin_sk"),
+        F.date_format(F.expr("date'2000-01-01' + cast(id div 600 * 11 as int)"), "yyyyMMdd").cast("int").alias("date_id"),
+        ((F.hash("id") % 1000) / 10).alias("daily_return_pct")).where("hash(coin_sk, date_id) % 3 = 0")
+    dim = spark.range(601).select(F.md5(F.col("id").cast("string")).alias("coin_sk"),
+                                  F.when(F.col("id") != 7, F.concat(F.lit("s"), "id")).alias("symbol"))
+    found = stats.corr_pairs(facts, dim, block_size=64)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("MapInPandas")]
+    assert "Exchange" not in above and "Join" not in above and "Aggregate" not in above
+    got = {frozenset((r.symbol_a, r.symbol_b)): r.correlation for r in found.collect()}
+    wide = facts.toPandas().pivot(index="date_id", columns="coin_sk", values="daily_return_pct")
+    name = {r.coin_sk: r.symbol for r in dim.collect()}
+    want = wide.corr()
+    assert len(got) == 600 * 599 // 2
+    for a, b in [(x, y) for x in list(want)[:40] for y in list(want)[::7] if x < y]:
+        assert got[frozenset((name[a], name[b]))] == pytest.approx(want.loc[a, b], abs=2e-6)
+
+
+def test_few_assets_with_many_values_are_cut_into_chunks_of_days(spark, returns, assets, monkeypatch):
+    cells = {(r.symbol_a, r.symbol_b): r["corr"] for r in stats.corr_matrix_long(returns, assets).collect()}
+    monkeypatch.setattr(stats, "GROUP_VALUES", 100)
+    monkeypatch.setattr(stats, "SLICE", 8)
+    chunked = stats.corr_matrix_long(returns, assets, block_size=2)
+    assert "_dc" in chunked._jdf.queryExecution().executedPlan().toString()
+    got = {(r.symbol_a, r.symbol_b): r["corr"] for r in chunked.collect()}
+    assert set(got) == set(cells)
+    for k, v in got.items():
+        assert v == cells[k] if v is None or cells[k] is None else v == pytest.approx(cells[k], abs=1.01e-6), k
+
+
+def test_a_few_very_large_values_cost_no_digits(spark):
+    """Centred on the median, a spike outside the shared dates does no harm."""
+    rnd = random.Random(5)
+    rows = [(i, k, rnd.gauss(0, 1)) for i in range(60) for k in "AB"] + [(90, "A", 1e9), (91, "B", 1e9)]
+    df = _returns(spark, rows)
+    want = df.toPandas().pivot(index="date", columns="symbol", values="daily_return_pct").corr().loc["A", "B"]
+    got = {(r["symbol_a"], r["symbol_b"]): r["corr"] for r in stats.corr_matrix_long(df, df.select("symbol")).collect()}
+    assert got[("A", "B")] == pytest.approx(want, abs=1e-6)
