@@ -401,3 +401,21 @@ def test_a_few_very_large_values_cost_no_digits(spark):
     want = df.toPandas().pivot(index="date", columns="symbol", values="daily_return_pct").corr().loc["A", "B"]
     got = {(r["symbol_a"], r["symbol_b"]): r["corr"] for r in stats.corr_matrix_long(df, df.select("symbol")).collect()}
     assert got[("A", "B")] == pytest.approx(want, abs=1e-6)
+
+
+def test_small_keys_are_summed_up_in_one_pass_of_all_columns(values, monkeypatch):
+    """Neither counts nor ranges of the values of small keys are written; with
+    small and large keys, every key has the same results."""
+    names = []
+    write = stats.written
+    monkeypatch.setattr(stats, "written", lambda df, name: names.append(name) or write(df, name))
+    two = values.select(F.when(F.col("k") != "y", F.col("k")).alias("k"), "v", (-F.col("v")).alias("w"))
+    small = {tuple(r) for r in stats.describe(two, ["v", "w"], ["k"]).collect()}
+    assert not [n for n in names if n in ("quantile-counts", "quantile-parts", "quantile-ranks")]
+    whole = stats.describe(two, ["v", "w"]).collect()
+    for limit in (50, 0):
+        names.clear()
+        monkeypatch.setattr(stats, "SMALL_KEY", limit)
+        assert {tuple(r) for r in stats.describe(two, ["v", "w"], ["k"]).collect()} == small
+        assert "quantile-parts" in names
+    assert sorted(stats.describe(two, ["v", "w"]).collect()) == sorted(whole)
