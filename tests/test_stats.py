@@ -393,6 +393,47 @@ def test_few_assets_with_many_values_are_cut_into_chunks_of_days(spark, returns,
         assert v == cells[k] if v is None or cells[k] is None else v == pytest.approx(cells[k], abs=1.01e-6), k
 
 
+@pytest.mark.parametrize("kind", ["date", "bigint", "timestamp"])
+def test_many_values_are_paired_without_copies(spark, monkeypatch, kind):
+    """With more blocks than the tasks need, values are stored once, in pages;
+    tasks read two sets of them: no shuffle, and every pair once with its symbols."""
+    day = {"date": "date'2000-01-01' + cast(id div 600 * 11 as int)", "bigint": "id div 600 * 11 - 500",
+           "timestamp": "timestamp'2000-01-01' + make_interval(0, 0, 0, 0, 0, 0, id div 600 * 11)"}[kind]
+    long = spark.range(60_000).select(
+        F.md5((F.col("id") % 600).cast("string")).alias("k"), F.expr(day).alias("d"),
+        ((F.hash("id") % 1000) / 10).alias("x")).where("hash(k, d) % 3 = 0")
+    assets = spark.range(601).select(F.md5(F.col("id").cast("string")).alias("k"),
+                                     F.when(F.col("id") != 7, F.concat(F.lit("s"), "id")).alias("l"))
+    small = {(r.key_a, r.key_b): r for r in stats.pair_moments(long, assets, "d", "k", "x", 64, label="l").collect()}
+    monkeypatch.setattr(stats, "GROUP_VALUES", 1 << 9)
+    monkeypatch.setattr(stats, "COPIED_VALUES", 1 << 12, raising=False)
+    found = stats.pair_moments(long, assets, "d", "k", "x", 64, label="l")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan and "CartesianProduct" in plan
+    rows = found.collect()
+    assert len(rows) == len(small) and {(r.key_a, r.key_b) for r in rows} == set(small)
+    names = {r.k: r.l for r in assets.collect()}
+    for r in rows:
+        want = small[r.key_a, r.key_b]
+        assert (r.n, r.x0, r.y1, r.label_a, r.label_b) == (want.n, want.x0, want.y1, names[r.key_a], names[r.key_b])
+        assert (r.mx, r.cxx, r.cxy) == pytest.approx((want.mx, want.cxx, want.cxy), rel=1e-9, abs=1e-6)
+
+
+def test_a_large_asset_or_a_second_value_among_many_values(spark, monkeypatch, returns, assets):
+    """Pages hold whole assets: one above a page is cut into chunks of days, as
+    before.  A second value of a date raises here, too."""
+    monkeypatch.setattr(stats, "GROUP_VALUES", 100)
+    monkeypatch.setattr(stats, "COPIED_VALUES", 10)
+    cells = {(r.symbol_a, r.symbol_b): r["corr"] for r in stats.corr_matrix_long(returns, assets, block_size=2).collect()}
+    monkeypatch.setattr(stats, "PAGE_VALUES", 20)
+    cut = stats.corr_matrix_long(returns, assets, block_size=2)
+    assert "CartesianProduct" not in cut._jdf.queryExecution().executedPlan().toString()
+    assert {(r.symbol_a, r.symbol_b): r["corr"] for r in cut.collect()} == pytest.approx(cells, abs=1.01e-6)
+    df = _returns(spark, [(i, k, float(i)) for i in range(30) for k in "ABCD"] + [(3, "A", 2.0)])
+    with pytest.raises(Exception, match="duplicate"):
+        stats.corr_matrix_long(df, df.select("symbol"), block_size=1).collect()
+
+
 def test_a_few_very_large_values_cost_no_digits(spark):
     """Centred on the median, a spike outside the shared dates does no harm."""
     rnd = random.Random(5)
